@@ -1,0 +1,42 @@
+"""Connected components of an edge table by alternating large and small stars, all in shuffles."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .storage import cut
+
+#: The stars settle in about the logarithm of the longest chain; beyond this something is wrong.
+MAX_ROUNDS = 60
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, root for each node of an edge; root is the least node that it reaches.
+
+    edges has longs a and b; nulls and loops are dropped, repeated edges count once. Isolated nodes do not appear.
+    """
+    now = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct())
+    seen = None
+    for _ in range(MAX_ROUNDS):
+        now = cut(_star(_star(now, large=True), large=False))
+        print_of = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
+        if print_of == seen:
+            break
+        seen = print_of
+    else:
+        raise RuntimeError("components did not settle")
+    return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(now.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct())
+
+
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Large: each node's greater neighbours are tied to its least. Small: each node and its lesser neighbours are."""
+    if large:
+        both = edges.select(F.col("v").alias("u"), F.col("m").alias("w")).unionByName(edges.select(F.col("m").alias("u"), F.col("v").alias("w")))
+        least = both.groupBy("u").agg(F.min("w").alias("l")).select("u", F.least("u", "l").alias("l"))
+        out = both.where(F.col("w") > F.col("u")).join(least, "u").select(F.col("w").alias("v"), F.col("l").alias("m"))
+    else:
+        least = edges.groupBy("v").agg(F.min("m").alias("l"))
+        joined = edges.join(least, "v")
+        out = joined.select(F.col("m").alias("v"), F.col("l").alias("m")).unionByName(least.select("v", F.col("l").alias("m")))
+    return out.where(F.col("v") != F.col("m")).distinct()
