@@ -110,12 +110,12 @@ class WordIds:
 
 def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """id_col, piece, start, length, ids_crc32 of each text's ids cut at capacity; null text is empty, so one end id."""
-    source = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
+    source = W.lean(df).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
     schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *PIECE_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordIds(tokenizer_path)
-        for b in W.slices(batches, "__text", 2 << 20):
+        for b in W.slices(batches, "__text"):
             ids, offsets = encoder.documents(b.column("__text"))
             n = np.diff(offsets)
             parts = -(-n // capacity)

@@ -144,7 +144,7 @@ def found_in(texts: pa.Array) -> Iterator[tuple[str, list[tuple[str, int, int]],
 
 def scan(df: DataFrame, text: str, id_col: str) -> DataFrame:
     """id, key, base (the spans as text) and candidates of each row; key is xxhash64 of id and text."""
-    source = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("__text")).withColumn("key", F.xxhash64("id", "__text"))
+    source = W.lean(df).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("__text")).withColumn("key", F.xxhash64("id", "__text"))
     schema = T.StructType([source.schema["id"], source.schema["key"], T.StructField("base", T.StringType()), T.StructField("candidates", CANDIDATE)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -116,7 +116,7 @@ def metrics_udf():
 
 def text_metrics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """keep (renamed k0, k1, ...) and the five metrics, over Arrow batches."""
-    source = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("__text"))
+    source = W.lean(df).select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("__text"))
     kept = source.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def quality(df: DataFrame, text: str = "text", id_col: str = "doc_id", host: str
 def keep_good(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The rows of df that quality() keeps, with df's columns. Texts stay where they are and are measured twice."""
     names = df.columns
-    own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    own = W.lean(df).select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, h = f"c{names.index(text)}", f"c{names.index(host)}"
     verdicts = host_verdicts(text_metrics(df, text, [host]), "k0").withColumnRenamed("k0", h)
     measured = own.withColumn("m", metrics_udf()(F.col(t).cast("string"))).select("*", "m.*").drop("m")

@@ -88,7 +88,7 @@ def names_of(width: int) -> list[str]:
 
 def fingerprint_table(df: DataFrame, n: int, text: str, keep: list[str], width: int = 1) -> DataFrame:
     """keep (renamed k0, k1, ...) and the fingerprint's words f0, f1, ... as signed longs. Null text is empty, so 0."""
-    source = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("__text"))
+    source = W.lean(df).select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("__text"))
     kept, words = source.schema.fields[:-1], names_of(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -135,7 +135,7 @@ def token_counts(df: DataFrame, automaton: LongestMatch, text: str = "text", kee
     rows and ties give repeated results; long texts cost in proportion to their length; other columns are not read.
     """
     matcher = df.sparkSession.sparkContext.broadcast(automaton)
-    kept = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    kept = W.lean(df).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     fields = [f for f in kept.schema.fields if f.name != "__text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+#: Bytes of a batch that Spark hands to a Python worker, and of texts that one pass works on; both bound its memory.
+BATCH_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 
 #: Byte classes: 0 separates words, 1 and above are words of one class each, SINGLE is a word per byte.
 SINGLE = 9
@@ -96,8 +101,20 @@ def split_words(texts: pa.Array, lower: bool = False, classes: np.ndarray = SPAC
     return Words(coded.indices.to_numpy(), coded.dictionary, np.searchsorted(start, byte_start), start, end, data, byte_start)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the named text column holds about max_bytes at most, one row at least."""
+def lean(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches bounded by bytes, as rows may hold texts of any length."""
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(name, None) != f"{BATCH_BYTES}b":
+        conf.set(name, f"{BATCH_BYTES}b")
+    return df
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the named text column holds about max_bytes at most, one row at least.
+
+    The worker's arrays come from the system's allocator, which gives large ones back at once.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
             continue
