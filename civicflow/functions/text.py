@@ -67,7 +67,7 @@ def html_to_text(c: Column) -> Column:
     text = F.regexp_replace(text, "<[^>]*>", "")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s*\n\s*", "\n"))
+    return F.regexp_replace(F.regexp_replace(text, r"\s*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 
 def visible_text(c: Column) -> Column:

@@ -51,7 +51,7 @@ def dump(package: Package, folder: str, format: str = "csv", partition_by: Seque
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if format == "csv":
-            writer = writer.option("header", True).option("escape", '"')
+            writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         writer.format(format).save(f"{folder}/data/{name}")
         spark = df.sparkSession
     if package.resources:

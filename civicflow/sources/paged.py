@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Fetch = Callable[[Mapping[str, object]], Sequence[Mapping[str, object]]]
 
@@ -15,14 +16,13 @@ def fetch_requests(spark: SparkSession, requests: Sequence[Mapping[str, object]]
     """Rows of all requests, each made by a task; a failed task makes its requests again. Rows keep no order."""
     import json
 
-    kinds = spark.createDataFrame([(json.dumps(r, default=str),) for r in requests] or [], "request string")
+    names = T.StructType.fromDDL(schema).names
+    kinds = spark.createDataFrame([(json.dumps(r, default=str),) for r in requests], "request string")
     spread = kinds.repartition(slots or max(1, len(requests)))
 
     def run(parts: Iterator) -> Iterator:
         import pandas as pd
-        from pyspark.sql.types import StructType
 
-        names = StructType.fromDDL(schema).names
         for pdf in parts:
             for text in pdf["request"]:
                 rows = fetch(json.loads(text))

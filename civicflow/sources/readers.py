@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,12 +17,33 @@ from ..package import Package
 KINDS = {"string": "string", "integer": "long", "number": "decimal(38,6)", "boolean": "boolean", "date": "date", "datetime": "timestamp", "year": "int", "time": "string"}
 
 
+#: Encodings that Spark's readers take themselves; others of one byte a character are read as Latin-1 and translated.
+OWN_ENCODINGS = {"utf-8", "utf-16", "utf-16le", "utf-16be", "us-ascii", "iso-8859-1"}
+
+
+def byte_table(encoding: str) -> tuple[str, str]:
+    """Latin-1 characters and what the same bytes mean in a one-byte encoding; bytes that mean nothing stay."""
+    pairs = [(bytes([b]).decode("latin-1"), bytes([b]).decode(encoding, "ignore")) for b in range(128, 256)]
+    kept = [(a, c) for a, c in pairs if len(c) == 1 and a != c]
+    return "".join(a for a, _ in kept), "".join(c for _, c in kept)
+
+
+def readable(encoding: str) -> tuple[str, Callable[[Column], Column]]:
+    """The encoding to read in, and what makes the text right after it."""
+    if encoding.lower() in OWN_ENCODINGS:
+        return encoding, lambda c: c
+    old, new = byte_table(encoding)
+    return "iso-8859-1", lambda c: F.translate(c, old, new)
+
+
 def csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "utf-8", separator: str = ",", missing: str = "") -> DataFrame:
     """Text columns of a CSV file with a header; fields may be of any length and hold line breaks."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("maxCharsPerColumn", -1).option("escape", '"').option("encoding", encoding).option("sep", separator).option("nullValue", missing)
+    encoding, fix = readable(encoding)
+    reader = spark.read.option("header", True).option("multiLine", True).option("maxCharsPerColumn", -1).option("escape", '"').option("encoding", encoding).option("sep", separator).option("nullValue", missing).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    df = reader.csv(path)
+    return df.select(*[fix(q(c)).alias(c) for c in df.columns])
 
 
 def messy_csv(spark: SparkSession, path: str, columns: Sequence[str], encoding: str = "windows-1255") -> DataFrame:
@@ -31,8 +52,9 @@ def messy_csv(spark: SparkSession, path: str, columns: Sequence[str], encoding:
     Files are read line by line, so that one large file is many tasks unless it is compressed. Lines up to the one
     whose first field is the first column's name are not rows; where a file has none, all its lines are.
     """
+    encoding, fix = readable(encoding)
     lines = spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).schema("line string").csv(path)
-    kept = lines.select(strip_formulas(F.regexp_replace("line", "\r$", "")).alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).withColumn("n", F.monotonically_increasing_id())
+    kept = lines.select(strip_formulas(fix(F.regexp_replace("line", "\r$", ""))).alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).withColumn("n", F.monotonically_increasing_id())
     parsed = kept.select("file", "block", "n", F.from_csv("line", ", ".join(f"`{c}` string" for c in columns), {"escape": '"', "maxCharsPerColumn": "-1"}).alias("r"))
     head = parsed.where(F.col("r")[columns[0]] == columns[0]).groupBy("file").agg(F.min(F.struct("block", "n")).alias("head"))
     rows = parsed.join(head, "file", "left").where(F.col("head").isNull() | (F.struct("block", "n") > F.col("head")))

@@ -35,3 +35,4 @@ def upsert_table(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequen
     upsert(old, df, keys, order_by).write.mode("overwrite").saveAsTable(f"{name}__next")
     spark.sql(f"drop table if exists {name}")
     spark.sql(f"alter table {name}__next rename to {name}")
+    spark.catalog.refreshTable(name)

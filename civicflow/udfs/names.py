@@ -53,7 +53,7 @@ def fingerprint(name: str | None) -> str:
     stages.append(_LATIN.sub("", stages[-1]))
     text = next((s.strip() for s in reversed(stages) if s.strip()), "")
     numbers = sorted(_NUMBER.findall(plain))
-    if numbers and len(text) < 20:
+    if numbers and len(text) < 20 and stages[-1].strip():  # else the text still has its numbers
         text = " ".join([text, *numbers])
     return " ".join(sorted(text[:30].split())) or EMPTY
 
