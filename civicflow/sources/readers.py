@@ -137,7 +137,7 @@ def markdown_sections(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
     parts = F.filter(F.split("value", r"(?m)^##\s+"), lambda x: F.length(F.trim(x)) > 0)
     section = whole.select(F.explode(parts).alias("s"))
-    return section.select(F.trim(F.regexp_extract("s", r"^([^\n]*)", 1)).alias("code"), F.trim(F.regexp_replace("s", r"^[^\n]*\n?", "")).alias("body")).where(F.col("body") != "")
+    return section.select(F.trim(F.regexp_extract("s", r"^([^\n]*)", 1)).alias("code"), F.regexp_replace(F.regexp_replace("s", r"^[^\n]*\n?", ""), r"^\s+|\s+$", "").alias("body")).where(F.col("body") != "")
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
