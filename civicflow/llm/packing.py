@@ -7,6 +7,8 @@ one shift; when no bin takes it and all are open, the fullest closes.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,12 +26,18 @@ END_ID = 1
 OPEN_BINS = 2048
 #: Rows that one packing task gets; with so many small pieces the bins left open at its end hardly count.
 ROWS_PER_TASK = 50_000
-#: Words whose ids a worker remembers before it starts anew; this bounds its memory and changes no result.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers; later ones are encoded each time. This bounds its memory and changes no result.
+REMEMBERED = 400_000
+#: Words that are encoded in one text.
+JOINED = 512
 
 PIECE_FIELDS = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
 
 
+_RUNS = re.compile("[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+_MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
+
+
 class BestFit:
     def __init__(self, capacity: int = CAPACITY, open_bins: int = OPEN_BINS):
         self.capacity, self.open_bins = capacity, open_bins
@@ -63,7 +71,20 @@ class BestFit:
 
 
 class WordIds:
-    """Ids of white-space separated words by a tokenizer that never joins across white space, each word encoded once."""
+    """Ids of white-space separated words by a tokenizer that never joins across white space, each word encoded once.
+
+    New words are encoded many in a text. The tokenizer marks the last id of each of its own words; where the number
+    of those in a word is plain, counting marks tells the words' ids apart, and other words are encoded one by one.
+    """
+
+    held: dict[str, WordIds] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordIds:
+        """The worker's own, so that its tasks share what is remembered."""
+        if path not in cls.held:
+            cls.held[path] = cls(path)
+        return cls.held[path]
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -71,35 +92,82 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self._reset()
-
-    def _reset(self) -> None:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.at: dict[bytes, int] = {}
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def look_up(self, vocab: list[bytes]) -> np.ndarray:
-        if len(self.at) > REMEMBERED:
-            self._reset()
-        new = [w for w in vocab if w not in self.at]
-        if new:
-            ids = [e.ids for e in self.encode([w.decode("utf-8") for w in new], add_special_tokens=False)]
-            size = np.array([len(x) for x in ids], np.int64)
-            first = len(self.flat) + np.cumsum(size) - size
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-            self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
+    @staticmethod
+    def parts(word: str) -> int:
+        """How many words the tokenizer makes of this one, letters, single digits and runs of marks each; 0 if it is not plain."""
+        if word.isalpha():
+            return 1 if word.isascii() or word.lower().isalpha() and unicodedata.is_normalized("NFC", word) else 0
+        if "'" in word or "<|" in word:
+            return 0
+        if word.isascii():
+            return len(_RUNS.findall(word)) if word.isprintable() else 0
+        core = word.strip(_MARKS)
+        if not (core.isalpha() and core.lower().isalpha() and unicodedata.is_normalized("NFC", word)):
+            return 0
+        at = word.index(core)
+        return 1 + (at > 0) + (at + len(core) < len(word))
+
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and how many each has."""
+        texts = [w.decode("utf-8") for w in words]
+        parts = np.array([self.parts(t) for t in texts], np.int64)
+        plain, odd = np.flatnonzero(parts), np.flatnonzero(parts == 0)
+        size = np.zeros(len(words), np.int64)
+        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words) if len(odd) else []
+        groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
+        made = self.encode([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False) if groups else []
+        runs = []
+        for g, e in zip(groups, made):
+            own = np.array(e.ids, np.uint32)
+            last = np.flatnonzero(self.ends[own])[np.cumsum(parts[g]) - 1]
+            if last[-1] != len(own) - 1 or int(self.ends[own].sum()) != int(parts[g].sum()):
+                raise ValueError("the tokenizer cut words otherwise than expected")
+            size[g] = np.diff(last, prepend=-1)
+            runs.append(own)
+        if not len(odd):
+            return np.concatenate(runs) if runs else np.zeros(0, np.uint32), size
+        flat = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
+        for i, x in zip(plain, np.split(flat, np.cumsum(size[plain])[:-1]) if len(plain) else []):
+            ids[i] = x
+        for i, e in zip(odd, self.encode([texts[i] for i in odd], add_special_tokens=False)):
+            ids[i] = np.array(e.ids, np.uint32)
+            size[i] = len(e.ids)
+        return np.concatenate(ids), size
+
+    def look_up(self, vocab: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, size): word i's ids stand at ids[first[i]:first[i] + size[i]]."""
         at = self.at
-        return np.array([at[w] for w in vocab], np.int64)
+        place = np.fromiter((at.get(w, -1) for w in vocab), np.int64, len(vocab))
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return self.flat, self.first[place], self.size[place]
+        made, size = self.encoded([vocab[i] for i in new])
+        starts = np.cumsum(size) - size
+        if len(at) < REMEMBERED:
+            at.update(zip([vocab[i] for i in new], range(len(at), len(at) + len(new))))
+            self.first, self.size = np.concatenate([self.first, len(self.flat) + starts]), np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, made])
+            place[new] = np.arange(len(at) - len(new), len(at))
+            return self.flat, self.first[place], self.size[place]
+        first, n = self.first[place], self.size[place]
+        first[new], n[new] = len(self.flat) + starts, size
+        return np.concatenate([self.flat, made]), first, n
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END_ID, and the n+1 offsets."""
         w = W.split_words(texts)
-        entry = self.look_up(w.vocab_list())[w.codes] if len(w.codes) else np.zeros(0, np.int64)
-        size = self.size[entry]
+        flat, first, sizes = self.look_up(w.vocab_list())
+        size = sizes[w.codes]
         total = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=total[1:])
-        ids = self.flat[np.repeat(self.first[entry] - total[:-1], size) + np.arange(total[-1])]
+        ids = flat[np.repeat(first[w.codes] - total[:-1], size) + np.arange(total[-1])]
         offsets = total[w.doc_start] + np.arange(w.n_docs + 1)
         out = np.full(offsets[-1], END_ID, np.uint32)
         keep = np.ones(len(out), bool)
@@ -114,7 +182,7 @@ def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
     schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *PIECE_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(tokenizer_path)
+        encoder = WordIds.of(tokenizer_path)
         for b in W.slices(batches, "__text"):
             ids, offsets = encoder.documents(b.column("__text"))
             n = np.diff(offsets)
