@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import codes, dates, ids, scores, text, values
+from .functions.geo import grid_to_degrees
 from .operators import aggregates, arrays, filters, joins, project, setops, windows
 from .operators.project import q
-from .plans import budget, changes, clusters, entities, reports
+from .plans import activities, budget, changes, charts, clusters, contracts, entities, indexer, reports, supports
 from .state.history import history_updates
 from .state.revisions import manage_revisions, row_hash
 from .state.upsert import upsert
@@ -807,3 +808,204 @@ def q_similarity(t: Tables) -> DataFrame:
     return rows.withColumn("score", similarity("partial")("p_name", "p_type"))
 
 
+
+
+# --- plans on the star schema -----------------------------------------------------------------------------------
+
+
+@query("""
+with r as (select o_orderpriority as p, o_custkey as e, year(o_orderdate) as y, cast(floor(o_totalprice) as bigint) as a, case when o_orderstatus = 'F' then cast(floor(o_totalprice) as bigint) else 0 end as d from orders),
+ey as (select p, e, y, sum(a) as a, sum(d) as d from r group by 1, 2, 3), e as (select p, e, avg(d / nullif(a, 0)) as u from ey group by 1, 2)
+select r.p as program_key, sum(a) as total_approved, sum(d) as total_paid, min(y) as min_year, max(y) as max_year, max(y) - min(y) + 1 as year_span,
+  (select count(*) from e where e.p = r.p) as total_entities, round((select avg(u) from e where e.p = r.p), 8) as average_use from r group by 1
+""")
+def q_support_programs(t: Tables) -> DataFrame:
+    """Programs with what was approved and paid, and how recipients used it."""
+    v = F.floor("o_totalprice").cast("double")
+    rows = t.orders.select(F.col("o_orderpriority").alias("program_key"), F.col("o_orderstatus").alias("support_title"), F.year("o_orderdate").alias("year_requested"), F.lit("m").alias("supporting_ministry"), F.lit("r").alias("request_type"), F.col("o_custkey").cast("string").alias("entity_id"), F.lit("n").alias("entity_name"), F.lit(None).cast("string").alias("entity_kind"), v.alias("amount_approved"), F.when(F.col("o_orderstatus") == "F", v).otherwise(0.0).alias("amount_paid"))
+    out = supports.analyse_programs(rows)
+    return out.select("program_key", "total_approved", "total_paid", F.col("min_year").cast("long").alias("min_year"), F.col("max_year").cast("long").alias("max_year"), F.col("year_span").cast("long").alias("year_span"), "total_entities", F.round("average_use", 8).alias("average_use"))
+
+
+@query("""
+select 'contract' as spending_type, o_custkey as entity, o_totalprice as amount, year(o_orderdate) as year from orders where o_totalprice <> 0
+union all select 'support', user_id, value, year(ts) from events where value <> 0
+""")
+def q_united_spending(t: Tables) -> DataFrame:
+    a = t.orders.select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("order_year"))
+    b = t.events.select("user_id", "value", F.year("ts").alias("event_year"))
+    return contracts.united_spending(a, b, {"entity": ["o_custkey"], "amount": ["o_totalprice"], "year": ["order_year"]}, {"entity": ["user_id"], "amount": ["value"], "year": ["event_year"]}).select("spending_type", "entity", "amount", "year")
+
+
+@query("""
+with r as (select cast(c_custkey as varchar) as id, c_name as name, 'customer' as kind, 0 as p from customer where c_name is not null union all select cast(s_suppkey as varchar), s_name, 'supplier', 1 from supplier)
+select id, max(name) as name, arg_min(kind, p) as kind, count(*) as registries from r group by 1
+""")
+def q_consolidate_entities(t: Tables) -> DataFrame:
+    """Registries brought together: the first one's kind, the greatest name."""
+    a = arrays.compact_entity(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "customer", "לקוח", "c_custkey", "c_name", "c_")
+    b = arrays.compact_entity(t.supplier.select("s_suppkey", "s_name", "s_acctbal"), "supplier", "ספק", "s_suppkey", "s_name", "s_")
+    out = entities.consolidate([a, b])
+    return out.select("id", "name", "kind", F.size("details").cast("long").alias("registries"))
+
+
+@query("""
+with k as (select o_orderkey as i, '00' || lpad(cast(o_orderkey % 100000000 as varchar), 8, '0') as c, cast(floor(o_totalprice) as bigint) as v from orders where o_orderkey % 100000000 >= 1000000 and o_orderkey % 100000000 < 84000000
+  union all select o_orderkey, '0001' || lpad(cast(o_orderkey % 1000000 as varchar), 6, '0'), cast(floor(o_totalprice) as bigint) from orders where o_orderkey % 100000000 < 1000000)
+select code, sum(v) as net_allocated, max(depth) as depth from (
+  select substr(c, 1, 4) as code, v, 1 as depth from k union all select substr(c, 1, 6), v, 2 from k union all select substr(c, 1, 8), v, 3 from k union all select c, v, 4 from k
+  union all select '00', v, 0 from k union all select 'C' || (i % 7 + 1), v, -2 from k union all select 'C' || (i % 7 + 1) || '0' || (i % 5), v, -1 from k) group by 1
+""")
+def q_budget_hierarchy(t: Tables) -> DataFrame:
+    """Budget lines counted in each of their levels, the state and the functional categories."""
+    n = F.when(F.col("o_orderkey") % 100000000 >= 1000000, codes.pad_left((F.col("o_orderkey") % 100000000).cast("string"), 8)).otherwise(F.concat(F.lit("01"), codes.pad_left((F.col("o_orderkey") % 1000000).cast("string"), 6)))
+    raw = t.orders.select(F.lit(2020).alias("year"), F.lit("מקורי").alias("phase"), n.alias("c"), (F.col("o_orderkey") % 7 + 1).cast("string").alias("func_cls_code_1"), (F.col("o_orderkey") % 5).cast("string").alias("func_cls_code_2"), F.lit("f").alias("func_cls_title_1"), F.lit("g").alias("func_cls_title_2"), F.lit("1").alias("econ_cls_code_2"), F.floor("o_totalprice").cast("decimal(38,6)").alias("net"))
+    raw = raw.where(F.col("c") < "84").select("*", *[x for i in (2, 4, 6, 8) for x in (F.substring("c", 1, i).alias(f"admin_cls_code_{i}"), F.lit("t").alias(f"admin_cls_title_{i}"))])
+    out = budget.rolled_up(budget.hierarchy_rows(raw, ["net"], 2023), ["net"])
+    return out.select("code", F.col("net_allocated").cast("long").alias("net_allocated"), F.col("depth").cast("long").alias("depth"))
+
+
+@query("""
+select n_name as source, case when r <= 3 then c_mktsegment else 'others' end as target, round(sum(v), 2) as value
+from (select n_name, c_mktsegment, v, row_number() over (partition by n_name order by v desc, c_mktsegment) as r from (select n_name, c_mktsegment, sum(c_acctbal) as v from customer join nation on n_nationkey = c_nationkey group by 1, 2)) group by 1, 2
+""")
+def q_sankey(t: Tables) -> DataFrame:
+    rows = t.customer.join(t.nation, q("n_nationkey") == q("c_nationkey")).select("n_name", "c_mktsegment", "c_acctbal")
+    return reports.sankey(rows, "n_name", "c_mktsegment", "c_acctbal", 3, "others").withColumn("value", money(F.col("value")))
+
+
+@query("""
+select c_custkey, round(avg(c_acctbal) over (partition by c_mktsegment), 6) as mean, rank() over (partition by c_mktsegment order by c_acctbal desc) as rank, count(*) over (partition by c_mktsegment) as "of" from customer
+""")
+def q_comparison(t: Tables) -> DataFrame:
+    out = charts.comparison(t.customer, "c_custkey", "c_acctbal", ["c_mktsegment"])
+    return out.select("c_custkey", F.round("comparison.mean", 6).alias("mean"), F.col("comparison.rank").cast("long").alias("rank"), F.col("comparison.of").alias("of"))
+
+
+@query("""
+select coalesce(a.y, b.y, c.y) as year, n_orders, n_ships, n_events from (select year(o_orderdate) as y, count(*) as n_orders from orders group by 1) a
+full join (select year(l_shipdate) as y, count(*) as n_ships from lineitem group by 1) b on a.y = b.y full join (select year(ts) as y, count(*) as n_events from events group by 1) c on c.y = coalesce(a.y, b.y)
+""")
+def q_service_report(t: Tables) -> DataFrame:
+    """Three yearly tables side by side."""
+    count = lambda df, day, name: df.groupBy(F.year(day).alias("year")).agg(F.count(F.lit(1)).alias(name))
+    return reports.service_report(count(t.orders, "o_orderdate", "n_orders"), count(t.lineitem, "l_shipdate", "n_ships"), count(t.events, "ts", "n_events"), ["year"])
+
+
+@query("""
+with s as (select 'all' as kind, o_custkey, sum(o_totalprice) as amount from orders group by 2 union all select 'finished', o_custkey, sum(o_totalprice) from orders where o_orderstatus = 'F' group by 2)
+select kind, c_mktsegment, c_custkey as id, round(amount, 2) as amount, r as rank from (select *, rank() over (partition by kind, c_mktsegment order by amount desc) as r from s join customer on c_custkey = o_custkey) where r <= 2
+""")
+def q_received_ranks(t: Tables) -> DataFrame:
+    orgs = t.customer.select(F.col("c_custkey").alias("id"), "c_mktsegment")
+    spending = t.orders.select(F.col("o_custkey").alias("entity_id"), F.col("o_totalprice").alias("amount"), "o_orderstatus")
+    out = reports.received_ranks(orgs, spending, {"all": F.lit(True), "finished": F.col("o_orderstatus") == "F"}, "c_mktsegment", 2)
+    return out.select("kind", "c_mktsegment", "id", money(F.col("amount")).alias("amount"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("""
+select year, total, round(total / n, 6) as total_people from (select year(o_orderdate) as year, cast(sum(floor(o_totalprice)) as bigint) as total, count(distinct o_custkey) as n from orders group by 1)
+""")
+def q_normalised_series(t: Tables) -> DataFrame:
+    """A yearly sum over a reference series."""
+    totals = t.orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.sum(F.floor("o_totalprice").cast("long")).alias("total"))
+    people = t.orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.count_distinct("o_custkey").alias("value"))
+    return reports.normalised_series(totals, "year", "total", {"people": people}).withColumn("total_people", F.round("total_people", 6))
+
+
+@query("""
+with m as (select p_brand as doc_id, p_partkey as code, 1995 as year, p_size as part from part where p_size > 40), r as (select l_partkey as code, year(l_shipdate) as year, cast(sum(floor(l_extendedprice)) as bigint) as net from lineitem group by 1, 2)
+select m.doc_id, r.year, round(sum(r.net * m.part / 100.0), 4) as net_revised from m join r t on t.code = m.code and t.year = m.year join r on r.code = m.code where r.net > 0 group by 1, 2
+""")
+def q_mapped_budget(t: Tables) -> DataFrame:
+    """Each service's share of the budget items mapped to it, over all years of the items."""
+    mappings = t.part.where("p_size > 40").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("code"), F.lit(1995).alias("year"), F.col("p_size").alias("part"))
+    raw = t.lineitem.groupBy(F.col("l_partkey").alias("code"), F.year("l_shipdate").alias("year")).agg(F.sum(F.floor("l_extendedprice").cast("long")).alias("net_revised")).withColumn("title", F.lit("t"))
+    out = activities.mapped_budget(mappings, raw, ["net_revised"])
+    return out.withColumn("net_revised", F.round("net_revised", 4))
+
+
+@query("""
+with s as (select s_suppkey, s_nationkey from supplier) select n_nationkey, min(s_suppkey) as s_suppkey from nation join s on s_nationkey = n_nationkey group by 1 having count(*) = 1
+""")
+def q_sole_in_region(t: Tables) -> DataFrame:
+    rows = t.supplier.join(t.nation, q("n_nationkey") == q("s_nationkey")).select("n_nationkey", "s_suppkey")
+    return reports.sole_in(rows, ["n_nationkey"], "s_suppkey")
+
+
+@query("""
+select l_suppkey, string_agg(cast(l_quantity as varchar) || '@' || strftime(d, '%Y-%m-%d'), ',' order by d) as payments from
+(select l_suppkey, cast(sum(l_quantity) as bigint) as l_quantity, date_trunc('year', l_shipdate) as d from lineitem group by 1, 3) group by 1
+""")
+def q_collated_payments(t: Tables) -> DataFrame:
+    rows = t.lineitem.groupBy("l_suppkey", F.trunc("l_shipdate", "year").alias("d")).agg(F.sum("l_quantity").cast("long").alias("n"))
+    out = supports.payments(rows, ["l_suppkey"], ["d", "n"])
+    return out.select("l_suppkey", F.array_join(F.transform("payments", lambda p: F.concat(p["n"].cast("string"), F.lit("@"), F.date_format(p["d"], "yyyy-MM-dd"))), ",").alias("payments"))
+
+
+@query("""
+select distinct o_custkey, year(o_orderdate) as year, y.latest from orders join (select o_custkey as k, max(year(o_orderdate)) as latest from orders group by 1) y on y.k = o_custkey
+""")
+def q_latest_with_history(t: Tables) -> DataFrame:
+    """Each customer's years, by way of the history map of its latest row."""
+    yearly = t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.sum("o_totalprice").alias("total"))
+    out = budget.with_history(yearly, ["o_custkey"], ["total"])
+    return out.select("o_custkey", F.explode(F.map_keys("history")).alias("year"), F.col("year").alias("latest"))
+
+
+@query("""
+select 'customer/' || c_custkey as key, cast(7 as integer) as __revision, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' as value from customer
+""")
+def q_key_value_documents(t: Tables) -> DataFrame:
+    return arrays.keyed_document(t.customer.select("c_custkey", "c_name"), values.template("customer/{c_custkey}"), 7)
+
+
+@query("""
+select c_custkey, regexp_replace(c_phone, '^(...)(...)(....)$', '\\1-\\2-\\3') as phone, c_custkey % 2 = 0 as flag from (select *, '05' || lpad(cast(c_custkey % 100000000 as varchar), 8, '0') as c_phone from customer)
+""".replace("\\\\", "\\"))
+def q_phones_and_flags(t: Tables) -> DataFrame:
+    raw = F.concat(F.lit("+9725"), codes.pad_left((F.col("c_custkey") % 100000000).cast("string"), 8))
+    word = F.when(F.col("c_custkey") % 2 == 0, "כן").otherwise("לא")
+    return t.customer.select("c_custkey", text.phone(raw).alias("phone"), values.to_boolean(word, ["כן"], ["לא"]).alias("flag"))
+
+
+@query()
+def q_index_documents(t: Tables) -> DataFrame:
+    """A first run of the indexer over parts."""
+    doc = indexer.DocType("parts", ["p_partkey"], "{p_name} ({p_brand})", chunk="p_type")
+    return indexer.index(t.part, doc, None, dt.datetime(1998, 12, 1)).documents
+
+
+@query()
+def q_sitemap(t: Tables) -> DataFrame:
+    from .sinks.writers import sitemap
+
+    rows = t.customer.select(F.md5(q("c_custkey").cast("string")).alias("h"), values.template("https://example.org/customer/{c_custkey}").alias("url"), F.lit(AS_OF).alias("day"))
+    return sitemap(rows, "url", "day", ["h"], 500)
+
+
+@query()
+def q_grid_to_degrees(t: Tables) -> DataFrame:
+    lat, lon = grid_to_degrees(F.lit(180000.0) + q("c_custkey") % 1000 * 10, F.lit(650000.0) + q("c_custkey") % 777 * 10)
+    return t.customer.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+
+
+#: Where DuckDB's types are wider than Spark's.
+CASTS = {
+    "q_received_by_entity": {"min_year": "integer", "max_year": "integer"},
+    "q_full_outer_years": {"year": "integer"},
+    "q_top4_others": {"n": "bigint"},
+    "q_gaps_filled": {"v": "bigint"},
+    "q_chunk_text": {"chars": "bigint"},
+    "q_municipal_rollup": {"planned": "bigint", "actual": "bigint"},
+    "q_budget_children": {"children_net": "bigint"},
+    "q_support_programs": {"total_approved": "double", "total_paid": "double"},
+    "q_united_spending": {"year": "integer"},
+    "q_budget_hierarchy": {"net_allocated": "bigint", "depth": "bigint"},
+    "q_service_report": {"year": "integer"},
+    "q_normalised_series": {"year": "integer"},
+    "q_mapped_budget": {"year": "integer"},
+    "q_latest_with_history": {"year": "integer", "latest": "integer"},
+}
+for _name, _casts in CASTS.items():
+    SQL[_name] = f"select * replace ({', '.join(f'cast({c} as {k}) as {c}' for c, k in _casts.items())}) from ({SQL[_name]})"
