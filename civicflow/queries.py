@@ -221,13 +221,13 @@ def q_lookup_once(t: Tables) -> DataFrame:
 
 
 @query("""
-with e as (select c_custkey as id, c_name as name from customer where c_custkey % 2 = 0)
+with e as (select c_custkey as id, c_name as name from customer where c_acctbal > 0)
 select o_orderkey, coalesce(a.id, b.id) as entity_id, coalesce(a.name, b.name) as entity_name from orders
 left join e a on a.id = o_custkey left join (select min(id) as id, name from e group by name) b on b.name = 'Customer#' || lpad(cast(o_custkey + 1 as varchar), 9, '0')
 """)
 def q_resolve_entity(t: Tables) -> DataFrame:
-    """By id, else by name: half of the entities are known."""
-    known = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("c").alias("kind"), F.col("c_name").alias("fingerprint"))
+    """By id, else by name: entities in credit are known."""
+    known = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("c").alias("kind"), F.col("c_name").alias("fingerprint"))
     rows = t.orders.withColumn("fp", F.concat(F.lit("Customer#"), codes.pad_left((q("o_custkey") + 1).cast("string"), 9)))
     return joins.resolve(rows, known, "o_custkey", "fp").select("o_orderkey", "entity_id", "entity_name")
 
@@ -249,7 +249,7 @@ def q_hierarchy_parents(t: Tables) -> DataFrame:
     nodes = setops.concatenate([
         t.nation.select(F.concat(F.lit("n"), "n_nationkey").alias("k"), F.concat(F.lit("r"), "n_regionkey").alias("p"), F.col("n_name").alias("v")),
         t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("k"), F.lit("w").alias("p"), F.col("r_name").alias("v")),
-        t.region.limit(1).select(F.lit("w").alias("k"), F.lit(None).cast("string").alias("p"), F.lit("world").alias("v")),
+        t.region.agg(F.count(F.lit(1)).alias("n")).select(F.lit("w").alias("k"), F.lit(None).cast("string").alias("p"), F.lit("world").alias("v")),
     ], {"k": None, "p": None, "v": None})
     return joins.parents(nodes, "k", "p", "v", 2).select(F.col("v").alias("n_name"), "parent1", "parent2")
 
@@ -495,13 +495,13 @@ def q_pages(t: Tables) -> DataFrame:
 
 
 @query("""
-with l as (select l_suppkey as k, l_shipdate as d, l_returnflag as i, sum(cast(l_quantity as bigint)) as v from lineitem where l_suppkey <= 3 group by 1, 2, 3),
+with l as (select l_suppkey as k, l_shipdate as d, l_returnflag as i, sum(cast(l_quantity as bigint)) as v from lineitem group by 1, 2, 3),
 g as (select * from (select distinct k, d from l) join (select distinct k, i from l) using (k) left join l using (k, d, i))
 select k, d, i, last_value(v ignore nulls) over (partition by k, i order by d rows unbounded preceding) as v from g
 """)
 def q_gaps_filled(t: Tables) -> DataFrame:
     """The last known value of each item at all times of its group."""
-    rows = t.lineitem.where("l_suppkey <= 3").groupBy(F.col("l_suppkey").alias("k"), F.col("l_shipdate").alias("d"), F.col("l_returnflag").alias("i")).agg(F.sum(F.col("l_quantity").cast("long")).alias("v"))
+    rows = t.lineitem.groupBy(F.col("l_suppkey").alias("k"), F.col("l_shipdate").alias("d"), F.col("l_returnflag").alias("i")).agg(F.sum(F.col("l_quantity").cast("long")).alias("v"))
     return windows.gaps_filled(rows, ["k"], "d", "i", "v")
 
 
@@ -667,11 +667,10 @@ def q_html_text(t: Tables) -> DataFrame:
 
 @query("""
 select event_id, strftime(ts, '%Y-%m-%d') as day, case when value < 1000 then printf('%,.2f', value) else printf('%,.0f', round(value)) end || ' ₪' as amount,
-  substr(md5(event_type || '|' || user_id), 1, 8) as h8 from events where user_id < 50
+  substr(md5(event_type || '|' || user_id), 1, 8) as h8 from events
 """)
 def q_text_formats(t: Tables) -> DataFrame:
-    rows = t.events.where("user_id < 50")
-    return rows.select("event_id", values.template("{ts:%Y-%m-%d}").alias("day"), text.format_money(F.col("value")).alias("amount"), ids.short_id(F.concat_ws("|", "event_type", F.col("user_id").cast("string")), 8).alias("h8"))
+    return t.events.select("event_id", values.template("{ts:%Y-%m-%d}").alias("day"), text.format_money(F.col("value")).alias("amount"), ids.short_id(F.concat_ws("|", "event_type", F.col("user_id").cast("string")), 8).alias("h8"))
 
 
 @query(r"""
@@ -709,34 +708,35 @@ def q_revisions_hash(t: Tables) -> DataFrame:
 
 
 @query("""
-select c_custkey, c_custkey % 4 = 3 as is_new, c_custkey % 4 = 3 or 10 > least(c_custkey % 20, 90) as is_stale,
-  case when c_custkey % 4 = 3 then 1 when c_custkey % 4 = 0 then 12 else 1 end as next_update_days,
-  case when c_custkey % 4 = 3 then 100000 else cast(floor(100000 + 100000.0 / (1 + greatest(1, 10 - c_custkey % 20))) as integer) end as staleness from customer
+select c_custkey, c_mktsegment = 'BUILDING' as is_new, c_mktsegment = 'BUILDING' or 10 > least(c_nationkey, 90) as is_stale,
+  case when c_mktsegment = 'BUILDING' then 1 when c_mktsegment = 'MACHINERY' then 12 else 1 end as next_update_days,
+  case when c_mktsegment = 'BUILDING' then 100000 else cast(floor(100000 + 100000.0 / (1 + greatest(1, 10 - c_nationkey))) as integer) end as staleness from customer
 """)
 def q_manage_revisions(t: Tables) -> DataFrame:
-    """A second run, ten days on: a quarter is new, a quarter the same, the rest changed."""
+    """A second run, ten days on: a segment is new, one is the same, the rest changed."""
     now, before = dt.datetime(1998, 12, 11), dt.datetime(1998, 12, 1)
     rows = t.customer.select("c_custkey", "c_name")
-    old = manage_revisions(rows.where("c_custkey % 4 <> 3").withColumn("c_name", F.when(q("c_custkey") % 4 == 0, q("c_name")).otherwise("old")), None, ["c_custkey"], before)
-    old = old.withColumn("__next_update_days", (q("c_custkey") % 20).cast("int"))
+    known = t.customer.where("c_mktsegment <> 'BUILDING'")
+    old = known.select("c_custkey", F.when(q("c_mktsegment") == "MACHINERY", q("c_name")).otherwise("old").alias("c_name"))
+    old = manage_revisions(old, None, ["c_custkey"], before).drop("__next_update_days").join(known.select("c_custkey", q("c_nationkey").alias("__next_update_days")), "c_custkey")
     out = manage_revisions(rows, old, ["c_custkey"], now)
     return out.select("c_custkey", F.col("__is_new").alias("is_new"), F.col("__is_stale").alias("is_stale"), F.col("__next_update_days").alias("next_update_days"), F.col("__staleness").alias("staleness"))
 
 
 @query("""
-select c_custkey, c_mktsegment from customer where c_custkey % 3 <> 0 union all select c_custkey, 'NEW' from customer where c_custkey % 3 = 0
+select c_custkey, case when c_acctbal < 0 then 'DEBT' else c_mktsegment end as c_mktsegment from customer
 """)
 def q_upsert(t: Tables) -> DataFrame:
     old = t.customer.select("c_custkey", "c_mktsegment")
-    return upsert(old, old.where("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("NEW")), ["c_custkey"])
+    return upsert(old, t.customer.where("c_acctbal < 0").select("c_custkey", F.lit("DEBT").alias("c_mktsegment")), ["c_custkey"])
 
 
 @query("""
 select o_custkey, s as o_orderstatus, date '1998-12-01' as __updated from (select o_custkey, arg_max(o_orderstatus, o_orderkey) as s from orders group by 1)
-where s is distinct from (case when o_custkey % 2 = 0 then 'F' end)
+where s is distinct from (select 'F' from customer where c_custkey = o_custkey and c_acctbal > 0)
 """)
 def q_history_updates(t: Tables) -> DataFrame:
-    stored = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(dt.date(1998, 1, 1)).alias("__updated"))
+    stored = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(dt.date(1998, 1, 1)).alias("__updated"))
     return history_updates(t.orders, stored, ["o_custkey"], ["o_orderstatus"], AS_OF, ["o_orderkey"])
 
 
@@ -796,8 +796,8 @@ def q_connections(t: Tables) -> DataFrame:
 
 @query()
 def q_change_groups(t: Tables) -> DataFrame:
-    """Transfers of the reserve on one day that balance."""
-    rows = t.lineitem.where("l_suppkey <= 2").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trcode"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_kind"), (q("l_partkey") % 40).alias("leading_item"), (F.col("l_quantity").cast("long") % 5 * F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)).alias("net_expense_diff"))
+    """Transfers of the reserve in a supplier's month that balance."""
+    rows = t.lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("trcode"), F.concat_ws("/", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM")).alias("date_kind"), (q("l_partkey") % 40).alias("leading_item"), (F.col("l_quantity").cast("long") % 5 * F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)).alias("net_expense_diff"))
     both = rows.withColumn("budget_code", F.explode(F.array(F.lit("0047010101"), F.lit("0020010101"))))
     return changes.change_groups(both, ["net_expense_diff"])
 
