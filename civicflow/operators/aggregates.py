@@ -145,14 +145,17 @@ def rollup_codes(df: DataFrame, code: str, values: Sequence[str], keys: Sequence
     return wide.groupBy(*map(q, keys), F.col("__l.depth").alias("depth"), F.col("__l.code").alias("code")).agg(*[F.sum(q(v)).alias(v) for v in values])
 
 
-def specialisation(df: DataFrame, group_by: str, category: str, top: int = 3) -> DataFrame:
-    """For each group its categories of most excess share over the mean of the groups, times log10 of the count."""
+def specialisation(df: DataFrame, group_by: str, category: str, top: int = 3, groups: int | None = None) -> DataFrame:
+    """For each group the categories whose share of it most exceeds their mean share, weighted by log10 of their count.
+
+    The mean is over all groups, a known number of them or those of the table; equal scores share a rank.
+    """
     counts = df.groupBy(q(group_by), q(category)).agg(F.count(F.lit(1)).alias("cnt"))
     share = counts.withColumn("pct", F.col("cnt") / F.sum("cnt").over(Window.partitionBy(q(group_by))))
-    mean = share.groupBy(q(category)).agg((F.sum("pct") / F.lit(df.select(q(group_by)).distinct().count())).alias("mean_pct"))
-    scored = share.join(mean, category).withColumn("score", (F.col("pct") / F.col("mean_pct")) * F.log10("cnt"))
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(q(group_by)).orderBy(F.desc("score"), q(category))))
-    return ranked.where(F.col("rank") <= top)
+    number = F.lit(groups) if groups else F.lit(df.select(q(group_by)).where(q(group_by).isNotNull()).distinct().count())
+    mean = share.groupBy(q(category)).agg((F.sum("pct") / number).alias("mean_pct"))
+    scored = share.join(mean, category).withColumn("score", (F.col("pct") - F.col("mean_pct")) * F.log10("cnt"))
+    return scored.withColumn("rank", F.rank().over(Window.partitionBy(q(group_by)).orderBy(F.desc("score")))).where(F.col("rank") <= top)
 
 
 def merge_maps(df: DataFrame, keys: Sequence[str], column: str, order_by: Sequence[str], name: str | None = None) -> DataFrame:

@@ -87,3 +87,16 @@ def index(df: DataFrame, doc: DocType, mirror: DataFrame | None, as_of: dt.datet
     documents = keyed_document(pages, F.col("doc_id"), revision)
     redirects = pages.select(short_id(F.col("doc_id")).alias("key"), F.to_json(F.struct(F.lit("redirect").alias("kind"), F.col("doc_id").alias("to"))).alias("value"), F.lit(revision).alias("__revision"))
     return Indexed(managed, documents.unionByName(redirects), updates, search_documents(pages))
+
+
+def pipelines(types: Sequence[DocType], source: str, depends_on: Mapping[str, str], limit: int | None = None) -> dict[str, dict[str, Any]]:
+    """Step lists that index each kind, and one for the sitemaps that depends on all of them."""
+    out: dict[str, dict[str, Any]] = {}
+    for t in types:
+        steps: list[dict[str, Any]] = [{"run": "load", "parameters": {"path": f"{source}/{t.name}", "resource": t.name}}]
+        if limit:
+            steps.append({"run": "limit_rows", "parameters": {"resources": t.name, "stop_after_rows": limit}})
+        steps += [{"run": "index", "parameters": {"resource": t.name}}, {"run": "dump_to_path", "parameters": {"path": f"documents/{t.name}"}}]
+        out[f"index_{t.name}"] = {"dependencies": [{"pipeline": depends_on[t.name]}] if t.name in depends_on else [], "pipeline": steps}
+    out["sitemaps"] = {"dependencies": [{"pipeline": n} for n in out], "pipeline": [{"run": "sitemap", "parameters": {"kinds": [t.name for t in types]}}]}
+    return out

@@ -388,8 +388,8 @@ def q_hierarchy_rollup(t: Tables) -> DataFrame:
 with c as (select c_mktsegment, n_name, count(*) as cnt from customer join nation on n_nationkey = c_nationkey group by 1, 2),
 p as (select *, cnt / sum(cnt) over (partition by c_mktsegment) as pct from c),
 m as (select n_name, sum(pct) / (select count(distinct c_mktsegment) from c) as mean_pct from p group by 1),
-s as (select c_mktsegment, n_name, pct / mean_pct * log10(cnt) as score from p join m using (n_name))
-select c_mktsegment, n_name, round(score, 8) as score, r as rank from (select *, row_number() over (partition by c_mktsegment order by score desc, n_name) as r from s) where r <= 3
+s as (select c_mktsegment, n_name, (pct - mean_pct) * log10(cnt) as score from p join m using (n_name))
+select c_mktsegment, n_name, round(score, 8) as score, r as rank from (select *, rank() over (partition by c_mktsegment order by round(score, 10) desc) as r from s) where r <= 3
 """)
 def q_specialisation(t: Tables) -> DataFrame:
     rows = t.customer.join(t.nation, q("n_nationkey") == q("c_nationkey")).select("c_mktsegment", "n_name")

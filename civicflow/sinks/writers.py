@@ -150,3 +150,20 @@ def sitemap_index(pages: DataFrame, base: str) -> DataFrame:
 def for_each_row(df: DataFrame, send: Callable[[dict], None]) -> None:
     """Hand rows to a service, one after another in each partition. A row may be sent again if a task fails."""
     df.foreachPartition(lambda rows: [send(r.asDict(True)) for r in rows] and None)
+
+
+def workbook(tables: dict[str, DataFrame], path: str, rows: int = 100_000) -> None:
+    """A spreadsheet with a sheet a table, for reports that people read; needs openpyxl, and refuses larger tables."""
+    try:
+        import openpyxl
+    except ImportError as e:
+        raise RuntimeError("workbooks need the openpyxl library; write CSV with dump() instead") from e
+    book = openpyxl.Workbook(write_only=True)
+    for name, df in tables.items():
+        if df.limit(rows + 1).count() > rows:
+            raise ValueError(f"{name} has over {rows} rows")
+        sheet = book.create_sheet(name[:31])
+        sheet.append(df.columns)
+        for r in df.toLocalIterator():
+            sheet.append([None if v is None else v if isinstance(v, (int, float)) else str(v) for v in r])
+    book.save(path)
