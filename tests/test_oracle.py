@@ -29,7 +29,7 @@ def plain(v):
     try:
         x = float(v)
         return str(int(x)) if x == int(x) else repr(round(x, 6))
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         return str(v)
 
 
