@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, licenses, lm, mixing, packing, pii, quality, simhash, token_counts, url_filter
+from .sql import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 #: The vocabulary file of a public tokenizer; another path may be given.
 VOCABULARY = "word_bpe_49k.json"
@@ -78,6 +81,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_url_filters, op4_pii, op5_nearest_neighbours, op6_simhash_near_dedup, op7_lm_scoring, op8_license_scans, op9_quality_rules, op10_mixing, pipeline)}
-
-#: SQL where DuckDB can express a whole result.
-ORACLE_SQL: dict[str, str] = {}
