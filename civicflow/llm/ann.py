@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .storage import cut
+from .storage import hold
 
 #: Rows that centroids are fitted on at most; all rows are indexed.
 SAMPLE = 40_000
@@ -162,8 +162,8 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     spark = df.sparkSession
     rows = usable(df, vector, id_col)
     by_vector = Window.partitionBy("v").orderBy("id")
-    few = cut(rows.dropDuplicates(["id", "v"]).withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1))
-    asked = cut(rows.where(F.col("id") % every == 0).dropDuplicates(["id"]))
+    few = hold(rows.dropDuplicates(["id", "v"]).withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1))
+    asked = hold(rows.where(F.col("id") % every == 0).dropDuplicates(["id"]))
     heads = few.where("r = 1").select("id", "v")
     n = heads.count()
     share = min(1.0, 1.2 * SAMPLE / max(n, 1))
@@ -171,10 +171,10 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     x = unit(np.stack(sample.to_numpy()).astype(np.float64)) if len(sample) else np.zeros((0, 1))
     lists = max(1, min(MAX_LISTS, n // LIST_ROWS, max(1, len(x) // 8)))
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(x, lists)) if len(x) else None)
-    postings = cut(assign(heads, graph, REPLICA_RATIO, 1, MAX_REPLICAS, 32))
+    postings = hold(assign(heads, graph, REPLICA_RATIO, 1, MAX_REPLICAS, 32))
     one = asked.groupBy("v").agg(F.min("id").alias("id")).select("id", "v")
     probes = assign(one, graph, PROBE_RATIO, MIN_PROBES, MAX_PROBES, BEAM)
-    found = searched(postings, cut(probes), k + 1)
+    found = searched(postings, hold(probes), k + 1)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     top = found.dropDuplicates(["q", "id"]).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "id", "score")
     # back from distinct vectors to rows, on either side
@@ -193,7 +193,7 @@ def searched(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     """
     sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("np"))
     loads = probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("nq"))
-    plan = cut(sizes.join(loads, "list"))
+    plan = hold(sizes.join(loads, "list"))
     held = postings.join(plan, "list").withColumn("p", F.pmod(F.xxhash64("id"), F.col("np")).cast("int")).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
     asked = probes.join(plan, "list").withColumn("u", F.pmod(F.xxhash64("id"), F.col("nq")).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("np") - 1)))
 

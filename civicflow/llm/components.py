@@ -11,19 +11,20 @@ from .storage import cut
 MAX_ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     """node, root for each node of an edge; root is the least node that it reaches.
 
     edges has longs a and b; nulls and loops are dropped, repeated edges count once. Isolated nodes do not appear.
+    nodes, about how many there are in all, sizes the first checkpoint.
     """
-    now = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct())
-    seen = None
+    first = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), nodes)
+    now, rows, seen = first, first.count(), None
     for _ in range(MAX_ROUNDS):
-        now = cut(_star(_star(now, large=True), large=False))
-        print_of = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
-        if print_of == seen:
+        now = cut(_star(_star(now, large=True), large=False), rows)
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
+        if state == seen:
             break
-        seen = print_of
+        rows, seen = max(1, state[0]), state
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(now.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct())

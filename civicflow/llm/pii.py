@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .storage import cut
+from .storage import cut, hold, small_side
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3
@@ -166,27 +166,28 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     edges: pattern, instance, seed, one row an occurrence. Occurrences are counted before they are joined, and only
     patterns with MIN_INSTANCES instances are, so that a pattern or instance with a third of all rows is one row each.
     """
-    pairs = cut(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
+    pairs = hold(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
     wide = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("seed") != "", F.col("seed"))).alias("kind")).where(F.col("n") >= MIN_INSTANCES)
-    pairs = cut(pairs.join(wide, "pattern"))
+    pairs = hold(pairs.join(wide, "pattern"))
+    size = pairs.count()
     belief = pairs.groupBy("instance").agg(F.max(F.when(F.col("seed") != "", 1.0).otherwise(0.0)).alias("belief"))
     for k in range(rounds):
         conf = pairs.join(belief, "instance").groupBy("pattern").agg((F.sum("belief") / F.count(F.lit(1))).alias("conf"))
-        conf = cut(conf)
+        conf = cut(conf, size)
         if k + 1 < rounds:
             strong = pairs.join(conf, "pattern").withColumn("p", F.when(F.col("seed") != "", 1.0).otherwise(F.when(F.col("conf") >= MIN_CONFIDENCE, F.col("conf")).otherwise(0.0)))
             # one less the product of doubts, over the instance's patterns
             doubt = F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-6))))
-            belief = cut(strong.groupBy("instance").agg((1 - F.exp(doubt)).alias("belief")))
+            belief = cut(strong.groupBy("instance").agg((1 - F.exp(doubt)).alias("belief")), size)
     return conf.where(F.col("conf") >= MIN_CONFIDENCE).join(wide.where(F.col("kind").isNotNull()), "pattern").select("pattern", "kind")
 
 
 def added_spans(scanned: DataFrame) -> DataFrame:
     """id, key and added (array of structs kind, a, b) of the rows to which good patterns add spans."""
-    flat = cut(scanned.select("id", "key", F.explode("candidates").alias("c")).select("id", "key", "c.*"))
+    flat = hold(scanned.select("id", "key", F.explode("candidates").alias("c")).select("id", "key", "c.*"))
     good = score_patterns(flat.select("pattern", "instance", "seed"))
     hits = flat.where(~F.col("seed").isin(KINDS)).join(good, "pattern")
-    return hits.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("kind", "a", "b"))).alias("added"))
+    return small_side(hits.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("kind", "a", "b"))).alias("added")))
 
 
 def all_spans(base: list[tuple[str, int, int]], added: list[dict]) -> list[tuple[str, int, int]]:
@@ -203,7 +204,7 @@ def find_personal_data(df: DataFrame, text: str = "text", id_col: str = "doc_id"
     their length; repeated rows get the same spans each; equal spans count once; an empty table gives no rows. Null
     ids stay. Other columns are not read. Texts are read once; what is kept of them is spans and candidates.
     """
-    scanned = cut(scan(df, text, id_col))
+    scanned = hold(scan(df, text, id_col))
     added = added_spans(scanned)
     both = scanned.select(F.col("id"), F.col("key"), "base").join(added.withColumnRenamed("id", "__id"), (scanned["key"] == added["key"]) & F.col("id").eqNullSafe(F.col("__id")), "left")
     base = F.filter(F.split("base", ","), lambda s: s != "")
@@ -242,7 +243,7 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 def mask_personal_data(df: DataFrame, text: str = "text", id_col: str = "doc_id", length: str | None = "n_chars") -> DataFrame:
     """df with all spans masked in the text, and its length column, if it has one, made to follow. All rows stay."""
     names = df.columns
-    added = added_spans(cut(scan(df, text, id_col)))
+    added = added_spans(hold(scan(df, text, id_col)))
     own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, i = f"c{names.index(text)}", f"c{names.index(id_col)}"
     joined = own.withColumn("__key", F.xxhash64(i, F.col(t).cast("string"))).join(added, (F.col("__key") == F.col("key")) & F.col(i).eqNullSafe(F.col("id")), "left")

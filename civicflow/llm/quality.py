@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .storage import cut
+from .storage import hold, small_side
 
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = np.zeros(256, bool)
@@ -145,7 +145,7 @@ def host_verdicts(measured: DataFrame, host: str, rate: float = HOST_RATE) -> Da
         shrunk = (F.col(f"f_{r}") + m * strength) / (F.col("n") + strength)
         both = both.withColumn(f"bad_{r}", shrunk >= rate)
     bad = [F.col(f"bad_{r}") for r in SOFT_RULES]
-    return both.where(F.greatest(*bad)).select(host, *bad)
+    return small_side(both.where(F.greatest(*bad)).select(host, *bad))
 
 
 def judge(measured: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:
@@ -162,9 +162,9 @@ def quality(df: DataFrame, text: str = "text", id_col: str = "doc_id", host: str
 
     Null and empty texts have no words and fail the base rules. Rows without a host get no host verdict. Repeated rows
     count each; ties cannot arise; long texts are measured whole; an empty table gives no rows. Other columns are not
-    read, so their names may clash. The measured rows, without texts, are checkpointed as both passes need them.
+    read, so their names may clash. The measured rows, without texts, are held as both passes need them.
     """
-    measured = cut(text_metrics(df, text, [id_col, host]))
+    measured = hold(text_metrics(df, text, [id_col, host]))
     return judge(measured, host_verdicts(measured, "k1"), "k1").select(F.col("k0").alias(id_col), *METRICS, "base_failed", "kept")
 
 

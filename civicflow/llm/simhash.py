@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .storage import cut
+from .storage import hold, small_side
 
 SEED = 42
 #: Larger buckets are split into parts that meet pair by pair, each in a task of its own.
@@ -286,9 +286,10 @@ def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", n
     all of it are null. Repeated rows and copies share a fingerprint and are compared once. An empty table gives no
     rows. Other columns are not read.
     """
-    docs = cut(fingerprint_table(df, n, text, [id_col]))
-    first = cut(docs.groupBy("f0").agg(F.min("k0").alias("least")))
-    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, first.count())))
+    docs = hold(fingerprint_table(df, n, text, [id_col]))
+    first = hold(docs.groupBy("f0").agg(F.min("k0").alias("least")))
+    different = first.count()
+    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, different)), different)
     rooted = first.join(found.withColumnRenamed("node", "f0"), "f0", "left").select("f0", "least", F.coalesce("root", "f0").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("f0", "component_id")
@@ -331,17 +332,21 @@ def similar_links(sets: list[np.ndarray], tenths: int = 8) -> tuple[np.ndarray,
     return a[used], b[used]
 
 
-def similar_groups(df: DataFrame, text: str, n: int = 5, tenths: int = 8) -> DataFrame:
+def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: int = 8) -> DataFrame:
     """key, group of each text that is in a group: key is xxhash64 of the text, group a key that stands for it.
 
     Texts of a group are chained by pairs whose n-word shingle sets have a Jaccard similarity of tenths / 10 or more.
     Candidates are chains of wide fingerprints within the radius; only texts of such a chain are read again and compared.
     """
-    texts = df.select(F.col(f"`{text}`").cast("string").alias("t")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
-    prints = cut(fingerprint_table(texts, n, "t", ["key"], WIDTH).withColumnRenamed("k0", "id").dropDuplicates(["id"]))
-    chains = components(links(prints, WIDE_RADIUS, sampled_masks(prints.count(), TABLES, WIDTH), WIDTH))
-    once = texts.join(chains.select(F.col("node").alias("key"), F.col("root").alias("chain")), "key").dropDuplicates(["key"])
-    return components(_verified(once, n, tenths)).select(F.col("node").alias("key"), F.col("root").alias("group"))
+    texts = df.select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(f"`{id_col}`").alias("row")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
+    words = [F.first(w).alias(w) for w in names_of(WIDTH)]
+    prints = hold(fingerprint_table(texts, n, "t", ["key", "row"], WIDTH).groupBy(F.col("k0").alias("id")).agg(F.min("k1").alias("row"), *words))
+    texts_n = prints.count()
+    chains = components(links(prints, WIDE_RADIUS, sampled_masks(texts_n, TABLES, WIDTH), WIDTH), texts_n)
+    # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
+    members = small_side(prints.join(chains, prints["id"] == chains["node"]).select(F.col("id").alias("key"), "row", F.col("root").alias("chain")), expected=texts_n)
+    once = texts.join(members, ["key", "row"])
+    return components(_verified(once, n, tenths), texts_n).select(F.col("node").alias("key"), F.col("root").alias("group"))
 
 
 def _verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
@@ -362,7 +367,7 @@ def _verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
                     i, j = similar_links([np.frombuffer(s, np.uint64) for s in own[a:b]], tenths)
                     yield pa.RecordBatch.from_arrays([pa.array(key[a + i]), pa.array(key[a + j])], names=["a", "b"])
 
-    small = cut(rows.select("key", "chain", "t").mapInArrow(sets, "key long, chain long, set binary"))
+    small = hold(rows.select("key", "chain", "t").mapInArrow(sets, "key long, chain long, set binary").dropDuplicates(["key"]))
     parts = in_parts(small.select("key", "chain"), "chain", "key", VERIFY_PART).select("key", "__g")
     return parts.join(small.select("key", "set"), "key").repartition("__g").sortWithinPartitions("__g", "key").mapInArrow(run, "a long, b long")
 
@@ -370,14 +375,23 @@ def _verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """df with one row of each group of similar texts: the one with the least id, nulls last; others are dropped.
 
-    Copies of a text are one group; null texts are each kept, as are texts without words but for copies of one text.
+    Copies of a text are one group, blank ones too; of repeated rows one stays. Null texts are each kept. An empty
+    table gives no rows; other columns come along whatever their names.
     """
     names = df.columns
     own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, i = f"c{names.index(text)}", f"c{names.index(id_col)}"
-    groups = similar_groups(df, text)
-    keyed = own.select(F.col(i).alias("id"), F.xxhash64(F.col(t).cast("string")).alias("key")).where(F.col(t).isNotNull())
-    grouped = keyed.join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
-    first = cut(grouped.groupBy("group").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
-    lost = grouped.join(first.where("n > 1").withColumnRenamed("id", "first"), "group").where(~F.col("id").eqNullSafe(F.col("first"))).select("id").distinct()
-    return own.join(lost.withColumnRenamed("id", "__lost"), F.col(i).eqNullSafe(F.col("__lost")), "left_anti").select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    key = F.xxhash64(F.col(t).cast("string"))
+    groups = small_side(similar_groups(df, text, id_col))
+    keyed = own.where(F.col(t).isNotNull()).select(F.col(i).alias("id"), key.alias("key"))
+    grouped = hold(keyed.groupBy("id", "key").agg(F.count(F.lit(1)).alias("rows")).join(groups, "key", "left").withColumn("group", F.coalesce("group", "key")))
+    first = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("group", "first")
+    other = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key")))
+    lost = small_side(grouped.join(small_side(first), "group").where(other).select(F.col("id").alias("__i"), F.col("key").alias("__k")))
+    same = F.col(i).eqNullSafe(F.col("__i")) & (key == F.col("__k"))
+    kept = own.join(lost, same, "left_anti")
+    repeated = hold(grouped.where("rows > 1").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
+    if not repeated.isEmpty():
+        again = small_side(repeated)
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([i, t]))
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -5,7 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Narrow rows that may be broadcast; some tens of MB.
+BROADCAST_ROWS = 500_000
+#: Rows of a narrow checkpoint that share a file.
+FILE_ROWS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,10 +28,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint of a small or narrow intermediate; later reads do not recompute it."""
+def hold(df: DataFrame) -> DataFrame:
+    """An intermediate that is read more than once, kept on the executors' disks; what a lost one held is made again.
+
+    It goes with the session's cache: spark.catalog.clearCache().
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Checkpoint of a loop's state, so that plans do not grow; with the rows expected, in as many files as those need."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).checkpoint(eager=True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -33,3 +48,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, expected: int | None = None) -> DataFrame:
+    """A narrow lookup table, held and counted: broadcast if it has few rows, else left to a shuffle join.
+
+    Where it is broadcast, the wide rows that look things up stay where they are. With the rows expected, it is
+    checkpointed instead, for what goes on from it.
+    """
+    held = hold(df) if expected is None else cut(df, expected)
+    return F.broadcast(held) if held.limit(rows + 1).count() <= rows else held

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,8 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Bytes of a batch that Spark hands to a Python worker, and of texts that one pass works on; both bound its memory.
-BATCH_BYTES = 4 << 20
-PASS_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
+PASS_BYTES = 1 << 20
 
 #: Byte classes: 0 separates words, 1 and above are words of one class each, SINGLE is a word per byte.
 SINGLE = 9
@@ -109,11 +110,32 @@ def lean(df: DataFrame) -> DataFrame:
     return df
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Freed memory of the C allocator back to the system, where the library can do so."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What a worker keeps between tasks of one operator; it goes when the worker serves another."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PASS_BYTES, key: tuple = ()) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the named text column holds about max_bytes at most, one row at least.
 
-    The worker's arrays come from the system's allocator, which gives large ones back at once.
+    The worker's arrays come from the system's allocator, which gives large ones back at once. key is that of what
+    the operator keeps, if it does.
     """
+    if key not in _KEPT:
+        _KEPT.clear()
     pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
@@ -123,6 +145,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PASS
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
+        give_back()
 
 
 def sums_by_doc(values: np.ndarray, doc_start: np.ndarray) -> np.ndarray:

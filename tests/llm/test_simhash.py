@@ -97,9 +97,9 @@ def test_stage_drops_similar_texts_only(spark):
     root = dict(zip(distinct, u.roots(np.arange(len(distinct))).tolist()))
     first = {}
     for i, t in rows:
-        if t is not None and i is not None:
-            first[root[t]] = min(i, first.get(root[t], i))
-    want = sorted(str(i) for i, t in rows if t is None or first.get(root[t], i) == i)
+        if t is not None:
+            first[root[t]] = min((i is None, i or 0, t), first.get(root[t], (True, 1 << 60, "")))
+    want = sorted([str(i) for i, t in rows if t is None] + [str(None if none else i) for none, i, _ in first.values()])
     out = simhash.drop_near_duplicates(df)
     assert out.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == want
