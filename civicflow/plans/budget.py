@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.codes import even_length, pad_left
 from ..operators.joins import lookup_once
 from ..operators.project import q
+from ..state.lineage import cut
 
 # Phases by their word, the state's own code and title, the title of what has none.
 PHASES = {"מקורי": "allocated", "מאושר": "revised", "ביצוע": "executed"}
@@ -158,21 +159,22 @@ def connect_years(df: DataFrame, curated: DataFrame | None = None, measures: Seq
     through = kids.groupBy("year", F.col("parent").alias("code")).agg(F.bool_and(F.col("found").isNotNull()).alias("all"), F.flatten(F.collect_list("found")).alias("found")).where("all")
     open_ = items.where(~F.col("dead")).join(same.select("year", "code").distinct(), ["year", "code"], "left_anti")
     split = open_.join(through, ["year", "code"]).select("year", "code", F.explode("found").alias("prev_code"))
-    links = same.unionByName(split).distinct().persist()
+    links = cut(same.unionByName(split).distinct())
     years = [r[0] for r in items.select("year").distinct().orderBy("year").collect()]  # a few dozen
-    chains = None
+    own_id = F.concat_ws("/", F.col("year").cast("string"), "code")
+    out: dict[int, DataFrame] = {}
     for y in years:
         own = items.where(F.col("year") == y).select("year", "code")
-        if chains is None:
-            now = own.withColumn("chain_id", F.concat_ws("/", F.col("year").cast("string"), "code"))
-        else:
-            prev = chains.where(F.col("year") == y - 1).select(F.col("code").alias("prev_code"), F.col("chain_id").alias("old_id"))
+        if y - 1 in out:
+            prev = out[y - 1].select(F.col("code").alias("prev_code"), F.col("chain_id").alias("old_id"))
             hit = links.where(F.col("year") == y).join(prev, "prev_code").groupBy("year", "code").agg(F.min("old_id").alias("old_id"))
-            now = own.join(hit, ["year", "code"], "left").select("year", "code", F.coalesce("old_id", F.concat_ws("/", F.col("year").cast("string"), "code")).alias("chain_id"))
-        chains = now if chains is None else chains.unionByName(now)
-        if len(years) > 6 and y != years[-1]:
-            chains = chains.persist()
-    return chains if chains is not None else items.select("year", "code", F.lit(None).cast("string").alias("chain_id"))
+            out[y] = cut(own.join(hit, ["year", "code"], "left").select("year", "code", F.coalesce("old_id", own_id).alias("chain_id")))
+        else:
+            out[y] = own.withColumn("chain_id", own_id)
+    chains = items.where(F.lit(False)).select("year", "code", own_id.alias("chain_id"))
+    for part in out.values():
+        chains = chains.unionByName(part)
+    return chains
 
 
 def chain_history(df: DataFrame, chains: DataFrame, measures: Sequence[str]) -> DataFrame:

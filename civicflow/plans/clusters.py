@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import hebrew_only
 from ..operators.project import q
 from ..operators.windows import top_and_others
+from ..state.lineage import cut
 from ..udfs.fuzzy import partial_ratio
 
 
@@ -120,7 +121,7 @@ def label_chains(pairs: DataFrame, a: str, b: str, rounds: int = 30) -> DataFram
         now = now.drop("chain").join(by_a, a).withColumnRenamed("__c", "chain")
         by_b = now.groupBy(q(b)).agg(F.min("chain").alias("__c"))
         now = now.drop("chain").join(by_b, b).withColumnRenamed("__c", "chain")
-        now = now.select(q(a), q(b), "chain").persist()
+        now = cut(now.select(q(a), q(b), "chain"))
         total = now.agg(F.sum(F.xxhash64(q(a), q(b), F.col("chain")).cast("decimal(38,0)"))).first()[0]
         if total == seen:
             break
