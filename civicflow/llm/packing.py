@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,11 @@ from . import words as W
 
 CAPACITY = 4096
 END_ID = 1
-OPEN_BINS = 2048
+OPEN_BINS = 16_384
 #: Rows that one packing task gets; with so many small pieces the bins left open at its end hardly count.
 ROWS_PER_TASK = 50_000
 #: Words whose ids a worker remembers; later ones are encoded each time. This bounds its memory and changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Words that are encoded in one text.
 JOINED = 512
 
@@ -77,15 +78,6 @@ class WordIds:
     of those in a word is plain, counting marks tells the words' ids apart, and other words are encoded one by one.
     """
 
-    held: dict[str, WordIds] = {}
-
-    @classmethod
-    def of(cls, path: str) -> WordIds:
-        """The worker's own, so that its tasks share what is remembered."""
-        if path not in cls.held:
-            cls.held[path] = cls(path)
-        return cls.held[path]
-
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -95,7 +87,7 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.at: dict[bytes, int] = {}
+        self.words = pa.array([], pa.large_binary())
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -114,56 +106,73 @@ class WordIds:
         at = word.index(core)
         return 1 + (at > 0) + (at + len(core) < len(word))
 
-    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def all_parts(self, words: pa.Array) -> tuple[list[str], np.ndarray]:
+        """The words as texts and their parts(); words of letters only are told by whole-array functions."""
+        text = words.cast(pa.large_string())
+        lower = pc.utf8_lower(text)
+        letters = pc.and_(pc.and_(pc.utf8_is_alpha(text), pc.utf8_is_alpha(lower)), pc.equal(pc.utf8_normalize(text, form="NFC"), text))
+        parts = letters.to_numpy(zero_copy_only=False).astype(np.int64)
+        texts = text.to_pylist()
+        for i in np.flatnonzero(parts == 0).tolist():
+            parts[i] = self.parts(texts[i])
+        return texts, parts
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and how many each has."""
-        texts = [w.decode("utf-8") for w in words]
-        parts = np.array([self.parts(t) for t in texts], np.int64)
-        plain, odd = np.flatnonzero(parts), np.flatnonzero(parts == 0)
-        size = np.zeros(len(words), np.int64)
-        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words) if len(odd) else []
+        texts, parts = self.all_parts(words)
+        plain = np.flatnonzero(parts)
         groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
         made = self.encode([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False) if groups else []
-        runs = []
+        size = np.zeros(len(words), np.int64)
+        order, runs = [], []
         for g, e in zip(groups, made):
             own = np.array(e.ids, np.uint32)
-            last = np.flatnonzero(self.ends[own])[np.cumsum(parts[g]) - 1]
-            if last[-1] != len(own) - 1 or int(self.ends[own].sum()) != int(parts[g].sum()):
-                raise ValueError("the tokenizer cut words otherwise than expected")
-            size[g] = np.diff(last, prepend=-1)
+            marks = np.flatnonzero(self.ends[own])
+            if len(marks) != parts[g].sum() or marks[-1] != len(own) - 1:  # cut otherwise than expected: one by one
+                parts[g] = 0
+                continue
+            size[g] = np.diff(marks[np.cumsum(parts[g]) - 1], prepend=-1)
+            order.append(g)
             runs.append(own)
-        if not len(odd):
-            return np.concatenate(runs) if runs else np.zeros(0, np.uint32), size
+        odd = np.flatnonzero(parts == 0)
+        if len(odd):
+            alone = [np.array(e.ids, np.uint32) for e in self.encode([texts[i] for i in odd], add_special_tokens=False)]
+            size[odd] = [len(x) for x in alone]
+            order.append(odd)
+            runs += alone
         flat = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
-        for i, x in zip(plain, np.split(flat, np.cumsum(size[plain])[:-1]) if len(plain) else []):
-            ids[i] = x
-        for i, e in zip(odd, self.encode([texts[i] for i in odd], add_special_tokens=False)):
-            ids[i] = np.array(e.ids, np.uint32)
-            size[i] = len(e.ids)
-        return np.concatenate(ids), size
-
-    def look_up(self, vocab: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(order) < 2:
+            return flat, size
+        # from the order in which they were encoded to that of the words
+        placed = np.concatenate(order)
+        first = np.zeros(len(words), np.int64)
+        first[placed] = np.cumsum(size[placed]) - size[placed]
+        total = np.cumsum(size)
+        return flat[np.repeat(first - total + size, size) + np.arange(total[-1])], size
+
+    def look_up(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, size): word i's ids stand at ids[first[i]:first[i] + size[i]]."""
-        at = self.at
-        place = np.fromiter((at.get(w, -1) for w in vocab), np.int64, len(vocab))
+        place = pc.fill_null(pc.index_in(vocab, self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         new = np.flatnonzero(place < 0)
         if not len(new):
             return self.flat, self.first[place], self.size[place]
-        made, size = self.encoded([vocab[i] for i in new])
-        starts = np.cumsum(size) - size
-        if len(at) < REMEMBERED:
-            at.update(zip([vocab[i] for i in new], range(len(at), len(at) + len(new))))
-            self.first, self.size = np.concatenate([self.first, len(self.flat) + starts]), np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, made])
-            place[new] = np.arange(len(at) - len(new), len(at))
-            return self.flat, self.first[place], self.size[place]
-        first, n = self.first[place], self.size[place]
-        first[new], n[new] = len(self.flat) + starts, size
-        return np.concatenate([self.flat, made]), first, n
+        words = vocab.take(pa.array(new))
+        made, size = self.encoded(words)
+        starts = len(self.flat) + np.cumsum(size) - size
+        if len(self.words) >= REMEMBERED:
+            first, n = (self.first[place], self.size[place])
+            first[new], n[new] = starts, size
+            return np.concatenate([self.flat, made]), first, n
+        place[new] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, words])
+        self.first, self.size = np.concatenate([self.first, starts]), np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, made])
+        return self.flat, self.first[place], self.size[place]
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END_ID, and the n+1 offsets."""
         w = W.split_words(texts)
-        flat, first, sizes = self.look_up(w.vocab_list())
+        flat, first, sizes = self.look_up(w.vocab)
         size = sizes[w.codes]
         total = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=total[1:])
@@ -182,8 +191,9 @@ def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
     schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *PIECE_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds.of(tokenizer_path)
-        for b in W.slices(batches, "__text"):
+        key = ("word ids", tokenizer_path)
+        encoder = W.kept(key, lambda: WordIds(tokenizer_path))
+        for b in W.slices(batches, "__text", key=key):
             ids, offsets = encoder.documents(b.column("__text"))
             n = np.diff(offsets)
             parts = -(-n // capacity)
@@ -202,10 +212,11 @@ def pack(items: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, ope
     """Pieces with sequence_id and offset.
 
     Pieces are dealt by a hash of document and piece, so that no source or long document gathers in a task, and each
-    task packs its own. Their order in a task is that of the hash, so a task that runs again packs the same way.
+    task packs its own. They arrive longest first, then by the hash, so a task that runs again packs the same way; a
+    task's pieces hardly ever fill the open bins, so short ones find the gaps that long ones leave.
     """
     spread = F.xxhash64(id_col, "piece", "ids_crc32")
-    dealt = items.repartition(max(1, tasks or 1), spread).sortWithinPartitions(spread, id_col, "piece", "ids_crc32")
+    dealt = items.repartition(max(1, tasks or 1), spread).sortWithinPartitions(F.desc("length"), spread, id_col, "piece", "ids_crc32")
     schema = T.StructType([*items.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
