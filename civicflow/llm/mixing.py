@@ -19,7 +19,7 @@ BLOCK_ROWS = 16
 PERIOD = 2_000
 #: Sources are few and named by the caller's targets; this bounds what the driver holds.
 MAX_SOURCES = 100_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 
 
 def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int]]:
