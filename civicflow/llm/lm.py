@@ -1,12 +1,13 @@
 """N-gram language-model scores of whole texts.
 
-Texts are coded once into blocks of words and word numbers. Word counts are exact and go back to each block by a
-shuffle join. Frequent words, a bounded number by their share of all tokens, get numbers; pairs and triples of them
-that are frequent enough, bounded likewise, form an Elias-Fano trie that every task holds.
+Texts are coded once into blocks of words and word numbers. A block asks for what all training texts say of its words,
+then of its pairs and triples: its distinct ones go to shards, packed, and a shard answers each block in the order asked.
+All training words are numbered and all pairs and triples counted exactly; neither the driver nor a task holds a model.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,16 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .elias_fano import NgramTrie
 from .storage import written
 
 BLOCK_BYTES = 8 << 20
-#: Tokens that are scored at once; bounds a worker's arrays.
-PASS_TOKENS = 1 << 17
-#: Least share of all training tokens of a numbered word (so at most 20,000 of them) and of a kept pair or triple (so
-#: at most a million of either); kept ones occur twice at least.
-WORD_SHARE = 5e-5
-NGRAM_SHARE = 1e-6
+#: Blocks whose distinct pairs and triples make up about one shard.
+SHARD_BLOCKS = 2
+#: The end token's number, and what stands for no next word.
+END, NONE = 0, (1 << 31) - 1
+DISCOUNT = 0.5
 SMOOTHING = 0.1
 FOLDS = 10
 
@@ -89,20 +88,6 @@ def words_of(b: pa.RecordBatch | pa.Table, i: int) -> list[bytes]:
     return expanded(b, "words", i).split(b" ") if b.column("n_words")[i].as_py() else []
 
 
-def block_words(coded: DataFrame) -> DataFrame:
-    """block, place, word, n of each distinct word of each block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                words, counts, block = words_of(b, i), np.frombuffer(expanded(b, "counts", i), "<i8"), b.column("block")[i].as_py()
-                for a in range(0, len(words), 32768):
-                    part = words[a : a + 32768]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(np.arange(a, a + len(part), dtype=np.int32)), pa.array(part, pa.binary()), pa.array(counts[a : a + len(part)])], names=["block", "place", "word", "n"])
-
-    return coded.select("block", "n_words", "words", "counts").mapInArrow(run, "block long, place int, word binary, n long")
-
-
 def decoded(b: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(expanded(b, "codes", i), "<i4"), np.asarray(b.column("sizes")[i].values, np.int64)
 
@@ -128,88 +113,226 @@ def shifted(tokens: np.ndarray, offsets: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def ngrams(coded: DataFrame, number: dict[bytes, int], end: int) -> DataFrame:
-    """key, order, n: pairs and triples of numbered words in training texts, counted by block."""
-    shared = coded.sparkSession.sparkContext.broadcast(number)
-    k = end + 1
+def packed(a: np.ndarray, kind: str, rising: bool = False) -> bytes:
+    """The numbers as compressed planes of bytes; rising ones as steps."""
+    a = np.diff(a, prepend=0) if rising else a
+    raw = np.ascontiguousarray(a.astype(kind)).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, kind: str, rising: bool = False) -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(raw[8:], n, "zstd", asbytes=True) if n else b"", np.uint8)
+    a = np.ascontiguousarray(flat.reshape(width, -1).T).view(kind).ravel().astype(np.int64)
+    return np.cumsum(a) if rising else a
+
+
+def sharded(of: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of their shards, and each shard's edges in that order."""
+    order = np.argsort(of, kind="stable")
+    return order, np.searchsorted(of[order], np.arange(shards + 1))
+
+
+#: What goes between blocks and shards; block -1 is a shard's own account, with two numbers.
+MAIL = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("kind", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in "abcd"], T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
+MAIL_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in "abcd"], ("x", pa.int64()), ("y", pa.int64())])
+WORDS, GRAMS, FOLLOWERS = 1, 2, 3
+
+
+def mail(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(MAIL_ARROW.names, r)) for r in rows], MAIL_ARROW)
+
+
+def letter(block: int, shard: int, kind: int, *blobs: bytes, x: int = 0, y: int = 0) -> tuple:
+    return (block, shard, kind, *blobs, *[None] * (4 - len(blobs)), x, y)
+
+
+def word_shards(words: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    return sharded(np.fromiter((zlib.crc32(w) % shards for w in words), np.int64, len(words)), shards)
+
+
+def word_asks(coded: DataFrame, shards: int) -> DataFrame:
+    """Each block's distinct words and their counts, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(list(shared.value), pa.binary())
         for b in batches:
             for i in range(b.num_rows):
-                codes, sizes = decoded(b, i)
-                words = pa.array(words_of(b, i), pa.binary())
-                local = pc.fill_null(pc.index_in(words, known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                tokens, offsets = with_ends(local[codes] if len(codes) else np.zeros(0, np.int64), sizes, end)
-                used = np.repeat(np.asarray(b.column("train")[i].values.to_numpy(zero_copy_only=False), bool), np.diff(offsets))
-                one, two = shifted(tokens, offsets, 1), shifted(tokens, offsets, 2)
-                pair = used & (tokens >= 0) & (one >= 0)
-                triple = pair & (two >= 0)
-                for order, keys in ((2, one[pair] * k + tokens[pair]), (3, (two[triple] * k + one[triple]) * k + tokens[triple])):
-                    key, n = np.unique(keys, return_counts=True)
-                    for a in range(0, len(key), 65536):
-                        m = len(key[a : a + 65536])
-                        yield pa.RecordBatch.from_arrays([pa.array(key[a : a + m]), pa.array(np.full(m, order, np.int32)), pa.array(n[a : a + m].astype(np.int64))], names=["key", "order", "n"])
-
-    return coded.select("codes", "sizes", "n_words", "words", "train").mapInArrow(run, "key long, order int, n long")
+                words, counts, block = words_of(b, i), np.frombuffer(expanded(b, "counts", i), "<i8"), b.column("block")[i].as_py()
+                order, edge = word_shards(words, shards)
+                rows = []
+                for s in range(shards):
+                    at = order[edge[s] : edge[s + 1]]
+                    if len(at):
+                        rows.append(letter(block, s, WORDS, squeezed(b" ".join([words[k] for k in at.tolist()]))[0].as_py(), packed(counts[at], "<u4")))
+                yield from mail(rows).to_batches()
+
+    return coded.select("block", "n_words", "words", "counts").mapInArrow(run, MAIL)
+
+
+def word_answers(asks: DataFrame, shards: int) -> DataFrame:
+    """Number (-1 for words of held-out texts alone) and count of each word asked for; the shard's tokens and words."""
+
+    def run(t: pa.Table) -> pa.Table:
+        asked = [expanded(t, "a", i).split(b" ") for i in range(t.num_rows)]
+        n = np.concatenate([unpacked(b, "<u4") for b in t.column("b").to_pylist()])
+        code = pa.array([w for own in asked for w in own], pa.large_binary()).dictionary_encode().indices.to_numpy()
+        c = np.bincount(code, n).astype(np.int64)
+        number = np.empty(len(c), np.int64)
+        number[np.argsort(-c, kind="stable")] = np.arange(len(c))
+        number = np.where(c > 0, 1 + number * shards + t.column("shard")[0].as_py(), -1)
+        if number.max() >= NONE:
+            raise ValueError("over two thousand million words")
+        out, at = [letter(-1, t.column("shard")[0].as_py(), WORDS, x=int(c.sum()), y=int((c > 0).sum()))], 0
+        for block, own in zip(t.column("block").to_pylist(), asked):
+            k = code[at : at + len(own)]
+            out.append(letter(block, t.column("shard")[0].as_py(), WORDS, packed(number[k], "<i4"), packed(c[k], "<i8")))
+            at += len(own)
+        return mail(out)
+
+    return asks.groupBy("shard").applyInArrow(run, MAIL)
+
+
+class Grams:
+    """A block's distinct pairs, each with the words that follow it; a pair's entries are those next words.
+
+    Each place whose word and the one before are known is an entry's: its pair with the next word, or with NONE after
+    the end token and before a word without number. Training texts have none such, so a pair's entries sum to its count.
+    """
+
+    def __init__(self, tokens: np.ndarray, offsets: np.ndarray, used: np.ndarray, shards: int):
+        one = shifted(tokens, offsets, 1)
+        after = np.append(tokens[1:], -1)
+        after[offsets[1:] - 1] = -1
+        self.place = np.flatnonzero((tokens >= 0) & (one >= 0))
+        after = np.where(after[self.place] < 0, NONE, after[self.place])
+        self.pairs, rank = np.unique(one[self.place] << 32 | tokens[self.place], return_inverse=True)
+        key, self.entry = np.unique(rank << 32 | after, return_inverse=True)
+        self.pair, self.next = key >> 32, key & 0xFFFFFFFF
+        self.n = np.bincount(self.entry, used[self.place], len(key)).astype(np.int64)
+        of = ((self.pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
+        self.pair_order, self.pair_edge = sharded(of, shards)
+        self.order, self.edge = sharded(of[self.pair], shards)
+
+
+def numbered(left: pa.Table, right: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
+    """Number and count of each of the block's words, from the shards' answers, and where each shard's words are."""
+    words = words_of(left, 0)
+    order, edge = word_shards(words, shards)
+    number, count = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
+    for kind, s, a, b in zip(*[right.column(c).to_pylist() for c in ("kind", "shard", "a", "b")]):
+        if kind == WORDS:
+            at = order[edge[s] : edge[s + 1]]
+            number[at], count[at] = unpacked(a, "<i4"), unpacked(b, "<i8")
+    return number, count, order, edge
+
+
+def block_grams(left: pa.Table, number: np.ndarray, shards: int) -> tuple[Grams, np.ndarray, np.ndarray]:
+    codes, sizes = decoded(left, 0)
+    tokens, offsets = with_ends(number[codes] if len(codes) else np.zeros(0, np.int64), sizes, END)
+    used = np.repeat(np.asarray(left.column("train")[0].values.to_numpy(zero_copy_only=False), bool), np.diff(offsets))
+    return Grams(tokens, offsets, used, shards), tokens, offsets
+
+
+def gram_asks(coded: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        g = block_grams(left, numbered(left, right, shards)[0], shards)[0]
+        rows = []
+        for s in range(shards):
+            mine, at = g.pair_order[g.pair_edge[s] : g.pair_edge[s + 1]], g.order[g.edge[s] : g.edge[s + 1]]
+            if len(mine):
+                size = np.diff(np.append(np.searchsorted(g.pair[at], mine), len(at)))
+                rows.append(letter(left.column("block")[0].as_py(), s, GRAMS, packed(g.pairs[mine], "<i8", True), packed(size, "<u4"), packed(g.next[at], "<u4"), packed(g.n[at], "<u4")))
+        return mail(rows)
+
+    return coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MAIL)
+
+
+def gram_answers(asks: DataFrame, shards: int) -> DataFrame:
+    """Counts of the triples asked for, counts and numbers of followers of the pairs; for words, the pairs they begin."""
+
+    def run(t: pa.Table) -> pa.Table:
+        shard = t.column("shard")[0].as_py()
+        pairs = [unpacked(a, "<i8", True) for a in t.column("a").to_pylist()]
+        sizes = [unpacked(b, "<u4") for b in t.column("b").to_pylist()]
+        n = np.concatenate([unpacked(d, "<u4") for d in t.column("d").to_pylist()])
+        distinct, rank = np.unique(np.concatenate(pairs), return_inverse=True)
+        key = np.repeat(rank, np.concatenate(sizes)) << 32
+        key |= np.concatenate([unpacked(c, "<u4") for c in t.column("c").to_pylist()])
+        triples, entry = np.unique(key, return_inverse=True)
+        c3 = np.bincount(entry, n, len(triples)).astype(np.int64)
+        c2 = np.bincount(triples >> 32, c3, len(distinct)).astype(np.int64)
+        followers = np.bincount((triples >> 32)[(c3 > 0) & (triples & 0xFFFFFFFF != NONE)], minlength=len(distinct))
+        out, p, q = [], 0, 0
+        for block, own, size in zip(t.column("block").to_pylist(), pairs, sizes):
+            r, e = rank[p : p + len(own)], entry[q : q + int(size.sum())]
+            out.append(letter(block, shard, GRAMS, packed(c3[e], "<i8"), packed(c2[r], "<i8"), packed(followers[r], "<i8")))
+            p, q = p + len(own), q + len(e)
+        first, begun = np.unique(distinct[c2 > 0] >> 32, return_counts=True)
+        order, edge = sharded((first - 1) % shards, shards)
+        for s in range(shards):
+            at = order[edge[s] : edge[s + 1]]
+            if len(at):
+                out.append(letter(-1, s, FOLLOWERS, packed(first[at], "<i8", True), packed(begun[at], "<i8")))
+        return mail(out)
+
+    return asks.groupBy("shard").applyInArrow(run, MAIL)
+
+
+def follower_answers(words: DataFrame, begun: DataFrame, shards: int) -> DataFrame:
+    """How many different pairs each word asked for begins."""
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        asked = [unpacked(a, "<i4") for a in left.column("a").to_pylist()]
+        total = np.zeros(max((int(a.max()) // shards + 2 for a in asked), default=1), np.int64)
+        for a, b in zip(right.column("a").to_pylist(), right.column("b").to_pylist()):
+            total[(unpacked(a, "<i8", True) - 1) // shards] += unpacked(b, "<i8")
+        return mail([letter(block, key[0].as_py(), FOLLOWERS, packed(np.where(a > 0, total[(a - 1) // shards], 0), "<i8")) for block, a in zip(left.column("block").to_pylist(), asked)])
+
+    return words.groupBy("shard").cogroup(begun.groupBy("shard")).applyInArrow(run, MAIL)
 
 
 def score_texts(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """id_col, held_out, n_tokens, n_known, train_tokens, base_score and score of each text.
 
-    base_score uses smoothed unigram counts, score the interpolated trigram model with absolute discounting; both are
-    log10 of the whole text with its end token. Null and empty texts are their end token alone. Null ids are held out;
-    repeated rows count each; ties cannot arise; an empty table gives no rows; other columns are not read.
+    base_score uses smoothed unigram counts, score the interpolated trigram model with absolute discounting over all
+    pairs and triples of the training texts; both are log10 of the whole text with its end token. Null and empty texts
+    are their end token alone. Null ids are held out; repeated rows count each; ties cannot arise; an empty table gives
+    no rows; other columns are not read.
     """
     coded = written(blocks(df, text, id_col), "lm-blocks")
-    words = block_words(coded)
-    totals = words.groupBy("word").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("spread"))
-    totals = written(totals.where((F.col("spread") > 1) | (F.col("c") > 0)), "lm-words")
-    seen = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    ends = coded.select(F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()[0]
-    n_all, vocabulary = seen[0] + ends, seen[1] + (ends > 0)
-    frequent = totals.where(F.col("c") >= max(2, WORD_SHARE * n_all)).select("word", "c").collect()  # at most 1 / WORD_SHARE rows
-    frequent = sorted(((bytes(r["word"]), r["c"]) for r in frequent), key=lambda x: (-x[1], x[0]))
-    number, end = {w: i for i, (w, _) in enumerate(frequent)}, len(frequent)
-    least = max(2, int(np.ceil(NGRAM_SHARE * n_all)))
-    kept = ngrams(coded, number, end).groupBy("order", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    kept = kept.toPandas()  # at most 1 / NGRAM_SHARE rows of each order
-    trie = build_trie([c for _, c in frequent] + [ends], kept)
-    return scored(coded, words, totals, number, trie, n_all, vocabulary, ends, id_col)
-
-
-def build_trie(counts: list[int], kept) -> NgramTrie:
-    k = len(counts)
-    two, three = kept[kept["order"] == 2].sort_values("key"), kept[kept["order"] == 3].sort_values("key")
-    pairs = two["key"].to_numpy(np.int64)
-    triples, n3 = three["key"].to_numpy(np.int64), three["n"].to_numpy(np.int64)
-    return NgramTrie(k, np.array(counts, np.int64), pairs, two["n"].to_numpy(np.int64), triples, n3)
-
-
-def scored(coded, words, totals, number, trie, n_all, vocabulary, ends, id_col) -> DataFrame:
-    spark = coded.sparkSession
-    model = spark.sparkContext.broadcast(trie)
-    numbers = spark.createDataFrame([(w, i) for w, i in number.items()] or [(b"", -1)], "word binary, number int")
-    numbered = totals.where((F.col("spread") > 1) & (F.col("c") > 0)).join(F.broadcast(numbers), "word", "left")
-    back = words.join(numbered, "word").select("block", "place", "c", F.coalesce("number", F.lit(-1)).alias("number"))
-    # Words of one block only are not sent back: their count is the block's own; frequent ones among them are.
-    alone = words.join(F.broadcast(numbers), "word").join(totals.where((F.col("spread") == 1) & (F.col("c") >= max(2, WORD_SHARE * n_all))), "word").select("block", "place", "c", "number")
-    back = back.unionByName(alone)
-    end, kind = len(number), coded.schema["ids"].dataType.elementType
+    n_blocks, ends = coded.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()
+    shards = max(1, -(-n_blocks // SHARD_BLOCKS))
+    words = written(word_answers(word_asks(coded, shards), shards), "lm-words")
+    tokens, vocabulary = words.where("block < 0").agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    words = words.where("block >= 0")
+    grams = written(gram_answers(gram_asks(coded, words, shards), shards), "lm-grams")
+    followers = follower_answers(words, grams.where("block < 0"), shards)
+    answers = words.unionByName(grams.where("block >= 0")).unionByName(followers)
+    return scored(coded, answers, shards, tokens + ends, vocabulary + (ends > 0), ends, id_col)
+
+
+def scored(coded: DataFrame, answers: DataFrame, shards: int, n_all: int, vocabulary: int, ends: int, id_col: str) -> DataFrame:
+    kind = coded.schema["ids"].dataType.elementType
     whole = n_all + SMOOTHING * (vocabulary + 1)
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        number, count, order, edge = numbered(left, right, shards)
+        g, tokens, offsets = block_grams(left, number, shards)
+        begun = np.zeros(len(number), np.int64)
+        c3, c2, followers = np.zeros(len(g.n), np.int64), np.zeros(len(g.pairs), np.int64), np.zeros(len(g.pairs), np.int64)
+        for kind_, s, a, b, c in zip(*[right.column(x).to_pylist() for x in ("kind", "shard", "a", "b", "c")]):
+            if kind_ == FOLLOWERS:
+                begun[order[edge[s] : edge[s + 1]]] = unpacked(a, "<i8")
+            elif kind_ == GRAMS:
+                c3[g.order[g.edge[s] : g.edge[s + 1]]] = unpacked(a, "<i8")
+                mine = g.pair_order[g.pair_edge[s] : g.pair_edge[s + 1]]
+                c2[mine], followers[mine] = unpacked(b, "<i8"), unpacked(c, "<i8")
         codes, sizes = decoded(left, 0)
-        count = np.frombuffer(expanded(left, "counts", 0), "<i8").astype(np.float64)
-        numbered = np.full(len(count), -1, np.int64)
-        place = right.column("place").to_numpy()
-        count[place], numbered[place] = right.column("c").to_numpy(), right.column("number").to_numpy()
-        c, offsets = with_ends(count[codes] if len(codes) else np.zeros(0), sizes, ends)
-        tokens, _ = with_ends(numbered[codes] if len(codes) else np.zeros(0, np.int64), sizes, end)
-        p1 = (c + SMOOTHING) / whole
-        one, two = shifted(tokens, offsets, 1), shifted(tokens, offsets, 2)
-        p = np.concatenate([model.value.score(tokens[a:b], one[a:b], two[a:b], p1[a:b]) for a in range(0, len(tokens), PASS_TOKENS) for b in [a + PASS_TOKENS]])
+        c1, _ = with_ends(count[codes].astype(np.float64) if len(codes) else np.zeros(0), sizes, ends)
+        heads, _ = with_ends(begun[codes] if len(codes) else np.zeros(0, np.int64), sizes, 0)
+        p1 = (c1 + SMOOTHING) / whole
+        p = interpolated(p1, c1, heads, g, c2, followers, c3, tokens, offsets)
         first = offsets[:-1]
         n = len(sizes)
         return pa.table(
@@ -217,12 +340,31 @@ def scored(coded, words, totals, number, trie, n_all, vocabulary, ends, id_col)
                 id_col: left.column("ids")[0].values,
                 "held_out": pa.array(~np.asarray(left.column("train")[0].values.to_numpy(zero_copy_only=False), bool)),
                 "n_tokens": pa.array(sizes + 1),
-                "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
+                "n_known": pa.array(np.add.reduceat((c1 > 0).astype(np.int64), first)),
                 "train_tokens": pa.array(np.full(n, n_all, np.int64)),
                 "base_score": pa.array(np.add.reduceat(np.log10(p1), first)),
                 "score": pa.array(np.add.reduceat(np.log10(p), first)),
             }
         )
 
-    texts = coded.select("block", "ids", "train", "sizes", "codes", "counts")
-    return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, schema)
+    texts = coded.select("block", "ids", "train", "sizes", "codes", "n_words", "words")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+
+def interpolated(p1, c1, heads, g: Grams, c2, followers, c3, tokens, offsets) -> np.ndarray:
+    """P(word | two words before) of each place: what a context's discounts leave goes to the shorter context."""
+    p = p1.copy()
+    inner = np.ones(len(p), bool)
+    inner[offsets[:-1]] = False
+    at = np.flatnonzero(inner)
+    at = at[c1[at - 1] > 0]
+    p[at] *= DISCOUNT * heads[at - 1] / c1[at - 1]
+    pair = g.pair[g.entry]
+    some = c2[pair] > 0
+    at = g.place[some]
+    p[at] += (c2[pair[some]] - DISCOUNT) / c1[at - 1]
+    some &= tokens[g.place] != END  # a pair that ends in the end token has no next place
+    at, pair, n3 = g.place[some] + 1, pair[some], c3[g.entry[some]]
+    n3 = np.where(tokens[at] >= 0, n3, 0)
+    p[at] = p[at] * (DISCOUNT * followers[pair] / c2[pair]) + np.where(n3 > 0, n3 - DISCOUNT, 0) / c2[pair]
+    return p

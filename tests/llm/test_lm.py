@@ -62,3 +62,38 @@ def test_scores_against_brute_force(spark):
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)  # the model is better on held-out texts
     assert all(r["score"] <= 0 for r in got)
     assert lm.score_texts(empty(spark)).count() == 0
+
+
+def brute_force_scores(rows, held):
+    """Absolute discounting over all n-grams of the training texts, with plain counters."""
+    grams, followers = Counter(), Counter()
+    for i, t in rows:
+        own = [*words(lower(t or "")), None]
+        if not held[i]:
+            grams.update(tuple(own[k : k + n]) for n in (1, 2, 3) for k in range(len(own) - n + 1))
+    followers.update(g[:-1] for g in grams if len(g) > 1)
+    n, v = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    out = []
+    for i, t in rows:
+        own, score = [*words(lower(t or "")), None], 0.0
+        for k, w in enumerate(own):
+            p = (grams[(w,)] + 0.1) / (n + 0.1 * (v + 1))
+            for before in (tuple(own[k - m : k]) for m in (1, 2) if k >= m):
+                if grams[before]:
+                    p = p * 0.5 * followers[before] / grams[before] + max(0, grams[(*before, w)] - 0.5) / grams[before]
+            score += math.log10(p)
+        out.append((str(i), round(score, 5)))
+    return sorted(out)
+
+
+def test_all_ngrams_count(spark, monkeypatch):
+    # Over some 60,000 tokens of 2,000 words and a tail of rare ones; small blocks, so that counts cross them.
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
+    rng = np.random.default_rng(5)
+    many = [(i, " ".join(f"w{x}" for x in (rng.zipf(1.3, 150) % 2000).tolist()) + f" only{i} twice{i // 2}") for i in range(400)]
+    rows = [(r["doc_id"], r["text"]) for r in frame(spark, [(1000 + i, t) for i, t in many]).collect()]
+    held = {i: i is None or zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+    got = lm.score_texts(frame(spark, [(1000 + i, t) for i, t in many]).repartition(5)).collect()
+    found, want = sorted((str(r["doc_id"]), r["score"]) for r in got), brute_force_scores(rows, held)
+    assert [i for i, _ in found] == [i for i, _ in want]
+    assert np.allclose([x for _, x in found], [x for _, x in want], atol=1e-4)
