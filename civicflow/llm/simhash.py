@@ -7,6 +7,7 @@ as all of them exceed the radius. A bucket gives its spanning links only, so a g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -240,11 +241,32 @@ def exact_masks(radius: int, n: int) -> list[list[int]]:
     return [b + c for b in bands(every) for c in bands([x for x in every if x not in b])]
 
 
-def sampled_masks(n: int, tables: int, width: int, seed: int = 11) -> list[list[int]]:
-    """Random lists of bits, longer over more fingerprints, so that buckets of unrelated ones stay small."""
+def miss_rate(bits: int, tables: int, tenths: int, width: int, radius: int) -> float:
+    """Chance that two sets of equal size at just that similarity share none of the tables' masks or differ too much.
+
+    A bit differs by the angle of the sets' sums; how many do is binomial.
+    """
+    shared = 2 * tenths / (10 + tenths)
+    differ, size = math.acos(shared) / math.pi, 64 * width
+    missed = 1.0
+    for d in range(radius + 1):
+        missed -= math.comb(size, d) * differ**d * (1 - differ) ** (size - d) * (1 - (1 - math.comb(size - d, bits) / math.comb(size, bits)) ** tables)
+    return missed
+
+
+def sampled_masks(n: int, tenths: int, width: int, radius: int, seed: int = 11) -> list[list[int]]:
+    """Random lists of bits, longer over more fingerprints, so that buckets of unrelated ones stay small.
+
+    There are so many that at most MISS of the pairs at the similarity are missed, whatever n is.
+    """
     bits = min(20, max(12, (max(n, 1) // 64).bit_length()))
+    if miss_rate(bits, 1 << 20, tenths, width, radius) > MISS:
+        raise ValueError("the radius is too small for this similarity")
+    tables = 1
+    while miss_rate(bits, tables, tenths, width, radius) > MISS:
+        tables += max(1, tables // 16)
     rng = np.random.default_rng(seed)
-    return [sorted(rng.choice(64 * width, bits, replace=False).tolist()) for _ in range(tables * bits // 12)]
+    return [sorted(rng.choice(64 * width, bits, replace=False).tolist()) for _ in range(tables)]
 
 
 def bucket_keys(masks: list[list[int]], width: int) -> Column:
@@ -302,7 +324,8 @@ def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", n
 #: of 0.8 the mean is 39 and the deviation 6, so the radius misses about one such pair in a thousand and no other.
 WIDTH = 4
 WIDE_RADIUS = 60
-TABLES = 36
+#: Pairs at the similarity itself that the samples may miss; more similar ones are missed less.
+MISS = 0.01
 
 
 def similar_links(sets: list[np.ndarray], tenths: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +365,7 @@ def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: in
     words = [F.first(w).alias(w) for w in names_of(WIDTH)]
     prints = hold(fingerprint_table(texts, n, "t", ["key", "row"], WIDTH).groupBy(F.col("k0").alias("id")).agg(F.min("k1").alias("row"), *words))
     texts_n = prints.count()
-    chains = components(links(prints, WIDE_RADIUS, sampled_masks(texts_n, TABLES, WIDTH), WIDTH), texts_n)
+    chains = components(links(prints, WIDE_RADIUS, sampled_masks(texts_n, tenths, WIDTH, WIDE_RADIUS), WIDTH), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
     members = small_side(prints.join(chains, prints["id"] == chains["node"]).select(F.col("id").alias("key"), "row", F.col("root").alias("chain")), expected=texts_n)
     once = texts.join(members, ["key", "row"])

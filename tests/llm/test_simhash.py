@@ -104,3 +104,15 @@ def test_stage_drops_similar_texts_only(spark):
     assert out.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == want
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_masks_miss_few_pairs_at_any_size():
+    rng = np.random.default_rng(4)
+    differ = rng.random((20_000, 256)) < np.arccos(0.8 / 0.9) / np.pi  # bits of pairs of equal size at 0.8
+    for n in (1_000, 250_000, 3_000_000, 40_000_000):
+        masks = simhash.sampled_masks(n, tenths=8, width=4, radius=60)
+        found = np.zeros(len(differ), bool)
+        for bits in masks:
+            found |= ~differ[:, bits].any(axis=1)
+        found &= differ.sum(axis=1) <= 60
+        assert found.mean() > 0.985, (n, len(masks), found.mean())
