@@ -47,6 +47,13 @@ def shingle_hashes(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((xxh(raw[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist())), np.uint64, len(first)), shingles
 
 
+def different(hashes: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's different hashes, and their number."""
+    ends = np.cumsum(shingles)
+    own = [np.unique(hashes[e - c : e]) for e, c in zip(ends.tolist(), shingles.tolist())]
+    return np.concatenate(own) if own else hashes, np.array([len(x) for x in own], np.int64)
+
+
 def bit_counts(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     """How many of each text's hashes set each of the 64 bits; every text has one at least.
 
@@ -87,14 +94,20 @@ def names_of(width: int) -> list[str]:
     return [f"f{k}" for k in range(width)]
 
 
-def fingerprint_table(df: DataFrame, n: int, text: str, keep: list[str], width: int = 1) -> DataFrame:
-    """keep (renamed k0, k1, ...) and the fingerprint's words f0, f1, ... as signed longs. Null text is empty, so 0."""
+def fingerprint_table(df: DataFrame, n: int, text: str, keep: list[str], width: int = 1, as_sets: bool = False) -> DataFrame:
+    """keep (renamed k0, k1, ...) and the fingerprint's words f0, f1, ... as signed longs. Null text is empty, so 0.
+
+    As sets, a shingle counts once however often it stands in the text.
+    """
     source = W.lean(df).select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("__text"))
     kept, words = source.schema.fields[:-1], names_of(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.slices(batches, "__text"):
-            fp = fingerprints(*shingle_hashes(b.column("__text"), n), width).view(np.int64)
+            hashes, shingles = shingle_hashes(b.column("__text"), n)
+            if as_sets:
+                hashes, shingles = different(hashes, shingles)
+            fp = fingerprints(hashes, shingles, width).view(np.int64)
             yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], *[pa.array(np.ascontiguousarray(fp[:, k])) for k in range(width)]], names=[*[f.name for f in kept], *words])
 
     return source.mapInArrow(run, T.StructType([*kept, *[T.StructField(w, T.LongType()) for w in words]]))
@@ -310,8 +323,8 @@ def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", n
     """
     docs = hold(fingerprint_table(df, n, text, [id_col]))
     first = hold(docs.groupBy("f0").agg(F.min("k0").alias("least")))
-    different = first.count()
-    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, different)), different)
+    n_different = first.count()
+    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, n_different)), n_different)
     rooted = first.join(found.withColumnRenamed("node", "f0"), "f0", "left").select("f0", "least", F.coalesce("root", "f0").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("f0", "component_id")
@@ -363,7 +376,7 @@ def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: in
     """
     texts = df.select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(f"`{id_col}`").alias("row")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
     words = [F.first(w).alias(w) for w in names_of(WIDTH)]
-    prints = hold(fingerprint_table(texts, n, "t", ["key", "row"], WIDTH).groupBy(F.col("k0").alias("id")).agg(F.min("k1").alias("row"), *words))
+    prints = hold(fingerprint_table(texts, n, "t", ["key", "row"], WIDTH, as_sets=True).groupBy(F.col("k0").alias("id")).agg(F.min("k1").alias("row"), *words))
     texts_n = prints.count()
     chains = components(links(prints, WIDE_RADIUS, sampled_masks(texts_n, tenths, WIDTH, WIDE_RADIUS), WIDTH), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
