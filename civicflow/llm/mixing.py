@@ -1,20 +1,25 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source of weight k in a period of H slots releases its j-th block at floor(j*H/k) and must have it scheduled by
-ceil((j+1)*H/k); earliest-deadline-first over one slot a step meets all deadlines, so at any slot a source is less than
-one block from its share. At a period's end all are exactly there, so one period, bounded by its parameter, is
-scheduled and every later block takes its slot from it by arithmetic, without a pass over all blocks.
+A source whose share is w releases its j-th block at floor(j/w) and must have it scheduled by ceil((j+1)/w), in exact
+fractions of the weights themselves; earliest-deadline-first over one slot a step meets all deadlines, so at any slot a
+source that has not run out is less than one block from its share. The driver walks the blocks, not the rows, and keeps
+the sources' counts at the start of each range of blocks; tasks schedule the ranges from there.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import BROADCAST_ROWS
+
 BLOCK_ROWS = 16
 PERIOD = 2_000
 #: Sources are few and named by the caller's targets; this bounds what the driver holds.
@@ -22,25 +27,49 @@ MAX_SOURCES = 100_000
 BUCKET_ROWS = 5_000
 
 
-def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int]]:
-    """(source, block within the period, slot) for integer shares; the period is their sum."""
-    total = sum(shares.values())
-    names = sorted(shares)
-    waiting: list[tuple[int, int]] = [(0, i) for i in range(len(names))]  # release, source
+def walk(shares: Sequence[Fraction], blocks: Sequence[int], done: Sequence[int] | None = None, slot: int = 0) -> Iterator[tuple[int, int, int]]:
+    """(source, block, slot) of each block by rising slot, from a slot at which done blocks of the sources are scheduled.
+
+    shares sum to 1 at most. Ties go to the lesser source; slots for which no block is released stay empty.
+    """
+    num, den = [w.numerator for w in shares], [w.denominator for w in shares]
+    done = list(done) if done is not None else [0] * len(shares)
+    waiting = [(done[i] * den[i] // num[i], i) for i in range(len(shares)) if done[i] < blocks[i]]  # release, source
     heapq.heapify(waiting)
-    done = [0] * len(names)
     ready: list[tuple[int, int]] = []  # deadline, source
-    out = []
-    for slot in range(total):
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(done[i] + 1) * total // shares[names[i]]), i))
+            heapq.heappush(ready, (-(-(done[i] + 1) * den[i] // num[i]), i))
         _, i = heapq.heappop(ready)
-        out.append((names[i], done[i], slot))
+        yield i, done[i], slot
         done[i] += 1
-        if done[i] < shares[names[i]]:
-            heapq.heappush(waiting, (done[i] * total // shares[names[i]], i))
-    return out
+        slot += 1
+        if done[i] < blocks[i]:
+            heapq.heappush(waiting, (done[i] * den[i] // num[i], i))
+
+
+def ranges(shares: Sequence[Fraction], blocks: Sequence[int], size: int) -> Iterator[tuple[int, list[int]]]:
+    """Slot, and blocks done of each source, before every size-th block."""
+    done = [0] * len(shares)
+    for k, (i, _, slot) in enumerate(walk(shares, blocks)):
+        if k % size == 0:
+            yield slot, list(done)
+        done[i] += 1
+
+
+def exact_shares(weights: Mapping[str, float]) -> dict[str, Fraction]:
+    total = sum(map(Fraction, weights.values()))
+    return {s: Fraction(w) / total for s, w in weights.items()}
+
+
+def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int]]:
+    """(source, block within the period, slot) for integer shares; the period is their sum."""
+    names = sorted(shares)
+    exact = exact_shares(shares)
+    return [(names[i], j, t) for i, j, t in walk([exact[s] for s in names], [shares[s] for s in names])]
 
 
 def integer_shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -62,6 +91,8 @@ def tempered(counts: Mapping[str, int], power: float = 0.5) -> dict[str, float]:
 def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
     """df with mix_slot and mix_pos; sorting by both gives the mixture. All rows stay, each once.
 
+    A task schedules period blocks, or more of very many sources.
+
     targets gives each source's weight; without it, weights are the roots of the sources' row counts. Null sources are
     a source of their own; sources without a target get the least weight given. A source that has run out leaves its
     slots empty, the others keep their order and shares. Rows of a source are dealt into blocks by a hash of the id;
@@ -75,21 +106,34 @@ def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str =
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources; group them first")
     weights = {s: (targets.get(s) or min(x for x in targets.values() if x > 0)) for s in counts} if targets else tempered(counts)
-    shares = integer_shares(weights, period) if weights else {}
-    total = sum(shares.values())
+    shares = exact_shares(weights)
+    order = sorted(counts)
+    blocks = [-(-counts[s] // block_rows) for s in order]
     # Rows before a row in its source: those of earlier buckets and those before it in its own; buckets follow the size.
-    sizes = [(s, -(-n // BUCKET_ROWS), shares[s]) for s, n in counts.items()]
-    plan = spark.createDataFrame(sizes, "__s string, __nb int, __k int")
-    pattern = spark.createDataFrame([(s, j, t) for s, j, t in pfair_period(shares)] if shares else [], "__s string, __j int, __t int")
+    sizes = [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()]
+    plan = spark.createDataFrame(sizes, "__s string, __nb int")
+    slots = scheduled(spark, order, [shares[s] for s in order], blocks, max(period, 10 * len(order)))
+    slots = F.broadcast(slots) if sum(blocks) <= BROADCAST_ROWS else slots
     dealt = keyed.join(F.broadcast(plan), "__s").withColumn("__b", F.pmod("__h", F.col("__nb")).cast("int"))
     within = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", ident)) - 1
     lots = own.select(key.alias("__s"), F.xxhash64(ident).alias("__h")).join(F.broadcast(plan), "__s").groupBy("__s", F.pmod("__h", F.col("__nb")).cast("int").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
     before = lots.select("__s", "__b", (F.sum("__n").over(Window.partitionBy("__s").orderBy("__b")) - F.col("__n")).alias("__before"))
     ranked = dealt.withColumn("__r", within).join(before, ["__s", "__b"]).withColumn("__r", F.col("__r") + F.col("__before"))
-    block = F.floor(F.col("__r") / block_rows)
-    placed = ranked.withColumn("__block", block).withColumn("__j", (F.col("__block") % F.col("__k")).cast("int")).join(F.broadcast(pattern), ["__s", "__j"])
-    slot = F.floor(F.col("__block") / F.col("__k")) * F.lit(total) + F.col("__t")
-    return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], slot.cast("long").alias("mix_slot"), (F.col("__r") % block_rows).cast("int").alias("mix_pos"))
+    placed = ranked.withColumn("__j", F.floor(F.col("__r") / block_rows)).join(slots, ["__s", "__j"])
+    return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("__t").alias("mix_slot"), (F.col("__r") % block_rows).cast("int").alias("mix_pos"))
+
+
+def scheduled(spark: SparkSession, names: list[str], shares: list[Fraction], blocks: list[int], size: int) -> DataFrame:
+    """__s, __j, __t: the slot of each source's blocks, made in tasks of size blocks."""
+    starts = spark.createDataFrame(list(ranges(shares, blocks, size)), "slot long, done array<long>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for slot, done in zip(b.column("slot").to_pylist(), b.column("done").to_pylist()):
+                i, j, t = zip(*islice(walk(shares, blocks, done, slot), size))
+                yield pa.RecordBatch.from_arrays([pa.array([names[k] for k in i]), pa.array(j, pa.int64()), pa.array(t, pa.int64())], names=["__s", "__j", "__t"])
+
+    return starts.mapInArrow(run, "__s string, __j long, __t long")
 
 
 def mixed_order(df: DataFrame, targets: Mapping[str, float] | None = None, source: str = "source", id_col: str = "doc_id") -> DataFrame:

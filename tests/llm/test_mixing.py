@@ -51,3 +51,32 @@ def test_mixture_keeps_all_rows_and_shares(spark, targets, monkeypatch):
 def test_awkward_tables(spark):
     assert mixing.mix(frame(spark)).count() == frame(spark).count()
     assert mixing.mix(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 2}, {"a": 223.6, "b": 173.2, "c": 100.0, "d": 70.7}, {"a": 0.0001, "b": 0.9999}])
+def test_deviation_from_the_weights_over_many_periods(weights):
+    total, slots = sum(weights.values()), 60_000
+    names = sorted(weights)
+    shares = [mixing.exact_shares(weights)[s] for s in names]
+    blocks = [int(slots * weights[s] / total) for s in names]
+    done, every = Counter(), list(mixing.walk(shares, blocks))
+    for i, j, t in every:
+        if t >= slots - 20_000 // min(blocks):
+            break
+        assert done[i] == j
+        done[i] += 1
+        for k, s in enumerate(names):
+            assert done[k] == blocks[k] or abs(done[k] - (t + 1) * weights[s] / total) < 1 + 1e-6
+    starts = list(mixing.ranges(shares, blocks, 7_000))
+    assert every == [x for slot, held in starts for x, _ in zip(mixing.walk(shares, blocks, held, slot), range(7_000))]
+
+
+def test_mixture_follows_the_weights(spark):
+    # blocks of one row; a period of 2,000 slots in shares of 667 and 1,333 is off by a block after three periods
+    df = spark.range(9_000).selectExpr("id doc_id", "if(id < 3000, 'a', 'b') source")
+    slots = sorted((r["mix_slot"], r["source"]) for r in mixing.mix(df, {"a": 1, "b": 2}, block_rows=1).collect())
+    assert [t for t, _ in slots] == list(range(9_000))
+    done = 0
+    for t, s in slots:
+        done += s == "a"
+        assert abs(done - (t + 1) / 3) < 1
