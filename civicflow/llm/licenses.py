@@ -7,6 +7,7 @@ against the templates and chained into spans; a template that a chain covers wel
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -121,7 +122,7 @@ class Scanner:
         self.known = pa.array([w.encode() for w in self.names], pa.large_binary())
 
     def spans(self, runs: list[tuple[int, list[int]]]) -> list[tuple[str, int, int, float]]:
-        """(label, first word, end word, coverage) of the best chain of each template, from (place, codes) runs of a text."""
+        """(label, first word, end word, coverage) of each chain that covers its template, from (place, codes) runs of a text."""
         laid: dict[int, list[tuple[int, int, int]]] = {}
         for place, codes in runs:
             for end, length, state in self.automaton.stream(codes):
@@ -130,26 +131,54 @@ class Scanner:
                         laid.setdefault(t, []).append((place + end - length, e - length, length))
         out = []
         for t, found in sorted(laid.items()):
-            covered, first, end = self._chain(sorted(found))
-            if covered >= COVERAGE * self.sizes[t]:
-                out.append((self.labels[t], first, end, covered / self.sizes[t]))
+            out += [(self.labels[t], first, end, covered / self.sizes[t]) for first, end, covered in self._chains(sorted(found), COVERAGE * self.sizes[t])]
         return out
 
     @staticmethod
-    def _chain(found: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        """Most template words covered by matches in order, each at most MAX_GAP words after the one before it."""
-        best: list[tuple[int, int]] = []  # covered, first word
-        top = (0, 0, 0)
-        for k, (d, s, n) in enumerate(found):
-            covered, first = n, d
-            for j in range(k - 1, max(-1, k - 64), -1):
-                pd, ps, pn = found[j]
-                lap = max(0, pd + pn - d, ps + pn - s)  # words that both hold
-                if pd < d and ps < s and lap < n and d - pd - pn <= MAX_GAP and s - ps - pn <= MAX_GAP and best[j][0] + n - lap > covered:
-                    covered, first = best[j][0] + n - lap, best[j][1]
-            best.append((covered, first))
-            top = max(top, (covered, first, d + n), key=lambda x: x[0])
-        return top
+    def _chains(found: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
+        """(first word, end word, covered) of the chains that cover least template words or more, without common words.
+
+        A chain is of matches in order, each at most MAX_GAP words after the one before it. Chains that cover more come
+        first; what lies between those taken is searched again, in case better ones held parts of it.
+        """
+        out, todo = [], [found]
+        while todo:
+            found = todo.pop()
+            reach = max(n for _, _, n in found) + MAX_GAP
+            best: list[tuple[int, int]] = []  # covered, first word
+            for k, (d, s, n) in enumerate(found):
+                covered, first = n, d
+                for j in range(k - 1, -1, -1):
+                    pd, ps, pn = found[j]
+                    if d - pd > reach:
+                        break
+                    lap = max(0, pd + pn - d, ps + pn - s)  # words that both hold
+                    if pd < d and ps < s and lap < n and d - pd - pn <= MAX_GAP and s - ps - pn <= MAX_GAP and best[j][0] + n - lap > covered:
+                        covered, first = best[j][0] + n - lap, best[j][1]
+                best.append((covered, first))
+            taken: list[tuple[int, int, int]] = []
+            passed = False
+            for k in sorted((k for k, (covered, _) in enumerate(best) if covered >= least), key=lambda k: (-best[k][0], k)):
+                (covered, first), end = best[k], found[k][0] + found[k][2]
+                at = bisect_right(taken, (first, end, covered))
+                if (at and taken[at - 1][1] > first) or (at < len(taken) and taken[at][0] < end):
+                    passed = True
+                else:
+                    taken.insert(at, (first, end, covered))
+            out += taken
+            if passed:
+                ends = [end for _, end, _ in taken]
+                between: dict[int, list[tuple[int, int, int]]] = {}
+                for d, s, n in found:
+                    i = bisect_right(ends, d)
+                    while i <= len(taken) and (ends[i - 1] if i else -1) < d + n:
+                        a = max(d, ends[i - 1]) if i else d
+                        b = min(d + n, taken[i][0]) if i < len(taken) else d + n
+                        if b - a >= MIN_RUN:
+                            between.setdefault(i, []).append((a, s + a - d, b - a))
+                        i += 1
+                todo += [sorted(x) for x in between.values()]
+        return sorted(out)
 
     def scan(self, texts: pa.Array) -> list[dict]:
         w = W.split_words(texts, lower=True, classes=W.ALNUM)
@@ -195,8 +224,8 @@ def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id", tem
     """id_col, n_words, n_base, first_word, last_word, base_labels, labels, score and spans of each text.
 
     Base labels come from phrases, others from templates that a chain of long matches covers; score is the largest
-    coverage. Null and empty texts have no words and labels and score 0; texts are read whole; equal chains keep the
-    first; repeated rows repeat; an empty table gives no rows; other columns are not read. The automaton has at most
+    coverage. Each place that covers a template is a span. Null and empty texts have no words and labels and score 0; texts are read whole; of
+    equal chains that share words the first stays; repeated rows repeat; an empty table gives no rows; other columns are not read. The automaton has at most
     two states a template word, so what tasks get is bounded by the templates.
     """
     source = W.lean(df).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))

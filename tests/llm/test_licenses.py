@@ -53,3 +53,20 @@ def test_automaton_gives_matching_statistics(templates, text):
 
 def test_scan_of_nothing():
     assert licenses.Scanner().scan(pa.array([], pa.string())) == []
+
+
+def test_each_copy_of_a_licence_is_a_span(spark):
+    mit, apache = licenses.TEMPLATES[1][1], licenses.TEMPLATES[3][1]
+    size = {x: len(licenses.template_words(x)) for x in (mit, apache)}
+    some = [f"x{i}" for i in range(40)]
+    parts = [*some, mit, *some, mit, mit, apache, *some, mit.rsplit(" ", 8)[0], *some, apache]
+    want, at = [], 0
+    for part in parts:
+        n = len(licenses.template_words(part))
+        if n > 1:
+            want.append(("mit" if "hereby" in part else "apache", at, at + n, n / size[mit if "hereby" in part else apache]))
+        at += n
+    found = licenses.Scanner([("mit", mit), ("apache", apache)]).scan(pa.array([" ".join(parts), " ".join([mit] * 500), mit]))
+    assert sorted(found[0]["spans"], key=lambda s: s[1]) == want
+    assert [s[1:3] for s in found[1]["spans"]] == [(k * size[mit], (k + 1) * size[mit]) for k in range(500)]
+    assert len(found[2]["spans"]) == 1
