@@ -116,12 +116,3 @@ def test_masks_miss_few_pairs_at_any_size():
             found |= ~differ[:, bits].any(axis=1)
         found &= differ.sum(axis=1) <= 60
         assert found.mean() > 0.985, (n, len(masks), found.mean())
-
-
-def test_repeats_do_not_hide_similar_texts(spark):
-    rng = random.Random(8)
-    body = " ".join(f"b{rng.randrange(10**6)}" for _ in range(104))
-    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(10))
-    rows = [(i, " ".join([body] + [passage] * times)) for i, times in enumerate((1, 20, 40))]
-    kept = simhash.drop_near_duplicates(frame(spark, []).limit(0).select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
-    assert [r["doc_id"] for r in kept] == [0]
