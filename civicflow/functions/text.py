@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -169,3 +171,35 @@ def emails_in(c: Column) -> Column:
 def strip_formulas(c: Column) -> Column:
     """Spreadsheet text formulas, ="text", as plain quoted text."""
     return F.regexp_replace(c, '(^|,)="', '$1"')
+
+
+def first_email(c: Column) -> Column:
+    """The first address; '' without one."""
+    return F.regexp_extract(c, "[a-zA-Z0-9_.]+@[a-zA-Z0-9_.]+", 0)
+
+
+def anchor_text(c: Column) -> Column:
+    """What the first link of some HTML shows; '' without one."""
+    return F.regexp_extract(c, "<a[^>]+>(.*?)</a", 1)
+
+
+def lone_budget_code(c: Column, skip: str) -> Column:
+    """The ten digits of the only code in a list with commas, leaving out items that hold skip; shorter ones are led by 20 or 00."""
+    items = F.filter(F.split(c, ","), lambda x: ~x.contains(skip))
+    digits = F.regexp_replace(F.get(items, F.lit(0)), "[^0-9]", "")
+    digits = F.when(F.length(digits) == 6, F.concat(F.lit("20"), digits)).otherwise(digits)
+    digits = F.when(F.length(digits) == 8, F.concat(F.lit("00"), digits)).otherwise(digits)
+    return F.when((F.size(items) == 1) & (F.length(digits) == 10), digits)
+
+
+def without_prefixes(c: Column, prefixes: Sequence[str]) -> Column:
+    """Each prefix cut off once, in the order given, where the text then begins with it."""
+    for p in prefixes:
+        c = F.when(c.startswith(p), c.substr(F.lit(len(p) + 1), F.length(c))).otherwise(c)
+    return c
+
+
+def corrected(c: Column, fixes: Mapping[str, str]) -> Column:
+    """The fix of a text that has one; others stay."""
+    table = F.create_map(*[F.lit(x) for pair in fixes.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, c), c)

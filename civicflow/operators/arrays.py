@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..state.lineage import cut
 from .project import q
 
 
@@ -116,13 +117,16 @@ def top_items(array: Column, by: str, most: int = 10) -> Column:
     return F.transform(F.slice(F.array_sort(keyed), 1, most), lambda x: x["v"])
 
 
-def tree_paths(df: DataFrame, ident: str, parent: str, title: str, depth: int = 8) -> DataFrame:
-    """ident and path of each node of a forest: the titles from its root. Levels join one after another."""
-    nodes = df.select(q(ident).alias("id"), q(parent).alias("up"), q(title).alias("t"))
-    level = nodes.where("up is null").select("id", F.array("t").alias("path"))
+def tree_paths(df: DataFrame, ident: str, parent: str, title: str) -> DataFrame:
+    """ident and path of each node of a forest: the titles from its root. Levels join one after another to the deepest.
+
+    Nodes that no root reaches have no path; a node that is its own ancestor is one of them.
+    """
+    nodes = cut(df.select(q(ident).alias("id"), q(parent).alias("up"), q(title).alias("t")))
+    level = cut(nodes.where("up is null").select("id", F.array("t").alias("path")))
     out = level
-    for _ in range(depth - 1):
-        level = nodes.join(level.withColumnRenamed("id", "up"), "up").select("id", F.concat("path", F.array("t")).alias("path"))
+    while not level.isEmpty():
+        level = cut(nodes.join(level.withColumnRenamed("id", "up"), "up").select("id", F.concat("path", F.array("t")).alias("path")))
         out = out.unionByName(level)
     return out.withColumnRenamed("id", ident)
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,3 +206,15 @@ def flow(df: DataFrame, *steps: Step) -> DataFrame:
     for step in steps:
         df = step(df)
     return df
+
+
+def tapped(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
+    """df, and what passes through it once it has run: n rows and the measures given, at no extra pass."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in measures.items()]), seen
+
+
+def long_ids(df: DataFrame, ident: str, most: int = 400) -> tuple[DataFrame, Observation]:
+    """df, and how many of its ids are over so many bytes, as too_long, with one of them as example."""
+    long_ = F.octet_length(q(ident)) > most
+    return tapped(df, "long_ids", too_long=F.count(F.when(long_, 1)), example=F.max(F.when(long_, q(ident))))

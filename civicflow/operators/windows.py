@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..state.lineage import cut
 from .project import q
 
 
@@ -41,15 +42,24 @@ def fill_forward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
     return df
 
 
-def fill_forward_all(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], slots: int = 64) -> DataFrame:
+#: Rows of a range that one task orders.
+RANGE_ROWS = 1_000_000
+
+
+def in_ranges(df: DataFrame, order_by: Sequence[str], rows: int = RANGE_ROWS) -> DataFrame:
+    """df with __part, the number of the range of order_by that a row is in: as many as its rows need, and written once,
+    as the numbers must hold for all uses."""
+    n = max(1, -(-df.count() // rows))
+    return cut(df.repartitionByRange(n, *map(q, order_by)).withColumn("__part", F.spark_partition_id()))
+
+
+def fill_forward_all(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], rows: int = RANGE_ROWS) -> DataFrame:
     """Forward fill over a whole table in its order, without one task for all rows.
 
     Rows are range-partitioned; each partition fills within itself, and its start is filled from the last values of
     the partitions before it, of which there is one row each.
     """
-    spread = df.repartitionByRange(slots, *map(q, order_by)).withColumn("__part", F.spark_partition_id())
-    # One evaluation, as the partition numbers must hold for both uses.
-    spread = spread.persist()
+    spread = in_ranges(df, order_by, rows)
     w = Window.partitionBy("__part").orderBy(*map(q, order_by)).rowsBetween(Window.unboundedPreceding, 0)
     order = F.struct(*map(q, order_by))
     ends = spread.groupBy("__part").agg(*[F.max_by(q(c), F.when(q(c).isNotNull(), order)).alias(c) for c in columns])
@@ -58,7 +68,7 @@ def fill_forward_all(df: DataFrame, columns: Sequence[str], order_by: Sequence[s
     filled = spread
     for c in columns:
         filled = filled.withColumn(c, F.last(q(c), ignorenulls=True).over(w))
-    joined = filled.join(starts, "__part", "left")
+    joined = filled.join(F.broadcast(starts), "__part", "left")  # one row a range
     return joined.select(*[F.coalesce(q(c), q(f"__s_{c}")).alias(c) if c in columns else q(c) for c in df.columns])
 
 
@@ -91,13 +101,18 @@ def gaps_filled(df: DataFrame, keys: Sequence[str], time: str, item: str, value:
     return carry_known(grid, [*keys, item], [time], value)
 
 
-def pages(df: DataFrame, order_by: Sequence[str], size: int = 10_000, name: str = "page") -> DataFrame:
-    """Page numbers of rows in an order: ranges are counted first, so that no task sorts all rows."""
-    spread = df.repartitionByRange(64, *map(q, order_by)).withColumn("__part", F.spark_partition_id()).persist()
+def numbered(df: DataFrame, order_by: Sequence[str], name: str = "index", rows: int = RANGE_ROWS) -> DataFrame:
+    """Row numbers from 0 on in an order: ranges are counted first, so that no task sorts all rows."""
+    spread = in_ranges(df, order_by, rows)
     counts = spread.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     rn = F.row_number().over(Window.partitionBy("__part").orderBy(*map(q, order_by))) + F.col("__before") - 1
-    return spread.join(before, "__part").withColumn(name, F.floor(rn / size).cast("long")).drop("__part", "__before")
+    return spread.join(F.broadcast(before), "__part").withColumn(name, rn).drop("__part", "__before")  # one row a range
+
+
+def pages(df: DataFrame, order_by: Sequence[str], size: int = 10_000, name: str = "page") -> DataFrame:
+    """Page numbers of rows in an order."""
+    return numbered(df, order_by, "__at").withColumn(name, F.floor(F.col("__at") / size).cast("long")).drop("__at")
 
 
 def log_sample(df: DataFrame, index: str) -> DataFrame:

@@ -69,22 +69,31 @@ def _any_moved(measures: Sequence[str]) -> Column:
     return moved
 
 
-def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES, known: DataFrame | None = None) -> DataFrame:
     """group_id of each change code: transfers of the reserve on one date kind that sum to zero in all measures.
 
     df: trcode, date_kind, budget_code, leading_item and measures. Groups have two to six changes of different leading
     items, small groups first; other changes stand alone. A group's id is its first change of positive sum, else its
     first. Pairs of a date kind are few hundred rows: each is one task's, its rows already summed.
+
+    known: date_kind, serial, trcodes (an array), the groups of an earlier run as group_cache gives them. Those all of
+    whose codes are still there are taken before any search, in the order of serial.
     """
     changes = df.where(F.col("leading_item") != 47)
     reserve = changes.where(F.col("budget_code").startswith("0047") & _any_moved(measures))
     lines = reserve.select("date_kind", "trcode", "leading_item", *[F.round(F.coalesce(q(m), F.lit(0)).cast("double") * 1000).cast("long").alias(m) for m in measures])
     sums = changes.where(~F.col("budget_code").startswith("0047")).groupBy("trcode").agg(F.sum(sum((F.coalesce(q(m).cast("double"), F.lit(0.0)) for m in measures), F.lit(0.0))).alias("total"))
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+    def search(pdf: pd.DataFrame, cached: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["trcode", *measures]).reset_index(drop=True)
         left = [(i, r.leading_item, tuple(int(getattr(r, m)) for m in measures)) for i, r in enumerate(pdf.itertuples())]
-        out, serial = [], 0
+        out, serial, open_ = [], 0, set(pdf.trcode)
+        for codes in cached.sort_values("serial").trcodes if open_ else []:
+            if open_.issuperset(codes):
+                out += [(pdf.date_kind.iloc[0], serial, c) for c in codes]
+                serial += 1
+                open_.difference_update(codes)
+        left = [x for x in left if pdf.trcode.iloc[x[0]] in open_]
         for size in SIZES:
             groups, rest = _balanced(left, size)
             for g in groups:
@@ -96,7 +105,9 @@ def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFram
             serial += 1
         return pd.DataFrame(out, columns=["date_kind", "serial", "trcode"])
 
-    found = lines.groupBy("date_kind").applyInPandas(search, "date_kind string, serial long, trcode string").distinct()
+    if known is None:
+        known = df.sparkSession.createDataFrame([], "date_kind string, serial long, trcodes array<string>")
+    found = lines.groupBy("date_kind").cogroup(known.groupBy("date_kind")).applyInPandas(search, "date_kind string, serial long, trcode string").distinct()
     signed = found.join(sums, "trcode", "left")
     named = signed.groupBy("date_kind", "serial").agg(F.coalesce(F.min(F.when(F.col("total") > 0, F.col("trcode"))), F.min("trcode")).alias("group_id"), F.count(F.lit(1)).alias("size"))
     grouped = found.join(named, ["date_kind", "serial"]).select("trcode", "group_id", "size")
@@ -104,6 +115,12 @@ def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFram
     return grouped.unionByName(alone)
 
 
+def group_cache(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """date_kind, serial, trcodes of the reserve's groups in what change_groups gave for df, for its next run."""
+    codes = df.where((F.col("leading_item") != 47) & F.col("budget_code").startswith("0047")).select("date_kind", "trcode").distinct()
+    return groups.join(codes, "trcode").groupBy("date_kind", "group_id").agg(F.array_sort(F.collect_set("trcode")).alias("trcodes")).select("date_kind", F.crc32("group_id").alias("serial"), "trcodes")
+
+
 def zero_sum_pairs(df: DataFrame, keys: Sequence[str], ident: str, amount: str) -> DataFrame:
     """Pairs of rows of a key whose amounts cancel, by an equality join on the amount's size: the n-th of each sign meet."""
     from pyspark.sql.window import Window

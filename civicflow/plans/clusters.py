@@ -7,59 +7,80 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import hebrew_only
+from ..operators.chains import components, label_chains
 from ..operators.project import q
 from ..operators.windows import top_and_others
-from ..state.lineage import cut
-from ..udfs.fuzzy import partial_ratio
-
-
-def similar_titles(titles: list[str], threshold: int = 90) -> dict[str, str]:
-    """The name of each title's cluster: single linkage, named by the run of words of its longest title that others share."""
-    ordered = sorted(titles)
-    root = list(range(len(ordered)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, a in enumerate(ordered):
-        for j in range(i):
-            if find(i) != find(j) and partial_ratio(a, ordered[j]) >= threshold:
-                root[find(i)] = find(j)
-    members = defaultdict(list)
-    for i, t in enumerate(ordered):
-        members[find(i)].append(t)
-    out = {}
-    for own in members.values():
-        longest = max(own, key=lambda t: (len(t), t))
-        run: list[str] = []
-        for word in longest.split():
-            if sum(partial_ratio(word, t) >= threshold for t in own) > 1:
-                run.append(word)
-            elif run:
-                break
-        out |= dict.fromkeys(own, " ".join(run) or longest)
-    return out
+from ..udfs.fuzzy import partial_ratio, similarity
+
+
+#: Titles are similar at this score of a hundred.
+SIMILAR = 90
+
+
+def title_keys(df: DataFrame, side: str) -> DataFrame:
+    """df (title t) with gram: runs of characters one of which similar titles share.
+
+    A title of 10 characters or more that is similar to another has at most a tenth of its own amiss or a fifth cut off,
+    so three in a row agree; a shorter one is contained, but for what is cut off. Of one or two characters, it is whole.
+    """
+    n = F.length("t")
+    grams = lambda k: F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.col("t").substr(i, F.lit(k)))
+    short = F.when(n < 3, F.array("t")).otherwise(grams(3))
+    every = F.when(n < 2, grams(1)).when(n < 3, F.concat(grams(1), grams(2))).otherwise(F.concat(grams(1), grams(2), grams(3)))
+    return df.withColumn("gram", F.explode(F.array_distinct(short if side == "short" else every)))
+
+
+def cluster_name(titles: list[str]) -> str:
+    """The run of words of the longest title that others share."""
+    longest = max(titles, key=lambda t: (len(t), t))
+    run: list[str] = []
+    for word in longest.split():
+        if sum(partial_ratio(word, t) >= SIMILAR for t in titles) > 1:
+            run.append(word)
+        elif run:
+            break
+    return " ".join(run) or longest
+
+
+def similar_titles(titles: DataFrame) -> DataFrame:
+    """k, t of each title with tag, the name of its cluster: single linkage by similarity within a key k.
+
+    Titles of a key meet where they share a gram, and pairs are scored wherever they are; only a cluster's own titles
+    come to one task, for its name. What two similar titles do not share touches at most 0.71 grams a character of the
+    shorter, so its rarest grams, one more than those, are enough, and the commonest never bring titles together.
+    """
+    ids = titles.withColumn("id", F.xxhash64("k", "t"))
+    b = title_keys(ids, "long").select("k", "gram", F.col("t").alias("t2"), F.col("id").alias("b"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("n", "gram"))
+    a = title_keys(ids, "short").join(b.groupBy("k", "gram").agg(F.count(F.lit(1)).alias("n")), ["k", "gram"])
+    a = a.select("k", "gram", F.col("t").alias("t1"), F.col("id").alias("a"), "n").withColumn("r", rank).where(F.col("r") <= F.floor(0.71 * F.length("t1")) + 1).drop("r", "n")
+    # The shorter of two titles looks for the longer; of equal length the lesser does.
+    first = F.struct(F.length("t1"), "t1") < F.struct(F.length("t2"), "t2")
+    pairs = a.join(b, ["k", "gram"]).where(first).select("a", "b", "t1", "t2").distinct()
+    near = pairs.where(similarity("partial")("t2", "t1") >= SIMILAR).select("a", "b")
+    found = components(near).select(F.col("node").alias("id"), "root")
+
+    def name(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"root": [pdf["root"].iloc[0]], "tag": [cluster_name(pdf["t"].tolist())]})
+
+    grouped = ids.join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    names = grouped.join(found.select("root").distinct(), "root", "left_semi").select("root", "t").groupBy("root").applyInPandas(name, "root long, tag string")
+    return grouped.join(names, "root", "left").select("k", "t", F.coalesce("tag", "t").alias("tag"))
 
 
 def spending_clusters(df: DataFrame, keys: list[str], title: str = "title", amount: str = "amount", most: int = 4, others: str = "אחרים") -> DataFrame:
     """tag, amount, count, amounts of the largest clusters of similar titles of a key, and of all others together.
 
-    Amounts are summed by title before a task sees a key's different titles; amounts themselves never gather there.
+    Amounts are summed by title first; amounts themselves never gather in a task.
     """
     rows = df.where(q(title).isNotNull() & (q(title) != "") & q(amount).isNotNull() & (q(amount) != 0))
     by_title = rows.groupBy(*map(q, keys), q(title).alias("t")).agg(F.sum(q(amount).cast("double")).alias("amount"), F.count(F.lit(1)).alias("count"))
-
-    def tag(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[[*keys, "t"]].assign(tag=pdf["t"].map(similar_titles(pdf["t"].tolist())))
-
-    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    tags = by_title.select(*map(q, keys), "t").groupBy(*map(q, keys)).applyInPandas(tag, f"{kinds}, t string, tag string")
-    tagged = by_title.join(tags, [*keys, "t"]).groupBy(*map(q, keys), "tag").agg(F.sum("amount").alias("amount"), F.sum("count").alias("count"))
+    by_title = by_title.withColumn("k", F.to_json(F.struct(*map(q, keys))))
+    tags = similar_titles(by_title.select("k", "t"))
+    tagged = by_title.join(tags, ["k", "t"]).groupBy(*map(q, keys), "tag").agg(F.sum("amount").alias("amount"), F.sum("count").alias("count"))
     return top_and_others(tagged, keys, "tag", ["amount", "count"], most, others)
 
 
@@ -110,20 +131,3 @@ def program_keys(df: DataFrame) -> DataFrame:
     keyed = distinct.join(chains, ["budget_code", "__short"]).groupBy("chain").applyInPandas(assign, kinds)
     joined = marked.join(keyed.withColumnRenamed("year", "year_requested"), ["budget_code", "__short", "year_requested"], "left")
     return joined.select(*map(q, df.columns), "program_key")
-
-
-def label_chains(pairs: DataFrame, a: str, b: str, rounds: int = 30) -> DataFrame:
-    """chain of each pair: the least pair label that alternating shared values of a and of b reach."""
-    now = pairs.withColumn("chain", F.concat_ws("/", q(a), q(b)))
-    seen = None
-    for _ in range(rounds):
-        by_a = now.groupBy(q(a)).agg(F.min("chain").alias("__c"))
-        now = now.drop("chain").join(by_a, a).withColumnRenamed("__c", "chain")
-        by_b = now.groupBy(q(b)).agg(F.min("chain").alias("__c"))
-        now = now.drop("chain").join(by_b, b).withColumnRenamed("__c", "chain")
-        now = cut(now.select(q(a), q(b), "chain"))
-        total = now.agg(F.sum(F.xxhash64(q(a), q(b), F.col("chain")).cast("decimal(38,0)"))).first()[0]
-        if total == seen:
-            break
-        seen = total
-    return now

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clusters import label_chains
+from ..operators.chains import label_chains
 
 EVIDENCE = ("manager_name", "phone", "name")
 

@@ -507,9 +507,7 @@ def q_gaps_filled(t: Tables) -> DataFrame:
 
 @query("select event_id from (select event_id, row_number() over (order by event_id) - 1 as i from events) where i <= 10 or i - cast(pow(10, floor(log10(greatest(i, 1)))) as bigint) <= 10")
 def q_log_sample(t: Tables) -> DataFrame:
-    first = t.events.agg(F.min("event_id").alias("lo"))
-    rows = t.events.join(F.broadcast(first)).withColumn("i", F.col("event_id") - F.col("lo"))  # event ids are dense
-    return windows.log_sample(rows, "i").select("event_id")
+    return windows.log_sample(windows.numbered(t.events.select("event_id"), ["event_id"], "i"), "i").select("event_id")
 
 
 # --- set operations, arrays, JSON -------------------------------------------------------------------------------

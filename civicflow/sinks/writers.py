@@ -59,13 +59,18 @@ def dump(package: Package, folder: str, format: str = "csv", partition_by: Seque
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", keys: Sequence[str] = (), buckets: int = 0) -> None:
-    """A catalogue table; mode update replaces rows of the same key. Bucketing by the key lets later joins skip a shuffle."""
+    """A catalogue table: overwritten, appended to, or updated, which replaces rows of the same key.
+
+    Bucketing by the key lets later joins skip a shuffle; a table that is updated is partitioned by a hash of its key.
+    """
     from ..state.upsert import upsert_table
 
     if mode == "update":
-        upsert_table(df, name, keys)
+        upsert_table(df, name, keys, buckets=buckets or None)
         return
-    writer = df.write.mode("overwrite")
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    writer = df.write.mode(mode)
     if buckets and keys:
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     writer.saveAsTable(name)
@@ -119,10 +124,21 @@ def rolling_json(df: DataFrame, path: str, rows_per_file: int) -> None:
     search_documents(df).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(path)
 
 
-def collated_documents(package: Package, order_by: dict[str, Sequence[str]]) -> DataFrame:
-    """One document a table: its name and its rows in order as JSON. For small tables; each is one value."""
+def json_lines(package: Package, folder: str) -> None:
+    """Each table's rows as JSON lines under its name; of any size."""
+    for name, df in package.resources.items():
+        search_documents(df).write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def collated_documents(package: Package, order_by: dict[str, Sequence[str]], most: int = 100_000) -> DataFrame:
+    """One document a table: its name and its rows in order as JSON.
+
+    Each document is one value, so a table of over most rows raises; write it with json_lines instead.
+    """
     out = None
     for name, df in package.resources.items():
+        if df.limit(most + 1).count() > most:
+            raise ValueError(f"{name} has over {most} rows")
         rows = F.array_sort(F.collect_list(F.struct(F.struct(*map(q, order_by[name])).alias("o"), F.to_json(F.struct(*map(q, df.columns))).alias("v"))))
         one = df.agg(F.transform(rows, lambda x: x["v"]).alias("rows")).select(F.lit(name).alias("key"), F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")).alias("value"))
         out = one if out is None else out.unionByName(one)
@@ -150,20 +166,3 @@ def sitemap_index(pages: DataFrame, base: str) -> DataFrame:
 def for_each_row(df: DataFrame, send: Callable[[dict], None]) -> None:
     """Hand rows to a service, one after another in each partition. A row may be sent again if a task fails."""
     df.foreachPartition(lambda rows: [send(r.asDict(True)) for r in rows] and None)
-
-
-def workbook(tables: dict[str, DataFrame], path: str, rows: int = 100_000) -> None:
-    """A spreadsheet with a sheet a table, for reports that people read; needs openpyxl, and refuses larger tables."""
-    try:
-        import openpyxl
-    except ImportError as e:
-        raise RuntimeError("workbooks need the openpyxl library; write CSV with dump() instead") from e
-    book = openpyxl.Workbook(write_only=True)
-    for name, df in tables.items():
-        if df.limit(rows + 1).count() > rows:
-            raise ValueError(f"{name} has over {rows} rows")
-        sheet = book.create_sheet(name[:31])
-        sheet.append(df.columns)
-        for r in df.toLocalIterator():
-            sheet.append([None if v is None else v if isinstance(v, (int, float)) else str(v) for v in r])
-    book.save(path)

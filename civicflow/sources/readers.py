@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +38,13 @@ def readable(encoding: str) -> tuple[str, Callable[[Column], Column]]:
     return "iso-8859-1", lambda c: F.translate(c, old, new)
 
 
-def csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "utf-8", separator: str = ",", missing: str = "") -> DataFrame:
-    """Text columns of a CSV file with a header; fields may be of any length and hold line breaks."""
+def csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "utf-8", separator: str = ",", missing: str = "", multiline: bool = True) -> DataFrame:
+    """Text columns of a CSV file with a header; fields may be of any length and hold line breaks.
+
+    Where no field holds one, multiline=False lets many tasks read one file.
+    """
     encoding, fix = readable(encoding)
-    reader = spark.read.option("header", True).option("multiLine", True).option("maxCharsPerColumn", -1).option("escape", '"').option("encoding", encoding).option("sep", separator).option("nullValue", missing).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("maxCharsPerColumn", -1).option("escape", '"').option("encoding", encoding).option("sep", separator).option("nullValue", missing).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = reader.csv(path)
@@ -68,11 +73,12 @@ def json_rows(spark: SparkSession, path: str, property: str | None = None, schem
         return (reader.schema(schema) if schema else reader).json(path)
     whole = spark.read.text(path, wholetext=True)
     item = F.get_json_object("value", "$." + property)
-    if schema is None:
-        sample = whole.select(F.schema_of_json(F.lit(whole.select(item).first()[0]))).first()[0]
-    else:
-        sample = f"array<struct<{schema}>>"
-    return whole.select(F.explode(F.from_json(item, sample)).alias("r")).select("r.*")
+    if schema is None:  # the fields of all files; numbers with fractions are doubles, mixed kinds text
+        found = whole.agg(F.schema_of_variant_agg(F.try_parse_json(item))).first()[0]
+        kind = re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+        kind = re.sub(r"\b(VOID|VARIANT)\b", "STRING", kind)
+        return whole.select(F.explode(F.from_json(item, kind)).alias("r")).select("r.*")
+    return whole.select(F.explode(F.from_json(item, f"array<struct<{schema}>>")).alias("r")).select("r.*")
 
 
 def json_pairs(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
@@ -199,3 +205,15 @@ def form_fields(html):
     items = F.transform(pairs, lambda p: F.struct(F.regexp_extract(p, r'(?i)fieldalias="([^"]*)"', 1).alias("k"), F.trim(F.regexp_extract(p, r">([^<]*)$", 1)).alias("v")))
     keys = F.array_distinct(F.transform(items, lambda x: x["k"]))
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(F.filter(items, lambda x: x["k"] == k), lambda x: x["v"])))
+
+
+def unless_written(df: DataFrame, path: str, least: int = 100 * 1024) -> DataFrame:
+    """df, or none of its rows if the files under the path hold more than least bytes already."""
+    spark = df.sparkSession
+    try:
+        there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.sum("length")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        there = 0
+    return df.limit(0) if (there or 0) > least else df

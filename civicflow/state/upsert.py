@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.project import q
+from .lineage import cut
 
 
 def upsert(old: DataFrame | None, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -28,11 +29,40 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: Sequence[str], order_by:
     return old.join(changed, on, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def upsert_table(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[str] = ()) -> None:
-    """The catalogue table's next version, written beside it and put in its place."""
+#: Partitions of a table that is updated, unless the first update says otherwise, and the column they go by.
+BUCKETS, BUCKET = 64, "__bucket"
+
+
+def upsert_table(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[str] = (), buckets: int | None = None) -> None:
+    """Updates a catalogue table by key. It is partitioned by a hash of the key in the column __bucket.
+
+    Only partitions with new rows are read and written, each replaced when all of it is there; what the update reads is
+    checkpointed first, so a run that fails leaves the old partitions and can be repeated. The number of partitions is
+    kept in the table's properties.
+    """
     spark = df.sparkSession
-    old = spark.table(name) if spark.catalog.tableExists(name) else None
-    upsert(old, df, keys, order_by).write.mode("overwrite").saveAsTable(f"{name}__next")
-    spark.sql(f"drop table if exists {name}")
-    spark.sql(f"alter table {name}__next rename to {name}")
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        kept = spark.sql(f"show tblproperties {name}").where("key = 'buckets'").first()
+        if kept is None:
+            raise ValueError(f"{name} is not a table that save_table made for updates")
+        buckets = int(kept["value"])
+    buckets = buckets or BUCKETS
+    place = F.pmod(F.xxhash64(*[q(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    new = cut(df)
+    if not exists:
+        upsert(None, new, keys, order_by).withColumn(BUCKET, place).repartition(BUCKET).write.partitionBy(BUCKET).saveAsTable(name)
+        spark.sql(f"alter table {name} set tblproperties ('buckets' = '{buckets}')")
+        return
+    touched = [r[0] for r in new.select(place).distinct().collect()]  # at most one number a bucket
+    stored = spark.table(name)
+    old = cut(stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET))
+    out = upsert(old, new, keys, order_by).withColumn(BUCKET, place).select(*map(q, stored.columns)).repartition(BUCKET)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # only partitions that out has rows of are replaced
+    try:
+        out.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
     spark.catalog.refreshTable(name)

@@ -21,11 +21,11 @@ def read_files(spark: SparkSession, path: str, schema, per_trigger: int = 100, f
     return reader.format(format).load(path)
 
 
-def keep_revisions(stream: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str], clock: Callable[[], dt.datetime], checkpoint: str) -> StreamingQuery:
+def keep_revisions(stream: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str], clock: Callable[[int], dt.datetime], checkpoint: str) -> StreamingQuery:
     """The table holds the last row of each key with its revision status.
 
-    A batch that runs again after a failure finds its own rows in the table with the same hashes, so that it only
-    touches their times.
+    clock gives the time of a batch by its number, the same however often the batch runs. A batch that runs again after
+    a failure finds its own rows in the table with the same hashes and times.
     """
 
     def batch(df: DataFrame, epoch: int) -> None:
@@ -34,7 +34,7 @@ def keep_revisions(stream: DataFrame, table: str, keys: Sequence[str], order_by:
         last = df.groupBy(*map(q, keys)).agg(F.max_by(F.struct(*map(q, rest)), F.struct(*map(q, order_by))).alias("__r"))
         last = last.select(*[q(c) if c in keys else F.col("__r")[c].alias(c) for c in df.columns])
         stored = spark.table(table) if spark.catalog.tableExists(table) else None
-        upsert_table(manage_revisions(last, stored, keys, clock()), table, keys)
+        upsert_table(manage_revisions(last, stored, keys, clock(epoch)), table, keys)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

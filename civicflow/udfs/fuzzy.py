@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.chains import looked_up
 from ..operators.project import q
+from ..state.lineage import cut
 
 
 def ratio(a: str, b: str) -> int:
@@ -65,18 +67,36 @@ def similarity(kind: str = "partial"):
     return score
 
 
-def best_match(df: DataFrame, candidates: DataFrame, text: str, candidate: str, blocks: Sequence[str], threshold: int, kind: str = "ratio", row_id: Sequence[str] = (), keep_below: bool = False) -> DataFrame:
-    """df with match and match_score: the best candidate of the same block columns.
+#: Texts of a block that meet its candidates in one group.
+BLOCK_TEXTS = 500
 
-    Candidates meet a row through an equality join on the blocks, never all with all; different texts are scored once.
-    Below the threshold there is no match unless keep_below.
+
+def best_match(df: DataFrame, candidates: DataFrame, text: str, candidate: str, blocks: Sequence[str], threshold: int, kind: str = "ratio", keep_below: bool = False) -> DataFrame:
+    """df with match and match_score: the best candidate of the same block columns; of equal scores the greatest text.
+
+    Candidates meet a row through an equality join on the blocks, never all with all; different texts are scored once,
+    those of a large block in groups of BLOCK_TEXTS. Plain ratios whose lengths alone rule out the threshold are not
+    scored. Below the threshold there is no match unless keep_below.
     """
-    texts = df.select(*map(q, blocks), q(text).alias("__t")).where(F.col("__t").isNotNull()).distinct()
-    options = candidates.select(*map(q, blocks), q(candidate).alias("__c")).where(F.col("__c").isNotNull()).distinct()
-    scored = texts.join(options, list(blocks)).withColumn("__s", similarity(kind)("__t", "__c"))
-    best = scored.groupBy(*map(q, blocks), "__t").agg(F.max(F.struct("__s", "__c")).alias("__b"))
+    if not blocks:
+        raise ValueError("name the columns that a row and its candidates share")
+    block = F.to_json(F.struct(*map(q, blocks)), {"ignoreNullFields": "false"}).alias("__b")
+    known = F.lit(True)
+    for b in blocks:
+        known = known & q(b).isNotNull()
+    texts = df.where(known & q(text).isNotNull()).select(block, q(text).alias("__t")).distinct()
+    options = candidates.where(known & q(candidate).isNotNull()).select(block, q(candidate).alias("__c")).distinct()
+    sizes = cut(texts.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).withColumn("__lots", F.ceil(F.col("__n") / BLOCK_TEXTS).cast("int")))
+    total = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    spread = looked_up(texts, sizes, "__b", "__n", total).withColumn("__lot", F.pmod(F.xxhash64("__t"), F.col("__lots")).cast("int")).drop("__lots")
+    dealt = looked_up(options, sizes, "__b", "__n", total).withColumn("__lot", F.explode(F.sequence(F.lit(0), F.col("__lots") - 1))).drop("__lots")
+    pairs = spread.join(dealt, ["__b", "__lot"])
+    if kind == "ratio" and not keep_below:
+        a, b = F.length("__t"), F.length("__c")
+        pairs = pairs.where(200 * F.least(a, b) >= (threshold - 0.5) * (a + b))
+    best = pairs.withColumn("__s", similarity(kind)("__t", "__c")).groupBy("__b", "__t").agg(F.max(F.struct("__s", "__c")).alias("__m"))
     if not keep_below:
-        best = best.where(F.col("__b.__s") >= threshold)
-    best = best.select(*map(q, blocks), F.col("__t").alias("__text"), F.col("__b.__c").alias("match"), F.col("__b.__s").alias("match_score"))
-    joined = df.withColumn("__text", q(text)).join(best, [*blocks, "__text"], "left")
+        best = best.where(F.col("__m.__s") >= threshold)
+    best = best.select(F.col("__b"), F.col("__t").alias("__text"), F.col("__m.__c").alias("match"), F.col("__m.__s").alias("match_score"))
+    joined = df.withColumn("__b", block).withColumn("__text", q(text)).join(best, ["__b", "__text"], "left")
     return joined.select(*map(q, df.columns), "match", "match_score")

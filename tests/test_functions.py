@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -117,3 +118,25 @@ def test_best_match_meets_in_blocks_only(spark):
     c = spark.createDataFrame([("g", "hello wurld"), ("g", "other"), ("h", "nothing")], "b string, c string")
     out = fuzzy.best_match(df, c, "t", "c", ["b"], 80).orderBy("i").collect()
     assert [r["match"] for r in out] == ["hello wurld", None, None]
+    with pytest.raises(ValueError):
+        fuzzy.best_match(df, c, "t", "c", [], 80)
+
+
+def test_best_match_of_a_large_block(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BLOCK_TEXTS", 10)
+    rng = random.Random(2)
+    texts = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(3, 9))) for _ in range(60)})
+    options = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(3, 9))) for _ in range(40)})
+    df, c = spark.createDataFrame([("g", t) for t in texts], "b string, t string"), spark.createDataFrame([("g", t) for t in options], "b string, c string")
+    got = {r["t"]: (r["match"], r["match_score"]) for r in fuzzy.best_match(df, c, "t", "c", ["b"], 75).collect()}
+    best = {t: max((fuzzy.ratio(t, o), o) for o in options) for t in texts}
+    assert got == {t: (o, s) if s >= 75 else (None, None) for t, (s, o) in best.items()}
+
+
+def test_titles_are_mended(spark):
+    assert one(spark, lambda c: text.without_prefixes(c, ["a - ", "b - "]), "a - b - x", "string") == "x"
+    assert one(spark, lambda c: text.corrected(c, {"wrong": "right"}), "wrong", "string") == "right" and one(spark, lambda c: text.corrected(c, {"wrong": "right"}), "other", "string") == "other"
+    assert one(spark, text.first_email, "write to me.x@y.org or z@z.z", "string") == "me.x@y.org"
+    assert one(spark, lambda c: text.lone_budget_code(c, "fund"), "24-05-07,fund 1", "string") == "0020240507"
+    assert one(spark, lambda c: text.lone_budget_code(c, "fund"), "240507,250608", "string") is None
+    assert one(spark, text.anchor_text, 'see <a href="x">this page</a>', "string") == "this page"

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from civicflow.operators import aggregates, arrays, filters, joins, project, setops, windows
+from civicflow.operators import aggregates, arrays, chains, filters, joins, project, setops, windows
 from civicflow.package import Package
 
 
@@ -141,13 +141,15 @@ def test_compact_entity(spark):
 def test_tree_paths(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (4, None, "d")], "id int, up int, t string")
     assert rows(arrays.tree_paths(df, "id", "up", "t")) == [(1, ["a"]), (2, ["a", "b"]), (3, ["a", "b", "c"]), (4, ["d"])]
+    deep = spark.createDataFrame([(i, i - 1 if i else None, str(i)) for i in range(12)] + [(50, 51, "x"), (51, 50, "y")], "id int, up int, t string")
+    assert {r["id"]: len(r["path"]) for r in arrays.tree_paths(deep, "id", "up", "t").collect()} == {i: i + 1 for i in range(12)}
 
 
 def test_windows_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame([(i, i if i % 7 == 0 else None) for i in range(1, 200)], "i int, v int")
     want = [(i, i - i % 7 if i >= 7 else None) for i in range(1, 200)]
     for n in (1, 5):
-        assert sorted(map(tuple, windows.fill_forward_all(df.repartition(n), ["v"], ["i"], slots=6).collect())) == want
+        assert sorted(map(tuple, windows.fill_forward_all(df.repartition(n), ["v"], ["i"], rows=35).collect())) == want
 
 
 def test_lookup_array_keeps_order_and_drops_misses(spark):
@@ -168,3 +170,41 @@ def test_absent_from(spark):
     assert joins.absent_from(df, None, ["k"]).count() == 3
     fixes = spark.createDataFrame([(1, None), (2, 1), (3, None)], "id int, fix int")
     assert rows(joins.superseded(fixes, "id", "fix")) == [(2, 1), (3, None)]
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(0, 60)]
+    star = [(1000, 1000 + i) for i in range(1, 50)]
+    df = spark.createDataFrame(chain + star + [(5, 5), (7, None)], "a long, b long")
+    got = {r["node"]: r["root"] for r in chains.components(df).collect()}
+    assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)}
+    assert chains.components(df.limit(0)).count() == 0
+
+
+def test_components_with_heavy_nodes(spark, monkeypatch):
+    monkeypatch.setattr(chains, "HEAVY_ROWS", 5)
+    edges = [(0, i) for i in range(1, 80)] + [(i, 1000 + i) for i in range(1, 40)] + [(5000 + i, 5001 + i) for i in range(30)]
+    got = {r["node"]: r["root"] for r in chains.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(80)} | {1000 + i: 0 for i in range(1, 40)} | {5000 + i: 5000 for i in range(31)}
+
+
+def test_lookup_of_heavy_keys(spark, monkeypatch):
+    monkeypatch.setattr(chains, "HEAVY_ROWS", 3)
+    df = spark.createDataFrame([(i % 4 if i < 40 else None, i) for i in range(50)] + [(9, 99), (7, 77)], "k int, v int")
+    table = spark.createDataFrame([(0, "a", 10), (1, "b", 10), (9, "c", 1)], "k int, t string, n int")
+    assert rows(chains.looked_up(df, table, "k", "n", 52)) == rows(df.join(table.drop("n"), "k"))
+    assert rows(chains.looked_up(df, table, "k", "n", 52, "left")) == rows(df.join(table.drop("n"), "k", "left"))
+
+
+def test_ranges_by_rows(spark):
+    df = spark.createDataFrame([(i * 37 % 101, i) for i in range(101)], "k int, v int")
+    got = windows.numbered(df, ["k"], rows=20).collect()
+    assert {r["k"]: r["index"] for r in got} == {k: k for k in range(101)}
+
+
+def test_tapped_rows_are_counted(spark):
+    df, seen = project.tapped(spark.range(7), "seven", most=F.max("id"))
+    assert df.count() == 7 and seen.get == {"n": 7, "most": 6}
+    df, seen = project.long_ids(spark.createDataFrame([("x" * 401,), ("y",)], "doc_id string"), "doc_id")
+    df.count()
+    assert seen.get["too_long"] == 1 and seen.get["example"] == "x" * 401

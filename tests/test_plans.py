@@ -1,10 +1,13 @@
 import datetime as dt
 import itertools
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from civicflow.operators.chains import label_chains
 from civicflow.plans import budget, changes, clusters, contracts, entities, facilities, reports, supports
+from civicflow.udfs.fuzzy import partial_ratio
 
 RAW = "year int, phase string, admin_cls_code_0 string, admin_cls_code_2 string, admin_cls_title_2 string, admin_cls_code_4 string, admin_cls_title_4 string, admin_cls_code_6 string, admin_cls_title_6 string, admin_cls_code_8 string, admin_cls_title_8 string, func_cls_code_1 string, func_cls_title_1 string, func_cls_code_2 string, func_cls_title_2 string, econ_cls_code_2 string, net decimal(38,6)"
 
@@ -85,8 +88,40 @@ def test_spending_clusters(spark):
     rows += [("k", w, v) for w, v in (("zebra", 0.5), ("quilt", 0.4), ("xylo", 0.3))]
     out = clusters.spending_clusters(spark.createDataFrame(rows, "p string, title string, amount double"), ["p"], most=3).collect()
     assert sum(r["amount"] for r in out) == 19.2 and sum(r["count"] for r in out) == 7 and len(out) == 4
-    named = clusters.similar_titles(["repair of roads", "repair of roads in town", "other"])
+    titles = ["repair of roads", "repair of roads in town", "other", "ab", "zz ab", "", "q"]
+    named = {r["t"]: r["tag"] for r in clusters.similar_titles(spark.createDataFrame([("k", t) for t in titles], "k string, t string")).collect()}
     assert named["repair of roads"] == named["repair of roads in town"] == "repair of roads" and named["other"] == "other"
+    assert named["ab"] == named["zz ab"] and named[""] == "" and named["q"] == "q"
+
+
+def test_similar_titles_against_all_pairs(spark):
+    rng = random.Random(11)
+    letters = "abcde "
+    titles = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 16))) for _ in range(90)} | {"".join(c if rng.random() > 0.05 else "x" for c in "works on the long road to the sea") for _ in range(20)})
+    root = list(range(len(titles)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(titles):
+        for j in range(i):
+            if partial_ratio(a, titles[j]) >= 90:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    own = {}
+    for i, t in enumerate(titles):
+        own.setdefault(find(i), []).append(t)
+    want = {t: clusters.cluster_name(x) if len(x) > 1 else t for x in own.values() for t in x}
+    got = {r["t"]: r["tag"] for r in clusters.similar_titles(spark.createDataFrame([("k", t) for t in titles], "k string, t string")).collect()}
+    assert got == want
+
+
+def test_long_chains_of_programs_are_one(spark):
+    pairs = [(i, i + d) for i in range(200) for d in (0, 1)]
+    df = spark.createDataFrame(pairs + [(900, 901), (None, 3)], "a long, b long")
+    got = label_chains(df, "a", "b").collect()
+    assert len(got) == 401 and len({r["chain"] for r in got}) == 2
 
 
 def test_program_keys_follow_codes_and_titles(spark):
@@ -164,3 +199,15 @@ def test_reports(spark):
     ref = spark.createDataFrame([(2020, 2.0)], "year int, value double")
     series = reports.normalised_series(spark.createDataFrame([(2020, 4.0), (2021, 4.0)], "y int, v double"), "y", "v", {"gdp": ref})
     assert sorted((r["y"], r["v_gdp"]) for r in series.collect()) == [(2020, 2.0), (2021, None)]
+
+
+def test_known_change_groups_are_taken_first(spark):
+    rows = [(t, "d", "0047", 1 + i, a) for i, (t, a) in enumerate([("a", 5.0), ("b", -5.0), ("c", 5.0), ("e", -5.0), ("f", 1.0)])]
+    df = spark.createDataFrame(rows, "trcode string, date_kind string, budget_code string, leading_item int, net_expense_diff double")
+    found = changes.change_groups(df, ["net_expense_diff"])
+    assert {r["trcode"]: r["group_id"] for r in found.collect()} == {"a": "a", "b": "a", "c": "c", "e": "c", "f": "f"}
+    known = changes.group_cache(df, found)
+    assert sorted(sorted(r["trcodes"]) for r in known.collect()) == [["a", "b"], ["c", "e"], ["f"]]
+    other = spark.createDataFrame([("d", 1, ["a", "e"]), ("d", 2, ["b", "gone"])], "date_kind string, serial long, trcodes array<string>")
+    again = {r["trcode"]: r["group_id"] for r in changes.change_groups(df, ["net_expense_diff"], other).collect()}
+    assert again == {"a": "a", "e": "a", "b": "b", "c": "b", "f": "f"}

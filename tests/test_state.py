@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from civicflow.plans import indexer, spec
@@ -154,7 +155,7 @@ def test_stream_keeps_revisions(spark, tmp_path):
     src = tmp_path / "in"
     schema = "k long, v string, o long"
     spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], schema).coalesce(1).write.parquet(str(src / "1"))
-    clock = iter([DAY1, DAY2, DAY2]).__next__
+    clock = lambda epoch: [DAY1, DAY2][epoch]
 
     def run():
         stream = incremental.read_files(spark, str(src) + "/*", schema)
@@ -168,3 +169,58 @@ def test_stream_keeps_revisions(spark, tmp_path):
     rows = {r["k"]: r for r in spark.table("t_stream").collect()}
     assert {k: r["v"] for k, r in rows.items()} == {1: "b", 2: "d", 3: "e"} and rows[2]["__created_at"] == DAY1 and rows[3]["__is_new"]
     spark.sql("drop table t_stream")
+
+
+def test_table_modes(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(40)], "k int, v string")
+    writers.save_table(df, "t_modes")
+    writers.save_table(df.limit(3), "t_modes", "append")
+    assert spark.table("t_modes").count() == 43
+    with pytest.raises(ValueError):
+        writers.save_table(df, "t_modes", "insert")
+    spark.sql("drop table t_modes")
+
+
+def test_updates_touch_their_buckets_only(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(40)], "k int, v string")
+    writers.save_table(df, "t_upd", "update", ["k"], 8)
+    before = {r[0] for r in spark.sql("select distinct input_file_name() from t_upd").collect()}
+    writers.save_table(spark.createDataFrame([(7, "new"), (100, "more"), (None, "none")], "k int, v string"), "t_upd", "update", ["k"])
+    writers.save_table(spark.createDataFrame([(None, "none again")], "k int, v string"), "t_upd", "update", ["k"])
+    got = {r["k"]: r["v"] for r in spark.table("t_upd").collect()}
+    assert got == {i: f"v{i}" for i in range(40)} | {7: "new", 100: "more", None: "none again"}
+    after = {r[0] for r in spark.sql("select distinct input_file_name() from t_upd").collect()}
+    assert len(before & after) >= len(before) - 3
+    spark.sql("drop table t_upd")
+
+
+def test_pages_until_one_is_empty(spark):
+    rows = [{"id": i} for i in range(47)]
+    out = paged.paged_until_empty(spark, lambda r: rows[r["skip"] : r["skip"] + r["limit"]], "id int", 5, 3)
+    assert sorted(r["id"] for r in out.collect()) == list(range(47))
+    day = dt.date(2020, 1, 5)
+
+    def count(r):
+        days = (r["to"] - r["from"]).days + 1
+        busy = 3000 if r["from"] <= day <= r["to"] else 0
+        return days + (busy if r["from_sum"] is None and r["to_sum"] is None else busy // 2)
+
+    got = paged.split_requests(dt.date(2020, 1, 1), dt.date(2020, 1, 31), count)
+    assert [r for r in got if r["from"] == r["to"] == day] == [{"from": day, "to": day, "from_sum": None, "to_sum": 49.93}, {"from": day, "to": day, "from_sum": 49.94, "to_sum": None}]
+    assert sum((r["to"] - r["from"]).days + 1 for r in got) == 32  # that day twice
+
+
+def test_json_schema_is_of_all_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"result": {"rows": [{"a": 1, "b": "x"}]}}))
+    (tmp_path / "b.json").write_text(json.dumps({"result": {"rows": [{"a": 2.5, "c": True}, {"b": None}]}}))
+    out = readers.json_rows(spark, str(tmp_path), "result.rows")
+    assert sorted(out.columns) == ["a", "b", "c"] and out.count() == 3
+    assert sorted(((r["a"], r["b"], r["c"]) for r in out.collect()), key=str) == sorted([(1.0, "x", None), (2.5, None, True), (None, None, None)], key=str)
+
+
+def test_written_output_is_not_made_again(spark, tmp_path):
+    df = spark.range(5)
+    assert readers.unless_written(df, str(tmp_path / "none")).count() == 5
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "x.csv").write_bytes(b"a" * 200)
+    assert readers.unless_written(df, str(tmp_path / "data"), 100).count() == 0 and readers.unless_written(df, str(tmp_path / "data"), 300).count() == 5
