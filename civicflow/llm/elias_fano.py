@@ -1,85 +1,100 @@
-"""Elias-Fano sequences and an n-gram trie made of them, for whole-array queries."""
+"""Elias-Fano sequences and an n-gram trie made of them, for whole-array queries over flat, memory-mapped levels."""
 
 from __future__ import annotations
 
+import json
+import mmap
+import os
+import tempfile
+from collections.abc import Callable
+
 import numpy as np
 
-_POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 #: _SELECT[b, k]: place of the k-th one of byte b
-_SELECT = np.zeros((256, 8), np.uint8)
+_SELECT = np.zeros((256, 8), np.uint64)
 for _b in range(256):
     for _k, _p in enumerate([p for p in range(8) if _b >> p & 1]):
         _SELECT[_b, _k] = _p
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_U = [np.uint64(i) for i in range(65)]
+#: Queries, and rows of a sequence, that one pass works on; this bounds what it holds.
+PASS = 1 << 16
+
 
+def _byte_ones(words: np.ndarray) -> np.ndarray:
+    """Ones of each byte of 64-bit words, in the bytes' places."""
+    s = words - ((words >> _U[1]) & np.uint64(0x5555555555555555))
+    s = (s & np.uint64(0x3333333333333333)) + ((s >> _U[2]) & np.uint64(0x3333333333333333))
+    return (s + (s >> _U[4])) & np.uint64(0x0F0F0F0F0F0F0F0F)
 
-def _select_in_bytes(raw: np.ndarray, before: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th one in a bitmap; before[i] ones stand before its 64-bit word i."""
-    word = np.searchsorted(before, k, side="right") - 1
-    left, place, open_ = k - before[word], word * 64, np.ones(len(k), bool)
-    for i in range(8):
-        byte = raw[np.minimum(word * 8 + i, len(raw) - 1)]
-        ones = _POP[byte]
-        here = open_ & (left < ones)
-        place[here] += _SELECT[byte[here], left[here]]
-        open_ &= ~here
-        left = np.where(open_, left - ones, left)
-        place = np.where(open_, place + 8, place)
-    return place
+
+def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool = False) -> np.ndarray:
+    """Place of the k-th one of a bitmap of 64-bit words (zero, if flipped); before[i] of them stand before word i."""
+    at = np.searchsorted(before, k, side="right") - 1
+    word = ~words[at] if flip else words[at]
+    left = (k - before[at]).astype(np.uint64)
+    upto = _byte_ones(word) * _ONES  # byte b: ones in bytes 0 to b
+    place = (((((left * _ONES) | _TOPS) - upto) & _TOPS) >> _U[7]) * _ONES >> _U[56] << _U[3]
+    left = left - ((upto << _U[8]) >> place & np.uint64(255))
+    return at * 64 + (place + _SELECT[(word >> place & np.uint64(255)).astype(np.int64), left.astype(np.int64)]).astype(np.int64)
 
 
 class EliasFano:
-    """A sorted sequence of non-negative integers in about 2 + log2(universe / n) bits each.
+    """A sorted sequence of non-negative integers in about 2 + log2(universe / n) bits each, and a quarter for places.
 
-    All arrays are flat and read-only, so that they can be views of one buffer or memory-mapped files.
+    Its arrays are flat, so that they can be views of one buffer or of a memory-mapped file.
     """
 
-    def __init__(self, values: np.ndarray, universe: int):
-        values = np.asarray(values, np.int64)
-        n = len(values)
-        self.n = n
-        self.low_bits = max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1)
-        high = values >> self.low_bits
-        bits = np.zeros(((n + (max(universe, 1) >> self.low_bits) + 1 + 63) // 64 + 1) * 64, bool)
-        bits[high + np.arange(n)] = True
-        self.high = np.packbits(bits, bitorder="little")
-        words = self.high.reshape(-1, 8)
-        ones = _POP[words].sum(axis=1, dtype=np.int64)
-        self.ones = np.concatenate([[0], np.cumsum(ones)])[:-1]
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.n, self.low_bits, self.universe = (int(x) for x in arrays["head"])
+        self.high, self.ones, self.low = arrays["high"], arrays["ones"], arrays["low"]
         self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
-        self.flipped = ~self.high
-        low = values & ((1 << self.low_bits) - 1)
-        packed = ((low[:, None] >> np.arange(self.low_bits)) & 1).astype(bool) if n and self.low_bits else np.zeros((n, 0), bool)
-        self.low = np.concatenate([np.packbits(packed.ravel(), bitorder="little"), np.zeros(16, np.uint8)])
+
+    @staticmethod
+    def arrays(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
+        """The arrays of a sequence of values up to universe."""
+        values, n, universe = np.asarray(values, np.int64), len(values), max(int(universe), 1)
+        low_bits = max(0, (universe // max(n, 1)).bit_length() - 1)
+        bits = np.zeros(((n + (universe >> low_bits) + 1 + 63) // 64 + 1) * 64, bool)
+        bits[(values >> low_bits) + np.arange(n)] = True
+        high = np.packbits(bits, bitorder="little").view("<u8")
+        ones = np.concatenate([[0], np.cumsum((_byte_ones(high) * _ONES >> _U[56]).astype(np.int64))])[:-1]
+        packed = [np.zeros(0, np.uint8)]
+        for a in range(0, n if low_bits else 0, PASS):
+            packed.append(np.packbits((values[a : a + PASS, None] >> np.arange(low_bits) & 1).astype(bool).ravel(), bitorder="little"))
+        return {"head": np.array([n, low_bits, universe], np.int64), "high": high, "ones": ones, "low": np.concatenate([*packed, np.zeros(16, np.uint8)])}
+
+    @classmethod
+    def of(cls, values: np.ndarray, universe: int) -> EliasFano:
+        return cls(cls.arrays(values, universe))
 
     @property
     def nbytes(self) -> int:
-        return sum(a.nbytes for a in (self.high, self.flipped, self.ones, self.zeros, self.low))
+        return sum(a.nbytes for a in (self.high, self.ones, self.low))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(i), np.int64)
         at = i * self.low_bits
         byte, out = at >> 3, np.zeros(len(i), np.uint64)
-        for k in range((self.low_bits + 7 + 7) // 8):
-            out |= self.low[byte + k].astype(np.uint64) << np.uint64(8 * k)
+        for k in range((self.low_bits + 14) // 8):
+            out |= self.low[byte + k].astype(np.uint64) << _U[8 * k]
         return ((out >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
-        return ((_select_in_bytes(self.high, self.ones, i) - i) << self.low_bits) | self._low(i)
+        return ((_select(self.high, self.ones, i) - i) << self.low_bits) | self._low(i)
 
     def _before_high(self, h: np.ndarray) -> np.ndarray:
         """Elements whose high part is less than h."""
-        out = np.zeros(len(h), np.int64)
-        some = h > 0
-        out[some] = _select_in_bytes(self.flipped, self.zeros, h[some] - 1) - (h[some] - 1)
-        return out
+        return np.where(h > 0, _select(self.high, self.zeros, np.maximum(h - 1, 0), flip=True) - (h - 1), 0)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first element not less than each x; n if there is none."""
+    def successor(self, x: np.ndarray, lo: np.ndarray | int = 0, hi: np.ndarray | int | None = None) -> np.ndarray:
+        """Index of the first element of lo:hi not less than each x, which is at most the universe; hi if there is none."""
         x = np.asarray(x, np.int64)
         h = x >> self.low_bits
-        lo, hi = self._before_high(h), self._before_high(h + 1)
+        hi = self.n if hi is None else hi
+        lo, hi = np.clip(self._before_high(h), lo, hi), np.clip(self._before_high(h + 1), lo, hi)
         want = x & ((1 << self.low_bits) - 1)
         while True:  # the elements of one high part are few; halve all ranges together
             open_ = np.flatnonzero(lo < hi)
@@ -90,86 +105,140 @@ class EliasFano:
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x, or -1."""
+    def find(self, x: np.ndarray, lo: np.ndarray | int = 0, hi: np.ndarray | int | None = None) -> np.ndarray:
+        """Index of each x in lo:hi, or -1."""
         x = np.asarray(x, np.int64)
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        at = self.successor(x)
+        at = self.successor(np.minimum(x, self.universe), lo, hi)
         held = np.minimum(at, self.n - 1)
-        return np.where((at < self.n) & (self.get(held) == x), at, -1)
+        return np.where((at < (self.n if hi is None else hi)) & (self.get(held) == x), at, -1)
+
+
+class Children:
+    """A trie level: the words below each node of the level above, in rising order, and pointers to where they start.
+
+    A word is kept relative to its context: one more than it, plus the last value of the contexts before, so that the
+    whole level rises. A query reads the pointers of its context and takes the successor between them.
+    """
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.pointer, self.words = EliasFano(part(arrays, "pointer")), EliasFano(part(arrays, "words"))
+
+    @staticmethod
+    def arrays(parent: np.ndarray, word: np.ndarray, parents: int) -> dict[str, np.ndarray]:
+        """parent rises and counts from 0; word rises within a parent."""
+        start = np.searchsorted(parent, np.arange(parents + 1))
+        last = np.zeros(parents, np.int64)
+        some = start[1:] > start[:-1]
+        last[some] = word[start[1:][some] - 1] + 1
+        base = np.cumsum(last) - last
+        rising = word + 1 + base[parent] if len(word) else np.zeros(0, np.int64)
+        return joined({"pointer": EliasFano.arrays(start, len(word)), "words": EliasFano.arrays(rising, int(last.sum()))})
+
+    def find(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Index in the level of each word below its parent, or -1; -1 for a parent is none."""
+        out = np.full(len(parent), -1, np.int64)
+        for a in range(0, len(parent), PASS):
+            own, w = parent[a : a + PASS], word[a : a + PASS]
+            some = np.flatnonzero(own >= 0)
+            if len(some) and self.words.n:
+                lo, hi = self.pointer.get(own[some]), self.pointer.get(own[some] + 1)
+                some, lo, hi = some[lo < hi], lo[lo < hi], hi[lo < hi]
+                base = np.where(lo > 0, self.words.get(np.maximum(lo - 1, 0)), 0)
+                out[a + some] = self.words.find(w[some] + 1 + base, lo, hi)
+        return out
 
 
 class Quantised:
-    """Positive numbers as 8-bit indexes into the means of 256 equally filled bins of their logarithms."""
+    """Positive numbers as 8-bit codes: 256 equal steps of their logarithms, each standing for the mean of those in it."""
 
-    def __init__(self, values: np.ndarray, bins: int = 256):
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.code, self.book = arrays["code"], arrays["book"]
+
+    @staticmethod
+    def arrays(values: np.ndarray) -> dict[str, np.ndarray]:
         logs = np.log10(values) if len(values) else np.zeros(0)
-        edges = np.quantile(logs, np.linspace(0, 1, bins + 1)[1:-1]) if len(logs) else np.zeros(bins - 1)
-        self.code = np.searchsorted(edges, logs).astype(np.uint8)
-        total, n = np.bincount(self.code, logs, bins), np.bincount(self.code, minlength=bins)
-        self.book = 10 ** (total / np.maximum(n, 1))
+        least = logs.min(initial=0.0)
+        step = max((logs.max(initial=least) - least) / 255.999, 1e-12)
+        code = ((logs - least) / step).astype(np.int64).clip(0, 255)
+        total, n = np.bincount(code, logs, 256), np.bincount(code, minlength=256)
+        return {"code": code.astype(np.uint8), "book": 10 ** (total / np.maximum(n, 1))}
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        return self.book[self.code[i]]
+    def get(self, i: np.ndarray, none: float) -> np.ndarray:
+        """The numbers at places i; none where i is -1."""
+        return np.where(i >= 0, self.book[self.code[i]], none) if len(self.code) else np.full(len(i), none)
 
 
 class NgramTrie:
-    """Discounted probabilities of kept bigrams and trigrams over numbered words, and each context's left-over weight.
+    """Discounted probabilities of bigrams and trigrams over numbered words, and what each bigram leaves to shorter ones.
 
-    Level 2 holds context * words + word of each bigram, level 3 the bigram's place times words + word: both rise, so
-    both are Elias-Fano sequences, as are the pointers from a context to its first child. A search starts at the
-    context's own range and takes the successor there.
+    Level 1 holds the first words, level 2 the words that follow them, level 3 those that follow these pairs.
     """
 
-    def __init__(self, n_words: int, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, discount: float = 0.5):
-        """pairs: sorted u * n_words + v. triples: sorted (u, v, w) likewise in base n_words, each with (u, v) among the pairs."""
-        k = self.n_words = max(1, n_words)
-        self.level2 = EliasFano(pairs, k * k)
-        context = pairs // k
-        self.weight2, self.left2 = self._weigh(pair_counts, context, word_counts, k, discount)
-        place = np.searchsorted(pairs, triples // k)
-        self.level3 = EliasFano(place * k + triples % k, max(1, len(pairs)) * k)
-        self.weight3, self.left3 = self._weigh(triple_counts, place, pair_counts, len(pairs), discount)
-        self.pointer2 = EliasFano(np.searchsorted(context, np.arange(k + 1)), len(pairs) + 1)
-        self.pointer3 = EliasFano(np.searchsorted(place, np.arange(len(pairs) + 1)), len(triples) + 1)
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.first = EliasFano(part(arrays, "first"))
+        self.second, self.third = Children(part(arrays, "second")), Children(part(arrays, "third"))
+        self.weight2, self.weight3, self.left3 = (Quantised(part(arrays, x)) for x in ("weight2", "weight3", "left3"))
 
     @staticmethod
-    def _weigh(counts, context, context_counts, n, discount):
-        weight = Quantised((counts - discount) / context_counts[context] if len(counts) else np.zeros(0))
-        used = np.bincount(context, weight.get(np.arange(len(counts))), n) if n else np.zeros(0)
-        # Quantising may push a context's sum up; then its weights are scaled back where they are read.
-        scale = np.where(used > 0.999, 0.999 / np.maximum(used, 1e-9), 1.0)
-        weight.scale, weight.context = scale.astype(np.float32), context.astype(np.int32)
-        return weight, 1 - used * weight.scale
+    def arrays(pairs: np.ndarray, pair_counts: np.ndarray, first_counts: np.ndarray, parent: np.ndarray, word: np.ndarray, counts: np.ndarray, discount: float) -> dict[str, np.ndarray]:
+        """pairs: sorted u << 32 | v; first_counts: of each different u; parent: the pair's index of each triple, sorted, and its last word."""
+        first, of = np.unique(pairs >> 32, return_inverse=True)
+        followers = np.bincount(parent, minlength=len(pairs))
+        return joined({
+            "first": EliasFano.arrays(first, first[-1] if len(first) else 0),
+            "second": Children.arrays(of, pairs & 0xFFFFFFFF, len(first)),
+            "third": Children.arrays(parent, word, len(pairs)),
+            "weight2": Quantised.arrays((pair_counts - discount) / first_counts[of]),
+            "weight3": Quantised.arrays((counts - discount) / pair_counts[parent]),
+            "left3": Quantised.arrays(discount * np.maximum(followers, 1) / pair_counts),
+        })
 
-    @property
-    def nbytes(self) -> int:
-        return sum(x.nbytes for x in (self.level2, self.level3, self.pointer2, self.pointer3)) + self.weight2.code.nbytes + self.weight3.code.nbytes
+    def pair(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return self.second.find(np.concatenate([np.zeros(0, np.int64), *[self.first.find(u[a : a + PASS]) for a in range(0, len(u), PASS)]]), v)
+
+    def triple(self, pair: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return self.third.find(pair, w)
+
+
+def part(arrays: dict[str, np.ndarray], name: str) -> dict[str, np.ndarray]:
+    return {k[len(name) + 1 :]: a for k, a in arrays.items() if k.startswith(name + "/")}
 
-    @staticmethod
-    def _child(level: EliasFano, pointer: EliasFano, node: np.ndarray, words: int, word: np.ndarray) -> np.ndarray:
-        some = np.flatnonzero((node >= 0) & (word >= 0))
-        out = np.full(len(node), -1, np.int64)
-        if len(some) and level.n:
-            parents = node[some]
-            has = pointer.get(parents) < pointer.get(parents + 1)  # the context's range is not empty
-            some = some[has]
-            out[some] = level.find(node[some] * words + word[some])
-        return out
 
-    def score(self, word: np.ndarray, before: np.ndarray, before2: np.ndarray, p1: np.ndarray) -> np.ndarray:
-        """P(word | two words before); -1 is a word without number or none; p1 its unigram probability."""
-        pair = self._child(self.level2, self.pointer2, before, self.n_words, word)
-        p = p1.copy()
-        known = before >= 0
-        p[known] *= self.left2[before[known]]
-        hit = np.flatnonzero(pair >= 0)
-        p[hit] += self.weight2.get(pair[hit]) * self.weight2.scale[before[hit]]
-        context = self._child(self.level2, self.pointer2, before2, self.n_words, before)
-        triple = self._child(self.level3, self.pointer3, context, self.n_words, word)
-        known = context >= 0
-        p[known] *= self.left3[context[known]]
-        hit = np.flatnonzero(triple >= 0)
-        p[hit] += self.weight3.get(triple[hit]) * self.weight3.scale[context[hit]]
-        return p
+def joined(parts: dict[str, dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {f"{name}/{k}": a for name, own in parts.items() for k, a in own.items()}
+
+
+def write_flat(arrays: dict[str, np.ndarray], write: Callable[[bytes], object]) -> None:
+    """A header that says what stands where, and the arrays one after the other at multiples of eight bytes."""
+    head, at = {}, 0
+    for name, a in arrays.items():
+        head[name] = [a.dtype.str, at, len(a)]
+        at += -(-a.nbytes // 8) * 8
+    text = json.dumps(head).encode()
+    text += b" " * (-len(text) % 8)
+    write(len(text).to_bytes(8, "little") + text)
+    for a in arrays.values():
+        write(np.ascontiguousarray(a).tobytes() + bytes(-a.nbytes % 8))
+
+
+def read_flat(buffer: bytes | mmap.mmap) -> dict[str, np.ndarray]:
+    """Views of the arrays; nothing is copied."""
+    size = int.from_bytes(buffer[:8], "little")
+    return {name: np.frombuffer(buffer, dtype, n, 8 + size + at) for name, (dtype, at, n) in json.loads(buffer[8 : 8 + size]).items()}
+
+
+def mapped(arrays: dict[str, np.ndarray], folder: str | None) -> dict[str, np.ndarray]:
+    """The arrays as views of a file in the folder that is mapped into memory, and goes with the last view.
+
+    Where the folder is none that this machine can open, they are views of one buffer.
+    """
+    if folder is None or not os.path.isdir(folder):
+        whole: list[bytes] = []
+        write_flat(arrays, whole.append)
+        return read_flat(b"".join(whole))
+    with tempfile.TemporaryFile(dir=folder) as f:
+        write_flat(arrays, f.write)
+        f.flush()
+        return read_flat(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))

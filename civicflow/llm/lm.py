@@ -2,7 +2,9 @@
 
 Texts are coded once into blocks of words and word numbers. A block asks for what all training texts say of its words,
 then of its pairs and triples: its distinct ones go to shards, packed, and a shard answers each block in the order asked.
-All training words are numbered and all pairs and triples counted exactly; neither the driver nor a task holds a model.
+All training words are numbered and all pairs and triples counted exactly. A shard makes an Elias-Fano trie of the
+training texts' pairs and triples that fall to it, maps its levels into memory and looks up there what blocks ask for;
+neither the driver nor a task holds the whole model.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .storage import written
+from .elias_fano import NgramTrie, mapped
+from .storage import local_folder, written
 
 BLOCK_BYTES = 8 << 20
 #: Blocks whose distinct pairs and triples make up about one shard.
@@ -127,15 +130,25 @@ def unpacked(raw: bytes, kind: str, rising: bool = False) -> np.ndarray:
     return np.cumsum(a) if rising else a
 
 
-def sharded(of: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the order of their shards, and each shard's edges in that order."""
+def real(a: np.ndarray) -> bytes:
+    """Numbers with fractions, packed likewise."""
+    return packed(np.ascontiguousarray(a, "<f4").view("<u4"), "<u4")
+
+
+def unreal(raw: bytes) -> np.ndarray:
+    return unpacked(raw, "<u4").astype("<u4").view("<f4").astype(np.float64)
+
+
+def sharded(of: np.ndarray) -> tuple[np.ndarray, dict[int, slice]]:
+    """Places in the order of their shards, and where each shard's are in that order; shards without any have none."""
     order = np.argsort(of, kind="stable")
-    return order, np.searchsorted(of[order], np.arange(shards + 1))
+    some, start = np.unique(of[order], return_index=True)
+    return order, {s: slice(a, b) for s, a, b in zip(some.tolist(), start.tolist(), [*start[1:].tolist(), len(of)])}
 
 
 #: What goes between blocks and shards; block -1 is a shard's own account, with two numbers.
-MAIL = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("kind", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in "abcd"], T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
-MAIL_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in "abcd"], ("x", pa.int64()), ("y", pa.int64())])
+MAIL = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("kind", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in "abcde"], T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
+MAIL_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in "abcde"], ("x", pa.int64()), ("y", pa.int64())])
 WORDS, GRAMS, FOLLOWERS = 1, 2, 3
 
 
@@ -144,11 +157,11 @@ def mail(rows: list[tuple]) -> pa.Table:
 
 
 def letter(block: int, shard: int, kind: int, *blobs: bytes, x: int = 0, y: int = 0) -> tuple:
-    return (block, shard, kind, *blobs, *[None] * (4 - len(blobs)), x, y)
+    return (block, shard, kind, *blobs, *[None] * (5 - len(blobs)), x, y)
 
 
-def word_shards(words: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
-    return sharded(np.fromiter((zlib.crc32(w) % shards for w in words), np.int64, len(words)), shards)
+def word_shards(words: list[bytes], shards: int) -> tuple[np.ndarray, dict[int, slice]]:
+    return sharded(np.fromiter((zlib.crc32(w) % shards for w in words), np.int64, len(words)))
 
 
 def word_asks(coded: DataFrame, shards: int) -> DataFrame:
@@ -160,10 +173,9 @@ def word_asks(coded: DataFrame, shards: int) -> DataFrame:
                 words, counts, block = words_of(b, i), np.frombuffer(expanded(b, "counts", i), "<i8"), b.column("block")[i].as_py()
                 order, edge = word_shards(words, shards)
                 rows = []
-                for s in range(shards):
-                    at = order[edge[s] : edge[s + 1]]
-                    if len(at):
-                        rows.append(letter(block, s, WORDS, squeezed(b" ".join([words[k] for k in at.tolist()]))[0].as_py(), packed(counts[at], "<u4")))
+                for s, own in edge.items():
+                    at = order[own]
+                    rows.append(letter(block, s, WORDS, squeezed(b" ".join([words[k] for k in at.tolist()]))[0].as_py(), packed(counts[at], "<u4")))
                 yield from mail(rows).to_batches()
 
     return coded.select("block", "n_words", "words", "counts").mapInArrow(run, MAIL)
@@ -210,18 +222,18 @@ class Grams:
         self.pair, self.next = key >> 32, key & 0xFFFFFFFF
         self.n = np.bincount(self.entry, used[self.place], len(key)).astype(np.int64)
         of = ((self.pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
-        self.pair_order, self.pair_edge = sharded(of, shards)
-        self.order, self.edge = sharded(of[self.pair], shards)
+        self.pair_order, self.pair_edge = sharded(of)
+        self.order, self.edge = sharded(of[self.pair])
 
 
-def numbered(left: pa.Table, right: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
+def numbered(left: pa.Table, right: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, slice]]:
     """Number and count of each of the block's words, from the shards' answers, and where each shard's words are."""
     words = words_of(left, 0)
     order, edge = word_shards(words, shards)
     number, count = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
     for kind, s, a, b in zip(*[right.column(c).to_pylist() for c in ("kind", "shard", "a", "b")]):
         if kind == WORDS:
-            at = order[edge[s] : edge[s + 1]]
+            at = order[edge[s]]
             number[at], count[at] = unpacked(a, "<i4"), unpacked(b, "<i8")
     return number, count, order, edge
 
@@ -234,21 +246,40 @@ def block_grams(left: pa.Table, number: np.ndarray, shards: int) -> tuple[Grams,
 
 
 def gram_asks(coded: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
+    """Each block's distinct pairs with their next words and counts, and the counts of the pairs' first words, by shard."""
+
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        g = block_grams(left, numbered(left, right, shards)[0], shards)[0]
+        number, count, _, _ = numbered(left, right, shards)
+        g = block_grams(left, number, shards)[0]
+        by_number = np.argsort(number, kind="stable")
+        numbers, counts = number[by_number], count[by_number]
         rows = []
-        for s in range(shards):
-            mine, at = g.pair_order[g.pair_edge[s] : g.pair_edge[s + 1]], g.order[g.edge[s] : g.edge[s + 1]]
-            if len(mine):
-                size = np.diff(np.append(np.searchsorted(g.pair[at], mine), len(at)))
-                rows.append(letter(left.column("block")[0].as_py(), s, GRAMS, packed(g.pairs[mine], "<i8", True), packed(size, "<u4"), packed(g.next[at], "<u4"), packed(g.n[at], "<u4")))
+        for s, own in g.pair_edge.items():
+            mine, at = g.pair_order[own], g.order[g.edge[s]]
+            size = np.diff(np.append(np.searchsorted(g.pair[at], mine), len(at)))
+            first = counts[np.searchsorted(numbers, np.unique(g.pairs[mine] >> 32))]
+            rows.append(letter(left.column("block")[0].as_py(), s, GRAMS, packed(g.pairs[mine], "<i8", True), packed(size, "<u4"), packed(g.next[at], "<u4"), packed(g.n[at], "<u4"), packed(first, "<i8")))
         return mail(rows)
 
     return coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MAIL)
 
 
-def gram_answers(asks: DataFrame, shards: int) -> DataFrame:
-    """Counts of the triples asked for, counts and numbers of followers of the pairs; for words, the pairs they begin."""
+def shard_trie(distinct: np.ndarray, c2: np.ndarray, c1: np.ndarray, triples: np.ndarray, c3: np.ndarray, folder: str | None) -> NgramTrie:
+    """The trie of what training texts have of a shard's pairs (with counts c2, and c1 of their first words) and triples."""
+    some = np.flatnonzero(c2)
+    pairs = distinct[some]
+    place = np.full(len(distinct), -1, np.int64)
+    place[some] = np.arange(len(some))
+    used = (c3 > 0) & (triples & 0xFFFFFFFF != NONE)
+    _, where = np.unique(pairs >> 32, return_index=True)
+    return NgramTrie(mapped(NgramTrie.arrays(pairs, c2[some], c1[some][where], place[triples[used] >> 32], triples[used] & 0xFFFFFFFF, c3[used], DISCOUNT), folder))
+
+
+def gram_answers(asks: DataFrame, shards: int, folder: str | None = None) -> DataFrame:
+    """Weights of the triples and pairs asked for, and what pairs leave; for words, how many pairs they begin.
+
+    The trie's levels are mapped from files in the folder, or from memory without one.
+    """
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
@@ -259,20 +290,26 @@ def gram_answers(asks: DataFrame, shards: int) -> DataFrame:
         key = np.repeat(rank, np.concatenate(sizes)) << 32
         key |= np.concatenate([unpacked(c, "<u4") for c in t.column("c").to_pylist()])
         triples, entry = np.unique(key, return_inverse=True)
+        del key
         c3 = np.bincount(entry, n, len(triples)).astype(np.int64)
         c2 = np.bincount(triples >> 32, c3, len(distinct)).astype(np.int64)
-        followers = np.bincount((triples >> 32)[(c3 > 0) & (triples & 0xFFFFFFFF != NONE)], minlength=len(distinct))
+        firsts = np.concatenate([np.unique(own >> 32) for own in pairs])
+        first, where = np.unique(firsts, return_index=True)
+        c1 = np.concatenate([unpacked(e, "<i8") for e in t.column("e").to_pylist()])[where]
+        trie = shard_trie(distinct, c2, c1[np.searchsorted(first, distinct >> 32)], triples, c3, folder)
+        begun_by, begun = np.unique(distinct[c2 > 0] >> 32, return_counts=True)
+        node = trie.pair(distinct >> 32, distinct & 0xFFFFFFFF)
+        w2, left = trie.weight2.get(node, 0.0), trie.left3.get(node, 1.0)
+        w3 = trie.weight3.get(trie.triple(node[triples >> 32], triples & 0xFFFFFFFF), 0.0)
         out, p, q = [], 0, 0
         for block, own, size in zip(t.column("block").to_pylist(), pairs, sizes):
             r, e = rank[p : p + len(own)], entry[q : q + int(size.sum())]
-            out.append(letter(block, shard, GRAMS, packed(c3[e], "<i8"), packed(c2[r], "<i8"), packed(followers[r], "<i8")))
+            out.append(letter(block, shard, GRAMS, real(w3[e]), real(w2[r]), real(left[r])))
             p, q = p + len(own), q + len(e)
-        first, begun = np.unique(distinct[c2 > 0] >> 32, return_counts=True)
-        order, edge = sharded((first - 1) % shards, shards)
-        for s in range(shards):
-            at = order[edge[s] : edge[s + 1]]
-            if len(at):
-                out.append(letter(-1, s, FOLLOWERS, packed(first[at], "<i8", True), packed(begun[at], "<i8")))
+        order, edge = sharded((begun_by - 1) % shards)
+        for s, own in edge.items():
+            at = order[own]
+            out.append(letter(-1, s, FOLLOWERS, packed(begun_by[at], "<i8", True), packed(begun[at], "<i8")))
         return mail(out)
 
     return asks.groupBy("shard").applyInArrow(run, MAIL)
@@ -295,7 +332,7 @@ def score_texts(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> Da
     """id_col, held_out, n_tokens, n_known, train_tokens, base_score and score of each text.
 
     base_score uses smoothed unigram counts, score the interpolated trigram model with absolute discounting over all
-    pairs and triples of the training texts; both are log10 of the whole text with its end token. Null and empty texts
+    pairs and triples of the training texts, whose weights have 8 bits; both are log10 of the whole text with its end token. Null and empty texts
     are their end token alone. Null ids are held out; repeated rows count each; ties cannot arise; an empty table gives
     no rows; other columns are not read.
     """
@@ -305,7 +342,7 @@ def score_texts(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> Da
     words = written(word_answers(word_asks(coded, shards), shards), "lm-words")
     tokens, vocabulary = words.where("block < 0").agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
     words = words.where("block >= 0")
-    grams = written(gram_answers(gram_asks(coded, words, shards), shards), "lm-grams")
+    grams = written(gram_answers(gram_asks(coded, words, shards), shards, local_folder(df.sparkSession)), "lm-grams")
     followers = follower_answers(words, grams.where("block < 0"), shards)
     answers = words.unionByName(grams.where("block >= 0")).unionByName(followers)
     return scored(coded, answers, shards, tokens + ends, vocabulary + (ends > 0), ends, id_col)
@@ -320,19 +357,19 @@ def scored(coded: DataFrame, answers: DataFrame, shards: int, n_all: int, vocabu
         number, count, order, edge = numbered(left, right, shards)
         g, tokens, offsets = block_grams(left, number, shards)
         begun = np.zeros(len(number), np.int64)
-        c3, c2, followers = np.zeros(len(g.n), np.int64), np.zeros(len(g.pairs), np.int64), np.zeros(len(g.pairs), np.int64)
+        w3, w2, left3 = np.zeros(len(g.n)), np.zeros(len(g.pairs)), np.ones(len(g.pairs))
         for kind_, s, a, b, c in zip(*[right.column(x).to_pylist() for x in ("kind", "shard", "a", "b", "c")]):
             if kind_ == FOLLOWERS:
-                begun[order[edge[s] : edge[s + 1]]] = unpacked(a, "<i8")
+                begun[order[edge[s]]] = unpacked(a, "<i8")
             elif kind_ == GRAMS:
-                c3[g.order[g.edge[s] : g.edge[s + 1]]] = unpacked(a, "<i8")
-                mine = g.pair_order[g.pair_edge[s] : g.pair_edge[s + 1]]
-                c2[mine], followers[mine] = unpacked(b, "<i8"), unpacked(c, "<i8")
+                w3[g.order[g.edge[s]]] = unreal(a)
+                mine = g.pair_order[g.pair_edge[s]]
+                w2[mine], left3[mine] = unreal(b), unreal(c)
         codes, sizes = decoded(left, 0)
         c1, _ = with_ends(count[codes].astype(np.float64) if len(codes) else np.zeros(0), sizes, ends)
         heads, _ = with_ends(begun[codes] if len(codes) else np.zeros(0, np.int64), sizes, 0)
         p1 = (c1 + SMOOTHING) / whole
-        p = interpolated(p1, c1, heads, g, c2, followers, c3, tokens, offsets)
+        p = interpolated(p1, c1, heads, g, w2, left3, w3, tokens, offsets)
         first = offsets[:-1]
         n = len(sizes)
         return pa.table(
@@ -351,7 +388,7 @@ def scored(coded: DataFrame, answers: DataFrame, shards: int, n_all: int, vocabu
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def interpolated(p1, c1, heads, g: Grams, c2, followers, c3, tokens, offsets) -> np.ndarray:
+def interpolated(p1, c1, heads, g: Grams, w2, left3, w3, tokens, offsets) -> np.ndarray:
     """P(word | two words before) of each place: what a context's discounts leave goes to the shorter context."""
     p = p1.copy()
     inner = np.ones(len(p), bool)
@@ -360,11 +397,8 @@ def interpolated(p1, c1, heads, g: Grams, c2, followers, c3, tokens, offsets) ->
     at = at[c1[at - 1] > 0]
     p[at] *= DISCOUNT * heads[at - 1] / c1[at - 1]
     pair = g.pair[g.entry]
-    some = c2[pair] > 0
-    at = g.place[some]
-    p[at] += (c2[pair[some]] - DISCOUNT) / c1[at - 1]
-    some &= tokens[g.place] != END  # a pair that ends in the end token has no next place
-    at, pair, n3 = g.place[some] + 1, pair[some], c3[g.entry[some]]
-    n3 = np.where(tokens[at] >= 0, n3, 0)
-    p[at] = p[at] * (DISCOUNT * followers[pair] / c2[pair]) + np.where(n3 > 0, n3 - DISCOUNT, 0) / c2[pair]
+    p[g.place] += w2[pair]
+    some = tokens[g.place] != END  # a pair that ends in the end token has no next place
+    at, pair, own = g.place[some] + 1, pair[some], w3[g.entry[some]]
+    p[at] = p[at] * left3[pair] + np.where(tokens[at] >= 0, own, 0)
     return p

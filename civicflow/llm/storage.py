@@ -1,31 +1,27 @@
-"""Cutting lineage in the folder that the whole cluster shares."""
+"""Intermediates: held, written to the folder that the whole cluster shares, or broadcast after a count."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.chains import looked_up
+from ..state.lineage import cut, shared_dir
+
+__all__ = ["BROADCAST_ROWS", "cut", "hold", "local_folder", "looked_up", "shared_dir", "small_side", "written"]
+
 #: Narrow rows that may be broadcast; some tens of MB.
 BROADCAST_ROWS = 500_000
-#: Rows of a narrow checkpoint that share a file.
-FILE_ROWS = 50_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only a local session without one gets a temporary folder."""
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if path is None:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="civicflow-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return path
+def local_folder(spark: SparkSession) -> str | None:
+    """The shared folder as tasks can open it themselves; none if it is in a store that only Spark reads."""
+    path = shared_dir(spark)
+    scheme, _, rest = path.partition(":/")
+    return path if path.startswith("/") else "/" + rest.lstrip("/") if scheme == "file" else None
 
 
 def hold(df: DataFrame) -> DataFrame:
@@ -36,12 +32,6 @@ def hold(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
-def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Checkpoint of a loop's state, so that plans do not grow; with the rows expected, in as many files as those need."""
-    shared_dir(df.sparkSession)
-    return (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).checkpoint(eager=True)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Columnar checkpoint of a wide intermediate: Parquet in the shared folder, read back with pruning."""
     spark = df.sparkSession

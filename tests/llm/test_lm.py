@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from civicflow.llm import lm
-from civicflow.llm.elias_fano import EliasFano, NgramTrie, Quantised
+from civicflow.llm.elias_fano import Children, EliasFano, NgramTrie, Quantised, mapped
 
 from .helpers import empty, frame, lower, sf_rows, words
 
@@ -16,31 +16,62 @@ from .helpers import empty, frame, lower, sf_rows, words
 @given(st.lists(st.integers(0, 5000), max_size=80), st.integers(0, 2000))
 def test_elias_fano(values, more):
     values = np.array(sorted(values), np.int64)
-    e = EliasFano(values, 5001 + more)
+    e = EliasFano.of(values, 5001 + more)
     assert e.get(np.arange(len(values))).tolist() == values.tolist()
     asked = np.arange(0, 5001, 7)
     assert e.successor(asked).tolist() == np.searchsorted(values, asked).tolist()
     assert set(np.unique(e.find(values)) >= 0) <= {True}
+    lo, hi = len(values) // 3, 2 * len(values) // 3
+    assert e.successor(asked, lo, hi).tolist() == [lo + int(np.searchsorted(values[lo:hi], x)) for x in asked]
+
+
+def test_long_elias_fano():
+    values = np.sort(np.random.default_rng(2).integers(0, 1 << 55, 200_000))
+    e = EliasFano.of(values, 1 << 55)
+    assert (e.get(np.arange(len(values))) == values).all() and (values[e.find(values)] == values).all()
+    assert (e.find(values + 1) == np.where(np.isin(values + 1, values), np.searchsorted(values, values + 1), -1)).all()
+    assert e.nbytes < 8 * len(values)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 300)), max_size=120))
+def test_children_are_found_in_their_context_only(entries):
+    entries = sorted(set(entries))
+    parent, word = (np.array([e[i] for e in entries], np.int64) for i in (0, 1))
+    level = Children(Children.arrays(parent, word, 10))
+    place = {e: i for i, e in enumerate(entries)}
+    p, w = (x.ravel() for x in np.meshgrid(np.arange(-1, 10), np.arange(0, 400, 3), indexing="ij"))
+    assert level.find(p, w).tolist() == [place.get(e, -1) for e in zip(p.tolist(), w.tolist())]
+    assert level.find(parent, word).tolist() == list(range(len(entries)))
 
 
 def test_quantised_is_close():
-    x = np.random.default_rng(0).uniform(1e-6, 1, 5000)
-    assert np.abs(np.log10(Quantised(x).get(np.arange(5000))) - np.log10(x)).max() < 0.8
+    x = 10 ** -np.random.default_rng(0).uniform(0, 6, 5000)
+    q = Quantised(Quantised.arrays(x))
+    assert np.abs(np.log10(q.get(np.arange(5000), 1.0)) - np.log10(x)).max() < 6 / 255
+    assert q.get(np.array([-1]), 0.5).tolist() == [0.5]
 
 
-def test_trie_probabilities_sum_to_one():
+def test_trie_of_mapped_levels(tmp_path):
     rng = np.random.default_rng(3)
-    k = 7
-    stream = rng.integers(0, k, 4000)
-    pairs, n2 = np.unique(stream[:-1] * k + stream[1:], return_counts=True)
-    triples, n3 = np.unique((stream[:-2] * k + stream[1:-1]) * k + stream[2:], return_counts=True)
-    counts = np.bincount(stream, minlength=k)
-    trie = NgramTrie(k, counts, pairs, n2, triples, n3)
-    p1 = counts / counts.sum()
-    for u in range(-1, k):
-        for v in range(k):
-            p = trie.score(np.arange(k), np.full(k, v), np.full(k, u), p1.copy())
-            assert abs(p.sum() - 1) < 1e-6
+    stream = (rng.zipf(1.4, 30_000) % 500 + 1).astype(np.int64)
+    pairs, n2 = np.unique(stream[:-2] << 32 | stream[1:-1], return_counts=True)
+    key, n3 = np.unique(np.searchsorted(pairs, stream[:-2] << 32 | stream[1:-1]) << 32 | stream[2:], return_counts=True)
+    n1 = np.bincount(stream[:-2], minlength=501)
+    first = np.unique(pairs >> 32)
+    arrays = NgramTrie.arrays(pairs, n2, n1[first], key >> 32, key & 0xFFFFFFFF, n3, 0.5)
+    for folder in (str(tmp_path), None, "/no/such/folder"):
+        trie = NgramTrie(mapped(arrays, folder))
+        node = trie.pair(pairs >> 32, pairs & 0xFFFFFFFF)
+        assert node.tolist() == list(range(len(pairs)))
+        assert trie.triple(key >> 32, key & 0xFFFFFFFF).tolist() == list(range(len(key)))
+        assert (trie.pair(pairs >> 32, (pairs & 0xFFFFFFFF) + 600) == -1).all()
+        # a context's weights and what it leaves make one, but for 8 bits
+        total = np.bincount(pairs >> 32, trie.weight2.get(node, 0.0), 501)[first] + 0.5 * np.bincount(pairs >> 32, minlength=501)[first] / n1[first]
+        assert np.abs(total - 1).max() < 0.05
+        total = np.bincount(key >> 32, trie.weight3.get(np.arange(len(key)), 0.0)) + trie.left3.get(node, 1.0)
+        assert np.abs(total - 1).max() < 0.05
+    assert not list(tmp_path.iterdir())  # the files go with the views
 
 
 def test_scores_against_brute_force(spark):
@@ -96,4 +127,9 @@ def test_all_ngrams_count(spark, monkeypatch):
     got = lm.score_texts(frame(spark, [(1000 + i, t) for i, t in many]).repartition(5)).collect()
     found, want = sorted((str(r["doc_id"]), r["score"]) for r in got), brute_force_scores(rows, held)
     assert [i for i, _ in found] == [i for i, _ in want]
-    assert np.allclose([x for _, x in found], [x for _, x in want], atol=1e-4)
+    length = {str(i): len(words(lower(t or ""))) + 1 for i, t in rows}
+    off = np.array([(x - y) / length[i] for (i, x), (_, y) in zip(found, want)])
+    assert np.abs(off).max() < 0.01 and abs(off.mean()) < 0.002  # weights of 8 bits
+    monkeypatch.setattr(lm, "local_folder", lambda spark: None)
+    again = lm.score_texts(frame(spark, [(1000 + i, t) for i, t in many])).collect()
+    assert np.allclose(sorted(r["score"] for r in again), sorted(x for _, x in found), rtol=0.01)
