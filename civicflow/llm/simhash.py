@@ -7,7 +7,6 @@ as all of them exceed the radius. A bucket gives its spanning links only, so a g
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,14 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.chains import components
 from . import words as W
-from .components import components
-from .storage import hold, small_side
+from .storage import hold, looked_up, small_side
 
 SEED = 42
 #: Larger buckets are split into parts that meet pair by pair, each in a task of its own.
 PART = 2048
-VERIFY_PART = 256
+#: In buckets over so many rows, a few rows are first compared with all: whatever is near one of them needs no more.
+PIVOT_ROWS, PIVOTS = 64, 8
 ONE = np.uint64(1)
 
 
@@ -47,6 +47,13 @@ def shingle_hashes(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((xxh(raw[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist())), np.uint64, len(first)), shingles
 
 
+def different(hashes: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's different hashes, rising, and their number."""
+    ends = np.cumsum(shingles)
+    own = [np.unique(hashes[e - c : e]) for e, c in zip(ends.tolist(), shingles.tolist())]
+    return np.concatenate(own) if own else hashes, np.array([len(x) for x in own], np.int64)
+
+
 def bit_counts(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     """How many of each text's hashes set each of the 64 bits; every text has one at least.
 
@@ -186,6 +193,43 @@ def close_links(group_end: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
+def bucket_links(group_end: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that chain the rows of each group as all its pairs at most radius bits apart do.
+
+    In long groups a few pivots are compared with every row. Rows that hang together through pivots need not meet each
+    other: of the largest such set none do, and all others go on, to be compared with all rows. A group of near copies
+    is linear then.
+    """
+    n = len(fps)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start = np.concatenate([[0], np.flatnonzero(group_end[1:] != group_end[:-1]) + 1])
+    order, end = np.arange(n), group_end.copy()
+    found_a, found_b = [], []
+    for a, b in zip(start.tolist(), group_end[start].tolist()):
+        if b - a <= PIVOT_ROWS:
+            continue
+        hung, pivots, free = UnionFind(b - a), [], np.ones(b - a, bool)
+        while len(pivots) < PIVOTS and free.any():
+            p = int(free.argmax())
+            near = np.bitwise_count(fps[a:b] ^ fps[a + p]).sum(axis=1) <= radius
+            other = np.flatnonzero(near)
+            other = other[other != p]
+            hung.join(np.full(len(other), p), other)
+            found_a.append(np.full(len(other), a + p))
+            found_b.append(a + other)
+            pivots.append(p)
+            free &= ~near
+        label = hung.parent
+        apart = label != np.bincount(label).argmax()
+        apart[pivots] = False
+        left = np.flatnonzero(apart)
+        order[a:b] = a + np.concatenate([left, np.flatnonzero(~apart)])
+        end[a + len(left) : b] = np.arange(a + len(left), b) + 1
+    a, b = close_links(end, fps[order], radius)
+    return np.concatenate([*found_a, order[a]]).astype(np.int64), np.concatenate([*found_b, order[b]]).astype(np.int64)
+
+
 def by_group(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
     """Tables of about rows rows from batches sorted by key, never cutting a group."""
     held: list[pa.RecordBatch] = []
@@ -218,7 +262,7 @@ def in_parts(rows: DataFrame, key: str, spread: str, part: int) -> DataFrame:
 
     __g is a hash: keys that collide are compared together, which does no harm.
     """
-    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part)
+    large = small_side(rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part))
     sized = rows.join(large, key, "left").withColumn("__parts", F.coalesce(F.ceil(F.col("__n") / part).cast("int"), F.lit(1)))
     sized = sized.withColumn("__own", F.pmod(F.xxhash64(spread, F.lit(7)), F.col("__parts")).cast("int"))
     paired = sized.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
@@ -241,34 +285,6 @@ def exact_masks(radius: int, n: int) -> list[list[int]]:
     return [b + c for b in bands(every) for c in bands([x for x in every if x not in b])]
 
 
-def miss_rate(bits: int, tables: int, tenths: int, width: int, radius: int) -> float:
-    """Chance that two sets of equal size at just that similarity share none of the tables' masks or differ too much.
-
-    A bit differs by the angle of the sets' sums; how many do is binomial.
-    """
-    shared = 2 * tenths / (10 + tenths)
-    differ, size = math.acos(shared) / math.pi, 64 * width
-    missed = 1.0
-    for d in range(radius + 1):
-        missed -= math.comb(size, d) * differ**d * (1 - differ) ** (size - d) * (1 - (1 - math.comb(size - d, bits) / math.comb(size, bits)) ** tables)
-    return missed
-
-
-def sampled_masks(n: int, tenths: int, width: int, radius: int, seed: int = 11) -> list[list[int]]:
-    """Random lists of bits, longer over more fingerprints, so that buckets of unrelated ones stay small.
-
-    There are so many that at most MISS of the pairs at the similarity are missed, whatever n is.
-    """
-    bits = min(20, max(12, (max(n, 1) // 64).bit_length()))
-    if miss_rate(bits, 1 << 20, tenths, width, radius) > MISS:
-        raise ValueError("the radius is too small for this similarity")
-    tables = 1
-    while miss_rate(bits, tables, tenths, width, radius) > MISS:
-        tables += max(1, tables // 16)
-    rng = np.random.default_rng(seed)
-    return [sorted(rng.choice(64 * width, bits, replace=False).tolist()) for _ in range(tables)]
-
-
 def bucket_keys(masks: list[list[int]], width: int) -> Column:
     """Array of a hash for each mask of the fingerprint's bits under it."""
 
@@ -288,13 +304,22 @@ def links(prints: DataFrame, radius: int, masks: list[list[int]], width: int = 1
     keyed = prints.select("id", *words, F.explode(bucket_keys(masks, width)).alias("__k"))
     rows = in_parts(keyed, "__k", "id", PART).select("__g", "id", *words)
 
+    return compared(rows, radius, width)
+
+
+def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
+    """Links a, b that chain the ids of rows (__g, id, f0, ...) as all pairs within the radius that share a __g do."""
+    words = names_of(width)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_group(batches, "__g", 1 << 16):
             keys, ids = t.column("__g").to_numpy(), t.column("id").to_numpy()
-            at = np.flatnonzero(group_ends(keys) - np.searchsorted(keys, keys) > 1)
+            once = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+            once &= group_ends(keys) - np.searchsorted(keys, keys) > 1
+            at = np.flatnonzero(once)
             if len(at):
                 fps = np.stack([t.column(w).to_numpy()[at] for w in words], axis=1).view(np.uint64)
-                a, b = close_links(group_ends(keys[at]), fps, radius)
+                a, b = bucket_links(group_ends(keys[at]), fps, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at][a]), pa.array(ids[at][b])], names=["a", "b"])
 
     return rows.repartition("__g").sortWithinPartitions("__g", "id").mapInArrow(run, "a long, b long").distinct()
@@ -309,23 +334,31 @@ def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", n
     rows. Other columns are not read.
     """
     docs = hold(fingerprint_table(df, n, text, [id_col]))
-    first = hold(docs.groupBy("f0").agg(F.min("k0").alias("least")))
-    different = first.count()
-    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, different)), different)
-    rooted = first.join(found.withColumnRenamed("node", "f0"), "f0", "left").select("f0", "least", F.coalesce("root", "f0").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("f0", "component_id")
-    return docs.join(by_fp, "f0").select(F.col("k0").alias(id_col), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+    first = hold(docs.groupBy("f0").agg(F.min("k0").alias("least"), F.count(F.lit(1)).alias("n")))
+    prints, rows = first.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    found = components(links(first.select(F.col("f0").alias("id"), "f0"), radius, exact_masks(radius, prints)), prints)
+    rooted = hold(first.join(found.withColumnRenamed("node", "f0"), "f0", "left").select("f0", "least", "n", F.coalesce("root", "f0").alias("root")))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    by_fp = looked_up(rooted, named, "root", "size", prints).select("f0", "component_id", "n")
+    return looked_up(docs, by_fp, "f0", "n", rows).select(F.col("k0").alias(id_col), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 # --- groups of texts whose shingle sets are similar, found through fingerprints and checked exactly ---
 
-#: Words of the wide fingerprint. Unrelated texts differ in 128 of its 256 bits, with a deviation of 8; at a similarity
-#: of 0.8 the mean is 39 and the deviation 6, so the radius misses about one such pair in a thousand and no other.
-WIDTH = 4
-WIDE_RADIUS = 60
-#: Pairs at the similarity itself that the samples may miss; more similar ones are missed less.
-MISS = 0.01
+#: Words of the fingerprint of a set. Two sets of similarity 0.8 have an angle with a cosine of 8/9 or more, so each bit
+#: differs with chance 0.15: 19.4 of 128 in the mean, with a deviation of 4.1. The radius is five deviations up. Sets
+#: that share no shingle differ in 64 with one of 5.7.
+WIDTH = 2
+SET_RADIUS = 40
+#: Texts with a common shingle in front that are compared in one group; near copies need one comparison each there.
+SET_PART = 1 << 15
+#: Texts of a chain that are compared in one group.
+VERIFY_PART = 256
+#: Shingles that are taken for common, and counters that a task finds them with. They set the order in which shingles
+#: are looked at, and so how much is compared, never what is found.
+COMMON, COUNTERS = 200_000, 1 << 20
+#: A shingle is common if it is in over this share of a task's texts, and in so many at least.
+COMMON_SHARE, COMMON_LEAST = 1 / 500, 8
 
 
 def similar_links(sets: list[np.ndarray], tenths: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -355,33 +388,115 @@ def similar_links(sets: list[np.ndarray], tenths: int = 8) -> tuple[np.ndarray,
     return a[used], b[used]
 
 
+def common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
+    """Hashes of common shingles, the rarest first, each with about how many texts have it at most.
+
+    A task counts its texts' shingles in COUNTERS counters; those in over COMMON_SHARE of its texts are named.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, docs, named = np.zeros(COUNTERS, np.int64), 0, np.zeros(0, np.uint64)
+        for b in W.slices(batches, "t"):
+            hashes, _ = different(*shingle_hashes(b.column("t"), n))
+            slot = (hashes & np.uint64(COUNTERS - 1)).astype(np.int64)
+            counters += np.bincount(slot, minlength=COUNTERS)
+            docs += b.num_rows
+            named = np.union1d(named, hashes[counters[slot] > max(COMMON_LEAST, COMMON_SHARE * docs)])
+        count = counters[(named & np.uint64(COUNTERS - 1)).astype(np.int64)]
+        some = count > max(COMMON_LEAST, COMMON_SHARE * docs)
+        yield pa.RecordBatch.from_arrays([pa.array(named[some].view(np.int64)), pa.array(count[some])], names=["h", "n"])
+
+    found = texts.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON)
+    return {r["h"]: r["n"] for r in reversed(found.collect())}
+
+
+def leading(hashes: np.ndarray, size: np.ndarray, common: np.ndarray, rank: np.ndarray, tenths: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the first shingles of each set, in an order that is the same everywhere: common ones come last.
+
+    Sets of similarity tenths / 10 share one of their first size - ceil(size * tenths / 10) + 1.
+    """
+    doc = np.repeat(np.arange(len(size)), size)
+    at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+    place = np.where(common[at] == hashes, rank[at], 0) if len(common) else np.zeros(len(hashes), np.int64)
+    order = np.argsort(doc * (len(common) + 1) + place, kind="stable")
+    first = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    used = first < np.repeat(size + 1 - -(-size * tenths // 10), size)
+    return doc[used], hashes[order][used]
+
+
+def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
+    """Links a, b that chain the keys of texts (key, t): they share a leading shingle and have near fingerprints.
+
+    Any two sets of the similarity share one, so only the fingerprints' radius can miss a pair. The texts of a common
+    shingle are counted, and split into parts that meet pair by pair if they are many.
+    """
+    found = common_shingles(texts, n)
+    number = np.array(list(found), np.int64).view(np.uint64)
+    order = np.argsort(number)
+    shared = texts.sparkSession.sparkContext.broadcast((number[order], order + 1))
+    words = names_of(WIDTH)
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("__k", "id", *words)], T.StructField("often", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, rank = shared.value
+        seen: set[int] = set()
+        for b in W.slices(batches, "t"):
+            fresh = [i for i, k in enumerate(b.column("key").to_pylist()) if not (k in seen or seen.add(k))]
+            if len(seen) > 1 << 18:  # a text that comes again only gives its rows again
+                seen.clear()
+            own = b.take(pa.array(fresh, pa.int64()))
+            hashes, size = different(*shingle_hashes(own.column("t"), n))
+            fp = fingerprints(hashes, size, WIDTH).view(np.int64)
+            doc, first = leading(hashes, size, common, rank, tenths)
+            often = np.isin(first, common)
+            yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), own.column("key").take(pa.array(doc)), *[pa.array(np.ascontiguousarray(fp[doc, k])) for k in range(WIDTH)], pa.array(often)], names=schema.names)
+
+    # Held in columns: an id and its fingerprint repeat over its rows.
+    keyed = hold(texts.select("key", "t").mapInArrow(run, schema))
+    rare = keyed.where(~F.col("often")).select(F.col("__k").alias("__g"), "id", *words)
+    often = in_parts(keyed.where("often").drop("often"), "__k", "id", SET_PART).select("__g", "id", *words)
+    return compared(rare.unionByName(often), SET_RADIUS, WIDTH)
+
+
 def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: int = 8) -> DataFrame:
     """key, group of each text that is in a group: key is xxhash64 of the text, group a key that stands for it.
 
     Texts of a group are chained by pairs whose n-word shingle sets have a Jaccard similarity of tenths / 10 or more.
-    Candidates are chains of wide fingerprints within the radius; only texts of such a chain are read again and compared.
+    Only texts in chains of candidates are read again and compared.
     """
     texts = df.select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(f"`{id_col}`").alias("row")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
-    words = [F.first(w).alias(w) for w in names_of(WIDTH)]
-    prints = hold(fingerprint_table(texts, n, "t", ["key", "row"], WIDTH).groupBy(F.col("k0").alias("id")).agg(F.min("k1").alias("row"), *words))
-    texts_n = prints.count()
-    chains = components(links(prints, WIDE_RADIUS, sampled_masks(texts_n, tenths, WIDTH, WIDE_RADIUS), WIDTH), texts_n)
+    once = hold(texts.groupBy("key").agg(F.min("row").alias("row")))
+    texts_n = once.count()
+    chains = components(candidates(W.lean(texts), n, tenths), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
-    members = small_side(prints.join(chains, prints["id"] == chains["node"]).select(F.col("id").alias("key"), "row", F.col("root").alias("chain")), expected=texts_n)
-    once = texts.join(members, ["key", "row"])
-    return components(_verified(once, n, tenths), texts_n).select(F.col("node").alias("key"), F.col("root").alias("group"))
+    members = small_side(once.join(chains, once["key"] == chains["node"]).select("key", "row", F.col("root").alias("chain")), expected=texts_n)
+    return components(verified(texts.join(members, ["key", "row"]), n, tenths), texts_n).select(F.col("node").alias("key"), F.col("root").alias("group"))
 
 
-def _verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
-    """Spanning links a, b of keys in the same chain whose shingle sets are similar."""
+def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
+    """Links a, b that chain keys as all pairs of a chain with similar shingle sets do.
+
+    All texts of a chain meet. In one of over VERIFY_PART, each is first compared with the text that names the chain:
+    those similar to it hang together, so only the others meet all, in parts. Near copies of one text cost one
+    comparison each.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.slices(batches, "t"):
-            hashes, count = shingle_hashes(b.column("t"), n)
-            ends = np.cumsum(count)
-            own = [np.unique(hashes[e - c : e]).tobytes() for e, c in zip(ends, count)]
+            hashes, size = different(*shingle_hashes(b.column("t"), n))
+            ends = np.cumsum(size)
+            own = [hashes[e - c : e].tobytes() for e, c in zip(ends.tolist(), size.tolist())]
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("chain"), pa.array(own, pa.binary())], names=["key", "chain", "set"])
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            same = []
+            for x, y in zip(b.column("set").to_pylist(), b.column("pivot").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                inter = len(np.intersect1d(x, y, assume_unique=True))
+                same.append(10 * inter >= tenths * (len(x) + len(y) - inter) > 0)
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("chain"), pa.array(same, pa.bool_())], names=["key", "chain", "near"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_group(batches, "__g", 64):
             group, key, own = t.column("__g").to_numpy(), t.column("key").to_numpy(), t.column("set").to_pylist()
@@ -391,8 +506,26 @@ def _verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(key[a + i]), pa.array(key[a + j])], names=["a", "b"])
 
     small = hold(rows.select("key", "chain", "t").mapInArrow(sets, "key long, chain long, set binary").dropDuplicates(["key"]))
-    parts = in_parts(small.select("key", "chain"), "chain", "key", VERIFY_PART).select("key", "__g")
-    return parts.join(small.select("key", "set"), "key").repartition("__g").sortWithinPartitions("__g", "key").mapInArrow(run, "a long, b long")
+    long_ = small_side(small.groupBy("chain").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > VERIFY_PART))
+    short = small.join(long_, "chain", "left_anti").select("key", F.col("chain").alias("__g"))
+    # The naming text goes to as many tasks as its chain fills, so that none gets a whole chain.
+    lots = F.ceil(F.col("n") / VERIFY_PART).cast("int")
+    rest = small.join(long_, "chain")
+    pivots = rest.where(F.col("key") == F.col("chain")).select("chain", F.col("set").alias("pivot"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"))
+    met = rest.withColumn("lot", F.pmod(F.xxhash64("key"), lots).cast("int")).join(pivots, ["chain", "lot"])
+    told = hold(met.select("key", "chain", "set", "pivot").mapInArrow(near, "key long, chain long, near boolean"))
+    hung = told.where(F.col("near") & (F.col("key") != F.col("chain"))).select(F.col("chain").alias("a"), F.col("key").alias("b"))
+    halves = {x: F.ceil(F.count(F.when(c, 1)) / (VERIFY_PART // 2)).cast("int").alias(x) for x, c in (("far", ~F.col("near")), ("by", F.col("near")))}
+    open_ = small_side(told.groupBy("chain").agg(*halves.values()).where("far > 0"))
+    mine = lambda n: F.pmod(F.xxhash64("key", F.lit(3)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("o")
+    told = told.join(open_, "chain")
+    far, by = told.where(~F.col("near")).withColumn("p", mine("far")), told.where("near").withColumn("p", mine("by"))
+    among = far.select("key", "chain", "p", each("far")).select("key", F.xxhash64("chain", F.least("p", "o"), F.greatest("p", "o")).alias("__g"))
+    out = far.where("by > 0").select("key", "chain", "p", each("by")).select("key", F.xxhash64("chain", "p", "o", F.lit("by")).alias("__g"))
+    back = by.select("key", "chain", "p", each("far")).select("key", F.xxhash64("chain", "o", "p", F.lit("by")).alias("__g"))
+    parts = short.unionByName(among).unionByName(out).unionByName(back)
+    return parts.join(small.select("key", "set"), "key").repartition("__g").sortWithinPartitions("__g", "key").mapInArrow(run, "a long, b long").unionByName(hung)
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -405,15 +538,15 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_i
     own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, i = f"c{names.index(text)}", f"c{names.index(id_col)}"
     key = F.xxhash64(F.col(t).cast("string"))
-    groups = small_side(similar_groups(df, text, id_col))
-    keyed = own.where(F.col(t).isNotNull()).select(F.col(i).alias("id"), key.alias("key"))
-    grouped = hold(keyed.groupBy("id", "key").agg(F.count(F.lit(1)).alias("rows")).join(groups, "key", "left").withColumn("group", F.coalesce("group", "key")))
-    first = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("group", "first")
-    other = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key")))
-    lost = small_side(grouped.join(small_side(first), "group").where(other).select(F.col("id").alias("__i"), F.col("key").alias("__k")))
+    keyed = hold(own.where(F.col(t).isNotNull()).select(F.col(i).alias("id"), key.alias("key")).groupBy("id", "key").agg(F.count(F.lit(1)).alias("rows")))
+    # Counted by text, then by group: neither copies nor a large group gather in a join.
+    by_text = keyed.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"))
+    grouped = by_text.join(similar_groups(df, text, id_col), "key", "left").withColumn("group", F.coalesce("group", "key"))
+    first = grouped.groupBy("group").agg(F.min(F.struct("least.none", "least.id", "key")).alias("first")).select(F.col("first.key").alias("__k"), F.col("first.id").alias("__i"))
+    lost = small_side(keyed.join(first, (F.col("key") == F.col("__k")) & F.col("id").eqNullSafe(F.col("__i")), "left_anti").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
     same = F.col(i).eqNullSafe(F.col("__i")) & (key == F.col("__k"))
     kept = own.join(lost, same, "left_anti")
-    repeated = hold(grouped.where("rows > 1").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
+    repeated = hold(keyed.where("rows > 1").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
     if not repeated.isEmpty():
         again = small_side(repeated)
         kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([i, t]))

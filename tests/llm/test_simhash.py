@@ -4,7 +4,6 @@ import numpy as np
 import xxhash
 
 from civicflow.llm import simhash
-from civicflow.llm.components import components
 
 from .helpers import empty, frame, lower, sf_rows, words
 
@@ -59,15 +58,6 @@ def test_large_buckets_are_split_without_loss(spark, monkeypatch):
         assert len(found) < 4 * len(fps) * len(simhash.exact_masks(3, n))
 
 
-def test_components_of_chains_and_stars(spark):
-    chain = [(i, i + 1) for i in range(0, 60)]
-    star = [(1000, 1000 + i) for i in range(1, 50)]
-    df = spark.createDataFrame(chain + star + [(5, 5), (7, None)], "a long, b long")
-    got = {r["node"]: r["root"] for r in components(df).collect()}
-    assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)}
-    assert components(df.limit(0)).count() == 0
-
-
 def jaccard(a, b):
     def own(t):
         w = words(lower(t))
@@ -106,13 +96,93 @@ def test_stage_drops_similar_texts_only(spark):
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
-def test_masks_miss_few_pairs_at_any_size():
-    rng = np.random.default_rng(4)
-    differ = rng.random((20_000, 256)) < np.arccos(0.8 / 0.9) / np.pi  # bits of pairs of equal size at 0.8
-    for n in (1_000, 250_000, 3_000_000, 40_000_000):
-        masks = simhash.sampled_masks(n, tenths=8, width=4, radius=60)
-        found = np.zeros(len(differ), bool)
-        for bits in masks:
-            found |= ~differ[:, bits].any(axis=1)
-        found &= differ.sum(axis=1) <= 60
-        assert found.mean() > 0.985, (n, len(masks), found.mean())
+def chains(n, pairs):
+    u = simhash.UnionFind(n)
+    if len(pairs):
+        u.join(*np.array(pairs).T)
+    return u.roots(np.arange(n)).tolist()
+
+
+def test_bucket_links_chain_as_all_pairs_do():
+    rng = np.random.default_rng(12)
+    for radius, flips in ((3, 2), (40, 25)):
+        centres = rng.integers(0, 1 << 63, (6, 2)).astype(np.uint64)
+        fps = centres[np.sort(rng.integers(0, 6, 900))]
+        for _ in range(flips):
+            fps[np.arange(900), rng.integers(0, 2, 900)] ^= np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)
+        group = np.sort(rng.integers(0, 4, 900))
+        a, b = simhash.bucket_links(simhash.group_ends(group), fps, radius)
+        assert (group[a] == group[b]).all() and (np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1) <= radius).all()
+        close = np.bitwise_count(fps[:, None] ^ fps[None, :]).sum(axis=2) <= radius
+        x, y = np.nonzero(np.triu(close & (group[:, None] == group[None, :]), 1))
+        assert chains(900, list(zip(a, b))) == chains(900, list(zip(x, y)))
+        assert len(a) < 10 * 900
+
+
+def similar_pairs(texts):
+    """All pairs of texts with a similarity of 0.8 or more, through lists of the texts that have each shingle."""
+    sets = [{hash(tuple(w[i : i + 5])) for i in range(max(1, len(w) - 4))} if w else set() for w in (words(lower(t)) for t in texts)]
+    having = {}
+    for k, own in enumerate(sets):
+        for x in own:
+            having.setdefault(x, []).append(k)
+    shared = {}
+    for own in having.values():
+        for i, a in enumerate(own):
+            for b in own[i + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    return [(a, b) for (a, b), n in shared.items() if 10 * n >= 8 * (len(sets[a]) + len(sets[b]) - n)]
+
+
+def test_all_similar_pairs_of_a_table_are_found(spark):
+    rows = sf_rows(spark, sf="/root/testdata/sf0.01")
+    texts = sorted({t for _, t in rows if t is not None})
+    pairs = similar_pairs(texts)
+    assert len(pairs) > 3
+    root = chains(len(texts), pairs)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    key = {r["key"]: r["doc_id"] for r in df.selectExpr("doc_id", "xxhash64(text) as key").collect()}
+    got = list(range(len(texts)))
+    groups = {}
+    for r in simhash.similar_groups(df, "text", "doc_id").collect():
+        groups.setdefault(r["group"], []).append(key[r["key"]])
+    for own in groups.values():
+        for i in own:
+            got[i] = min(own)
+    least = {}
+    for i, r in enumerate(root):
+        least.setdefault(r, i)
+    assert got == [least[r] for r in root]
+
+
+def test_a_long_chain_is_verified_in_parts(spark, monkeypatch):
+    # Drifting copies: neighbours are similar, far ones are not, so the naming text reaches a part of the chain only.
+    monkeypatch.setattr(simhash, "VERIFY_PART", 8)
+    monkeypatch.setattr(simhash, "SET_PART", 8)
+    rng = random.Random(3)
+    now = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(60):
+        texts.append(" ".join(now))
+        for k in range(rng.choice((1, 2, 4, 12))):
+            now[rng.randrange(150)] = f"n{i}_{k}"
+    root = chains(len(texts), similar_pairs(texts))
+    assert 1 < len(set(root)) < 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = [r["doc_id"] for r in simhash.drop_near_duplicates(df.repartition(3)).collect()]
+    assert sorted(kept) == sorted({min(i for i, r in enumerate(root) if r == x) for x in set(root)})
+
+
+def test_repeats_do_not_hide_similar_texts(spark):
+    rng = random.Random(8)
+    body = " ".join(f"b{rng.randrange(10**6)}" for _ in range(104))
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(10))
+    rows = [(i, " ".join([body] + [passage] * times)) for i, times in enumerate((1, 20, 40))]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["doc_id"] for r in kept] == [0]
+
+
+def test_common_shingles_come_last():
+    hashes, size = np.array([1, 5, 9, 2, 5, 7, 8, 9], np.uint64), np.array([3, 5])
+    doc, first = simhash.leading(hashes, size, np.array([5, 9], np.uint64), np.array([2, 1]), 8)
+    assert list(zip(doc.tolist(), first.tolist())) == [(0, 1), (1, 2), (1, 7)]
