@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .storage import cut, hold, small_side
+from .storage import cut, hold, looked_up, small_side
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3
@@ -168,25 +168,29 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     pairs = hold(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
     wide = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("seed") != "", F.col("seed"))).alias("kind")).where(F.col("n") >= MIN_INSTANCES)
-    pairs = hold(pairs.join(wide, "pattern"))
-    size = pairs.count()
-    belief = pairs.groupBy("instance").agg(F.max(F.when(F.col("seed") != "", 1.0).otherwise(0.0)).alias("belief"))
+    wide = cut(wide)
+    size = wide.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    pairs = hold(looked_up(pairs, wide.select("pattern", "n"), "pattern", "n", size))
+    rows = F.count(F.lit(1)).alias("n")
+    belief = pairs.groupBy("instance").agg(F.max(F.when(F.col("seed") != "", 1.0).otherwise(0.0)).alias("belief"), rows)
     for k in range(rounds):
-        conf = pairs.join(belief, "instance").groupBy("pattern").agg((F.sum("belief") / F.count(F.lit(1))).alias("conf"))
+        conf = looked_up(pairs, belief, "instance", "n", size).groupBy("pattern").agg((F.sum("belief") / F.count(F.lit(1))).alias("conf"), rows)
         conf = cut(conf, size)
         if k + 1 < rounds:
-            strong = pairs.join(conf, "pattern").withColumn("p", F.when(F.col("seed") != "", 1.0).otherwise(F.when(F.col("conf") >= MIN_CONFIDENCE, F.col("conf")).otherwise(0.0)))
+            strong = looked_up(pairs, conf, "pattern", "n", size).withColumn("p", F.when(F.col("seed") != "", 1.0).otherwise(F.when(F.col("conf") >= MIN_CONFIDENCE, F.col("conf")).otherwise(0.0)))
             # one less the product of doubts, over the instance's patterns
             doubt = F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-6))))
-            belief = cut(strong.groupBy("instance").agg((1 - F.exp(doubt)).alias("belief")), size)
-    return conf.where(F.col("conf") >= MIN_CONFIDENCE).join(wide.where(F.col("kind").isNotNull()), "pattern").select("pattern", "kind")
+            belief = cut(strong.groupBy("instance").agg((1 - F.exp(doubt)).alias("belief"), rows), size)
+    return conf.where(F.col("conf") >= MIN_CONFIDENCE).join(wide.where(F.col("kind").isNotNull()).select("pattern", "kind"), "pattern").select("pattern", "kind")
 
 
 def added_spans(scanned: DataFrame) -> DataFrame:
     """id, key and added (array of structs kind, a, b) of the rows to which good patterns add spans."""
     flat = hold(scanned.select("id", "key", F.explode("candidates").alias("c")).select("id", "key", "c.*"))
     good = score_patterns(flat.select("pattern", "instance", "seed"))
-    hits = flat.where(~F.col("seed").isin(KINDS)).join(good, "pattern")
+    loose = flat.where(~F.col("seed").isin(KINDS))
+    weights = loose.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    hits = looked_up(loose, good.join(weights, "pattern"), "pattern", "n", flat.count())
     return small_side(hits.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("kind", "a", "b"))).alias("added")))
 
 
