@@ -47,11 +47,40 @@ def shingle_hashes(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((xxh(raw[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist())), np.uint64, len(first)), shingles
 
 
-def different(hashes: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's different hashes, rising, and their number."""
-    ends = np.cumsum(shingles)
-    own = [np.unique(hashes[e - c : e]) for e, c in zip(ends.tolist(), shingles.tolist())]
-    return np.concatenate(own) if own else hashes, np.array([len(x) for x in own], np.int64)
+#: Odd, so that no byte's share is lost.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_hashes(w: W.Words) -> np.ndarray:
+    length = w.end - w.start
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(length) - length
+    power = np.cumprod(np.full(int(length.max()), BASE, np.uint64))
+    place = np.arange(int(length.sum())) - np.repeat(first, length)
+    return mixed(np.add.reduceat((w.data[W.SPACED[w.data] > 0].astype(np.uint64) + ONE) * power[place], first), 2)
+
+
+def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's different n-word shingles, rising, and their number; A-Z lower-cased.
+
+    Words are hashed by polynomials of their bytes and shingles by their words' hashes, whole arrays at a time.
+    """
+    w = W.split_words(texts, lower=True)
+    own = word_hashes(w)
+    count = w.counts()
+    size = np.where(count > 0, np.maximum(count - n + 1, 1), 0)
+    doc = np.repeat(np.arange(len(count)), size)
+    first = w.doc_start[:-1][doc] + np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    words = np.minimum(n, count)[doc]
+    hashes = words.astype(np.uint64)
+    for k in range(n):
+        some = words > k
+        hashes[some] = (hashes[some] + own[first[some] + k]) * BASE
+    hashes = mixed(hashes, 1)
+    ends = np.cumsum(size)
+    sets = [np.unique(hashes[e - c : e]) for e, c in zip(ends.tolist(), size.tolist())]
+    return np.concatenate(sets) if sets else hashes, np.array([len(x) for x in sets], np.int64)
 
 
 def bit_counts(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
@@ -356,7 +385,7 @@ SET_PART = 1 << 15
 VERIFY_PART = 256
 #: Shingles that are taken for common, and counters that a task finds them with. They set the order in which shingles
 #: are looked at, and so how much is compared, never what is found.
-COMMON, COUNTERS = 200_000, 1 << 20
+COMMON, COUNTERS = 100_000, 1 << 20
 #: A shingle is common if it is in over this share of a task's texts, and in so many at least.
 COMMON_SHARE, COMMON_LEAST = 1 / 500, 8
 
@@ -388,8 +417,8 @@ def similar_links(sets: list[np.ndarray], tenths: int = 8) -> tuple[np.ndarray,
     return a[used], b[used]
 
 
-def common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
-    """Hashes of common shingles, the rarest first, each with about how many texts have it at most.
+def common_shingles(texts: DataFrame, n: int) -> np.ndarray:
+    """Hashes of common shingles, the rarest first.
 
     A task counts its texts' shingles in COUNTERS counters; those in over COMMON_SHARE of its texts are named.
     """
@@ -397,7 +426,7 @@ def common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, docs, named = np.zeros(COUNTERS, np.int64), 0, np.zeros(0, np.uint64)
         for b in W.slices(batches, "t"):
-            hashes, _ = different(*shingle_hashes(b.column("t"), n))
+            hashes, _ = shingle_sets(b.column("t"), n)
             slot = (hashes & np.uint64(COUNTERS - 1)).astype(np.int64)
             counters += np.bincount(slot, minlength=COUNTERS)
             docs += b.num_rows
@@ -407,7 +436,7 @@ def common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array(named[some].view(np.int64)), pa.array(count[some])], names=["h", "n"])
 
     found = texts.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON)
-    return {r["h"]: r["n"] for r in reversed(found.collect())}
+    return found.select("h").toArrow().column("h").to_numpy()[::-1].view(np.uint64)
 
 
 def leading(hashes: np.ndarray, size: np.ndarray, common: np.ndarray, rank: np.ndarray, tenths: int) -> tuple[np.ndarray, np.ndarray]:
@@ -431,9 +460,8 @@ def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
     shingle are counted, and split into parts that meet pair by pair if they are many.
     """
     found = common_shingles(texts, n)
-    number = np.array(list(found), np.int64).view(np.uint64)
-    order = np.argsort(number)
-    shared = texts.sparkSession.sparkContext.broadcast((number[order], order + 1))
+    order = np.argsort(found)
+    shared = texts.sparkSession.sparkContext.broadcast((found[order], order + 1))
     words = names_of(WIDTH)
     schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("__k", "id", *words)], T.StructField("often", T.BooleanType())])
 
@@ -445,10 +473,10 @@ def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
             if len(seen) > 1 << 18:  # a text that comes again only gives its rows again
                 seen.clear()
             own = b.take(pa.array(fresh, pa.int64()))
-            hashes, size = different(*shingle_hashes(own.column("t"), n))
+            hashes, size = shingle_sets(own.column("t"), n)
             fp = fingerprints(hashes, size, WIDTH).view(np.int64)
             doc, first = leading(hashes, size, common, rank, tenths)
-            often = np.isin(first, common)
+            often = common[np.minimum(np.searchsorted(common, first), len(common) - 1)] == first if len(common) else np.zeros(len(first), bool)
             yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), own.column("key").take(pa.array(doc)), *[pa.array(np.ascontiguousarray(fp[doc, k])) for k in range(WIDTH)], pa.array(often)], names=schema.names)
 
     # Held in columns: an id and its fingerprint repeat over its rows.
@@ -483,7 +511,7 @@ def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.slices(batches, "t"):
-            hashes, size = different(*shingle_hashes(b.column("t"), n))
+            hashes, size = shingle_sets(b.column("t"), n)
             ends = np.cumsum(size)
             own = [hashes[e - c : e].tobytes() for e, c in zip(ends.tolist(), size.tolist())]
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("chain"), pa.array(own, pa.binary())], names=["key", "chain", "set"])

@@ -5,7 +5,7 @@ import xxhash
 
 from civicflow.llm import simhash
 
-from .helpers import empty, frame, lower, sf_rows, words
+from .helpers import chains, empty, frame, lower, sf_rows, similar_pairs, words
 
 
 def print_of(text, n=3):
@@ -96,13 +96,6 @@ def test_stage_drops_similar_texts_only(spark):
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
-def chains(n, pairs):
-    u = simhash.UnionFind(n)
-    if len(pairs):
-        u.join(*np.array(pairs).T)
-    return u.roots(np.arange(n)).tolist()
-
-
 def test_bucket_links_chain_as_all_pairs_do():
     rng = np.random.default_rng(12)
     for radius, flips in ((3, 2), (40, 25)):
@@ -119,21 +112,6 @@ def test_bucket_links_chain_as_all_pairs_do():
         assert len(a) < 10 * 900
 
 
-def similar_pairs(texts):
-    """All pairs of texts with a similarity of 0.8 or more, through lists of the texts that have each shingle."""
-    sets = [{hash(tuple(w[i : i + 5])) for i in range(max(1, len(w) - 4))} if w else set() for w in (words(lower(t)) for t in texts)]
-    having = {}
-    for k, own in enumerate(sets):
-        for x in own:
-            having.setdefault(x, []).append(k)
-    shared = {}
-    for own in having.values():
-        for i, a in enumerate(own):
-            for b in own[i + 1 :]:
-                shared[a, b] = shared.get((a, b), 0) + 1
-    return [(a, b) for (a, b), n in shared.items() if 10 * n >= 8 * (len(sets[a]) + len(sets[b]) - n)]
-
-
 def test_all_similar_pairs_of_a_table_are_found(spark):
     rows = sf_rows(spark, sf="/root/testdata/sf0.01")
     texts = sorted({t for _, t in rows if t is not None})
