@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.chains import looked_up
 from ..state.lineage import cut, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "cut", "hold", "local_folder", "looked_up", "shared_dir", "small_side", "written"]
+__all__ = ["BROADCAST_ROWS", "cut", "hold", "local_folder", "looked_up", "released", "shared_dir", "small_side", "written"]
 
 #: Narrow rows that may be broadcast; some tens of MB.
 BROADCAST_ROWS = 500_000
@@ -24,12 +26,28 @@ def local_folder(spark: SparkSession) -> str | None:
     return path if path.startswith("/") else "/" + rest.lstrip("/") if scheme == "file" else None
 
 
+_HELD: list[DataFrame] = []
+
+
 def hold(df: DataFrame) -> DataFrame:
     """An intermediate that is read more than once, kept on the executors' disks; what a lost one held is made again.
 
-    It goes with the session's cache: spark.catalog.clearCache().
+    released() lets it go.
     """
-    return df.persist(StorageLevel.DISK_ONLY)
+    _HELD.append(df.persist(StorageLevel.DISK_ONLY))
+    return _HELD[-1]
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Lets go, at the end, of what the operators called inside have held: for blocks that write or collect results."""
+    before = len(_HELD)
+    try:
+        yield
+    finally:
+        for df in _HELD[before:]:
+            df.unpersist()
+        del _HELD[before:]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
