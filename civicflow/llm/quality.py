@@ -69,10 +69,11 @@ def dup_lines(text: bytes) -> int:
 
 
 def measure(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The five metrics of each text. Windows are exact: codes of a slice have at most 21 bits, as it has 4 MB at most."""
+    """The five metrics of each text. Windows are exact: codes of a slice have at most 21 bits, as it has 1 MB at most, but for one long text."""
     w = W.split_words(texts)
     if len(w.vocab) >= 1 << 21:  # a single huge text: number its words as they are; windows compare in two steps
-        return {m: np.array([x]) for m, x in zip(METRICS, huge(w))} if w.n_docs == 1 else {m: np.concatenate([measure(texts.slice(i, 1))[m] for i in range(w.n_docs)]) for m in METRICS}
+        own = [huge(w)] if w.n_docs == 1 else [[x[m][0] for m in METRICS] for x in (measure(texts.slice(i, 1)) for i in range(w.n_docs))]
+        return dict(zip(METRICS, np.array(own, np.int64).T))
     n = w.n_docs
     raw = w.data.tobytes()
     leads = np.zeros(len(w.data) + 1, np.int64)
