@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import hold
+
 #: A block has 8 words of 64 bits; a URL sets one bit in each word of one block.
 WORDS = 8
 BITS_PER_URL = 16
@@ -75,7 +77,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     ties between rules go to the one later in text order, an empty list allows all. Other columns are not read. Only
     possible hits are shuffled, salted so that a URL with a third of all rows is spread over SALTS tasks.
     """
-    keys = with_parts(listed.select(F.col(f"`{list_url}`").alias("__listed")), "__listed").select(canonical().alias("canon")).where(F.col("canon").isNotNull()).distinct()
+    keys = hold(with_parts(listed.select(F.col(f"`{list_url}`").alias("__listed")), "__listed").select(canonical().alias("canon")).where(F.col("canon").isNotNull()).distinct())
     n = keys.count()
     blocks = min(MAX_BLOCKS, 1 << max(0, (n * BITS_PER_URL // (64 * WORDS)).bit_length()))
     rule, verdict = rule_columns(rules)
