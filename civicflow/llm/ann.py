@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .storage import hold
+from .storage import hold, looked_up
 
 #: Rows that centroids are fitted on at most; all rows are indexed.
-SAMPLE = 40_000
+SAMPLE = 65_536
 LIST_ROWS = 150
-MAX_LISTS = 16_384
+#: Sampled rows a centroid has at least; so there are 16,384 lists at most.
+SAMPLE_ROWS = 4
 #: A vector goes to the lists within this ratio of its closest centroid's distance, at most so many.
 REPLICA_RATIO, MAX_REPLICAS = 1.04, 3
-#: A query reads the lists within this ratio, at least and at most so many.
+#: A query reads the lists within this ratio, at least so many, and at most so many of 512 lists: more of more lists, by
+#: the root of their number.
 PROBE_RATIO, MIN_PROBES, MAX_PROBES = 1.30, 24, 96
 DEGREE, BEAM = 24, 128
 PART_ROWS, PART_QUERIES = 4096, 1024
@@ -169,21 +171,24 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     share = min(1.0, 1.2 * SAMPLE / max(n, 1))
     sample = (heads if share == 1.0 else heads.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))).select("v").limit(SAMPLE).toPandas()["v"]
     x = unit(np.stack(sample.to_numpy()).astype(np.float64)) if len(sample) else np.zeros((0, 1))
-    lists = max(1, min(MAX_LISTS, n // LIST_ROWS, max(1, len(x) // 8)))
+    lists = max(1, min(n // LIST_ROWS, len(x) // SAMPLE_ROWS))
+    most = int(MAX_PROBES * max(1.0, lists / 512) ** 0.5)
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(x, lists)) if len(x) else None)
     postings = hold(assign(heads, graph, REPLICA_RATIO, 1, MAX_REPLICAS, 32))
-    one = asked.groupBy("v").agg(F.min("id").alias("id")).select("id", "v")
-    probes = assign(one, graph, PROBE_RATIO, MIN_PROBES, MAX_PROBES, BEAM)
+    one = hold(asked.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    probes = assign(one.select("id", "v"), graph, PROBE_RATIO, MIN_PROBES, most, max(BEAM, most + most // 3))
     found = searched(postings, hold(probes), k + 1)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     top = found.dropDuplicates(["q", "id"]).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "id", "score")
     # back from distinct vectors to rows, on either side
     copies = few.select(F.col("id").alias("copy"), "v").join(heads.withColumnRenamed("id", "head"), "v").select("head", "copy")
-    wide = top.join(copies, top["id"] == copies["head"]).select("q", F.col("copy").alias("vec_id"), "score")
-    askers = asked.join(one.withColumnRenamed("id", "q"), "v").select("q", F.col("id").alias("query_id"))
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = askers.join(wide, "q").where(F.col("query_id") != F.col("vec_id")).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    wide = top.join(copies, top["id"] == copies["head"]).select("q", F.struct((-F.col("score")).alias("s"), F.col("copy").alias("i")).alias("c"))
+    # At most k + 1 copies of each of k + 1 vectors: one short list for all askers with the same vector.
+    lists_of = wide.groupBy("q").agg(F.array_sort(F.collect_list("c")).alias("best"))
+    answers = one.withColumnRenamed("id", "q").join(lists_of, "q").select("v", "n", "best")
+    total = asked.count()
+    own = looked_up(asked, answers, "v", "n", total).select(F.col("id").alias("query_id"), F.slice(F.filter("best", lambda c: c["i"] != F.col("id")), 1, k).alias("best"))
+    return own.select("query_id", F.posexplode("best").alias("p", "c")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("c.i").alias("vec_id"), (-F.col("c.s")).alias("score"))
 
 
 def searched(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
