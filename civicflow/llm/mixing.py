@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 from .storage import BROADCAST_ROWS
 
 BLOCK_ROWS = 16
+#: Blocks that the driver walks at most, some ten seconds a million; blocks of larger tables hold more rows instead.
+MAX_BLOCKS = 10_000_000
 PERIOD = 2_000
 #: Sources are few and named by the caller's targets; this bounds what the driver holds.
 MAX_SOURCES = 100_000
@@ -91,7 +93,8 @@ def tempered(counts: Mapping[str, int], power: float = 0.5) -> dict[str, float]:
 def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
     """df with mix_slot and mix_pos; sorting by both gives the mixture. All rows stay, each once.
 
-    A task schedules period blocks, or more of very many sources.
+    A task schedules period blocks, or more of very many sources. Blocks have block_rows rows, and more where there
+    would be over MAX_BLOCKS of them.
 
     targets gives each source's weight; without it, weights are the roots of the sources' row counts. Null sources are
     a source of their own; sources without a target get the least weight given. A source that has run out leaves its
@@ -108,6 +111,7 @@ def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str =
     weights = {s: (targets.get(s) or min(x for x in targets.values() if x > 0)) for s in counts} if targets else tempered(counts)
     shares = exact_shares(weights)
     order = sorted(counts)
+    block_rows = max(block_rows, -(-sum(counts.values()) // MAX_BLOCKS))
     blocks = [-(-counts[s] // block_rows) for s in order]
     # Rows before a row in its source: those of earlier buckets and those before it in its own; buckets follow the size.
     sizes = [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()]

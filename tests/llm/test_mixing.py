@@ -1,4 +1,6 @@
+import math
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -80,3 +82,57 @@ def test_mixture_follows_the_weights(spark):
     for t, s in slots:
         done += s == "a"
         assert abs(done - (t + 1) / 3) < 1
+
+
+def edf_by_slots(shares, blocks):
+    """Earliest deadline first, looking at all sources in each slot."""
+    done, out, t = [0] * len(shares), [], 0
+    while any(d < b for d, b in zip(done, blocks)):
+        ready = [(math.ceil((done[i] + 1) / w), i) for i, w in enumerate(shares) if done[i] < blocks[i] and math.floor(done[i] / w) <= t]
+        if ready:
+            _, i = min(ready)
+            out.append((i, done[i], t))
+            done[i] += 1
+        t += 1
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(0, 40)), min_size=1, max_size=6))
+def test_schedule_against_all_slots(sources):
+    shares = [Fraction(w, sum(x for x, _ in sources)) for w, _ in sources]
+    blocks = [n for _, n in sources]
+    assert list(mixing.walk(shares, blocks)) == edf_by_slots(shares, blocks)
+
+
+def test_deviation_of_thirds_and_of_a_tiny_weight_over_a_million_slots():
+    for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 1e-4, "b": 0.3333, "c": 0.6666}):
+        names = sorted(weights)
+        shares = [mixing.exact_shares(weights)[s] for s in names]
+        slots = 1_000_000
+        done = [0] * len(names)
+        for i, _, t in mixing.walk(shares, [slots] * len(names)):
+            if t >= slots:
+                break
+            done[i] += 1
+            if t % 97 == 0 or i == 0:
+                assert all(abs(d - (t + 1) * w) < 1 for d, w in zip(done, shares))
+
+
+def test_large_tables_have_larger_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 20)
+    out = mixing.mix(spark.range(1000).selectExpr("id doc_id", "if(id % 4 = 0, 'a', 'b') source"), block_rows=4).collect()
+    assert len(out) == 1000 and max(r["mix_pos"] for r in out) == 49
+
+
+def test_rows_against_a_plain_mixture(spark):
+    # Which of a source's rows fill a block is free; where the source's blocks stand is not.
+    rows = [(i, "abc"[i % 7 % 3], "t") for i in range(997)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    weights = {"a": 5.0, "b": 2.0, "c": 1.0}
+    names, size = sorted(weights), Counter(s for _, s, _ in rows)
+    shares = [Fraction(weights[s]) / 8 for s in names]
+    want = {(names[i], t): min(16, size[names[i]] - 16 * j) for i, j, t in edf_by_slots(shares, [-(-size[s] // 16) for s in names])}
+    out = mixing.mix(df, weights).collect()
+    assert Counter((r["source"], r["mix_slot"]) for r in out) == want
+    assert sorted(r["doc_id"] for r in out) == list(range(997))
