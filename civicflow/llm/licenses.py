@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,15 @@ TEMPLATES: list[tuple[str, str]] = [
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
 
+#: Whole licences, as their authors publish them: files of this package, by label.
+WHOLE = {"apache": ["Apache-2.0"], "artistic": ["Artistic"], "bsd": ["BSD"], "cc0": ["CC0-1.0"], "gpl": ["GPL-2", "GPL-3"], "lgpl": ["LGPL-2.1", "LGPL-3"], "mpl": ["MPL-2.0"]}
+
+
+def whole_licenses() -> list[tuple[str, str]]:
+    folder = resources.files(__package__) / "licence_texts"
+    return [(label, (folder / f"{name}.txt").read_text("utf-8")) for label, names in WHOLE.items() for name in names]
+
+
 #: Words that a run must have to be laid against a template, and words that a chain may skip on either side.
 MIN_RUN = 3
 MAX_GAP = 6
@@ -131,6 +141,8 @@ class Scanner:
                         laid.setdefault(t, []).append((place + end - length, e - length, length))
         out = []
         for t, found in sorted(laid.items()):
+            if sum(n for _, _, n in found) < COVERAGE * self.sizes[t]:
+                continue
             out += [(self.labels[t], first, end, covered / self.sizes[t]) for first, end, covered in self._chains(sorted(found), COVERAGE * self.sizes[t])]
         return out
 
@@ -220,11 +232,12 @@ class Scanner:
 SPAN = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("first", T.LongType()), T.StructField("end", T.LongType()), T.StructField("coverage", T.DoubleType())]))
 
 
-def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id", templates: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """id_col, n_words, n_base, first_word, last_word, base_labels, labels, score and spans of each text.
 
     Base labels come from phrases, others from templates that a chain of long matches covers; score is the largest
-    coverage. Each place that covers a template is a span. Null and empty texts have no words and labels and score 0; texts are read whole; of
+    coverage. Each place that covers a template is a span. Templates are (label, text) pairs, those of TEMPLATES and the
+    whole licences unless others are given. Null and empty texts have no words and labels and score 0; texts are read whole; of
     equal chains that share words the first stays; repeated rows repeat; an empty table gives no rows; other columns are not read. The automaton has at most
     two states a template word, so what tasks get is bounded by the templates.
     """
@@ -232,9 +245,12 @@ def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id", tem
     schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *[T.StructField(c, T.LongType()) for c in ("n_words", "n_base", "first_word", "last_word")], T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", SPAN)])
     arrow_span = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("coverage", pa.float64())]))
 
+    chosen = [*TEMPLATES, *whole_licenses()] if templates is None else list(templates)
+    key = ("licenses", hash(tuple(chosen)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates)
-        for b in W.slices(batches, "__text"):
+        scanner = W.kept(key, lambda: Scanner(chosen))
+        for b in W.slices(batches, "__text", key=key):
             found = scanner.scan(b.column("__text"))
             longs = [pa.array([o[c] for o in found], pa.int64()) for c in ("n_words", "n_base", "first_word", "last_word")]
             labels = [",".join(sorted(o["base"] | {s[0] for s in o["spans"]})) for o in found]

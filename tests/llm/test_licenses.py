@@ -1,3 +1,4 @@
+import random
 import re
 
 import pyarrow as pa
@@ -70,3 +71,57 @@ def test_each_copy_of_a_licence_is_a_span(spark):
     assert sorted(found[0]["spans"], key=lambda s: s[1]) == want
     assert [s[1:3] for s in found[1]["spans"]] == [(k * size[mit], (k + 1) * size[mit]) for k in range(500)]
     assert len(found[2]["spans"]) == 1
+
+
+def edited(text, rng, every):
+    """The text with a word in every so many replaced, dropped or doubled."""
+    out = []
+    for w in text.split():
+        kind = rng.randrange(3 * every)
+        out += ["changed"] if kind == 0 else [] if kind == 1 else [w, w] if kind == 2 else [w]
+    return " ".join(out)
+
+
+def test_whole_licences_with_edits_are_labelled(spark):
+    rng = random.Random(7)
+    whole = licenses.whole_licenses()
+    rows, want = [], {}
+    for i, (label, text) in enumerate(whole):
+        lead = " ".join(f"x{k}" for k in range(20 + i))
+        rows += [(i, lead + " " + edited(text, rng, 40) + " tail" * 9), (100 + i, lead + " " + " ".join(text.split()[: len(text.split()) // 4]))]
+        want[i] = (label, 20 + i)
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, first) in want.items():
+        n = len(licenses.template_words(whole[i][1]))
+        spans = [s for s in got[i]["spans"] if s["label"] == label and s["end"] - s["first"] > 0.8 * n]
+        assert label in got[i]["labels"].split(",") and len(spans) == 1
+        assert abs(spans[0]["first"] - first) < 12 and abs(spans[0]["end"] - first - n) < 0.03 * n + 12 and spans[0]["coverage"] > 0.85
+        assert not [s for s in got[100 + i]["spans"] if s["end"] - s["first"] > 0.5 * n]  # a quarter is no licence
+
+
+def chain_by_all_ways(found, gap):
+    """The most template words that matches in order with short gaps cover, by trying each chain."""
+    best = 0
+
+    def grow(last, covered):
+        nonlocal best
+        best = max(best, covered)
+        for d, s, n in found:
+            pd, ps, pn = last
+            lap = max(0, pd + pn - d, ps + pn - s)
+            if pd < d and ps < s and lap < n and d - pd - pn <= gap and s - ps - pn <= gap:
+                grow((d, s, n), covered + n - lap)
+
+    for m in found:
+        grow(m, m[2])
+    return best
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30), st.integers(3, 8)), min_size=1, max_size=8, unique=True))
+def test_best_chain_against_all_chains(found):
+    most = chain_by_all_ways(found, licenses.MAX_GAP)
+    got = licenses.Scanner._chains(sorted(found), 1)
+    assert max(covered for _, _, covered in got) == most
+    assert not licenses.Scanner._chains(sorted(found), most + 1)
+    assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))

@@ -3,7 +3,7 @@ import re
 
 from civicflow.llm import pii
 
-from .helpers import empty, frame, sf_rows
+from .helpers import believed_patterns, empty, frame, sf_rows
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -70,3 +70,44 @@ def test_masking(spark):
     assert out.columns == df.columns and out.count() == df.count()
     row = out.where("doc_id = 50").first()
     assert row["text"] == "mail <EMAIL> or <PHONE> now" and row["n_chars"] == len(row["text"])
+
+
+TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./+=-]{6,}[A-Za-z0-9=]")
+KEY = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})")
+
+
+def occurrences(text):
+    """(pattern, instance, seed, start, end) of base spans and of tokens that touch none."""
+    spans = base(text)
+    out = [(pii.context(text, a, b), text[a:b], k, a, b) for k, a, b in spans]
+    for m in TOKEN.finditer(text):
+        a, b = m.span()
+        if re.search("[0-9]", m[0]) and not any(x < b and a < y for _, x, y in spans):
+            key = KEY.fullmatch(m[0]) and re.search("[a-f]", m[0])
+            out.append((pii.context(text, a, b), m[0], "key" if key else "", a, b))
+    return out
+
+
+def all_spans(texts):
+    """The spans of each text, the base ones and those of believed patterns, by plain loops."""
+    every = [occurrences(t) for t in texts]
+    good = believed_patterns([o[:3] for own in every for o in own])
+    order = {k: i for i, k in enumerate(pii.KINDS)}
+    out = []
+    for t, own in zip(texts, every):
+        added = {(good[p], a, b) for p, _, seed, a, b in own if seed not in pii.KINDS and p in good}
+        out.append(sorted(set(base(t)) | added, key=lambda s: (order.get(s[0], 9), s)))
+    return out
+
+
+def test_added_spans_against_plain_scores(spark):
+    rows = [r for r in sf_rows(spark, sf="/root/testdata/sf0.01") if r[1] is not None]
+    secrets = [(10**6 + i, f"api token: {hashlib.md5(str(i).encode()).hexdigest()} or id = Q{i:07d}x; seen") for i in range(30)]
+    rows += secrets + [(10**6 + 100 + i, f"api token: NEW-{i}-2024-code and id = plain") for i in range(3)]
+    want = dict(zip([i for i, _ in rows], (",".join(f"{k}:{a}:{b}" for k, a, b in own) for own in all_spans([t for _, t in rows]))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(df).collect()}
+    assert {i: set(s.split(",")) for i, s in got.items()} == {i: set(s.split(",")) for i, s in want.items()}
+    assert all(got[10**6 + 100 + i].count("key:") == 1 for i in range(3))  # shapes that no seed has
+    plain = [i for i, t in rows if not re.search("[0-9]", t)]
+    assert plain and not any(got[i] for i in plain if "@" not in dict(rows)[i])
