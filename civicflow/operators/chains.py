@@ -22,9 +22,10 @@ def looked_up(rows: DataFrame, table: DataFrame, on: str, weight: str, total: in
     inner or left; null keys have no row in the table.
     """
     least = max(HEAVY_ROWS, total // 1000)
-    if total <= least:
+    heavy = table.where(F.col(weight) > least).drop(weight)
+    if total <= least or heavy.isEmpty():
         return rows.join(table.drop(weight), on, how)
-    heavy, light = table.where(F.col(weight) > least).drop(weight), table.where(F.col(weight) <= least).drop(weight)
+    light = table.where(F.col(weight) <= least).drop(weight)
     at_once = rows.join(F.broadcast(heavy), on)
     return at_once.unionByName(rows.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on, how))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -974,7 +975,11 @@ def q_index_documents(t: Tables) -> DataFrame:
     return indexer.index(t.part, doc, None, dt.datetime(1998, 12, 1)).documents
 
 
-@query()
+@query("""
+with n as (select c_custkey, md5(cast(c_custkey as varchar)) as h from customer), p as (select *, (row_number() over (order by h) - 1) // 500 as page from n)
+select page, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">' || chr(10)
+  || string_agg('<url><loc>https://example.org/customer/' || c_custkey || '</loc><lastmod>2021-01-01</lastmod></url>', chr(10) order by h) || chr(10) || '</urlset>' as xml from p group by 1
+""")
 def q_sitemap(t: Tables) -> DataFrame:
     from .sinks.writers import sitemap
 
@@ -982,10 +987,36 @@ def q_sitemap(t: Tables) -> DataFrame:
     return sitemap(rows, "url", "day", ["h"], 500)
 
 
-@query()
+def _grid_sql() -> str:
+    """The inverse series and the shift of geo.grid_to_degrees, step by step."""
+    from .functions import geo
+
+    a, f = geo.A, geo.FLATTENING
+    e2 = f * (2 - f)
+    ep2, e1 = e2 / (1 - e2), (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
+    k0 = math.radians(geo.LAT0)
+    m0 = a * ((1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * k0 - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * math.sin(2 * k0) + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * math.sin(4 * k0) - 35 * e2**3 / 3072 * math.sin(6 * k0))
+    v = lambda x: f"cast('{x!r}' as double)"
+    dx, dy, dz = geo.SHIFT
+    return f"""
+with g as (select c_custkey, 180000.0::double + c_custkey % 1000 * 10 as x, 650000.0::double + c_custkey % 777 * 10 as y from customer),
+m as (select *, ({v(m0)} + (y - {v(geo.Y0)}) / {v(geo.SCALE)}) / {v(a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))} as mu from g),
+p as (select *, mu + {v(3 * e1 / 2 - 27 * e1**3 / 32)} * sin(2 * mu) + {v(21 * e1**2 / 16 - 55 * e1**4 / 32)} * sin(4 * mu) + {v(151 * e1**3 / 96)} * sin(6 * mu) as p from m),
+q as (select *, {v(ep2)} * cos(p) ^ 2 as c, tan(p) ^ 2 as t, {v(a)} / sqrt(1 - {v(e2)} * sin(p) ^ 2) as n, {v(a * (1 - e2))} / (1 - {v(e2)} * sin(p) ^ 2) ^ 1.5 as r from p),
+d as (select *, (x - {v(geo.X0)}) / (n * {v(geo.SCALE)}) as d from q),
+l as (select c_custkey, p - (n * tan(p) / r) * (d ^ 2 / 2 - (5 + 3 * t + 10 * c - 4 * c ^ 2 - {v(9 * ep2)}) * d ^ 4 / 24 + (61 + 90 * t + 298 * c + 45 * t ^ 2) * d ^ 6 / 720) as la,
+  {v(math.radians(geo.LON0))} + (d - (1 + 2 * t + c) * d ^ 3 / 6 + (5 - 2 * c + 28 * t - 3 * c ^ 2 + {v(8 * ep2)} + 24 * t ^ 2) * d ^ 5 / 120) / cos(p) as lo from d),
+s as (select *, {v(a)} / sqrt(1 - {v(e2)} * sin(la) ^ 2) as n from l),
+w as (select c_custkey, n * cos(la) * cos(lo) + ({dx}) as x, n * cos(la) * sin(lo) + ({dy}) as y, n * {v(1 - e2)} * sin(la) + ({dz}) as z from s),
+h as (select *, sqrt(x * x + y * y) as flat from w), u as (select *, atan2(z * {v(a)}, flat * {v(a * (1 - f))}) as theta from h)
+select c_custkey, round(degrees(atan2(z + {v(ep2 * a * (1 - f))} * sin(theta) ^ 3, flat - {v(e2 * a)} * cos(theta) ^ 3)), 8) as lat, round(degrees(atan2(y, x)), 8) as lon from u
+"""
+
+
+@query(_grid_sql())
 def q_grid_to_degrees(t: Tables) -> DataFrame:
     lat, lon = grid_to_degrees(F.lit(180000.0) + q("c_custkey") % 1000 * 10, F.lit(650000.0) + q("c_custkey") % 777 * 10)
-    return t.customer.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+    return t.customer.select("c_custkey", F.round(lat, 8).alias("lat"), F.round(lon, 8).alias("lon"))
 
 
 #: Where DuckDB's types are wider than Spark's.
@@ -1007,3 +1038,5 @@ CASTS = {
 }
 for _name, _casts in CASTS.items():
     SQL[_name] = f"select * replace ({', '.join(f'cast({c} as {k}) as {c}' for c, k in _casts.items())}) from ({SQL[_name]})"
+
+from . import more_queries  # noqa: E402,F401  (registers its queries beside these)
