@@ -158,14 +158,16 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
 
     Ties go to the smaller id. Vectors null, zero, of another length than most or with components null or not finite
     take no part, nor do null ids. Copies of a vector are searched once: of each only the k + 1 smallest ids can be
-    among a query's k nearest, so no others are carried, which loses nothing. Rows with a repeated id count once. An
+    among a query's k nearest, so no others are carried, which loses nothing. Of rows with a repeated id the least vector
+    counts. An
     empty table gives no rows; other columns are not read.
     """
     spark = df.sparkSession
     rows = usable(df, vector, id_col)
     by_vector = Window.partitionBy("v").orderBy("id")
-    few = hold(rows.dropDuplicates(["id", "v"]).withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1))
-    asked = hold(rows.where(F.col("id") % every == 0).dropDuplicates(["id"]))
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
+    few = hold(rows.withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1))
+    asked = hold(rows.where(F.col("id") % every == 0))
     heads = few.where("r = 1").select("id", "v")
     n = heads.count()
     share = min(1.0, 1.2 * SAMPLE / max(n, 1))
