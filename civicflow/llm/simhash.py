@@ -559,22 +559,25 @@ def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """df with one row of each group of similar texts: the one with the least id, nulls last; others are dropped.
 
-    Copies of a text are one group, blank ones too; of repeated rows one stays. Null texts are each kept. An empty
-    table gives no rows; other columns come along whatever their names.
+    Copies of a text are one group, blank ones too, and are told by 128 bits of hash; of repeated rows one stays. Null
+    texts are each kept. An empty table gives no rows; other columns come along whatever their names.
     """
     names = df.columns
     own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, i = f"c{names.index(text)}", f"c{names.index(id_col)}"
-    key = F.xxhash64(F.col(t).cast("string"))
-    keyed = hold(own.where(F.col(t).isNotNull()).select(F.col(i).alias("id"), key.alias("key")).groupBy("id", "key").agg(F.count(F.lit(1)).alias("rows")))
+    key, other = F.xxhash64(F.col(t).cast("string")), F.xxhash64(F.lit(1), F.col(t).cast("string"))
+    keyed = hold(own.where(F.col(t).isNotNull()).select(F.col(i).alias("id"), key.alias("key"), other.alias("other")).groupBy("id", "key", "other").agg(F.count(F.lit(1)).alias("rows")))
     # Counted by text, then by group: neither copies nor a large group gather in a join.
-    by_text = keyed.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"))
-    grouped = by_text.join(similar_groups(df, text, id_col), "key", "left").withColumn("group", F.coalesce("group", "key"))
-    first = grouped.groupBy("group").agg(F.min(F.struct("least.none", "least.id", "key")).alias("first")).select(F.col("first.key").alias("__k"), F.col("first.id").alias("__i"))
-    lost = small_side(keyed.join(first, (F.col("key") == F.col("__k")) & F.col("id").eqNullSafe(F.col("__i")), "left_anti").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
-    same = F.col(i).eqNullSafe(F.col("__i")) & (key == F.col("__k"))
+    by_text = keyed.groupBy("key", "other").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"))
+    group = F.struct(F.coalesce("group", "key").alias("g"), F.when(F.col("group").isNull(), F.col("other")).alias("o"))
+    grouped = by_text.join(similar_groups(df, text, id_col), "key", "left").withColumn("group", group)
+    first = grouped.groupBy("group").agg(F.min(F.struct("least.none", "least.id", "key", "other")).alias("f")).select(F.col("f.key").alias("__k"), F.col("f.other").alias("__o"), F.col("f.id").alias("__i"))
+    is_first = (F.col("key") == F.col("__k")) & (F.col("other") == F.col("__o")) & F.col("id").eqNullSafe(F.col("__i"))
+    marks = [F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("other").alias("__o")]
+    lost = small_side(keyed.join(first, is_first, "left_anti").select(*marks))
+    same = F.col(i).eqNullSafe(F.col("__i")) & (key == F.col("__k")) & (other == F.col("__o"))
     kept = own.join(lost, same, "left_anti")
-    repeated = hold(keyed.where("rows > 1").select(F.col("id").alias("__i"), F.col("key").alias("__k")))
+    repeated = hold(keyed.where("rows > 1").select(*marks))
     if not repeated.isEmpty():
         again = small_side(repeated)
         kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([i, t]))
