@@ -29,6 +29,10 @@ REPLICA_RATIO, MAX_REPLICAS = 1.04, 3
 #: the root of their number.
 PROBE_RATIO, MIN_PROBES, MAX_PROBES = 1.30, 24, 96
 DEGREE, BEAM = 24, 128
+#: A list of more rows has lists of its own: centroids fitted on so many of its rows at most, in a task. A vector goes to
+#: at most so many of them, a query reads those within the ratio, at least and at most so many.
+LONG_LIST, LIST_SAMPLE = 4096, 65_536
+INNER_RATIO, MIN_INNER, MAX_INNER, INNER_ROWS = 1.20, 3, 32, 16_384
 PART_ROWS, PART_QUERIES = 4096, 1024
 
 
@@ -179,7 +183,7 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     postings = hold(assign(heads, graph, REPLICA_RATIO, 1, MAX_REPLICAS, 32))
     one = hold(asked.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
     probes = assign(one.select("id", "v"), graph, PROBE_RATIO, MIN_PROBES, most, max(BEAM, most + most // 3))
-    found = searched(postings, hold(probes), k + 1)
+    found = searched(*refined(postings, hold(probes)), k + 1)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     top = found.dropDuplicates(["q", "id"]).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "id", "score")
     # back from distinct vectors to rows, on either side
@@ -193,6 +197,56 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     return own.select("query_id", F.posexplode("best").alias("p", "c")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("c.i").alias("vec_id"), (-F.col("c.s")).alias("score"))
 
 
+def refined(postings: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the rows of long lists dealt to lists within them, so that lists stay short however many rows there are.
+
+    A list's centroids are fitted in one task on a bounded sample of its rows, and go to the parts of its rows and of its
+    queries by a join; no task holds all centroids or a whole list.
+    """
+    long_ = hold(postings.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST))
+    if long_.isEmpty():
+        return postings, probes
+    table = F.broadcast(long_)  # there are at most SAMPLE / SAMPLE_ROWS lists
+
+    def fit(t: pa.Table) -> pa.Table:
+        x = unit(matrix(t.column("v").combine_chunks()))
+        c = balanced_centroids(x, max(1, min(t.column("n")[0].as_py() // LIST_ROWS, len(x) // SAMPLE_ROWS)))
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1) * c.shape[1], pa.int32()), pa.array(c.ravel()))
+        return pa.table({"list": pa.array(np.full(len(c), t.column("list")[0].as_py())), "inner": pa.array(np.arange(len(c))), "c": flat})
+
+    rate = F.least(F.lit(1.0), LIST_SAMPLE / F.col("n"))
+    sample = postings.join(table, "list").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < rate * (1 << 20))
+    centroids = hold(sample.select("list", "n", "v").groupBy("list").applyInArrow(fit, "list long, inner long, c array<double>"))
+    parts = F.ceil(F.col("n") / INNER_ROWS).cast("int")
+    spread = centroids.join(table, "list").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("list", "part", "inner", "c")
+
+    def inner(rows: DataFrame, ratio: float, least: int, most: int) -> DataFrame:
+        def deal(key, left: pa.Table, right: pa.Table) -> pa.Table:
+            own, lists = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            if left.num_rows and right.num_rows:
+                x, c = unit(matrix(left.column("v").combine_chunks())), matrix(right.sort_by("inner").column("c").combine_chunks())
+                for a in range(0, len(x), 512):
+                    d = np.maximum(1 + (c**2).sum(axis=1) - 2 * x[a : a + 512] @ c.T, 0)
+                    m = min(most, d.shape[1])
+                    some = np.argpartition(d, m - 1, axis=1)[:, :m]
+                    best = np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), axis=1, kind="stable"), 1)
+                    near = np.sqrt(np.take_along_axis(d, best, 1))
+                    take = near <= ratio * near[:, :1] + 1e-9
+                    take[:, :least] = True
+                    r, j = np.nonzero(take)
+                    own.append(r + a)
+                    lists.append(best[r, j])
+            own, lists = np.concatenate(own), np.concatenate(lists)
+            at = pa.array(own)
+            return pa.table({"id": left.column("id").take(at), "v": left.column("v").take(at), "list": pa.array((lists + 1 << 32) + (left.column("list").take(at).to_numpy() if len(own) else 0))})
+
+        dealt = rows.join(table, "list").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).select("id", "v", "list", "part")
+        deeper = dealt.groupBy("list", "part").cogroup(spread.groupBy("list", "part")).applyInArrow(deal, "id long, v array<double>, list long")
+        return hold(rows.join(table, "list", "left_anti").select("id", "v", "list").unionByName(deeper))
+
+    return inner(postings, REPLICA_RATIO, 1, MAX_REPLICAS), inner(probes, INNER_RATIO, MIN_INNER, MAX_INNER)
+
+
 def searched(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     """q, id, score: the k best of each part of each list for each query that reads it.
 

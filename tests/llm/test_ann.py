@@ -1,7 +1,11 @@
+import os
+
 import numpy as np
 
 from civicflow.llm import ann
 
+#: The largest table there is.
+TABLE = next(f"/root/testdata/{d}/embeddings.parquet" for d in ("check_s", "sf0.1") if os.path.exists(f"/root/testdata/{d}/embeddings.parquet"))
 SCHEMA = "vec_id long, embedding array<float>, v string, list int"
 
 
@@ -45,6 +49,44 @@ def test_recall_scores_and_ties(spark):
     assert [v for _, v, _ in got[350]] == [300, 301, 302, 303, 304]
 
 
+def recall(spark, rows):
+    """Share of the true five nearest that are found, by cosine; copies of the fifth count as it does."""
+    got = {}
+    for r in ann.nearest(rows).collect():
+        got.setdefault(r["query_id"], []).append(r["score"])
+    table = rows.select("vec_id", "embedding").toPandas()
+    x = np.stack(table["embedding"].to_numpy()).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = table["vec_id"].to_numpy()
+    hits = n = 0
+    for at in np.flatnonzero(ids % 50 == 0):
+        s = x @ x[at]
+        s[at] = -2
+        fifth = np.sort(s)[-5]
+        hits += sum(g >= fifth - 1e-9 for g in got[ids[at]])
+        n += 5
+    return hits / n
+
+
+def test_recall_of_a_table(spark):
+    assert recall(spark, spark.read.parquet(TABLE)) >= 0.95
+
+
+def test_recall_of_lists_within_lists(spark, monkeypatch):
+    # A few long lists, as tables of many millions of vectors have, each with lists of its own.
+    monkeypatch.setattr(ann, "LIST_ROWS", 400)
+    monkeypatch.setattr(ann, "LONG_LIST", 300)
+    monkeypatch.setattr(ann, "LIST_SAMPLE", 500)
+    monkeypatch.setattr(ann, "INNER_ROWS", 200)
+    assert recall(spark, spark.read.parquet(TABLE)) >= 0.9
+
+
+def test_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0], "", 0), (1, [0.0, 1.0], "", 0), (1, [1.0, 0.1], "", 0), (2, [-1.0, 0.0], "", 0)]
+    got = [(r["query_id"], r["vec_id"], round(r["score"], 6)) for r in ann.nearest(spark.createDataFrame(rows, SCHEMA)).orderBy("rank").collect()]
+    assert got == [(0, 1, 0.0), (0, 2, -1.0)]  # of the two vectors under 1 the lesser counts
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], "", 0), (1, [1.0, 1.0], "", 0)], SCHEMA)
     assert [(r["query_id"], r["vec_id"]) for r in ann.nearest(df).collect()] == [(0, 1)]
