@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a narrow checkpoint that share a file.
-FILE_ROWS = 500
+FILE_ROWS = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
