@@ -91,15 +91,18 @@ class EliasFano:
 
     def successor(self, x: np.ndarray, lo: np.ndarray | int = 0, hi: np.ndarray | int | None = None) -> np.ndarray:
         """Index of the first element of lo:hi not less than each x, which is at most the universe; hi if there is none."""
-        x = np.asarray(x, np.int64)
+        return self._place(np.asarray(x, np.int64), lo, hi)[0]
+
+    def _place(self, x: np.ndarray, lo: np.ndarray | int, hi: np.ndarray | int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Successors of x in lo:hi, and the end of the elements there with a high part of at most that of x."""
         h = x >> self.low_bits
         hi = self.n if hi is None else hi
         lo, hi = np.clip(self._before_high(h), lo, hi), np.clip(self._before_high(h + 1), lo, hi)
-        want = x & ((1 << self.low_bits) - 1)
+        end, want = hi.copy(), x & ((1 << self.low_bits) - 1)
         while True:  # the elements of one high part are few; halve all ranges together
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
-                return lo
+                return lo, end
             mid = (lo[open_] + hi[open_]) >> 1
             less = self._low(mid) < want[open_]
             lo[open_[less]] = mid[less] + 1
@@ -110,9 +113,10 @@ class EliasFano:
         x = np.asarray(x, np.int64)
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        at = self.successor(np.minimum(x, self.universe), lo, hi)
-        held = np.minimum(at, self.n - 1)
-        return np.where((at < (self.n if hi is None else hi)) & (self.get(held) == x), at, -1)
+        at, end = self._place(np.minimum(x, self.universe), lo, hi)
+        # Elements before end have the high part of x, so the low parts tell.
+        same = self._low(np.minimum(at, self.n - 1)) == x & ((1 << self.low_bits) - 1)
+        return np.where((at < end) & (x <= self.universe) & same, at, -1)
 
 
 class Children:
@@ -137,21 +141,28 @@ class Children:
         return joined({"pointer": EliasFano.arrays(start, len(word)), "words": EliasFano.arrays(rising, int(last.sum()))})
 
     def find(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Index in the level of each word below its parent, or -1; -1 for a parent is none."""
+        """Index in the level of each word below its parent, or -1; -1 for a parent is none.
+
+        Neighbours with the same parent read its pointers once.
+        """
         out = np.full(len(parent), -1, np.int64)
         for a in range(0, len(parent), PASS):
             own, w = parent[a : a + PASS], word[a : a + PASS]
             some = np.flatnonzero(own >= 0)
-            if len(some) and self.words.n:
-                lo, hi = self.pointer.get(own[some]), self.pointer.get(own[some] + 1)
-                some, lo, hi = some[lo < hi], lo[lo < hi], hi[lo < hi]
-                base = np.where(lo > 0, self.words.get(np.maximum(lo - 1, 0)), 0)
-                out[a + some] = self.words.find(w[some] + 1 + base, lo, hi)
+            if not len(some) or not self.words.n:
+                continue
+            new = np.append(True, own[some][1:] != own[some][:-1])
+            node, run = own[some][new], np.cumsum(new) - 1
+            lo, hi = self.pointer.get(node), self.pointer.get(node + 1)
+            base = np.where(lo > 0, self.words.get(np.maximum(lo - 1, 0)), 0)
+            here = (lo < hi)[run]
+            some, run = some[here], run[here]
+            out[a + some] = self.words.find(w[some] + 1 + base[run], lo[run], hi[run])
         return out
 
 
 class Quantised:
-    """Positive numbers as 8-bit codes: 256 equal steps of their logarithms, each standing for the mean of those in it."""
+    """Positive numbers as codes of 8 bits: 255 equal steps of their logarithms, each standing for the mean of those in it."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.code, self.book = arrays["code"], arrays["book"]
@@ -160,14 +171,18 @@ class Quantised:
     def arrays(values: np.ndarray) -> dict[str, np.ndarray]:
         logs = np.log10(values) if len(values) else np.zeros(0)
         least = logs.min(initial=0.0)
-        step = max((logs.max(initial=least) - least) / 255.999, 1e-12)
-        code = ((logs - least) / step).astype(np.int64).clip(0, 255)
-        total, n = np.bincount(code, logs, 256), np.bincount(code, minlength=256)
+        step = max((logs.max(initial=least) - least) / 254.999, 1e-12)
+        code = ((logs - least) / step).astype(np.int64).clip(0, 254)
+        total, n = np.bincount(code, logs, 255), np.bincount(code, minlength=255)
         return {"code": code.astype(np.uint8), "book": 10 ** (total / np.maximum(n, 1))}
 
+    def codes(self, i: np.ndarray) -> np.ndarray:
+        """The codes at places i; 255 where i is -1."""
+        return np.where(i >= 0, self.code[i], np.uint8(255)) if len(self.code) else np.full(len(i), 255, np.uint8)
+
     def get(self, i: np.ndarray, none: float) -> np.ndarray:
         """The numbers at places i; none where i is -1."""
-        return np.where(i >= 0, self.book[self.code[i]], none) if len(self.code) else np.full(len(i), none)
+        return np.append(self.book, none)[self.codes(i)]
 
 
 class NgramTrie:

@@ -68,7 +68,7 @@ def blocks(df: DataFrame, text: str, id_col: str) -> DataFrame:
             counts = np.bincount(w.codes[used], minlength=len(w.vocab)).astype(np.int64)
             one = lambda a, t: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a.cast(t))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + i]), one(b.column("id"), b.column("id").type), one(b.column("train"), pa.bool_()), one(pa.array(w.counts()), pa.int32()), pa.array([len(w.codes)]), squeezed(w.codes.astype("<i4").tobytes()), pa.array([len(w.vocab)]), squeezed(b" ".join(w.vocab_list())), squeezed(counts.astype("<i8").tobytes())],
+                [pa.array([base + i]), one(b.column("id"), b.column("id").type), one(b.column("train"), pa.bool_()), one(pa.array(w.counts()), pa.int32()), pa.array([len(w.codes)]), pa.array([packed(w.codes, "<u4")], pa.binary()), pa.array([len(w.vocab)]), squeezed(b" ".join(w.vocab_list())), squeezed(counts.astype("<i8").tobytes())],
                 names=schema.names,
             )
 
@@ -92,7 +92,7 @@ def words_of(b: pa.RecordBatch | pa.Table, i: int) -> list[bytes]:
 
 
 def decoded(b: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(expanded(b, "codes", i), "<i4"), np.asarray(b.column("sizes")[i].values, np.int64)
+    return unpacked(b.column("codes")[i].as_py(), "<u4"), np.asarray(b.column("sizes")[i].values, np.int64)
 
 
 def with_ends(numbers: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,13 +130,19 @@ def unpacked(raw: bytes, kind: str, rising: bool = False) -> np.ndarray:
     return np.cumsum(a) if rising else a
 
 
-def real(a: np.ndarray) -> bytes:
-    """Numbers with fractions, packed likewise."""
-    return packed(np.ascontiguousarray(a, "<f4").view("<u4"), "<u4")
+def real(code: np.ndarray, book: np.ndarray) -> bytes:
+    """Numbers of a book by their codes of 8 bits, packed with the part of the book that they use."""
+    used = np.flatnonzero(np.bincount(code, minlength=256))
+    short = np.zeros(256, np.uint8)
+    short[used] = np.arange(len(used))
+    raw = len(used).to_bytes(2, "little") + book[used].astype("<f4").tobytes() + short[code].tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unreal(raw: bytes) -> np.ndarray:
-    return unpacked(raw, "<u4").astype("<u4").view("<f4").astype(np.float64)
+    raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+    n = int.from_bytes(raw[:2], "little")
+    return np.frombuffer(raw, "<f4", n, 2).astype(np.float64)[np.frombuffer(raw, np.uint8, offset=2 + 4 * n)] if n else np.zeros(0)
 
 
 def sharded(of: np.ndarray) -> tuple[np.ndarray, dict[int, slice]]:
@@ -275,44 +281,45 @@ def shard_trie(distinct: np.ndarray, c2: np.ndarray, c1: np.ndarray, triples: np
     return NgramTrie(mapped(NgramTrie.arrays(pairs, c2[some], c1[some][where], place[triples[used] >> 32], triples[used] & 0xFFFFFFFF, c3[used], DISCOUNT), folder))
 
 
+def answered(t: pa.Table, shards: int, folder: str | None) -> pa.Table:
+    """A shard's answers to all blocks, out of a trie of its training pairs and triples."""
+    shard = t.column("shard")[0].as_py()
+    pairs = [unpacked(a, "<i8", True) for a in t.column("a").to_pylist()]
+    sizes = [unpacked(b, "<u4") for b in t.column("b").to_pylist()]
+    n = np.concatenate([unpacked(d, "<u4") for d in t.column("d").to_pylist()])
+    distinct, rank = np.unique(np.concatenate(pairs), return_inverse=True)
+    key = np.repeat(rank, np.concatenate(sizes)) << 32
+    key |= np.concatenate([unpacked(c, "<u4") for c in t.column("c").to_pylist()])
+    triples, entry = np.unique(key, return_inverse=True)
+    del key
+    c3 = np.bincount(entry, n, len(triples)).astype(np.int64)
+    c2 = np.bincount(triples >> 32, c3, len(distinct)).astype(np.int64)
+    firsts = np.concatenate([np.unique(own >> 32) for own in pairs])
+    first, where = np.unique(firsts, return_index=True)
+    c1 = np.concatenate([unpacked(e, "<i8") for e in t.column("e").to_pylist()])[where]
+    trie = shard_trie(distinct, c2, c1[np.searchsorted(first, distinct >> 32)], triples, c3, folder)
+    begun_by, begun = np.unique(distinct[c2 > 0] >> 32, return_counts=True)
+    node = trie.pair(distinct >> 32, distinct & 0xFFFFFFFF)
+    w2, left, w3 = trie.weight2.codes(node), trie.left3.codes(node), trie.weight3.codes(trie.triple(node[triples >> 32], triples & 0xFFFFFFFF))
+    book2, book3, book_left = (np.append(x.book, none) for x, none in ((trie.weight2, 0.0), (trie.weight3, 0.0), (trie.left3, 1.0)))
+    out, p, q = [], 0, 0
+    for block, own, size in zip(t.column("block").to_pylist(), pairs, sizes):
+        r, e = rank[p : p + len(own)], entry[q : q + int(size.sum())]
+        out.append(letter(block, shard, GRAMS, real(w3[e], book3), real(w2[r], book2), real(left[r], book_left)))
+        p, q = p + len(own), q + len(e)
+    order, edge = sharded((begun_by - 1) % shards)
+    for s, own in edge.items():
+        at = order[own]
+        out.append(letter(-1, s, FOLLOWERS, packed(begun_by[at], "<i8", True), packed(begun[at], "<i8")))
+    return mail(out)
+
+
 def gram_answers(asks: DataFrame, shards: int, folder: str | None = None) -> DataFrame:
     """Weights of the triples and pairs asked for, and what pairs leave; for words, how many pairs they begin.
 
-    The trie's levels are mapped from files in the folder, or from memory without one.
+    The tries' levels are mapped from files in the folder, or from memory without one.
     """
-
-    def run(t: pa.Table) -> pa.Table:
-        shard = t.column("shard")[0].as_py()
-        pairs = [unpacked(a, "<i8", True) for a in t.column("a").to_pylist()]
-        sizes = [unpacked(b, "<u4") for b in t.column("b").to_pylist()]
-        n = np.concatenate([unpacked(d, "<u4") for d in t.column("d").to_pylist()])
-        distinct, rank = np.unique(np.concatenate(pairs), return_inverse=True)
-        key = np.repeat(rank, np.concatenate(sizes)) << 32
-        key |= np.concatenate([unpacked(c, "<u4") for c in t.column("c").to_pylist()])
-        triples, entry = np.unique(key, return_inverse=True)
-        del key
-        c3 = np.bincount(entry, n, len(triples)).astype(np.int64)
-        c2 = np.bincount(triples >> 32, c3, len(distinct)).astype(np.int64)
-        firsts = np.concatenate([np.unique(own >> 32) for own in pairs])
-        first, where = np.unique(firsts, return_index=True)
-        c1 = np.concatenate([unpacked(e, "<i8") for e in t.column("e").to_pylist()])[where]
-        trie = shard_trie(distinct, c2, c1[np.searchsorted(first, distinct >> 32)], triples, c3, folder)
-        begun_by, begun = np.unique(distinct[c2 > 0] >> 32, return_counts=True)
-        node = trie.pair(distinct >> 32, distinct & 0xFFFFFFFF)
-        w2, left = trie.weight2.get(node, 0.0), trie.left3.get(node, 1.0)
-        w3 = trie.weight3.get(trie.triple(node[triples >> 32], triples & 0xFFFFFFFF), 0.0)
-        out, p, q = [], 0, 0
-        for block, own, size in zip(t.column("block").to_pylist(), pairs, sizes):
-            r, e = rank[p : p + len(own)], entry[q : q + int(size.sum())]
-            out.append(letter(block, shard, GRAMS, real(w3[e]), real(w2[r]), real(left[r])))
-            p, q = p + len(own), q + len(e)
-        order, edge = sharded((begun_by - 1) % shards)
-        for s, own in edge.items():
-            at = order[own]
-            out.append(letter(-1, s, FOLLOWERS, packed(begun_by[at], "<i8", True), packed(begun[at], "<i8")))
-        return mail(out)
-
-    return asks.groupBy("shard").applyInArrow(run, MAIL)
+    return asks.groupBy("shard").applyInArrow(lambda t: answered(t, shards, folder), MAIL)
 
 
 def follower_answers(words: DataFrame, begun: DataFrame, shards: int) -> DataFrame:
