@@ -13,12 +13,15 @@ from .functions.values import first_number, first_text
 from .operators import arrays, filters, project, setops, windows
 from .operators.project import q
 from .package import Package
-from .plans import activities, budget, changes, clusters, contracts, entities, facilities, lookups, spec
+from .plans import activities, budget, changes, clusters, contracts, entities, facilities, indexer, lookups, spec
 from .queries import AS_OF, Tables, money, query
 from .sinks import writers
-from .sources import readers
+from .sources import paged, portal, readers, sheets
+from .state.cache import ask
 from .state.lineage import cut, shared_dir
 from .state.revisions import changed_only, manage_revisions, resumable, revision_dates, set_revision
+from .streaming import incremental
+from .udfs.fuzzy import best_match
 from .udfs.names import slug_udf, unescape_udf
 
 
@@ -506,7 +509,7 @@ def q_latest_titles(t: Tables) -> DataFrame:
     return lookups.latest_titles(budget_lines(t))
 
 
-@query(f"with {LINES} select code, cast(year as integer) as year, title, net_revised from lines where (code like '002000001%' or code like '0020000003') and year between 1995 and 1996")
+@query(f"with {LINES} select code, cast(year as integer) as year, title, cast(net_revised as bigint) as net_revised from lines where (code like '002000001%' or code like '0020000003') and year between 1995 and 1996")
 def q_budget_items(t: Tables) -> DataFrame:
     return lookups.budget_items(budget_lines(t), ["002000001", "0020000003"], 1995, 1996).select("code", "year", "title", "net_revised")
 
@@ -597,7 +600,7 @@ def q_simple_decision(t: Tables) -> DataFrame:
     return lookups.simple_decision(t.orders, table, ["o_orderstatus"], q("o_orderpriority")).select("o_orderkey", "simple_decision")
 
 
-@query("select c_mktsegment as office, cast(y as integer) as year, count(*) as services, sum(c_custkey % 100 * (y - 1990)) as approved from customer, (values (1995), (1996)) v(y) group by 1, 2")
+@query("select c_mktsegment as office, cast(y as integer) as year, count(*) as services, cast(sum(c_custkey % 100 * (y - 1990)) as bigint) as approved from customer, (values (1995), (1996)) v(y) group by 1, 2")
 def q_service_totals(t: Tables) -> DataFrame:
     entry = lambda y: F.struct(F.lit(y).alias("year"), (q("c_custkey") % 100 * (y - 1990)).alias("approved"))
     rows = t.customer.select(F.col("c_mktsegment").alias("office"), F.array(entry(1995), entry(1996)).alias("manualBudget"))
@@ -684,7 +687,7 @@ def q_beneficiaries(t: Tables) -> DataFrame:
 
 @query("""
 with m as (select p_brand as doc_id, p_partkey as code from part), s as (select doc_id, l_suppkey as supplier, sum(cast(l_quantity as bigint)) as volume, min(year(l_shipdate)) as a, max(year(l_shipdate)) as z from m join lineitem on l_partkey = code group by 1, 2)
-select doc_id, supplier as entity_item_id, volume, a || '-' || z as years, row_number() over (partition by doc_id order by volume desc, supplier) as rank from s
+select doc_id, supplier as entity_item_id, cast(volume as bigint) as volume, a || '-' || z as years, row_number() over (partition by doc_id order by volume desc, supplier) as rank from s
 """)
 def q_spending_suppliers(t: Tables) -> DataFrame:
     """Suppliers of each service by what was contracted through its budget codes."""
@@ -727,3 +730,180 @@ def q_facilities(t: Tables) -> DataFrame:
 def q_row_numbers(t: Tables) -> DataFrame:
     """Row numbers over a whole table, by ranges."""
     return windows.numbered(t.events.select("event_id", "ts"), ["ts", "event_id"], rows=500).select("event_id", F.col("index").cast("long").alias("index"))
+
+
+# --- services, portals, sheets, files ---------------------------------------------------------------------------
+
+
+@query("select cast(i as bigint) as id, case when i < 250 then 'paged' else 'open' end as kind from range(400) t(i)")
+def q_paged_services(t: Tables) -> DataFrame:
+    """Pages of a service that tells its total, and of one that ends with an empty page."""
+    known = lambda r: [{"id": i, "kind": "paged"} for i in range(r["skip"], min(r["skip"] + r["limit"], 250))]
+    unknown = lambda r: [{"id": 250 + i, "kind": "open"} for i in range(r["skip"], min(r["skip"] + r["limit"], 150))]
+    a = paged.paged(t._spark, known, "id long, kind string", 250, 40)
+    return a.unionByName(paged.paged_until_empty(t._spark, unknown, "id long, kind string", 20, 4))
+
+
+@query("select cast(i as bigint) as day, cast(case when i = 9 then 2 else 1 end as bigint) as requests from range(31) t(i)")
+def q_split_requests(t: Tables) -> DataFrame:
+    """Requests of a month in which one day is too busy, by the days that each covers."""
+    first = dt.date(1998, 1, 1)
+
+    def count(r) -> int:
+        busy = r["from"] <= first + dt.timedelta(days=9) <= r["to"]
+        return (r["to"] - r["from"]).days + (1500 if busy and r["from_sum"] is None and r["to_sum"] is None else 700 if busy else 0)
+
+    asked = paged.split_requests(first, dt.date(1998, 1, 31), count)
+    fetch = lambda r: [{"day": d} for d in range((dt.date.fromisoformat(r["from"]) - first).days, (dt.date.fromisoformat(r["to"]) - first).days + 1)]
+    return paged.fetch_requests(t._spark, asked, fetch, "day long", 4).groupBy("day").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query("select distinct p_type as question, cast(length(p_type) as bigint) as n, upper(p_type) as s from part")
+def q_cached_answers(t: Tables) -> DataFrame:
+    """Answers of a service to each different question, half of them from the last run."""
+    answer = lambda asked: [{"n": len(x), "s": x.upper()} for x in asked]
+    first = ask(t.part.where("length(p_type) > 7"), "p_type", None, answer, "n long, s string")
+    return ask(t.part, "p_type", cut(first), answer, "n long, s string").select("question", "n", "s")
+
+
+@query("select 'https://example.org/' || max(s_suppkey) as url, 'csv' as format, false as strings from supplier where s_suppkey % 5 = 0")
+def q_portal_resource(t: Tables) -> DataFrame:
+    """The last resource of a dataset in a portal's listing."""
+    k = q("s_suppkey")
+    listing = t.supplier.select((k % 5).cast("string").alias("dataset"), k.cast("string").alias("resource_id"), F.col("s_name").alias("name"), F.concat(F.lit("https://example.org/"), k.cast("string")).alias("url"), F.lit("CSV").alias("format"), F.lpad(k.cast("string"), 9, "0").alias("last_modified"))
+    return portal.resolve(listing, "0")
+
+
+@query("select c_custkey, 'a,\"' || c_name || ' of ' || c_mktsegment || '\",b' as line from customer union all select c_custkey, 'e, f' from customer")
+def q_mended_lines(t: Tables) -> DataFrame:
+    """Lines of texts in which a quoted field was broken by a line end."""
+    whole = F.concat(F.lit('a,"'), "c_name", F.lit("\n of "), "c_mktsegment", F.lit('",b\r\n\ne,  f'))
+    return t.customer.select("c_custkey", F.explode(portal.mended_lines(whole)).alias("line"))
+
+
+@query("""
+select cast(o_custkey % 7 as varchar) as report, cast(o_orderkey as bigint) as n, o_orderpriority as "order", cast(floor(o_totalprice) as varchar) as volume from orders where o_custkey % 7 <> 3
+""")
+def q_report_sheets(t: Tables) -> DataFrame:
+    """Rows of report sheets below their header lines; one report's header lacks a column."""
+    report = (q("o_custkey") % 7).cast("string")
+    text_of = lambda *c: F.array(*[x if not isinstance(x, str) else F.lit(x) for x in c])
+    lines = t.orders.select(report.alias("report"), F.lit("s").alias("sheet"), (q("o_orderkey") + 3).alias("n"), text_of("x", F.concat(F.lit(" "), "o_orderpriority"), "y", "z", F.floor("o_totalprice").cast("string")).alias("cells"))
+    titles = lines.select("report", "sheet").distinct()
+    volume = F.when(q("report") == "3", "other").otherwise("volume")
+    head = titles.select("report", "sheet", F.lit(2).cast("long").alias("n"), text_of("a", "order", "b", "c", volume).alias("cells"))
+    top = titles.select("report", "sheet", F.lit(1).cast("long").alias("n"), text_of("a report", "", "", "", "").alias("cells"))
+    every = lines.unionByName(head).unionByName(top)
+    found = sheets.headers(every, {"order": ["order"], "volume": ["volume"]})
+    return sheets.records(every, found, {"order": [], "volume": []}).select("report", (q("n") - 3).alias("n"), "order", "volume")
+
+
+@query("""
+with s as (select cast(o_custkey % 7 as varchar) as report, o_orderkey from orders) select report, cast(count(*) filter (report <> '3') > 0 as integer)::bigint as sheets,
+  cast(count(*) filter (report <> '3') as bigint) as rows, case when report = '3' then 'no volume column' end as load_error from s group by 1
+""")
+def q_sheet_results(t: Tables) -> DataFrame:
+    """What loading the reports gave: sheets, rows, errors."""
+    report = (q("o_custkey") % 7).cast("string")
+    lines = t.orders.select(report.alias("report"), F.lit("s").alias("sheet"), (q("o_orderkey") + 3).alias("n"), F.array(F.lit("x"), "o_orderpriority", F.lit("y"), F.lit("z"), F.lit("1")).alias("cells"))
+    head = lines.select("report", "sheet").distinct().select("report", "sheet", F.lit(2).cast("long").alias("n"), F.array(F.lit("a"), F.lit("order"), F.lit("b"), F.lit("c"), F.when(q("report") == "3", "other").otherwise("volume")).alias("cells"))
+    every = lines.unionByName(head)
+    found = sheets.headers(every, {"order": ["order"], "volume": ["volume"]})
+    return sheets.load_results(found, sheets.records(every, found, {"order": [], "volume": []}))
+
+
+@query("select 'f' || n_nationkey || '.txt' as name, n_name as text from nation")
+def q_archive_members(t: Tables) -> DataFrame:
+    """Members of zip archives, one archive for each region."""
+
+    def pack(pdf):
+        import base64
+        import io
+        import zipfile
+
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as z:
+            for r in pdf.itertuples():
+                z.writestr(f"f{r.n_nationkey}.txt", r.n_name)
+        return pdf.head(1).assign(contents=base64.b64encode(raw.getvalue()).decode())[["contents"]]
+
+    archives = t.nation.groupBy("n_regionkey").applyInPandas(pack, "contents string")
+    return readers.archive_members(archives).select("name", F.unbase64("contents").cast("string").alias("text"))
+
+
+@query("select cast(n_nationkey as bigint) as nation_number, n_name as nation_name, n_regionkey as region_number from nation")
+def q_translated_names(t: Tables) -> DataFrame:
+    """Columns named through a dictionary, word by word; a table of no rows and one column beside."""
+    rows = t.nation.select(q("n_nationkey").cast("long").alias("pais numero"), F.col("n_name").alias("pais nombre"), F.col("n_regionkey").alias("zona numero"))
+    out = project.translate_names(rows, {"pais": "nation", "numero": "number", "nombre": "name", "zona": "region"})
+    return setops.append(out, project.dummy_table(t._spark, "nation_name"))
+
+
+@query("""
+with a as (select l_orderkey, list(distinct l_returnflag) as x, list(distinct l_linestatus) as y from lineitem group by 1)
+select l_orderkey, len(list_intersect(x, ['A', 'N', 'O'])) as shared, list_has_any(x, ['R']) as any_r from a
+""")
+def q_shared_items(t: Tables) -> DataFrame:
+    rows = t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("x"))
+    return rows.select("l_orderkey", F.size(setops.shared_items(F.col("x"), F.array(*map(F.lit, "ANO")))).cast("long").alias("shared"), setops.any_shared(F.col("x"), F.array(F.lit("R"))).alias("any_r"))
+
+
+@query("""
+select p_partkey, m.p_name as match, case when m.p_name is not null then 100 end as match_score from part p left join (select distinct p_brand, p_name from part where p_size > 25) m on m.p_brand = p.p_brand and m.p_name = p.p_name
+""")
+def q_best_match(t: Tables) -> DataFrame:
+    """The same name among the larger parts of a brand: best matches of full score."""
+    return best_match(t.part.select("p_partkey", "p_brand", "p_name"), t.part.where("p_size > 25").select("p_brand", F.col("p_name").alias("c")), "p_name", "c", ["p_brand"], 100).select("p_partkey", "match", "match_score")
+
+
+@query("select distinct p_name as text, cast(length(p_name) as double) as size, sha256(p_name) as sha from part")
+def q_embedded_texts(t: Tables) -> DataFrame:
+    """A vector of each different text, some from a cache, others from a model."""
+    model = lambda texts: [[float(len(x)), 1.0] for x in texts]
+    cache = cut(indexer.embed(t.part.where("p_size < 10"), "p_name", model).select("sha", "vector"))
+    return indexer.embed(t.part, "p_name", model, cache).select("text", F.get("vector", F.lit(0)).cast("double").alias("size"), "sha")
+
+
+@query("select user_id, cast(date_trunc('day', ts) as date) as day, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
+def q_stream_totals(t: Tables) -> DataFrame:
+    """Totals by user and day of a stream of files, all windows out."""
+    path = folder(t)
+    t.events.select("user_id", q("ts").cast("timestamp").alias("ts"), "value").write.parquet(f"{path}/in")
+    stream = incremental.read_files(t._spark, f"{path}/in", "user_id long, ts timestamp, value double")
+    totals = incremental.running_totals(stream, ["user_id"], "value", "ts")
+    name = f"q_{uuid.uuid4().hex}"
+    totals.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return t._spark.table(name).select("user_id", F.col("window.start").cast("date").alias("day"), "n", F.round("total", 4).alias("total"))
+
+
+@query("""
+with c as (select o_custkey, o_orderstatus, cast(floor(o_totalprice) as bigint) as v from orders), s as (select o_custkey, o_orderstatus, sum(v) as v from c group by 1, 2)
+select c_custkey as publication_id, cast(coalesce(sum(v), 0) as bigint) as contract_volume, count(v) as awardees, cast(coalesce(max(v), 0) as bigint) as top from customer left join s on o_custkey = c_custkey group by 1
+""")
+def q_awardees(t: Tables) -> DataFrame:
+    """Each tender's contracts by supplier, largest first."""
+    k = q("c_custkey")
+    none = lambda kind: F.lit(None).cast(kind)
+    tenders = t.customer.select(k.alias("publication_id"), F.lit("office").alias("tender_type"), k.cast("string").alias("tender_id"), none("date").alias("start_date"), none("string").alias("entity_id"), none("string").alias("entity_kind"), none("string").alias("entity_name"), none("long").alias("volume"))
+    named = F.array(F.to_json(F.array(q("o_custkey").cast("string"), F.lit("office"), q("o_custkey").cast("string"))))
+    amount = F.floor("o_totalprice").cast("long")
+    paid = F.array(F.struct(F.lit("1998-1").alias("timestamp"), amount.alias("executed")))
+    rows = t.orders.select(q("o_orderkey").cast("string").alias("order_id"), F.lit("0020").alias("budget_code"), F.lit("p").alias("publisher_key"), q("o_orderdate").cast("date").alias("order_date"), named.alias("tender_key"), none("string").alias("entity_id"), none("string").alias("entity_kind"), F.lit("").alias("entity_name"), F.array("o_orderstatus").alias("supplier_name"), F.lit(True).alias("contract_is_active"), amount.alias("volume"), amount.alias("executed"), paid.alias("payments"))
+    out = contracts.awardees(tenders, rows)
+    top = F.coalesce(F.get("awardees", F.lit(0))["volume"], F.lit(0))
+    return out.select("publication_id", "contract_volume", F.coalesce(F.size("awardees"), F.lit(0)).cast("long").alias("awardees"), top.alias("top"))
+
+
+@query("""
+select c_custkey, case when c_custkey % 2 = 0 then '1998-02-01,1998-01-01' else '1998-01-01' end as days from customer where c_custkey % 3 <> 0
+union all select c_custkey, case when c_custkey % 2 = 0 then '1998-03-01,1998-02-01,1998-01-01' else '1998-03-01,1998-01-01' end from customer where c_custkey % 3 = 0
+""")
+def q_timeline(t: Tables) -> DataFrame:
+    """What happened to a tender, latest first: publication, files, cancellation."""
+    k = q("c_custkey")
+    day = lambda m: F.lit(f"1998-{m:02d}-01").cast("date")
+    file = F.array(F.struct(F.lit("1998-02-01").alias("update_time"), F.lit("file").alias("description"), F.lit("u").alias("link")))
+    none = F.array().cast("array<struct<update_time:string,description:string,link:string>>")
+    no_pay = F.array().cast("array<struct<payments:array<struct<timestamp:string,executed:double>>>>")
+    rows = t.customer.select("c_custkey", F.lit("office").alias("tender_type"), F.lit(None).cast("date").alias("claim_date"), day(1).alias("publication_date"), F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"), day(3).alias("last_update_date"), F.when(k % 3 == 0, "בוטל").otherwise("x").alias("decision"), F.when(k % 2 == 0, file).otherwise(none).alias("documents"), no_pay.alias("awardees"), F.lit(0).alias("contract_volume"))
+    return contracts.timeline(rows).select("c_custkey", F.array_join(F.transform("timeline", lambda e: e["timestamp"]), ",").alias("days"))
