@@ -18,11 +18,11 @@ from pyspark.sql.window import Window
 
 from .storage import hold, looked_up
 
-#: Rows that centroids are fitted on at most; all rows are indexed.
-SAMPLE = 65_536
+#: Rows that centroids are fitted on at most, and their bytes; all rows are indexed.
+SAMPLE, SAMPLE_BYTES = 65_536, 32 << 20
 LIST_ROWS = 150
-#: Sampled rows a centroid has at least; so there are 16,384 lists at most.
-SAMPLE_ROWS = 4
+#: Sampled rows a centroid has at least, so there are 16,384 lists at most, and as many as it has where there are more.
+SAMPLE_ROWS, ENOUGH_ROWS = 4, 64
 #: A vector goes to the lists within this ratio of its closest centroid's distance, at most so many.
 REPLICA_RATIO, MAX_REPLICAS = 1.04, 3
 #: A query reads the lists within this ratio, at least so many, and at most so many of 512 lists: more of more lists, by
@@ -146,15 +146,16 @@ def assign(rows: DataFrame, graph, ratio: float, least: int, most: int, beam: in
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("list", T.LongType())]))
 
 
-def usable(df: DataFrame, vector: str, id_col: str) -> DataFrame:
-    """id, v of the rows that take part: no null, non-finite or zero vector, and of the commonest length only."""
+def usable(df: DataFrame, vector: str, id_col: str) -> tuple[DataFrame, int]:
+    """id, v of the rows that take part: no null, non-finite or zero vector, and of the commonest length only; that length."""
     v = F.col("v")
     # A zero vector of any scale: the greatest component decides, as squares of tiny ones vanish.
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     )
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0]["d"] if sizes else -1))
+    d = sizes[0]["d"] if sizes else -1
+    return rows.where(F.size("v") == d), max(1, d)
 
 
 def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", every: int = 50, k: int = 5) -> DataFrame:
@@ -167,23 +168,26 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     empty table gives no rows; other columns are not read.
     """
     spark = df.sparkSession
-    rows = usable(df, vector, id_col)
+    rows, d = usable(df, vector, id_col)
     by_vector = Window.partitionBy("v").orderBy("id")
     rows = rows.groupBy("id").agg(F.min("v").alias("v"))
     few = hold(rows.withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1))
     asked = hold(rows.where(F.col("id") % every == 0))
     heads = few.where("r = 1").select("id", "v")
     n = heads.count()
-    share = min(1.0, 1.2 * SAMPLE / max(n, 1))
-    sample = (heads if share == 1.0 else heads.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))).select("v").limit(SAMPLE).toPandas()["v"]
+    held = min(SAMPLE, SAMPLE_BYTES // (8 * d))
+    lists = max(1, min(n // LIST_ROWS, held // SAMPLE_ROWS))
+    held = min(held, lists * ENOUGH_ROWS)
+    share = min(1.0, 1.2 * held / max(n, 1))
+    sample = (heads if share == 1.0 else heads.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))).select("v").limit(held).toPandas()["v"]
     x = unit(np.stack(sample.to_numpy()).astype(np.float64)) if len(sample) else np.zeros((0, 1))
-    lists = max(1, min(n // LIST_ROWS, len(x) // SAMPLE_ROWS))
+    lists = max(1, min(lists, len(x) // SAMPLE_ROWS))
     most = int(MAX_PROBES * max(1.0, lists / 512) ** 0.5)
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(x, lists)) if len(x) else None)
     postings = hold(assign(heads, graph, REPLICA_RATIO, 1, MAX_REPLICAS, 32))
     one = hold(asked.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
     probes = assign(one.select("id", "v"), graph, PROBE_RATIO, MIN_PROBES, most, max(BEAM, most + most // 3))
-    found = searched(*refined(postings, hold(probes)), k + 1)
+    found = searched(*refined(postings, hold(probes), d), k + 1)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     top = found.dropDuplicates(["q", "id"]).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "id", "score")
     # back from distinct vectors to rows, on either side
@@ -197,7 +201,7 @@ def nearest(df: DataFrame, vector: str = "embedding", id_col: str = "vec_id", ev
     return own.select("query_id", F.posexplode("best").alias("p", "c")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("c.i").alias("vec_id"), (-F.col("c.s")).alias("score"))
 
 
-def refined(postings: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def refined(postings: DataFrame, probes: DataFrame, d: int) -> tuple[DataFrame, DataFrame]:
     """Both with the rows of long lists dealt to lists within them, so that lists stay short however many rows there are.
 
     A list's centroids are fitted in one task on a bounded sample of its rows, and go to the parts of its rows and of its
@@ -214,10 +218,11 @@ def refined(postings: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFram
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1) * c.shape[1], pa.int32()), pa.array(c.ravel()))
         return pa.table({"list": pa.array(np.full(len(c), t.column("list")[0].as_py())), "inner": pa.array(np.arange(len(c))), "c": flat})
 
-    rate = F.least(F.lit(1.0), LIST_SAMPLE / F.col("n"))
+    fits = SAMPLE_BYTES // (8 * d)
+    rate = F.least(F.lit(1.0), min(LIST_SAMPLE, fits) / F.col("n"))
     sample = postings.join(table, "list").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < rate * (1 << 20))
     centroids = hold(sample.select("list", "n", "v").groupBy("list").applyInArrow(fit, "list long, inner long, c array<double>"))
-    parts = F.ceil(F.col("n") / INNER_ROWS).cast("int")
+    parts = F.ceil(F.col("n") / min(INNER_ROWS, fits)).cast("int")
     spread = centroids.join(table, "list").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("list", "part", "inner", "c")
 
     def inner(rows: DataFrame, ratio: float, least: int, most: int) -> DataFrame:
