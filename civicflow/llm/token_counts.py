@@ -6,6 +6,7 @@ word's length in pieces falls out of one walk over its characters; no piece is e
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections import deque
 from collections.abc import Iterable, Iterator
@@ -47,6 +48,10 @@ def read_vocabulary(path: str) -> list[tuple[int, ...]]:
     return out
 
 
+#: From this place on, so few words that are still longer are walked one by one.
+LONG, FEW = 64, 32
+
+
 class LongestMatch:
     """Automaton over symbol tuples; arrays only, so that it broadcasts as it is. Its size is that of the vocabulary."""
 
@@ -103,6 +108,10 @@ class LongestMatch:
         for p in range(int(size.max())):
             w = order[: live_until[p]]
             w = w[~lost[w]]
+            if p >= LONG and len(w) <= FEW:
+                for i in w.tolist():
+                    node[i], count[i], lost[i] = self._walk(data[offsets[i] + p : offsets[i + 1]].tobytes(), int(node[i]), int(count[i]))
+                break
             symbol = data[offsets[w] + p].astype(np.int64) + ENDING * (size[w] == p + 1)
             self._advance(node, count, lost, w, symbol)
         left = np.flatnonzero((node > 0) & ~lost)
@@ -114,6 +123,20 @@ class LongestMatch:
         count[lost] = 1
         return count
 
+    def _walk(self, rest: bytes, node: int, count: int) -> tuple[int, int, bool]:
+        """State, count and whether the word is lost after the rest of one word, symbol by symbol."""
+        if not hasattr(self, "_table"):
+            self._table = dict(zip(self.keys.tolist(), self.to.tolist())), self.link.tolist(), self.popped.tolist()
+        table, link, popped = self._table
+        for symbol in itertools.chain(rest[:-1], [rest[-1] + ENDING]):
+            while (to := table.get(node * SYMBOLS + symbol)) is None:
+                count += popped[node]
+                node = link[node]
+                if node < 0:
+                    return node, count, True
+            node = to
+        return node, count, False
+
     def _advance(self, node, count, lost, w, symbol) -> None:
         while len(w):
             to = self.step(node[w], symbol)

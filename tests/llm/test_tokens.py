@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -60,6 +61,21 @@ def test_failure_links_pop_right_counts():
     assert m.lengths(pa.array([w.encode() for w in words], pa.large_binary())).tolist() == want
 
 
+def test_very_long_words():
+    import time
+
+    import pyarrow as pa
+
+    vocabulary = token_counts.read_vocabulary(PATH)
+    m, pieces, longest = token_counts.LongestMatch(vocabulary), set(vocabulary), max(map(len, vocabulary))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (1, 63, 64, 65, 66, 200, 5000)] + ["é" * 400, "ab" * 90 + "\u0378"]
+    assert m.lengths(pa.array([w.encode() for w in words], pa.large_binary())).tolist() == [greedy(w, pieces, longest) for w in words]
+    began = time.time()
+    assert m.lengths(pa.array([b"ab" * (1 << 20)], pa.large_binary()))[0] > 1000
+    assert time.time() - began < 20
+
+
 @pytest.fixture(scope="module")
 def packed(spark):
     extra = [(100 + i, t) for i, t in sf_rows(spark)]
