@@ -141,5 +141,8 @@ def scheduled(spark: SparkSession, names: list[str], shares: list[Fraction], blo
 
 
 def mixed_order(df: DataFrame, targets: Mapping[str, float] | None = None, source: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """The rows of df in the order of the mixture, as range partitions."""
+    """The rows of df in the order of the mixture, as range partitions.
+
+    As mix(): null sources are a source, repeated rows stay each, an empty table gives no rows, names may be any.
+    """
     return mix(df, targets, source, id_col).orderBy("mix_slot", "mix_pos").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -170,7 +170,11 @@ def quality(df: DataFrame, text: str = "text", id_col: str = "doc_id", host: str
 
 
 def keep_good(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of df that quality() keeps, with df's columns. Texts stay where they are and are measured twice."""
+    """The rows of df that quality() keeps, with df's columns. Texts stay where they are and are measured twice.
+
+    Null, empty and short texts go; rows without a host get no host verdict; repeated rows are judged each; an empty
+    table gives no rows; other columns come along whatever their names.
+    """
     names = df.columns
     own = W.lean(df).select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     t, h = f"c{names.index(text)}", f"c{names.index(host)}"

@@ -490,7 +490,8 @@ def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: in
     """key, group of each text that is in a group: key is xxhash64 of the text, group a key that stands for it.
 
     Texts of a group are chained by pairs whose n-word shingle sets have a Jaccard similarity of tenths / 10 or more.
-    Only texts in chains of candidates are read again and compared.
+    Only texts in chains of candidates are read again and compared. Null texts and those without words are in no group,
+    repeated rows and copies count once, an empty table gives no rows, other columns are not read.
     """
     texts = df.select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(f"`{id_col}`").alias("row")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
     once = hold(texts.groupBy("key").agg(F.min("row").alias("row")))
