@@ -968,7 +968,14 @@ def q_phones_and_flags(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.phone(raw).alias("phone"), values.to_boolean(word, ["כן"], ["לא"]).alias("flag"))
 
 
-@query()
+@query("""
+with p as (select *, 'parts/' || p_partkey as doc, md5(concat_ws('|', '-1057', p_brand, p_name, cast(p_retailprice as varchar), cast(p_size as varchar), p_type)) as h, '1998-12-01T00:00:00' as t from part)
+select doc as key, '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_brand":"' || p_brand || '","p_type":"' || p_type || '","p_size":' || p_size || ',"p_retailprice":' || p_retailprice
+  || ',"__revision":-1057,"__last_updated_at":"' || t || '","__last_modified_at":"' || t || '","__created_at":"' || t || '","__is_new":true,"__is_stale":true,"__staleness":100000,"__next_update_days":1,"__hash":"' || h
+  || '","rev_last_updated_at":"1998-12-01","rev_last_modified_at":"1998-12-01","rev_created_at":"1998-12-01","doc_id":"' || doc || '","page_title":"' || p_name || ' (' || p_brand
+  || ')","__date_range_from":"1900-01-01","__date_range_to":"2100-01-01","__date_range_months":[]}' as value, -1057 as __revision from p
+union all select substr(md5(doc), 1, 12), '{"kind":"redirect","to":"' || doc || '"}', -1057 from p
+""")
 def q_index_documents(t: Tables) -> DataFrame:
     """A first run of the indexer over parts."""
     doc = indexer.DocType("parts", ["p_partkey"], "{p_name} ({p_brand})", chunk="p_type")
