@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..state.lineage import cut
+from ..state.lineage import cut, files
 from .project import q
 
 #: A key is heavy with more rows than this and than a thousandth of all.
@@ -14,16 +14,17 @@ HEAVY_ROWS = 1_000
 MAX_ROUNDS = 60
 
 
-def looked_up(rows: DataFrame, table: DataFrame, on: str, weight: str, total: int, how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, on: str, weight: str, total: int, how: str = "inner", most: int | None = None) -> DataFrame:
     """rows joined to a table of one row a key, so that the rows of a heavy key do not gather in one task.
 
     The table's column weight, which is dropped, says how many of all total rows have the key. Keys with over a
     thousandth of them are fewer than a thousand: these are broadcast, and their rows stay where they are. how is
-    inner or left; null keys have no row in the table.
+    inner or left; null keys have no row in the table. most, if known, is the largest weight: without heavy keys it is
+    a plain join.
     """
     least = max(HEAVY_ROWS, total // 1000)
     heavy = table.where(F.col(weight) > least).drop(weight)
-    if total <= least or heavy.isEmpty():
+    if (total if most is None else most) <= least or (most is None and heavy.isEmpty()):
         return rows.join(table.drop(weight), on, how)
     light = table.where(F.col(weight) <= least).drop(weight)
     at_once = rows.join(F.broadcast(heavy), on)
@@ -37,32 +38,40 @@ def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     nodes do not appear. nodes, about how many there are in all, sizes the first checkpoint. Large and small stars
     alternate until nothing changes.
     """
-    first = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), nodes)
-    now, rows, seen = first, first.count(), None
+    now = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), nodes)
+    state = _state(now)
     for _ in range(MAX_ROUNDS):
-        now = cut(_small_star(_large_star(now, rows), rows), rows)
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
+        rows, most, _ = state
+        now = cut(_small_star(_large_star(now, rows, most), rows, most), rows)
+        seen, state = state, _state(now)
         if state == seen:
             break
-        rows, seen = max(1, state[0]), state
     else:
         raise RuntimeError("components did not settle")
     roots = now.groupBy("m").agg(F.count(F.lit(1)).alias("n")).select(F.col("m").alias("node"), F.col("m").alias("root"))
-    return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(roots)
+    return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(roots.coalesce(files(state[0])))
 
 
-def _large_star(edges: DataFrame, rows: int) -> DataFrame:
+def _state(edges: DataFrame) -> tuple[int, int, int]:
+    """How many edges there are, the most of one node, and a sum that tells other edges from these."""
+    mark = F.xxhash64("v", "m").cast("decimal(38,0)")
+    ends = edges.select(F.explode(F.array("v", "m")).alias("u"), mark.alias("h")).groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
+    n, most, mark = ends.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("h"), F.lit(0))).first()
+    return max(1, n // 2), most, int(mark)
+
+
+def _large_star(edges: DataFrame, rows: int, most: int) -> DataFrame:
     """Each node's greater neighbours are tied to its least neighbour or itself. A star's centre may have most edges."""
     both = edges.select(F.col("v").alias("u"), F.col("m").alias("w")).unionByName(edges.select(F.col("m").alias("u"), F.col("v").alias("w")))
     least = both.groupBy("u").agg(F.min("w").alias("l"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "l").alias("l"), "n")
-    out = looked_up(both.where(F.col("w") > F.col("u")), least, "u", "n", 2 * rows).select(F.col("w").alias("v"), F.col("l").alias("m"))
+    out = looked_up(both.where(F.col("w") > F.col("u")), least, "u", "n", 2 * rows, most=most).select(F.col("w").alias("v"), F.col("l").alias("m"))
     return out.where(F.col("v") != F.col("m")).distinct()
 
 
-def _small_star(edges: DataFrame, rows: int) -> DataFrame:
-    """Each node and its lesser neighbours are tied to the least of them."""
+def _small_star(edges: DataFrame, rows: int, most: int) -> DataFrame:
+    """Each node and its lesser neighbours are tied to the least of them. The large star gives no node more of these."""
     least = edges.groupBy("v").agg(F.min("m").alias("l"), F.count(F.lit(1)).alias("n"))
-    joined = looked_up(edges, least, "v", "n", 2 * rows)
+    joined = looked_up(edges, least, "v", "n", 2 * rows, most=most)
     out = joined.select(F.col("m").alias("v"), F.col("l").alias("m")).unionByName(least.select("v", F.col("l").alias("m")))
     return out.where(F.col("v") != F.col("m")).distinct()
 

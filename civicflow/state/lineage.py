@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a narrow checkpoint that share a file.
-FILE_ROWS = 64
+FILE_ROWS = 1_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,7 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def files(rows: int) -> int:
+    """How many files a narrow checkpoint of so many rows needs."""
+    return max(1, -(-rows // FILE_ROWS))
+
+
 def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Checkpoint of a loop's state, so that plans do not grow; with the rows expected, in as many files as those need."""
     shared_dir(df.sparkSession)
-    return (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(files(rows))).checkpoint(eager=True)
