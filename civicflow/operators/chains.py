@@ -9,11 +9,15 @@ from ..state.lineage import cut, files
 from .project import q
 
 #: A key is heavy with more rows than this and than a thousandth of all.
-HEAVY_ROWS = 1_000
+HEAVY_ROWS = 5_000
 #: The stars settle in about the logarithm of the longest chain; beyond this something is wrong.
 MAX_ROUNDS = 60
 
 
+def is_heavy(weight: int, total: int) -> bool:
+    return weight > max(HEAVY_ROWS, total // 1000)
+
+
 def looked_up(rows: DataFrame, table: DataFrame, on: str, weight: str, total: int, how: str = "inner", most: int | None = None) -> DataFrame:
     """rows joined to a table of one row a key, so that the rows of a heavy key do not gather in one task.
 
@@ -24,7 +28,7 @@ def looked_up(rows: DataFrame, table: DataFrame, on: str, weight: str, total: in
     """
     least = max(HEAVY_ROWS, total // 1000)
     heavy = table.where(F.col(weight) > least).drop(weight)
-    if (total if most is None else most) <= least or (most is None and heavy.isEmpty()):
+    if not is_heavy(total if most is None else most, total) or (most is None and heavy.isEmpty()):
         return rows.join(table.drop(weight), on, how)
     light = table.where(F.col(weight) <= least).drop(weight)
     at_once = rows.join(F.broadcast(heavy), on)
@@ -42,7 +46,9 @@ def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     state = _state(now)
     for _ in range(MAX_ROUNDS):
         rows, most, _ = state
-        now = cut(_small_star(_large_star(now, rows, most), rows, most), rows)
+        large = _large_star(now, rows, most)
+        large = cut(large, rows) if is_heavy(most, 2 * rows) else large  # what a heavy node needs reads its input often
+        now = cut(_small_star(large, rows, most), rows)
         seen, state = state, _state(now)
         if state == seen:
             break
