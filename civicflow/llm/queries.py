@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, lm, mixing, packing, pii, quality, simhash, token_counts, url_filter
+from . import ann, licenses, lm, mixing, packing, periodic, pii, product_codes, quality, simhash, token_counts, token_files, url_filter
 from .sql import ORACLE_SQL
+from .storage import shared_dir
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -74,10 +77,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), repeated_tails=True))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = product_codes.product_codes(table(spark, sf_dir, "embeddings"))
+    return product_codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"), "label")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files stay in the shared folder, as what this operator makes."""
+    path = f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"))
+    return token_files.read_documents(spark, path)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_url_filters, op4_pii, op5_nearest_neighbours, op6_simhash_near_dedup, op7_lm_scoring, op8_license_scans, op9_quality_rules, op10_mixing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_url_filters, op4_pii, op5_nearest_neighbours, op6_simhash_near_dedup, op7_lm_scoring, op8_license_scans, op9_quality_rules, op10_mixing, op11_periodic_runs, op12_vector_codes, op13_token_files, pipeline)}
