@@ -131,7 +131,7 @@ def _across(codes: np.ndarray, grams: np.ndarray, equal: Equal, seg_lo: np.ndarr
     end = np.repeat(seg_hi, blocks)
     mid = lo + half
     hi = np.minimum(mid + half, end)
-    side = (hi - mid if right else mid - lo) // max(1, -(-exponent // 2))
+    side = (hi - mid if right else mid - lo) // (exponent // 2)
     p = _ranges(side) + 1
     lo, mid, hi = (np.repeat(x, side) for x in (lo, mid, hi))
     at = mid if right else mid - 2 * p
@@ -250,14 +250,14 @@ def periodic_runs(df: DataFrame, text: str = "text", id_col: str = "doc_id", min
     words one smallest period apart are the same, and which no neighbour extends. The collapsed text has the words,
     joined by one space, that no run contains after its first period. n_searched words survive the mask. With
     repeated_tails, one in ten documents by the checksum of its id is changed to end in repetitions first; null ids are
-    not. min_words is 2 or more and exponent 3 or more.
+    not. min_words is 2 or more and exponent 4 or more.
 
     Null and empty texts have no words, no runs and an empty collapsed text. Rows with null or repeated ids are taken
     one by one, each for itself. A document is searched whole, in the task that has its row, whatever its length. An
     empty table gives no rows. Columns other than the two named are not read.
     """
-    if min_words < 2 or exponent < 3:
-        raise ValueError("a run has two words and three periods at least")
+    if min_words < 2 or exponent < 4:
+        raise ValueError("a run has two words and four periods at least")
     source = W.lean(df).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
     fields = [T.StructField(id_col, source.schema["__id"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_searched", T.LongType()), T.StructField("runs", T.ArrayType(RUN)), T.StructField("collapsed", T.StringType())]
     run_type = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])

@@ -42,3 +42,23 @@ from failing left join verdicts using (source)
 """
 
 ORACLE_SQL: dict[str, str] = {"op3_url_filters": URL_FILTERS, "op9_quality_rules": QUALITY_RULES}
+
+
+def _product_code_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Codebooks round by round: distances of all vectors to all entries, nearest entries, floors of their means."""
+    steps = [
+        "kept as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)",
+        f"c as (select vec_id, d, d // (len(v) // {parts}) as p, v[d + 1] as x from kept, unnest(range(len(v))) as t(d))",
+        f"b0 as (select p, r - 1 as e, d, x from c join (select vec_id, row_number() over (order by vec_id) as r from kept) using (vec_id) where r <= {entries})",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"n{k} as (select vec_id, p, e, t from (select c.vec_id, c.p, b.e, sum((c.x - b.x) * (c.x - b.x)) as t from c join b{k} b on c.p = b.p and c.d = b.d group by 1, 2, 3) qualify row_number() over (partition by vec_id, p order by t, e) = 1)")
+        if k < rounds:
+            steps.append(f"m{k} as (select c.p, n.e, c.d, sum(c.x) as s, count(*) as n from c join n{k} n using (vec_id, p) group by 1, 2, 3)")
+            steps.append(f"b{k + 1} as (select b.p, b.e, b.d, cast(case when n is null then b.x else (s - ((s % n) + n) % n) // n end as bigint) as x from b{k} b left join m{k} using (p, e, d))")
+    steps.append(f"coded as (select vec_id, string_agg(format('{{:02x}}', e), '' order by p) as code, cast(sum(t) as bigint) as error from n{rounds} group by 1)")
+    return f"""with {", ".join(steps)}
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, (select sha256(string_agg(cast(x as varchar), ',' order by p, e, d)) from b{rounds}) as codebooks_sha256, label from coded join kept using (vec_id)"""
+
+
+ORACLE_SQL["op12_vector_codes"] = _product_code_sql()
