@@ -75,6 +75,7 @@ class SuffixAutomaton:
             if self.link[v] > 0:
                 ends.setdefault(self.link[v], set()).update(ends.get(v, ()))
         self.ends = [sorted(ends.get(v, ())) for v in range(len(self.next))]
+        self.sequences = sequences
 
     def _clone(self, p: int, q: int, w: int) -> int:
         c = len(self.next)
@@ -121,6 +122,36 @@ class SuffixAutomaton:
             yield len(codes), length, v
 
 
+    def holders(self, least: int) -> list[list[tuple[int, int, int, int | None]]]:
+        """For each state (sequence, end, length, next word): where its run, or a shorter end of it of least words or more, stands.
+
+        Length is 0 for the run itself, else that of the longest end of it that stands there.
+        """
+        out: list[list[tuple[int, int, int, int | None]]] = [[] for _ in self.next]
+        for v in sorted(range(1, len(self.next)), key=lambda v: self.length[v]):
+            own, p = set(self.ends[v]), self.link[v]
+            out[v] = [(t, e, 0, self.sequences[t][e] if e < len(self.sequences[t]) else None) for t, e in self.ends[v]]
+            if self.length[p] >= least:
+                out[v] += [(t, e, n or self.length[p], w) for t, e, n, w in out[p] if (t, e) not in own]
+        return out
+
+    def matches(self, codes: Sequence[int], least: int, holders: list[list[tuple[int, int, int, int | None]]]) -> Iterator[tuple[int, int, int, int]]:
+        """(sequence, place, place in the sequence, length) of common runs of least words or more that the next word does not lengthen."""
+        v = length = 0
+        for i in range(len(codes) + 1):
+            w = codes[i] if i < len(codes) else -1
+            if length >= least:
+                for t, e, n, after in holders[v]:
+                    if after != w and (n or length) >= least:
+                        yield t, i - (n or length), e - (n or length), n or length
+            grown = self.next[v].get(w)
+            while grown is None and v:
+                v = self.link[v]
+                length = self.length[v]
+                grown = self.next[v].get(w)
+            v, length = (0, 0) if grown is None else (grown, length + 1)
+
+
 class Scanner:
     def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES):
         own = [template_words(t) for _, t in templates]
@@ -128,6 +159,7 @@ class Scanner:
         number = {w: i for i, w in enumerate(self.names)}
         self.labels, self.sizes = [x for x, _ in templates], [len(s) for s in own]
         self.automaton = SuffixAutomaton([[number[w] for w in s] for s in own])
+        self.holders = self.automaton.holders(MIN_RUN)
         self.phrases = [([number[w] for w in p.split()], label) for p, label in phrases.items()]
         self.known = pa.array([w.encode() for w in self.names], pa.large_binary())
 
@@ -135,10 +167,8 @@ class Scanner:
         """(label, first word, end word, coverage) of each chain that covers its template, from (place, codes) runs of a text."""
         laid: dict[int, list[tuple[int, int, int]]] = {}
         for place, codes in runs:
-            for end, length, state in self.automaton.stream(codes):
-                if length >= MIN_RUN:
-                    for t, e in self.automaton.ends[state]:
-                        laid.setdefault(t, []).append((place + end - length, e - length, length))
+            for t, at, own, length in self.automaton.matches(codes, MIN_RUN, self.holders):
+                laid.setdefault(t, []).append((place + at, own, length))
         out = []
         for t, found in sorted(laid.items()):
             if sum(n for _, _, n in found) < COVERAGE * self.sizes[t]:

@@ -125,3 +125,29 @@ def test_best_chain_against_all_chains(found):
     assert max(covered for _, _, covered in got) == most
     assert not licenses.Scanner._chains(sorted(found), most + 1)
     assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+
+
+def test_templates_inside_others_are_found(spark):
+    inner = "c d e f g h i j k l m n"
+    templates = [("outer", f"alpha beta {inner} omega psi chi"), ("inner", inner)]
+    rows = [(30, f"alpha beta {inner} zz"), (31, f"alpha beta {inner} omega"), (32, f"alpha beta {inner} omega psi chi"), (33, f"x {inner} y"), (34, "c d e f g h")]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(frame(spark, rows), templates=templates).where("doc_id >= 30").collect()}
+    assert got == {30: "inner,outer", 31: "inner,outer", 32: "inner,outer", 33: "inner", 34: ""}
+
+
+def test_matches_against_all_places():
+    rng = random.Random(3)
+    for _ in range(200):
+        sequences = [[rng.randrange(3) for _ in range(rng.randrange(1, 14))] for _ in range(3)]
+        codes = [rng.randrange(3) for _ in range(rng.randrange(0, 30))]
+        own = licenses.SuffixAutomaton(sequences)
+        want = set()
+        for t, seq in enumerate(sequences):
+            for i in range(len(codes)):
+                for j in range(len(seq)):
+                    n = 0
+                    while i + n < len(codes) and j + n < len(seq) and codes[i + n] == seq[j + n]:
+                        n += 1
+                    if n >= 2 and not (i and j and codes[i - 1] == seq[j - 1]):
+                        want.add((t, i, j, n))
+        assert set(own.matches(codes, 2, own.holders(2))) == want
