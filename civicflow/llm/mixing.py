@@ -96,11 +96,13 @@ def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str =
     A task schedules period blocks, or more of very many sources. Blocks have block_rows rows, and more where there
     would be over MAX_BLOCKS of them.
 
-    targets gives each source's weight; without it, weights are the roots of the sources' row counts. Null sources are
+    targets gives each source's weight, above 0; without it, weights are the roots of the sources' row counts. Null sources are
     a source of their own; sources without a target get the least weight given. A source that has run out leaves its
     slots empty, the others keep their order and shares. Rows of a source are dealt into blocks by a hash of the id;
     ties and repeated rows take neighbouring places in no set order. An empty table gives no rows.
     """
+    if any(not 0 < w < float("inf") for w in (targets or {}).values()):
+        raise ValueError("targets are positive and finite; filter out the rows of a source that is to have no share")
     spark, names = df.sparkSession, df.columns
     own = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     key, ident = F.coalesce(F.col(f"c{names.index(source)}").cast("string"), F.lit("\0null")), f"c{names.index(id_col)}"
@@ -108,7 +110,7 @@ def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str =
     counts = {r["__s"]: r["n"] for r in own.select(key.alias("__s")).groupBy("__s").agg(F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources; group them first")
-    weights = {s: (targets.get(s) or min(x for x in targets.values() if x > 0)) for s in counts} if targets else tempered(counts)
+    weights = {s: targets.get(s, min(targets.values())) for s in counts} if targets else tempered(counts)
     shares = exact_shares(weights)
     order = sorted(counts)
     block_rows = max(block_rows, -(-sum(counts.values()) // MAX_BLOCKS))

@@ -136,3 +136,9 @@ def test_rows_against_a_plain_mixture(spark):
     out = mixing.mix(df, weights).collect()
     assert Counter((r["source"], r["mix_slot"]) for r in out) == want
     assert sorted(r["doc_id"] for r in out) == list(range(997))
+
+
+@pytest.mark.parametrize("weight", [0, -1, float("nan"), float("inf")])
+def test_targets_are_positive(spark, weight):
+    with pytest.raises(ValueError, match="positive"):
+        mixing.mix(frame(spark), {"s0": 1, "s1": weight})
