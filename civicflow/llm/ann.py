@@ -37,6 +37,8 @@ PART_ROWS, PART_QUERIES = 4096, 1024
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; they are scaled by their greatest component first, as squares of very large or tiny ones are not numbers."""
+    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True, initial=0), 5e-324)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 

@@ -102,3 +102,9 @@ def test_graph_search_finds_the_nearest():
     q = rng.normal(size=(90, 8))
     true = ((c[None] - q[:, None]) ** 2).sum(-1).argmin(1)
     assert (place[:, 0] == true).mean() > 0.97
+
+
+def test_vectors_of_any_scale_are_near(spark):
+    rows = [(0, [1.0, 2.0], 0)] + [(i, [1.0, 2.0 + i / 50], 0) for i in range(1, 12)] + [(20, [1e200, 2e200], 0), (21, [1e-200, 2e-200], 0), (22, [1e-310, 2e-310], 0)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), k=3).where("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [20, 21, 22] and all(abs(r["score"] - 1) < 1e-12 for r in got)
