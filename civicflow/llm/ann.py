@@ -278,8 +278,7 @@ def searched(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
         edge = np.partition(rough, rough.shape[1] - m, axis=1)[:, rough.shape[1] - m]
         a, b = np.nonzero(rough >= edge[:, None] - 1e-9)
         # one and the same sum for each pair, whatever its neighbours in a product of matrices are
-        scale = 1 / np.abs(x[b]).max(axis=1), 1 / np.abs(q[a]).max(axis=1)
-        u, v = x[b] * scale[0][:, None], q[a] * scale[1][:, None]
+        u, v = x[b] / np.abs(x[b]).max(axis=1, keepdims=True), q[a] / np.abs(q[a]).max(axis=1, keepdims=True)
         score = (u * v).sum(axis=1) / (np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1)))
         rank = np.lexsort((ids[b], -score, a))
         a, b, score = a[rank], b[rank], score[rank]
