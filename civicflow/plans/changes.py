@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_or
 from ..operators.project import q
+from ..state.lineage import cut
+from .balancing import balanced_groups
 
 MEASURES = ["net_expense_diff", "gross_expense_diff", "allocated_income_diff", "commitment_limit_diff", "personnel_max_diff"]
-SIZES = range(2, 7)
 
 
 def code_rows(df: DataFrame, code: str = "budget_code") -> DataFrame:
@@ -29,39 +29,6 @@ def individual_changes(df: DataFrame, array: str = "change_list") -> DataFrame:
     return items.withColumn("budget_code", head).withColumn("budget_title", tail).drop("__c")
 
 
-def _balanced(rows: list[tuple], size: int) -> tuple[list[list[int]], list[int]]:
-    """Groups of this size whose amounts sum to zero, greedily from the first row on, and the rows left.
-
-    rows: (place, leader, amounts). Partial sums are extended one row at a time; a table from amounts to places closes
-    them, so that the last row is looked up and not searched.
-    """
-    by_amounts: dict[tuple, list[int]] = {}
-    for k, (_, _, amounts) in enumerate(rows):
-        by_amounts.setdefault(amounts, []).append(k)
-    used: set[int] = set()
-
-    def close(chosen: list[int]) -> list[int] | None:
-        total = tuple(map(sum, zip(*(rows[k][2] for k in chosen))))
-        if len(chosen) == size - 1:
-            leaders = {rows[k][1] for k in chosen}
-            for k in by_amounts.get(tuple(-x for x in total), ()):
-                if k > chosen[-1] and k not in used and rows[k][1] not in leaders:
-                    return [*chosen, k]
-            return None
-        leaders = {rows[k][1] for k in chosen}
-        for k in range(chosen[-1] + 1, len(rows) - (size - len(chosen)) + 1):
-            if k not in used and rows[k][1] not in leaders and (found := close([*chosen, k])):
-                return found
-        return None
-
-    groups = []
-    for k in range(len(rows) - size + 1):
-        if k not in used and (found := close([k])):
-            used.update(found)
-            groups.append(found)
-    return groups, [k for k in range(len(rows)) if k not in used]
-
-
 def _any_moved(measures: Sequence[str]) -> Column:
     moved = F.lit(False)
     for m in measures:
@@ -69,48 +36,61 @@ def _any_moved(measures: Sequence[str]) -> Column:
     return moved
 
 
+def known_groups(lines: DataFrame, known: DataFrame) -> DataFrame:
+    """date_kind, trcode, key of the known groups (date_kind, serial, trcodes) all of whose codes lines still have.
+
+    Of groups that share a code the one with the least serial comes first. Groups that come first for all of their codes
+    are taken together, those that share a code with them fall away, and so on until none is left.
+    """
+    key = F.struct("serial", F.array_sort(F.array_distinct("trcodes")).alias("codes"))
+    items = known.select("date_kind", key.alias("key")).distinct().withColumn("trcode", F.explode("key.codes"))
+    there = lines.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t")).distinct()
+    same = F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t"))
+    each = ["date_kind", "key"]
+    whole = items.join(there, same, "left_semi").groupBy(*each).agg(F.collect_list("trcode").alias("codes")).where(F.size("codes") == F.size("key.codes"))
+    left = cut(whole.select(*each, F.explode("codes").alias("trcode")))
+    out = left.limit(0)
+    while not left.isEmpty():
+        first = Window.partitionBy("date_kind", "trcode").orderBy("key")
+        told = left.withColumn("ahead", F.dense_rank().over(first) > 1)
+        taken = cut(told.groupBy(*each).agg(F.max("ahead").alias("ahead"), F.collect_list("trcode").alias("codes")).where(~F.col("ahead")).select(*each, F.explode("codes").alias("trcode")))
+        out = out.unionByName(taken)
+        gone = taken.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"))
+        hit = left.join(gone, same, "left_semi").select(F.col("date_kind").alias("__d"), F.col("key").alias("__k")).distinct()
+        left = cut(left.join(hit, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("key") == F.col("__k")), "left_anti"))
+    return out
+
+
 def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES, known: DataFrame | None = None) -> DataFrame:
     """group_id of each change code: transfers of the reserve on one date kind that sum to zero in all measures.
 
     df: trcode, date_kind, budget_code, leading_item and measures. Groups have two to six changes of different leading
-    items, small groups first; other changes stand alone. A group's id is its first change of positive sum, else its
-    first. Pairs of a date kind are few hundred rows: each is one task's, its rows already summed.
+    items, small groups first, then those whose codes come first; other changes stand alone. A group's id is its first
+    change of positive sum, else its first.
 
     known: date_kind, serial, trcodes (an array), the groups of an earlier run as group_cache gives them. Those all of
     whose codes are still there are taken before any search, in the order of serial.
     """
     changes = df.where(F.col("leading_item") != 47)
     reserve = changes.where(F.col("budget_code").startswith("0047") & _any_moved(measures))
-    lines = reserve.select("date_kind", "trcode", "leading_item", *[F.round(F.coalesce(q(m), F.lit(0)).cast("double") * 1000).cast("long").alias(m) for m in measures])
+    amounts = [F.round(F.coalesce(q(m), F.lit(0)).cast("double") * 1000).cast("long") for m in measures]
+    lines = reserve.select("date_kind", "trcode", F.xxhash64("leading_item").alias("leader"), F.array(*amounts).alias("amounts"), F.monotonically_increasing_id().alias("line"))
+    lines = cut(lines)
     sums = changes.where(~F.col("budget_code").startswith("0047")).groupBy("trcode").agg(F.sum(sum((F.coalesce(q(m).cast("double"), F.lit(0.0)) for m in measures), F.lit(0.0))).alias("total"))
-
-    def search(pdf: pd.DataFrame, cached: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["trcode", *measures]).reset_index(drop=True)
-        left = [(i, r.leading_item, tuple(int(getattr(r, m)) for m in measures)) for i, r in enumerate(pdf.itertuples())]
-        out, serial, open_ = [], 0, set(pdf.trcode)
-        for codes in cached.sort_values("serial").trcodes if open_ else []:
-            if open_.issuperset(codes):
-                out += [(pdf.date_kind.iloc[0], serial, c) for c in codes]
-                serial += 1
-                open_.difference_update(codes)
-        left = [x for x in left if pdf.trcode.iloc[x[0]] in open_]
-        for size in SIZES:
-            groups, rest = _balanced(left, size)
-            for g in groups:
-                out += [(pdf.date_kind.iloc[0], serial, pdf.trcode.iloc[left[k][0]]) for k in g]
-                serial += 1
-            left = [left[k] for k in rest]
-        for i, _, _ in left:
-            out.append((pdf.date_kind.iloc[0], serial, pdf.trcode.iloc[i]))
-            serial += 1
-        return pd.DataFrame(out, columns=["date_kind", "serial", "trcode"])
-
-    if known is None:
-        known = df.sparkSession.createDataFrame([], "date_kind string, serial long, trcodes array<string>")
-    found = lines.groupBy("date_kind").cogroup(known.groupBy("date_kind")).applyInPandas(search, "date_kind string, serial long, trcode string").distinct()
-    signed = found.join(sums, "trcode", "left")
-    named = signed.groupBy("date_kind", "serial").agg(F.coalesce(F.min(F.when(F.col("total") > 0, F.col("trcode"))), F.min("trcode")).alias("group_id"), F.count(F.lit(1)).alias("size"))
-    grouped = found.join(named, ["date_kind", "serial"]).select("trcode", "group_id", "size")
+    open_, found = lines, None
+    if known is not None:
+        found = known_groups(lines, known).select("date_kind", "trcode", F.to_json("key").alias("group"))
+        codes = found.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"))
+        open_ = cut(lines.join(codes, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t")), "left_anti"))
+    kind = F.coalesce(F.concat(F.lit("="), F.col("date_kind").cast("string")), F.lit(""))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("trcode", "amounts", "line"))
+    ordered = cut(open_.where(F.exists("amounts", lambda x: x != 0)).withColumn("kind", kind).withColumn("idx", place).select("line", "kind", "idx", "leader", "amounts"))
+    own = balanced_groups(ordered)
+    searched = open_.join(own, "line", "left").select("date_kind", "trcode", F.coalesce("first", "line").cast("string").alias("group"))
+    every = (searched if found is None else searched.unionByName(found)).distinct()
+    signed = every.join(sums, "trcode", "left")
+    named = signed.groupBy("date_kind", "group").agg(F.coalesce(F.min(F.when(F.col("total") > 0, F.col("trcode"))), F.min("trcode")).alias("group_id"), F.count(F.lit(1)).alias("size"), F.collect_list("trcode").alias("trcode"))
+    grouped = named.select(F.explode("trcode").alias("trcode"), "group_id", "size")
     alone = changes.select("trcode").distinct().join(reserve.select("trcode"), "trcode", "left_anti").select("trcode", F.col("trcode").alias("group_id"), F.lit(1).cast("long").alias("size"))
     return grouped.unionByName(alone)
 
@@ -123,8 +103,6 @@ def group_cache(df: DataFrame, groups: DataFrame) -> DataFrame:
 
 def zero_sum_pairs(df: DataFrame, keys: Sequence[str], ident: str, amount: str) -> DataFrame:
     """Pairs of rows of a key whose amounts cancel, by an equality join on the amount's size: the n-th of each sign meet."""
-    from pyspark.sql.window import Window
-
     sized = df.where(q(amount) != 0).select(*map(q, keys), q(ident).alias("i"), F.abs(q(amount)).alias("size"), (q(amount) > 0).alias("up"))
     n = F.row_number().over(Window.partitionBy(*map(q, keys), "size", "up").orderBy("i"))
     ranked = sized.withColumn("n", n)
