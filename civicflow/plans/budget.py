@@ -138,8 +138,8 @@ def connect_years(df: DataFrame, curated: DataFrame | None = None, measures: Seq
 
     Year by year, an item is last year's of a curated mapping, or of the same code and a similar title, or, failing
     both, of those that all its children continue. Items without amounts, but for codes that end in 99, and those not
-    meant to repeat begin a chain. The years are joined in order, each a step of joins over one year's items; only the
-    number of years makes rounds.
+    meant to repeat begin a chain. Pointers to earlier items double their reach from round to round, so that rounds go
+    with the logarithm of the number of years.
 
     df: year, code, title, parent, non_repeating (array) and the measures; curated: year, code, prev_code.
     """
@@ -160,21 +160,18 @@ def connect_years(df: DataFrame, curated: DataFrame | None = None, measures: Seq
     open_ = items.where(~F.col("dead")).join(same.select("year", "code").distinct(), ["year", "code"], "left_anti")
     split = open_.join(through, ["year", "code"]).select("year", "code", F.explode("found").alias("prev_code"))
     links = cut(same.unionByName(split).distinct())
-    years = [r[0] for r in items.select("year").distinct().orderBy("year").collect()]  # a few dozen
-    own_id = F.concat_ws("/", F.col("year").cast("string"), "code")
-    out: dict[int, DataFrame] = {}
-    for y in years:
-        own = items.where(F.col("year") == y).select("year", "code")
-        if y - 1 in out:
-            prev = out[y - 1].select(F.col("code").alias("prev_code"), F.col("chain_id").alias("old_id"))
-            hit = links.where(F.col("year") == y).join(prev, "prev_code").groupBy("year", "code").agg(F.min("old_id").alias("old_id"))
-            out[y] = cut(own.join(hit, ["year", "code"], "left").select("year", "code", F.coalesce("old_id", own_id).alias("chain_id")))
-        else:
-            out[y] = own.withColumn("chain_id", own_id)
-    chains = items.where(F.lit(False)).select("year", "code", own_id.alias("chain_id"))
-    for part in out.values():
-        chains = chains.unionByName(part)
-    return chains
+    steps = links.join(items.select((F.col("year") + 1).alias("year"), F.col("code").alias("prev_code")), ["year", "prev_code"], "left_semi")
+    # Each item points at the earliest of its chains that it has seen; pointers of pointers reach twice as far.
+    first = items.join(steps.select("year", "code").distinct(), ["year", "code"], "left_anti").select("year", "code", F.col("year").alias("to_year"), F.col("code").alias("to_code"), F.lit(True).alias("end"))
+    begins = first.select(F.col("year").alias("to_year"), F.col("code").alias("to_code"), F.lit(True).alias("__end"))
+    back = steps.select("year", "code", (F.col("year") - 1).cast(items.schema["year"].dataType).alias("to_year"), F.col("prev_code").alias("to_code")).join(begins, ["to_year", "to_code"], "left").select("year", "code", "to_year", "to_code", F.coalesce("__end", F.lit(False)).alias("end"))
+    points = cut(first.unionByName(back))
+    while not (open_ := points.where(~F.col("end"))).isEmpty():
+        onward = points.select(F.col("year").alias("to_year"), F.col("code").alias("to_code"), F.col("to_year").alias("__y"), F.col("to_code").alias("__c"), F.col("end").alias("__end"))
+        further = open_.join(onward, ["to_year", "to_code"]).select("year", "code", F.col("__y").alias("to_year"), F.col("__c").alias("to_code"), F.col("__end").alias("end"))
+        points = cut(points.where("end").unionByName(further).distinct())
+    chain = F.concat_ws("/", F.col("to_year").cast("string"), "to_code")
+    return points.groupBy("year", "code").agg(F.min(chain).alias("chain_id"))
 
 
 def chain_history(df: DataFrame, chains: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import hebrew_only
-from ..operators.chains import components, label_chains
+from ..operators.chains import components
 from ..operators.project import q
 from ..operators.windows import top_and_others
-from ..udfs.fuzzy import partial_ratio, similarity
+from ..state.lineage import cut
+from ..udfs.fuzzy import similarity
 
 
 #: Titles are similar at this score of a hundred.
@@ -33,23 +31,26 @@ def title_keys(df: DataFrame, side: str) -> DataFrame:
     return df.withColumn("gram", F.explode(F.array_distinct(short if side == "short" else every)))
 
 
-def cluster_name(titles: list[str]) -> str:
-    """The run of words of the longest title that others share."""
-    longest = max(titles, key=lambda t: (len(t), t))
-    run: list[str] = []
-    for word in longest.split():
-        if sum(partial_ratio(word, t) >= SIMILAR for t in titles) > 1:
-            run.append(word)
-        elif run:
-            break
-    return " ".join(run) or longest
+def cluster_names(titles: DataFrame) -> DataFrame:
+    """root, tag of each cluster of titles (root, t): the first words in a row of its longest title that others have too.
+
+    Of titles of equal length the greatest counts; where others have none of its words it is the name as a whole.
+    """
+    longest = titles.groupBy("root").agg(F.max_by("t", F.struct(F.length("t"), "t")).alias("longest"))
+    words = longest.select("root", F.posexplode(F.filter(F.split("longest", r"(?U)\s+"), lambda w: w != "")).alias("pos", "word"))
+    met = words.join(titles, "root").where(similarity("partial")("word", "t") >= SIMILAR)
+    shared = met.groupBy("root", "pos", "word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    # positions less their numbers are the same along a stretch
+    stretch = F.col("pos") - F.row_number().over(Window.partitionBy("root").orderBy("pos"))
+    listed = shared.withColumn("stretch", stretch).groupBy("root").agg(F.array_sort(F.collect_list(F.struct("pos", "stretch", "word"))).alias("w"))
+    first = F.transform(F.filter("w", lambda x: x["stretch"] == F.col("w")[0]["stretch"]), lambda x: x["word"])
+    return longest.join(listed.select("root", F.array_join(first, " ").alias("run")), "root", "left").select("root", F.coalesce("run", "longest").alias("tag"))
 
 
 def similar_titles(titles: DataFrame) -> DataFrame:
     """k, t of each title with tag, the name of its cluster: single linkage by similarity within a key k.
 
-    Titles of a key meet where they share a gram, and pairs are scored wherever they are; only a cluster's own titles
-    come to one task, for its name. What two similar titles do not share touches at most 0.71 grams a character of the
+    Titles of a key meet where they share a gram, and pairs are scored wherever they are. What two similar titles do not share touches at most 0.71 grams a character of the
     shorter, so its rarest grams, one more than those, are enough, and the commonest never bring titles together.
     """
     ids = titles.withColumn("id", F.xxhash64("k", "t"))
@@ -63,11 +64,8 @@ def similar_titles(titles: DataFrame) -> DataFrame:
     near = pairs.where(similarity("partial")("t2", "t1") >= SIMILAR).select("a", "b")
     found = components(near).select(F.col("node").alias("id"), "root")
 
-    def name(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"root": [pdf["root"].iloc[0]], "tag": [cluster_name(pdf["t"].tolist())]})
-
     grouped = ids.join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    names = grouped.join(found.select("root").distinct(), "root", "left_semi").select("root", "t").groupBy("root").applyInPandas(name, "root long, tag string")
+    names = cluster_names(grouped.join(found.select("root").distinct(), "root", "left_semi").select("root", "t"))
     return grouped.join(names, "root", "left").select("k", "t", F.coalesce("tag", "t").alias("tag"))
 
 
@@ -84,50 +82,33 @@ def spending_clusters(df: DataFrame, keys: list[str], title: str = "title", amou
     return top_and_others(tagged, keys, "tag", ["amount", "count"], most, others)
 
 
-class ProgramKeys:
-    """Support programs over years: a code and short title join the program that shares more of them, unless that has
-    another title or office in the same year."""
-
-    def __init__(self):
-        self.members: dict[str, list[tuple]] = {}
-        self.by_code, self.by_title = defaultdict(dict), defaultdict(dict)  # insertion-ordered sets
-
-    def key(self, code: str, title: str, short: str, year: int) -> str:
-        best, best_score = None, 0
-        for k in {**self.by_code[code], **self.by_title[short]}:
-            for c, t, s, y in self.members[k]:
-                if y == year and (t != title or c[:4] != code[:4]):
-                    continue
-                score = (c == code) + (s == short)
-                if score > best_score:
-                    best, best_score = k, score
-        if best is None:
-            best = f"{code}_{short}"
-            self.members.setdefault(best, [])
-        self.by_code[code][best] = self.by_title[short][best] = None
-        self.members[best].append((code, title, short, year))
-        return best
-
-
 def program_keys(df: DataFrame) -> DataFrame:
     """df (budget_code, support_title, year_requested, amount_approved) with program_key.
 
-    A program grows over the years, so its keys are worked out in order; but only codes and titles that are chained by
-    sharing can meet, and each such chain is a task of its own, over its different (code, title, year) only.
+    Programs grow from year to year: what is asked for under a code and a short title belongs to the program that had
+    both in an earlier year, else to one that had either of them; of several the oldest. Without one it belongs with
+    the least code of the same title and office (the code's first four digits) in its own year, else it begins a program
+    that is named by code and short title. Rows without amount, title, code or year have none.
+
+    A year is a round of equality joins with one program a code, a short title and both, made from all earlier years, so
+    that no rows meet more than one.
     """
     short = F.substring(hebrew_only(F.coalesce("support_title", F.lit(""))), 1, 15)
     marked = df.withColumn("__short", short)
     used = marked.where((F.col("amount_approved") > 0) & F.col("support_title").isNotNull() & ~F.col("support_title").isin("", "אינו מוקצה"))
-    distinct = used.groupBy("budget_code", "__short", F.col("year_requested").alias("year")).agg(F.min("support_title").alias("title"))
-    chains = label_chains(distinct.select("budget_code", "__short").distinct(), "budget_code", "__short")
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = ProgramKeys()
-        ordered = pdf.sort_values(["year", "budget_code", "__short"])
-        made = [keys.key(r["budget_code"], r["title"], r["__short"], r["year"]) for r in ordered.to_dict("records")]
-        return ordered[["budget_code", "__short", "year"]].assign(program_key=made)
-
-    kinds = f"budget_code string, `__short` string, year {df.schema['year_requested'].dataType.simpleString()}, program_key string"
-    keyed = distinct.join(chains, ["budget_code", "__short"]).groupBy("chain").applyInPandas(assign, kinds)
-    joined = marked.join(keyed.withColumnRenamed("year", "year_requested"), ["budget_code", "__short", "year_requested"], "left")
+    items = used.groupBy(F.col("budget_code").alias("code"), F.col("__short").alias("short"), F.col("year_requested").alias("year")).agg(F.min("support_title").alias("title"))
+    items = cut(items.where(F.col("code").isNotNull() & F.col("short").isNotNull() & F.col("year").isNotNull()))
+    years = sorted(r["year"] for r in items.select("year").distinct().collect())
+    keyed = cut(items.limit(0).select("code", "short", "year", F.struct(F.col("year").alias("born"), F.lit("").alias("name")).alias("program")))
+    for year in years:
+        now = items.where(F.col("year") == year)
+        for i, on in enumerate((["code", "short"], ["code"], ["short"])):
+            now = now.join(keyed.groupBy(*on).agg(F.min("program").alias(f"p{i}")), on, "left")
+        own = F.struct(F.lit(year).cast(items.schema["year"].dataType).alias("born"), F.concat("code", F.lit("_"), "short").alias("name"))
+        old = F.coalesce("p0", F.least("p1", "p2"))
+        least = now.groupBy("short", "title", F.substring("code", 1, 4).alias("office")).agg(F.min_by(F.coalesce(old, own), "code").alias("first"))
+        now = now.withColumn("office", F.substring("code", 1, 4)).join(least, ["short", "title", "office"])
+        keyed = cut(keyed.unionByName(now.select("code", "short", "year", F.coalesce(old, "first").alias("program"))))
+    found = keyed.select(F.col("code").alias("budget_code"), F.col("short").alias("__short"), F.col("year").alias("year_requested"), F.col("program.name").alias("program_key"))
+    joined = marked.join(found, ["budget_code", "__short", "year_requested"], "left")
     return joined.select(*map(q, df.columns), "program_key")

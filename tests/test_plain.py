@@ -5,12 +5,11 @@ from collections import defaultdict
 
 import pytest
 
-from civicflow.plans.clusters import cluster_name
 from civicflow.queries import QUERIES
 from civicflow.udfs.fuzzy import partial_ratio
 from civicflow.udfs.names import fingerprint
 
-from plain import linked, table
+from plain import cluster_name, linked, table
 
 
 def test_fingerprints(spark, sf_dir):

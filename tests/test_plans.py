@@ -9,6 +9,8 @@ from civicflow.operators.chains import label_chains
 from civicflow.plans import budget, changes, clusters, contracts, entities, facilities, reports, supports
 from civicflow.udfs.fuzzy import partial_ratio
 
+from plain import cluster_name
+
 RAW = "year int, phase string, admin_cls_code_0 string, admin_cls_code_2 string, admin_cls_title_2 string, admin_cls_code_4 string, admin_cls_title_4 string, admin_cls_code_6 string, admin_cls_title_6 string, admin_cls_code_8 string, admin_cls_title_8 string, func_cls_code_1 string, func_cls_title_1 string, func_cls_code_2 string, func_cls_title_2 string, econ_cls_code_2 string, net decimal(38,6)"
 
 
@@ -69,12 +71,6 @@ def test_change_groups_balance(spark):
     assert out["t6"] == ("t6", 1) and out["t7"] == ("t7", 1) and out["t8"] == ("t8", 1) and "t9" not in out
 
 
-def test_balanced_groups_are_found():
-    rows = [(i, i % 5, (v,)) for i, v in enumerate([3, -1, -2, 9, 4, -13, 8])]
-    groups, left = changes._balanced(rows, 3)
-    assert groups and all(sum(rows[k][2][0] for k in g) == 0 for g in groups) and len(left) == len(rows) - 3 * len(groups)
-
-
 def test_code_rows_and_summaries(spark):
     df = spark.createDataFrame([("t", 2020, "0020010101", 5, 0, 0, 0), ("t", 2020, "0030010101", -5, 0, 0, 0), ("t", 2020, "0040010101", 0, 0, 0, 0)], "transaction_id string, year int, budget_code string, net_expense_diff int, gross_expense_diff int, allocated_income_diff int, commitment_limit_diff int")
     assert changes.code_rows(df).count() == 12
@@ -112,7 +108,7 @@ def test_similar_titles_against_all_pairs(spark):
     own = {}
     for i, t in enumerate(titles):
         own.setdefault(find(i), []).append(t)
-    want = {t: clusters.cluster_name(x) if len(x) > 1 else t for x in own.values() for t in x}
+    want = {t: cluster_name(x) if len(x) > 1 else t for x in own.values() for t in x}
     got = {r["t"]: r["tag"] for r in clusters.similar_titles(spark.createDataFrame([("k", t) for t in titles], "k string, t string")).collect()}
     assert got == want
 
@@ -133,6 +129,45 @@ def test_program_keys_follow_codes_and_titles(spark):
     assert sum(k is not None and k.startswith("0030") for _, k in out) == 2
 
 
+def plain_programs(rows):
+    """Name of each (code, short, year), by going through them in order and comparing with all that were named."""
+    titles = {}
+    for code, title, year in rows:
+        key = (year, code, title[:15])
+        titles[key] = min(title, titles.get(key, title))
+    named, out = [], {}
+    for (year, code, short), title in sorted(titles.items()):
+        best = None
+        for o_year, o_code, o_short, program in named:
+            points = (o_code == code) + (o_short == short)
+            if o_year < year and points:
+                best = min(best or (9,), (-points, program))
+        if best is None:
+            mates = sorted(m for m in titles if m[0] == year and m[2] == short and titles[m] == title and m[1][:4] == code[:4])
+            program = out.get(mates[0]) or (year, f"{code}_{short}")
+        else:
+            program = best[1]
+        named.append((year, code, short, program))
+        out[year, code, short] = program
+    return {(code, short, year): name for (year, code, short), (_, name) in out.items()}
+
+
+def test_program_keys_against_plain_rounds(spark):
+    rng = random.Random(4)
+    for _ in range(3):
+        rows = sorted({("00" + rng.choice("12") + "0" + rng.choice("123456"), "".join(rng.choice("אבג") for _ in range(2)) + rng.choice(["", "דדדדדדדדדדדדדדדד", "דדדדדדדדדדדדדדדה"]), 2000 + rng.randrange(5)) for _ in range(90)})
+        df = spark.createDataFrame([(c, t, y, 1) for c, t, y in rows], "budget_code string, support_title string, year_requested int, amount_approved int")
+        got = {(r["budget_code"], r["support_title"][:15], r["year_requested"]): r["program_key"] for r in clusters.program_keys(df).collect()}
+        assert got == plain_programs(rows)
+
+
+def test_program_keys_of_nothing(spark):
+    rows = [(None, "א", 2000, 1), ("0010", "א", None, 1), ("0010", "א", 2000, 0), ("0010", None, 2000, 1), ("0010", "english", 2001, 1)]
+    df = spark.createDataFrame(rows, "budget_code string, support_title string, year_requested int, amount_approved int")
+    assert sorted((str(r["program_key"])) for r in clusters.program_keys(df).collect()) == ["0010_", "None", "None", "None", "None"]
+    assert clusters.program_keys(df.limit(0)).count() == 0
+
+
 def test_support_programs(spark):
     rows = [("p", "t1", 2019, "m", "r1", "e1", "n1", "company", 10.0, 5.0), ("p", "t2", 2020, "m", "r2", "e1", "n1", "company", 10.0, 10.0), ("p", "t2", 2020, "m", "r2", "e2", "n2", None, 0.0, 3.0)]
     df = spark.createDataFrame(rows, "program_key string, support_title string, year_requested int, supporting_ministry string, request_type string, entity_id string, entity_name string, entity_kind string, amount_approved double, amount_paid double")
