@@ -38,7 +38,8 @@ def upsert_table(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequen
 
     Only partitions with new rows are read and written, each replaced when all of it is there; what the update reads is
     checkpointed first, so a run that fails leaves the old partitions and can be repeated. The number of partitions is
-    kept in the table's properties.
+    kept in the table's properties. Columns that only df has are added to the table, with nulls in other rows; those
+    that it lacks are null in its rows. For tables that grow without bound there is versions.VersionedTable.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
@@ -55,6 +56,9 @@ def upsert_table(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequen
         spark.sql(f"alter table {name} set tblproperties ('buckets' = '{buckets}')")
         return
     touched = [r[0] for r in new.select(place).distinct().collect()]  # at most one number a bucket
+    added = [f for f in new.schema.fields if f.name not in spark.table(name).columns]
+    if added:
+        spark.sql(f"alter table {name} add columns ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
     stored = spark.table(name)
     old = cut(stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET))
     out = upsert(old, new, keys, order_by).withColumn(BUCKET, place).select(*map(q, stored.columns)).repartition(BUCKET)

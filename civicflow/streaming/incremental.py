@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.project import q
+from ..state.lineage import cut
 from ..state.revisions import manage_revisions
-from ..state.upsert import upsert_table
+from ..state.versions import VersionedTable
 
 
 def read_files(spark: SparkSession, path: str, schema, per_trigger: int = 100, format: str = "parquet", glob: str | None = None) -> DataFrame:
@@ -21,20 +22,41 @@ def read_files(spark: SparkSession, path: str, schema, per_trigger: int = 100, f
     return reader.format(format).load(path)
 
 
-def keep_revisions(stream: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str], clock: Callable[[int], dt.datetime], checkpoint: str) -> StreamingQuery:
-    """The table holds the last row of each key with its revision status.
+def apply_batch(df: DataFrame, label: str, table: VersionedTable, order_by: Sequence[str], now: dt.datetime, expire_days: int | None = None) -> None:
+    """One batch of keep_revisions: a version of the table with this label, made from the versions before it.
 
-    clock gives the time of a batch by its number, the same however often the batch runs. A batch that runs again after
-    a failure finds its own rows in the table with the same hashes and times.
+    A batch that runs again finds either its label, and does nothing, or the table as it was, so what it writes is the
+    same. A row that comes late, behind the stored one by order_by, is left out.
+    """
+    if table.snapshot(label=label):
+        return
+    keys = table.keys
+    rest = [c for c in df.columns if c not in keys]
+    last = df.groupBy(*map(q, keys)).agg(F.max_by(F.struct(*map(q, rest)), F.struct(*map(q, order_by))).alias("__r"))
+    last = cut(last.select(*[q(c) if c in keys else F.col("__r")[c].alias(c) for c in df.columns]))
+    stored = table.beside(last)
+    if stored is not None and expire_days is not None:
+        stored = stored.where(q("__last_updated_at") >= F.lit(now - dt.timedelta(days=expire_days)))
+    if stored is not None:
+        had = stored.select(*[q(k).alias(f"__k_{k}") for k in keys], F.struct(*map(q, order_by)).alias("__had"))
+        same = F.lit(True)
+        for k in keys:
+            same = same & q(k).eqNullSafe(q(f"__k_{k}"))
+        late = F.col("__had").isNotNull() & (F.struct(*map(q, order_by)) < F.col("__had"))
+        last = last.join(had, same, "left").where(~late).select(*map(q, last.columns))
+    table.update(manage_revisions(last, stored, keys, now), label=label)
+
+
+def keep_revisions(stream: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str], clock: Callable[[int], dt.datetime], checkpoint: str, expire_days: int | None = None) -> StreamingQuery:
+    """Below path, a versioned table holds the last row of each key with its revision status; a batch is a version.
+
+    clock gives the time of a batch by its number, the same however often the batch runs. Each batch counts exactly
+    once, wherever a run before it broke off: the state that it starts from is the version before its own. A key that no
+    batch has had for over expire_days counts as new when it comes again.
     """
 
     def batch(df: DataFrame, epoch: int) -> None:
-        spark = df.sparkSession
-        rest = [c for c in df.columns if c not in keys]
-        last = df.groupBy(*map(q, keys)).agg(F.max_by(F.struct(*map(q, rest)), F.struct(*map(q, order_by))).alias("__r"))
-        last = last.select(*[q(c) if c in keys else F.col("__r")[c].alias(c) for c in df.columns])
-        stored = spark.table(table) if spark.catalog.tableExists(table) else None
-        upsert_table(manage_revisions(last, stored, keys, clock(epoch)), table, keys)
+        apply_batch(df, f"{checkpoint}#{epoch}", VersionedTable(df.sparkSession, path, keys), order_by, clock(epoch), expire_days)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -9,6 +9,7 @@ from civicflow.package import Package
 from civicflow.sinks import writers
 from civicflow.sources import paged, readers
 from civicflow.state.history import as_of_day, history_updates
+from civicflow.state import revisions, versions
 from civicflow.state.revisions import changed_only, manage_revisions, revision_dates, row_hash
 from civicflow.state.upsert import upsert, upsert_table
 from civicflow.streaming import incremental
@@ -157,18 +158,91 @@ def test_stream_keeps_revisions(spark, tmp_path):
     spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], schema).coalesce(1).write.parquet(str(src / "1"))
     clock = lambda epoch: [DAY1, DAY2][epoch]
 
+    table = versions.VersionedTable(spark, str(tmp_path / "t"), ["k"])
+
     def run():
         stream = incremental.read_files(spark, str(src) + "/*", schema)
-        incremental.keep_revisions(stream, "t_stream", ["k"], ["o"], clock, str(tmp_path / "cp")).awaitTermination()
+        incremental.keep_revisions(stream, table.path, ["k"], ["o"], clock, str(tmp_path / "cp")).awaitTermination()
 
     run()
-    assert {r["k"]: r["v"] for r in spark.table("t_stream").collect()} == {1: "b", 2: "c"}
+    assert {r["k"]: r["v"] for r in table.read().collect()} == {1: "b", 2: "c"}
     spark.createDataFrame([(2, "d", 2), (3, "e", 1)], schema).coalesce(1).write.parquet(str(src / "2"))
     run()
-    spark.catalog.refreshTable("t_stream")  # batches run in a session of their own
-    rows = {r["k"]: r for r in spark.table("t_stream").collect()}
+    rows = {r["k"]: r for r in table.read().collect()}
     assert {k: r["v"] for k, r in rows.items()} == {1: "b", 2: "d", 3: "e"} and rows[2]["__created_at"] == DAY1 and rows[3]["__is_new"]
-    spark.sql("drop table t_stream")
+
+
+def batches(spark):
+    schema = "k long, v string, o long"
+    return [spark.createDataFrame(x, schema) for x in ([(1, "a", 5), (2, "b", 5), (None, "n", 1)], [(1, "late", 4), (2, "c", 6), (3, "d", 1)], [(1, "e", 9), (3, "d", 1)])]
+
+
+def test_a_batch_that_runs_twice_counts_once(spark, tmp_path, monkeypatch):
+    def state(table):
+        rows = table.read().collect()
+        return sorted(map(tuple, rows), key=repr), sorted(map(tuple, revisions.changed_only(table.read()).collect()), key=repr)
+
+    once, again = (versions.VersionedTable(spark, str(tmp_path / x), ["k"], 2) for x in ("once", "again"))
+    commit = versions.VersionedTable._commit
+
+    def broken(self, s):
+        raise OSError("the writer dies before the commit")
+
+    for n, df in enumerate(batches(spark)):
+        now = DAY1 + dt.timedelta(days=n)
+        incremental.apply_batch(df, str(n), once, ["o"], now)
+        monkeypatch.setattr(versions.VersionedTable, "_commit", broken)
+        with pytest.raises(OSError):
+            incremental.apply_batch(df, str(n), again, ["o"], now)
+        monkeypatch.setattr(versions.VersionedTable, "_commit", commit)
+        assert (again.read() is None) if n == 0 else (again.snapshot().version == n - 1)
+        for _ in range(2):  # the second finds its own version
+            incremental.apply_batch(df, str(n), again, ["o"], now)
+        assert state(again) == state(once)
+    got = {r["k"]: r for r in once.read().collect()}
+    assert {k: r["v"] for k, r in got.items()} == {1: "e", 2: "c", 3: "d", None: "n"}
+    assert got[1]["__created_at"] == DAY1 and got[3]["__next_update_days"] == 3 and once.snapshot().version == 2
+
+
+def test_keys_expire(spark, tmp_path):
+    table = versions.VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    for n, days in enumerate((0, 3, 30)):
+        incremental.apply_batch(batches(spark)[0], str(n), table, ["o"], DAY1 + dt.timedelta(days=days), expire_days=10)
+        assert {r["__is_new"] for r in table.read().collect()} == {n != 1}
+
+
+def test_versions_keep_columns_and_split_buckets(spark, tmp_path):
+    table = versions.VersionedTable(spark, str(tmp_path / "t"), ["k"], 50)
+    want = {}
+    for n, (lo, hi) in enumerate([(0, 40), (20, 400), (0, 10), (300, 2000)]):
+        rows = [(k, f"{n}/{k}") for k in range(lo, hi)]
+        df = spark.createDataFrame(rows, "k int, v string") if n != 2 else spark.createDataFrame([(k, k * 0.5) for k, _ in rows], "k int, w double")
+        want |= {k: (v, None) for k, v in rows} if n != 2 else {k: (None, k * 0.5) for k, _ in rows}
+        s = table.update(df)
+        assert {r["k"]: (r["v"], r["w"] if n > 1 else None) for r in table.read().collect()} == want
+        assert s.rows == len(want) and max(x for _, x in s.where.values()) < 200 and s.buckets >= s.rows / 50
+    assert table.read(0).count() == 40 and table.read(0).columns == ["k", "v"]
+    untouched = table.update(spark.createDataFrame([(7, "x")], "k int, v string"))
+    assert sum(a != s.where[b] for b, a in untouched.where.items()) == 1
+    with pytest.raises(ValueError):
+        table.update(spark.createDataFrame([("7", "x")], "k string, v string"))
+    empty = versions.VersionedTable(spark, str(tmp_path / "e"), ["k"])
+    assert empty.read() is None and empty.update(spark.createDataFrame([], "k int")).rows == 0 and empty.read().count() == 0
+
+
+@pytest.mark.parametrize("before, after", [(1, 2), (1, 9), (3, 4), (5, 23), (8, 8)])
+def test_only_split_buckets_lose_keys(spark, before, after):
+    rows = spark.range(3000).select(versions.bucket_of(["id"], before).alias("a"), versions.bucket_of(["id"], after).alias("b")).collect()
+    assert {r["b"] for r in rows} == set(range(after))
+    moved = {r["a"] for r in rows if r["a"] != r["b"]}
+    assert moved == versions.split_from(before, after)
+
+
+def test_updates_bring_new_columns(spark):
+    writers.save_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "t_cols", "update", ["k"], 4)
+    writers.save_table(spark.createDataFrame([(2, "c", 5), (3, "d", 6)], "k int, v string, w int"), "t_cols", "update", ["k"])
+    assert {(r["k"], r["v"], r["w"]) for r in spark.table("t_cols").collect()} == {(1, "a", None), (2, "c", 5), (3, "d", 6)}
+    spark.sql("drop table t_cols")
 
 
 def test_table_modes(spark):
