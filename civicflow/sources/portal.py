@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.project import q
+from .readers import readable
 
 
 def resolve(listing: DataFrame, dataset: str, name: str | None = None, ident: str | None = None) -> DataFrame:
@@ -28,3 +29,37 @@ def mended_lines(text: Column) -> Column:
     mended = F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.regexp_replace(p, r"\s*[\r\n]+\s*", " ")).otherwise(p))
     lines = F.split(F.array_join(mended, '"'), "\r?\n")
     return F.filter(F.transform(lines, lambda x: F.regexp_replace(x, "[ \t]+", " ")), lambda x: F.trim(x) != "")
+
+
+def repaired_text(text: Column, mark: str = "5") -> Column:
+    """A whole CSV text whose rows begin with a mark, with stray white space taken out; its lines are rows.
+
+    White space that ends with a line end begins a row where the mark follows. Any other is one blank, or nothing beside
+    a comma, but before the mark it is a blank there, too; at the end it is nothing.
+    """
+    space, row, blank = "[\\r\\n\\t ]", "\x01", "\x02"
+    out = F.regexp_replace(text, f"{space}*[\\r\\n](?={mark})", row)
+    out = F.regexp_replace(out, f"{space}+(?={mark})", blank)
+    out = F.regexp_replace(out, f"{space}+\\z", "")
+    out = F.regexp_replace(out, f"(?<=,){space}+|{space}+(?=,)", "")
+    out = F.regexp_replace(out, f"{space}+", " ")
+    return F.ltrim(F.translate(out, row + blank, "\n "), F.lit("\n "))
+
+
+def repaired_lines(spark: SparkSession, path: str, mark: str = "5", encoding: str = "windows-1255") -> DataFrame:
+    """file, record, line of CSV files in need of repair; records count up in a file.
+
+    The state of the repair between two lines is only whether a row begins, which the second line tells by itself. So
+    lines are read by many tasks, rows are counted by split, and only the lines of one row come together.
+    """
+    encoding, fix = readable(encoding)
+    raw = spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).schema("line string").csv(path)
+    lines = raw.select(fix(q("line")).alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.withColumn("n", F.monotonically_increasing_id()).withColumn("begins", q("line").startswith(mark).cast("long"))
+    splits = lines.groupBy("file", "block").agg(F.sum("begins").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("file").orderBy("block")) - F.col("rows")
+    own = F.sum("begins").over(Window.partitionBy("file", "block").orderBy("n"))
+    numbered = lines.withColumn("own", own).join(splits.select("file", "block", before.alias("before")), ["file", "block"])
+    whole = numbered.groupBy("file", (F.col("before") + F.col("own")).alias("record")).agg(F.array_sort(F.collect_list(F.struct("block", "n", "line"))).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    return whole.select("file", "record", repaired_text(text, mark).alias("line")).where(F.col("line") != "")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicflow.functions import codes, dates, ids, scores, text, values
+from civicflow.sources import portal
 from civicflow.udfs import fuzzy
 from civicflow.udfs.names import fingerprint, fingerprint_udf, slug_udf, unescape_udf
 
@@ -123,7 +124,7 @@ def test_best_match_meets_in_blocks_only(spark):
 
 
 def test_best_match_of_a_large_block(spark, monkeypatch):
-    monkeypatch.setattr(fuzzy, "BLOCK_TEXTS", 10)
+    monkeypatch.setattr(fuzzy, "LOT_TEXTS", 10)
     rng = random.Random(2)
     texts = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(3, 9))) for _ in range(60)})
     options = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(3, 9))) for _ in range(40)})
@@ -140,3 +141,44 @@ def test_titles_are_mended(spark):
     assert one(spark, lambda c: text.lone_budget_code(c, "fund"), "24-05-07,fund 1", "string") == "0020240507"
     assert one(spark, lambda c: text.lone_budget_code(c, "fund"), "240507,250608", "string") is None
     assert one(spark, text.anchor_text, 'see <a href="x">this page</a>', "string") == "this page"
+
+
+def plain_repair(data, mark="5"):
+    """The repair as a machine over single characters: white space waits for the character after it."""
+    out, waiting, last = [], "", None
+    for c in data:
+        if c in "\r\n\t ":
+            waiting += c
+            continue
+        if waiting:
+            if c == mark:
+                out.append("\n" if waiting[-1] in "\r\n" else " ")
+            elif last != "," and c != ",":
+                out.append(" ")
+            waiting = ""
+        last = c
+        out.append(c)
+    return [x for x in "".join(out).lstrip(" \n").split("\n") if x]
+
+
+def test_csv_repair(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    made = ["".join(rng.choice("5,ab \n\r\t") for _ in range(rng.randrange(0, 60))) for _ in range(300)] + ["51,foo\n bar,x\n52,a ,\n b\r\n5", "", "  \n 5"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "i int, t string")
+    got = {r["i"]: r["l"] for r in df.select("i", portal.repaired_text(F.col("t")).alias("l")).collect()}
+    assert {i: [x for x in t.split("\n") if x] for i, t in got.items()} == {i: plain_repair(t) for i, t in enumerate(made)}
+    for i, t in enumerate(made[:12] + ["".join(f"{k},שדה{k % 7} \r\n ב ,\t5\n5" for k in range(4000))]):
+        (tmp_path / f"{i}.csv").write_bytes(t.encode("cp1255"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # breaks stand across the ends of splits
+    try:
+        rows = portal.repaired_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    by_file = {}
+    for r in sorted(rows, key=lambda r: r["record"]):
+        by_file.setdefault(int(r["file"].rsplit("/", 1)[1][:-4]), []).append(r["line"])
+    for f in tmp_path.iterdir():
+        assert by_file.get(int(f.stem), []) == plain_repair(f.read_bytes().decode("cp1255")), f
