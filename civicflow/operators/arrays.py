@@ -117,20 +117,47 @@ def top_items(array: Column, by: str, most: int = 10) -> Column:
     return F.transform(F.slice(F.array_sort(keyed), 1, most), lambda x: x["v"])
 
 
+def rooted(nodes: DataFrame) -> DataFrame:
+    """nodes (id, up, ...) that a root, which has no up, stands above, roots among them.
+
+    Each node points at the ancestor twice as far up in each round, so that the deepest are done after the logarithm of
+    their depth. What still points at others after that of the number of nodes goes round in a circle, or hangs on one.
+    """
+    total = nodes.count()
+    done = cut(nodes.where("up is null").select("id"))
+    open_ = cut(nodes.where("up is not null").select("id", "up"))
+    for _ in range(total.bit_length() + 1):
+        if open_.isEmpty():
+            break
+        found = open_.join(done.withColumnRenamed("id", "up"), "up", "left_semi").select("id")
+        rest = open_.join(done.withColumnRenamed("id", "up"), "up", "left_anti")
+        done, open_ = cut(done.unionByName(found)), cut(rest.join(open_.select(F.col("id").alias("up"), F.col("up").alias("__next")), "up").select("id", F.col("__next").alias("up")))
+    return nodes.join(done, "id", "left_semi")
+
+
 def tree_paths(df: DataFrame, ident: str, parent: str, title: str) -> DataFrame:
-    """ident and path of each node of a forest: the titles from its root. Levels join one after another to the deepest.
+    """ident and path of each node of a forest: the titles from its root.
 
-    Nodes that no root reaches have no path; a node that is its own ancestor is one of them.
+    Paths double from round to round: what leads to a node from its ancestor is put behind what leads to that one.
+    Nodes that no root reaches have no path; unrooted() tells which they are.
     """
-    nodes = cut(df.select(q(ident).alias("id"), q(parent).alias("up"), q(title).alias("t")))
-    level = cut(nodes.where("up is null").select("id", F.array("t").alias("path")))
-    out = level
-    while not level.isEmpty():
-        level = cut(nodes.join(level.withColumnRenamed("id", "up"), "up").select("id", F.concat("path", F.array("t")).alias("path")))
-        out = out.unionByName(level)
+    nodes = cut(rooted(df.select(q(ident).alias("id"), q(parent).alias("up"), q(title).alias("t"))))
+    now = cut(nodes.select("id", "up", F.array("t").alias("path")))
+    out = now.where("up is null").select("id", "path")
+    open_ = now.where("up is not null")
+    while not open_.isEmpty():
+        above = now.select(F.col("id").alias("up"), F.col("up").alias("__next"), F.col("path").alias("__path"))
+        now = cut(open_.join(above, "up").select("id", F.col("__next").alias("up"), F.concat("__path", "path").alias("path")).unionByName(now.where("up is null")))
+        out, open_ = now.where("up is null").select("id", "path"), now.where("up is not null")
     return out.withColumnRenamed("id", ident)
 
 
+def unrooted(df: DataFrame, ident: str, parent: str) -> DataFrame:
+    """The rows that no root stands above: nodes of circles, those that hang on one, and those whose parent is not there."""
+    nodes = cut(df.select(q(ident).alias("id"), q(parent).alias("up")))
+    return df.join(rooted(nodes).select(F.col("id").alias(ident)), ident, "left_anti")
+
+
 def keyed_document(df: DataFrame, key: Column, revision: int, drop: Sequence[str] = ("chunks",)) -> DataFrame:
     """key, value (the row as JSON) and __revision."""
     rest = [c for c in df.columns if c not in drop]

@@ -46,22 +46,32 @@ def fill_forward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
 RANGE_ROWS = 1_000_000
 
 
+#: A row's place in the input, by which rows with the same order values are ordered.
+PLACE = "__place"
+
+
 def in_ranges(df: DataFrame, order_by: Sequence[str], rows: int = RANGE_ROWS) -> DataFrame:
-    """df with __part, the number of the range of order_by that a row is in: as many as its rows need, and written once,
-    as the numbers must hold for all uses."""
-    n = max(1, -(-df.count() // rows))
-    return cut(df.repartitionByRange(n, *map(q, order_by)).withColumn("__part", F.spark_partition_id()))
+    """df with __part, the number of a range of order_by and place that a row is in: as many as its rows need.
+
+    Rows with the same order values are split by their places, so that they do not gather in a range. The input's plan
+    runs once: it is counted and sampled from where it was written, and the ranges are written as their numbers must
+    hold for all uses.
+    """
+    held = cut(df.withColumn(PLACE, F.monotonically_increasing_id()))
+    n = max(1, -(-held.count() // rows))
+    return cut(held.repartitionByRange(n, *map(q, order_by), q(PLACE)).withColumn("__part", F.spark_partition_id()))
 
 
 def fill_forward_all(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], rows: int = RANGE_ROWS) -> DataFrame:
     """Forward fill over a whole table in its order, without one task for all rows.
 
     Rows are range-partitioned; each partition fills within itself, and its start is filled from the last values of
-    the partitions before it, of which there is one row each.
+    the partitions before it, of which there is one row each. Rows with the same order values keep their places.
     """
     spread = in_ranges(df, order_by, rows)
-    w = Window.partitionBy("__part").orderBy(*map(q, order_by)).rowsBetween(Window.unboundedPreceding, 0)
-    order = F.struct(*map(q, order_by))
+    by = [*map(q, order_by), q(PLACE)]
+    w = Window.partitionBy("__part").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    order = F.struct(*by)
     ends = spread.groupBy("__part").agg(*[F.max_by(q(c), F.when(q(c).isNotNull(), order)).alias(c) for c in columns])
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select("__part", *[F.last(q(c), ignorenulls=True).over(before).alias(f"__s_{c}") for c in columns])
@@ -102,12 +112,13 @@ def gaps_filled(df: DataFrame, keys: Sequence[str], time: str, item: str, value:
 
 
 def numbered(df: DataFrame, order_by: Sequence[str], name: str = "index", rows: int = RANGE_ROWS) -> DataFrame:
-    """Row numbers from 0 on in an order: ranges are counted first, so that no task sorts all rows."""
+    """Row numbers from 0 on in an order, without gaps: ranges are counted first, so that no task sorts all rows. Rows
+    with the same order values are numbered by their places."""
     spread = in_ranges(df, order_by, rows)
     counts = spread.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    rn = F.row_number().over(Window.partitionBy("__part").orderBy(*map(q, order_by))) + F.col("__before") - 1
-    return spread.join(F.broadcast(before), "__part").withColumn(name, rn).drop("__part", "__before")  # one row a range
+    rn = F.row_number().over(Window.partitionBy("__part").orderBy(*map(q, order_by), q(PLACE))) + F.col("__before") - 1
+    return spread.join(F.broadcast(before), "__part").withColumn(name, rn).drop("__part", "__before", PLACE)  # one row a range
 
 
 def pages(df: DataFrame, order_by: Sequence[str], size: int = 10_000, name: str = "page") -> DataFrame:

@@ -145,6 +145,48 @@ def test_tree_paths(spark):
     assert {r["id"]: len(r["path"]) for r in arrays.tree_paths(deep, "id", "up", "t").collect()} == {i: i + 1 for i in range(12)}
 
 
+def test_long_paths_take_few_rounds(spark, monkeypatch):
+    import random
+
+    calls = []
+    monkeypatch.setattr(arrays, "cut", lambda df, real=arrays.cut: calls.append(1) or real(df))
+    order = list(range(3000))
+    random.Random(1).shuffle(order)
+    df = spark.createDataFrame([(i, i - 1 if i else None, str(i)) for i in order], "id long, up long, t string")
+    got = arrays.tree_paths(df, "id", "up", "t").selectExpr("id", "size(path) as n", "path[0] as a", "path[size(path) - 1] as b").collect()
+    assert {(r["id"], r["n"], r["a"], r["b"]) for r in got} == {(i, i + 1, "0", str(i)) for i in range(3000)}
+    assert len(calls) < 60
+
+
+def test_circles_are_told(spark):
+    edges = [(1, None), (2, 1), (3, 4), (4, 5), (5, 3), (6, 5), (7, 6), (8, 99), (9, 9)]
+    df = spark.createDataFrame([(i, u, "t") for i, u in edges], "id int, up int, t string")
+    assert {r["id"] for r in arrays.unrooted(df, "id", "up").collect()} == {3, 4, 5, 6, 7, 8, 9}
+    assert {r["id"] for r in arrays.tree_paths(df, "id", "up", "t").collect()} == {1, 2}
+
+
+def test_ties_are_spread_and_numbered(spark):
+    df = spark.createDataFrame([("same", i) for i in range(1000)], "k string, i int").repartition(3)
+    spread = windows.in_ranges(df, ["k"], 50)
+    sizes = [r["count"] for r in spread.groupBy("__part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 150
+    assert sorted(r["index"] for r in windows.numbered(df, ["k"], rows=50).collect()) == list(range(1000))
+    filled = windows.fill_forward_all(spark.createDataFrame([(1, i if i < 5 else None) for i in range(300)], "o int, v int").coalesce(1), ["v"], ["o"], rows=20)
+    assert sorted(r["v"] for r in filled.collect()) == [0, 1, 2, 3] + [4] * 296
+
+
+def test_the_input_of_ranges_runs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    df = spark.range(500).mapInPandas(count, "id long")
+    assert windows.numbered(df, ["id"], rows=100).count() == 500 and seen.value == 500
+
+
 def test_windows_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame([(i, i if i % 7 == 0 else None) for i in range(1, 200)], "i int, v int")
     want = [(i, i - i % 7 if i >= 7 else None) for i in range(1, 200)]
