@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import codes, dates, scores, text, values
 from .functions.values import first_number, first_text
-from .operators import arrays, filters, project, setops, windows
+from .operators import aggregates, arrays, filters, project, setops, windows
 from .operators.project import q
-from .package import Package
+from .package import Package, drain
 from .plans import activities, budget, changes, clusters, contracts, entities, facilities, indexer, lookups, spec
 from .queries import AS_OF, Tables, money, query
 from .sinks import writers
@@ -20,8 +20,9 @@ from .sources import paged, portal, readers, sheets
 from .state.cache import ask
 from .state.lineage import cut, shared_dir
 from .state.revisions import changed_only, manage_revisions, resumable, revision_dates, set_revision
+from .state.versions import VersionedTable
 from .streaming import incremental
-from .udfs.fuzzy import best_match
+from .udfs.fuzzy import best_match, top_matches
 from .udfs.names import slug_udf, unescape_udf
 
 
@@ -699,14 +700,22 @@ def q_spending_suppliers(t: Tables) -> DataFrame:
 
 
 @query("""
-with y as (select o_custkey as c, year(o_orderdate) as y, '00' || lpad(cast(o_custkey as varchar), 6, '0') || lpad(cast(year(o_orderdate) % 3 as varchar), 2, '0') as code, translate(cast(o_custkey as varchar), '0123456789', 'אבגדהוזחטי') as title from orders group by all)
-select c as customer, code as budget_code, cast(y as integer) as year_requested, first_value(code) over (partition by title order by y, code) || '_' || title as program_key from y
+with y as (select distinct o_custkey as c, year(o_orderdate) as y, lpad(cast(o_custkey as varchar), 6, '0') as p, translate(cast(o_custkey as varchar), '0123456789', 'אבגדהוזחטי') as title from orders),
+a as (select *, '00' || p || lpad(cast(y % 3 as varchar), 2, '0') as code from y),
+f as (select c, min(y) as first_year, arg_min(code, y) || '_' || any_value(title) as program from a group by 1),
+b as (select *, '11' || p || '00' as code from y where y % 2 = 0), fb as (select c, min(y) as first_b from b group by 1)
+select c as customer, code as budget_code, cast(y as integer) as year_requested, program as program_key from a join f using (c)
+union all select c, '00' || p || '99', cast(y as integer), program from y join f using (c) where y % 2 = 1
+union all select c, code, cast(y as integer), case when first_b = first_year then code || '_' || title else program end from b join f using (c) join fb using (c)
 """)
 def q_program_keys(t: Tables) -> DataFrame:
-    """Programs whose code changes from year to year under one title; the first code and title name it."""
+    """Programs whose code changes from year to year under one title, with a second code of the office and one of another
+    office in some years; the first code and title name a program."""
     title = F.translate(q("o_custkey").cast("string"), "0123456789", "אבגדהוזחטי")
-    code = F.concat(F.lit("00"), codes.pad_left(q("o_custkey").cast("string"), 6), codes.pad_left((F.year("o_orderdate") % 3).cast("string"), 2))
-    rows = t.orders.select(F.col("o_custkey").alias("customer"), code.alias("budget_code"), title.alias("support_title"), F.year("o_orderdate").alias("year_requested"), F.lit(5).alias("amount_approved")).distinct()
+    year, own = F.year("o_orderdate"), codes.pad_left(q("o_custkey").cast("string"), 6)
+    code = F.concat(F.lit("00"), own, codes.pad_left((year % 3).cast("string"), 2))
+    other = F.when(year % 2 == 1, F.concat(F.lit("00"), own, F.lit("99"))).otherwise(F.concat(F.lit("11"), own, F.lit("00")))
+    rows = t.orders.select(F.col("o_custkey").alias("customer"), F.explode(F.array(code, other)).alias("budget_code"), title.alias("support_title"), year.alias("year_requested"), F.lit(5).alias("amount_approved")).distinct()
     return clusters.program_keys(rows).select("customer", "budget_code", "year_requested", "program_key")
 
 
@@ -735,27 +744,33 @@ def q_row_numbers(t: Tables) -> DataFrame:
 # --- services, portals, sheets, files ---------------------------------------------------------------------------
 
 
-@query("select cast(i as bigint) as id, case when i < 250 then 'paged' else 'open' end as kind from range(400) t(i)")
+@query("select c_custkey, c_name, case when c_custkey % 3 = 0 then 'open' else 'paged' end as kind from customer")
 def q_paged_services(t: Tables) -> DataFrame:
-    """Pages of a service that tells its total, and of one that ends with an empty page."""
-    known = lambda r: [{"id": i, "kind": "paged"} for i in range(r["skip"], min(r["skip"] + r["limit"], 250))]
-    unknown = lambda r: [{"id": 250 + i, "kind": "open"} for i in range(r["skip"], min(r["skip"] + r["limit"], 150))]
-    a = paged.paged(t._spark, known, "id long, kind string", 250, 40)
-    return a.unionByName(paged.paged_until_empty(t._spark, unknown, "id long, kind string", 20, 4))
+    """Customers by pages of their numbers, of a service that tells its total, and of one that ends with an empty page."""
+    known, unknown = t.customer.where("c_custkey % 3 <> 0"), t.customer.where("c_custkey % 3 = 0")
+    numbers = lambda df: windows.numbered(df.select(q("c_custkey").alias("key")), ["key"]).select("key", q("index").cast("long").alias("id"))
+    total, rest = known.count(), unknown.count()
+    page = lambda n: lambda r: [{"id": i} for i in range(r["skip"], min(r["skip"] + r["limit"], n))]
+    a = paged.paged(t._spark, page(total), "id long", total, 40).join(numbers(known), "id").withColumn("kind", F.lit("paged"))
+    b = paged.paged_until_empty(t._spark, page(rest), "id long", 20, 4).join(numbers(unknown), "id").withColumn("kind", F.lit("open"))
+    return a.unionByName(b).join(t.customer, q("key") == q("c_custkey")).select("c_custkey", "c_name", "kind")
 
 
-@query("select cast(i as bigint) as day, cast(case when i = 9 then 2 else 1 end as bigint) as requests from range(31) t(i)")
+@query("""
+with d as (select cast(o_orderdate as date) as day, count(*) as n from orders where year(o_orderdate) = 1996 and month(o_orderdate) = 1 group by 1)
+select day, n as orders, cast(1 as bigint) as requests from d
+""")
 def q_split_requests(t: Tables) -> DataFrame:
-    """Requests of a month in which one day is too busy, by the days that each covers."""
-    first = dt.date(1998, 1, 1)
-
-    def count(r) -> int:
-        busy = r["from"] <= first + dt.timedelta(days=9) <= r["to"]
-        return (r["to"] - r["from"]).days + (1500 if busy and r["from_sum"] is None and r["to_sum"] is None else 700 if busy else 0)
-
-    asked = paged.split_requests(first, dt.date(1998, 1, 31), count)
-    fetch = lambda r: [{"day": d} for d in range((dt.date.fromisoformat(r["from"]) - first).days, (dt.date.fromisoformat(r["to"]) - first).days + 1)]
-    return paged.fetch_requests(t._spark, asked, fetch, "day long", 4).groupBy("day").agg(F.count(F.lit(1)).alias("requests"))
+    """A month's orders through requests of a service that answers a bounded number of rows, by the days that each covers."""
+    first, last = dt.date(1996, 1, 1), dt.date(1996, 1, 31)
+    days = t.orders.select(q("o_orderdate").cast("date").alias("day")).where(q("day").between(F.lit(first), F.lit(last))).groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
+    known = {r["day"]: r["orders"] for r in days.collect()}  # a month's days
+    busiest = max([1, *known.values()])
+    count = lambda r: sum(n for d, n in known.items() if r["from"] <= d <= r["to"]) * 700 // busiest
+    asked = paged.split_requests(first, last, count)
+    fetch = lambda r: [{"day": d} for d in known if r["from"] <= d.isoformat() <= r["to"]]
+    covered = paged.fetch_requests(t._spark, asked, fetch, "day date", 4).groupBy("day").agg(F.count(F.lit(1)).alias("requests"))
+    return days.join(covered, "day")
 
 
 @query("select distinct p_type as question, cast(length(p_type) as bigint) as n, upper(p_type) as s from part")
@@ -782,7 +797,7 @@ def q_mended_lines(t: Tables) -> DataFrame:
 
 
 @query("""
-select cast(o_custkey % 7 as varchar) as report, cast(o_orderkey as bigint) as n, o_orderpriority as "order", cast(floor(o_totalprice) as varchar) as volume from orders where o_custkey % 7 <> 3
+select cast(o_custkey % 7 as varchar) as report, cast(o_orderkey as bigint) as n, o_orderpriority as "order", cast(cast(floor(o_totalprice) as bigint) as varchar) as volume from orders where o_custkey % 7 <> 3
 """)
 def q_report_sheets(t: Tables) -> DataFrame:
     """Rows of report sheets below their header lines; one report's header lacks a column."""
@@ -864,16 +879,78 @@ def q_embedded_texts(t: Tables) -> DataFrame:
     return indexer.embed(t.part, "p_name", model, cache).select("text", F.get("vector", F.lit(0)).cast("double").alias("size"), "sha")
 
 
-@query("select user_id, cast(date_trunc('day', ts) as date) as day, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
+@query("""
+select user_id, cast(date_trunc('day', ts) as date) as day, count(*) as n, round(sum(value), 4) as total from events group by 1, 2
+having date_trunc('day', min(ts)) + interval 1 day <= (select max(ts) from events) - interval 1 day
+""")
 def q_stream_totals(t: Tables) -> DataFrame:
-    """Totals by user and day of a stream of files, all windows out."""
+    """Totals by user and day of a stream of files: the windows that the watermark has passed, as they are final."""
     path = folder(t)
     t.events.select("user_id", q("ts").cast("timestamp").alias("ts"), "value").write.parquet(f"{path}/in")
-    stream = incremental.read_files(t._spark, f"{path}/in", "user_id long, ts timestamp, value double")
-    totals = incremental.running_totals(stream, ["user_id"], "value", "ts")
-    name = f"q_{uuid.uuid4().hex}"
-    totals.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return t._spark.table(name).select("user_id", F.col("window.start").cast("date").alias("day"), "n", F.round("total", 4).alias("total"))
+    stream = incremental.read_files(t._spark, f"{path}/in", "user_id long, ts timestamp, value double", per_trigger=1000)
+    totals = incremental.running_totals(stream, ["user_id"], "value", "ts").select("user_id", F.col("window.start").cast("date").alias("day"), "n", "total")
+    totals.writeStream.format("parquet").option("path", f"{path}/out").outputMode("append").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return t._spark.read.schema("user_id long, day date, n long, total double").parquet(f"{path}/out").select("user_id", "day", "n", F.round("total", 4).alias("total"))
+
+
+@query("""
+with e as (select user_id, max_by(value, event_id) as value, max(event_id) as event_id, min(event_id % 3) as first from events group by 1)
+select user_id, value, event_id, event_id % 3 = first as is_new from e
+""")
+def q_stream_revisions(t: Tables) -> DataFrame:
+    """The last event of each user, from batches that come in disorder and run twice, the first time without a commit."""
+    table = VersionedTable(t._spark, folder(t), ["user_id"], 200)
+    for part in range(3):
+        batch = t.events.where(q("event_id") % 3 == part).select("user_id", "value", "event_id")
+        now = dt.datetime(2024, 1, 1 + part)
+        broken = VersionedTable(t._spark, table.path, ["user_id"], 200)
+        broken._commit = lambda s: None  # its rows are written, its manifest is not
+        incremental.apply_batch(batch, str(part), broken, ["event_id"], now)
+        for _ in range(2):
+            incremental.apply_batch(batch, str(part), table, ["event_id"], now)
+    return table.read().select("user_id", "value", "event_id", q("__is_new").alias("is_new"))
+
+
+@query("""
+select c_custkey, case when c_custkey % 3 = 0 then 'second' else c_mktsegment end as segment, case when c_custkey % 3 = 0 then c_acctbal end as balance from customer
+union all select s_suppkey + 10000000, s_name, null from supplier
+""")
+def q_versioned_table(t: Tables) -> DataFrame:
+    """A table in three versions, the second with a column of its own, the third so large that buckets split."""
+    table = VersionedTable(t._spark, folder(t), ["c_custkey"], 100)
+    table.update(t.customer.select("c_custkey", q("c_mktsegment").alias("segment")))
+    table.update(t.customer.where("c_custkey % 3 = 0").select("c_custkey", F.lit("second").alias("segment"), q("c_acctbal").alias("balance")))
+    table.update(t.supplier.select((q("s_suppkey") + 10_000_000).cast(t.customer.schema["c_custkey"].dataType).alias("c_custkey"), q("s_name").alias("segment")))
+    return table.read()
+
+
+@query("select '5' || cast(o_orderkey as varchar) || ',' || o_orderstatus || ' ' || o_orderpriority || ',' || case when o_orderpriority like '5%' then ' ' else '' end || o_orderpriority || case when o_orderkey % 2 = 0 then ' x' else '' end as line from orders")
+def q_repaired_csv(t: Tables) -> DataFrame:
+    """Rows of files in which fields are broken by line ends and blanks; rows begin with 5 after a line end, not after a blank."""
+    path = folder(t)
+    end = F.when(q("o_orderkey") % 2 == 0, F.lit("\n\tx")).otherwise(F.lit(" \r"))
+    broken = F.concat(F.lit("5"), q("o_orderkey").cast("string"), F.lit(" ,\n"), "o_orderstatus", F.lit("\r\n\n "), "o_orderpriority", F.lit("\t,\t"), "o_orderpriority", end)
+    t.orders.select(broken.alias("value")).write.text(path)
+    return portal.repaired_lines(t._spark, path, encoding="utf-8").select("line")
+
+
+@query()
+def q_close_names(t: Tables) -> DataFrame:
+    """Names with planted typos against those of a brand: the three closest of 60 or more."""
+    k, name = q("p_partkey") % 6, F.concat_ws(" ", "p_name", "p_type", q("p_size").cast("string"))
+    typo = F.when(k == 0, name).when(k == 1, F.concat(name.substr(F.lit(1), F.lit(3)), name.substr(F.lit(5), F.length(name)))).when(k == 2, F.regexp_replace(name, "[aeiou]", "o")).when(k == 3, F.reverse(name)).when(k == 4, F.concat(F.lit("zz "), name))
+    given = t.part.where("p_size > 10").select("p_brand", name.alias("option"))
+    found = top_matches(t.part.select("p_partkey", "p_brand", typo.alias("text")), given, [("text", "option")], 3, 60, "ratio", ["p_brand"])
+    return found.select("p_partkey", F.explode("matches").alias("m")).select("p_partkey", "m.option", "m.score")
+
+
+@query()
+def q_best_criteria(t: Tables) -> DataFrame:
+    """For each part the five criteria whose purpose and office are closest in the mean, however far."""
+    parts = t.part.select("p_partkey", "p_brand", q("p_name").alias("purpose"), F.when(q("p_partkey") % 7 != 0, q("p_type")).alias("office"))
+    criteria = t.part.where("p_size > 40").select("p_brand", F.reverse("p_name").alias("goal"), q("p_type").alias("unit"))
+    found = top_matches(parts, criteria, [("purpose", "goal"), ("office", "unit")], 5, 0, "weighted", ["p_brand"])
+    return found.select("p_partkey", F.posexplode("matches").alias("place", "m")).select("p_partkey", "place", "m.goal", "m.unit", "m.score")
 
 
 @query("""
@@ -907,3 +984,86 @@ def q_timeline(t: Tables) -> DataFrame:
     no_pay = F.array().cast("array<struct<payments:array<struct<timestamp:string,executed:double>>>>")
     rows = t.customer.select("c_custkey", F.lit("office").alias("tender_type"), F.lit(None).cast("date").alias("claim_date"), day(1).alias("publication_date"), F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"), day(3).alias("last_update_date"), F.when(k % 3 == 0, "בוטל").otherwise("x").alias("decision"), F.when(k % 2 == 0, file).otherwise(none).alias("documents"), no_pay.alias("awardees"), F.lit(0).alias("contract_volume"))
     return contracts.timeline(rows).select("c_custkey", F.array_join(F.transform("timeline", lambda e: e["timestamp"]), ",").alias("days"))
+
+
+# --- features of packages and steps that only need a call ---------------------------------------------------------
+
+
+@query("select 'customer' as resource, count(*) as n, 'accounts' as title, 3 as revision from customer union all select 'nation', count(*), 'accounts', 3 from nation")
+def q_package_metadata(t: Tables) -> DataFrame:
+    """A package's metadata, and how many rows each of its tables has."""
+    package = spec.run(Package({"customer": t.customer, "nation": t.nation}), [{"run": "add_metadata", "parameters": {"title": "accounts"}}, {"run": "add_metadata", "parameters": {"revision": 3}}])
+    return t._spark.createDataFrame([(k, n, package.meta["title"], package.meta["revision"]) for k, n in drain(package).items()], "resource string, n long, title string, revision int")
+
+
+@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey desc limit 25")
+def q_sorted_steps(t: Tables) -> DataFrame:
+    """The dearest orders by steps that sort and stop; a table without its rows is put beside them."""
+    steps = [
+        {"run": "sort", "parameters": {"by": ["o_totalprice", "o_orderkey"], "reverse": True, "resources": "orders"}},
+        {"run": "limit_rows", "parameters": {"stop_after_rows": 25, "resources": "orders"}},
+        {"run": "drop_all_rows", "parameters": {"resources": "none"}},
+        {"run": "concatenate", "parameters": {"target": "all", "fields": {"o_orderkey": [], "o_totalprice": []}}},
+    ]
+    return spec.run(Package({"orders": t.orders, "none": t.orders}), steps)["all"]
+
+
+@query("select l_orderkey, min(l_suppkey) as l_suppkey from lineitem group by 1 having count(distinct l_suppkey) = 1")
+def q_sole_supplier(t: Tables) -> DataFrame:
+    """Orders that come from exactly one supplier."""
+    return aggregates.sole_member(t.lineitem, ["l_orderkey"], "l_suppkey")
+
+
+@query("select c_custkey, c_name as name, c_mktsegment || ';' || cast(c_custkey % 5 as varchar) as segments, cast(2 as bigint) as n from customer")
+def q_form_fields(t: Tables) -> DataFrame:
+    """Fields of a form by their names; one of them comes twice."""
+    form = F.concat(F.lit('<form><input fieldalias="Name" class="a"> '), "c_name", F.lit('</input><td fieldalias="Segment">'), "c_mktsegment", F.lit('</td><td class="b" fieldalias="Segment">'), (q("c_custkey") % 5).cast("string"), F.lit("</td></form>"))
+    fields = t.customer.select("c_custkey", readers.form_fields(form).alias("f"))
+    return fields.select("c_custkey", F.get(q("f")["Name"], F.lit(0)).alias("name"), F.array_join(q("f")["Segment"], ";").alias("segments"), F.size("f").cast("long").alias("n"))
+
+
+@query("select count(*) as n, count(*) filter (strlen(text) > 2000) as too_long from documents")
+def q_long_ids(t: Tables) -> DataFrame:
+    """How many ids are too long, told while the rows pass."""
+    rows, seen = project.long_ids(t.documents.select("text"), "text", 2000)
+    rows.write.format("noop").mode("overwrite").save()
+    return t._spark.createDataFrame([(seen.get["n"], seen.get["too_long"])], "n long, too_long long")
+
+
+@query("""
+with r as (select o_orderkey, o_custkey, (row_number() over (partition by o_custkey order by o_orderkey) - 1) // 2 as pair, count(*) over (partition by o_custkey) as n from orders)
+select printf('%010d', o_orderkey) as trcode, printf('%010d', min(o_orderkey) over (partition by o_custkey, pair)) as group_id, count(*) over (partition by o_custkey, pair) as size from r
+""")
+def q_known_change_groups(t: Tables) -> DataFrame:
+    """Groups of an earlier run come before any search; those that lack a code do not count."""
+    code = F.lpad(q("o_orderkey").cast("string"), 10, "0")
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    rows = t.orders.select(q("o_custkey").cast("string").alias("date_kind"), code.alias("trcode"), ((place - 1) / 2).cast("long").alias("serial"))
+    known = rows.groupBy("date_kind", "serial").agg(F.collect_list("trcode").alias("trcodes"))
+    gone = rows.groupBy("date_kind").agg(F.concat(F.collect_list("trcode"), F.array(F.lit("gone"))).alias("trcodes")).select("date_kind", F.lit(-1).cast("long").alias("serial"), "trcodes")
+    lines = rows.select("date_kind", "trcode", F.lit("0047010101").alias("budget_code"), (F.col("serial") % 40).cast("int").alias("leading_item"), F.lit(1.0).alias("net_expense_diff"))
+    return changes.change_groups(lines, ["net_expense_diff"], known.unionByName(gone))
+
+
+@query("""
+select 'nation' as kind, 'nation/' || cast(n_nationkey as varchar) as doc_id, 'Nation ' || n_name as page_title from nation
+union all select 'region', 'region/' || cast(r_regionkey as varchar), 'Region ' || r_name from region
+""")
+def q_index_pipelines(t: Tables) -> DataFrame:
+    """Step lists that are made from kinds of documents, run in the order in which they depend on each other."""
+    types = {"region": indexer.DocType("region", ["r_regionkey"], "Region {r_name}"), "nation": indexer.DocType("nation", ["n_nationkey"], "Nation {n_name}")}
+    made: dict[str, DataFrame] = {}
+
+    def load(package: Package, path: str, resource: str) -> Package:
+        return package.put(resource, getattr(t, path.rsplit("/", 1)[1]))
+
+    def index(package: Package, resource: str) -> Package:
+        made[resource] = indexer.index(package[resource], types[resource], None, dt.datetime(1998, 12, 1)).pages.select(F.lit(resource).alias("kind"), "doc_id", "page_title")
+        return package.put(resource, made[resource])
+
+    def sitemap(package: Package, kinds: list[str]) -> Package:
+        return package.put("all", made[kinds[0]].unionByName(made[kinds[1]]))
+
+    steps = indexer.pipelines(list(types.values()), "tables", {"region": "index_nation"})
+    done = spec.run_all(steps, lambda name: Package({}), {"load": load, "index": index, "sitemap": sitemap, "dump_to_path": lambda package, path: package})
+    return done["sitemaps"]["all"]
