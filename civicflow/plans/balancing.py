@@ -23,6 +23,8 @@ from ..state.lineage import cut
 SIZES = range(2, 7)
 #: Half sums that a task has in its table at once, about; and residues that it works on one after the other.
 TABLE, RESIDUES = 1 << 21, 8
+#: Lines of small chains that one task takes together, about.
+LOT_LINES = 20_000
 
 
 def _prime(least: int) -> int:
@@ -138,18 +140,21 @@ def take_in_order(lines: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     """line, first of the lines (line, idx, cid) in groups: each free line in order begins the least group that it can.
 
     Groups compare by their lines' idx in rising order. Of a class only its first free line after the group's first can
-    be in the least group, so one look at the heads of the classes finds it.
+    be in the least group, so one look at the heads of the classes finds it. Chains that share no class may come
+    together: what one takes is nothing to the others.
     """
-    lines = lines.sort_values("idx")
+    lines = lines.sort_values("idx", kind="stable")
     cids, of = np.unique(lines["cid"].to_numpy(), return_inverse=True)
-    idx, line = lines["idx"].to_numpy(), lines["line"].to_numpy()
-    rows = [np.flatnonzero(of == c) for c in range(len(cids))]
+    line = lines["line"].to_numpy()
+    rows = np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of))[:-1])
     places = np.searchsorted(cids, np.stack(sets["cids"].to_numpy()))
     size = places.shape[1]
-    having = [places[(places == c).any(axis=1)] for c in range(len(cids))]
-    others = [p[p != c].reshape(-1, size - 1) for c, p in enumerate(having)]
-    none = np.iinfo(np.int64).max
-    heads = np.array([r[0] for r in rows], np.int64)
+    flat = places.ravel()
+    by_class = np.argsort(flat, kind="stable")
+    starts = np.searchsorted(flat[by_class], np.arange(len(cids) + 1))
+    others: dict[int, np.ndarray] = {}
+    none = len(line)
+    heads = np.append([r[0] for r in rows], none)
     next_, used = np.ones(len(cids), np.int64), np.zeros(len(line), bool)
     out: list[tuple[int, int]] = []
 
@@ -157,19 +162,21 @@ def take_in_order(lines: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
         heads[c] = rows[c][next_[c]] if next_[c] < len(rows[c]) else none
         next_[c] += 1
 
-    for k in range(len(line)):
-        c = of[k]
+    for k, c in enumerate(of.tolist()):
         if used[k]:
             continue
         step(c)  # later groups begin later, so this line is no one's partner any more
+        if c not in others:
+            having = places[by_class[starts[c] : starts[c + 1]] // size]
+            others[c] = having[having != c].reshape(-1, size - 1)
         ahead = np.sort(heads[others[c]], axis=1)
         ahead = ahead[ahead[:, -1] < none]
         if len(ahead):
-            best = ahead[np.lexsort(ahead.T[::-1])[0]]
+            best = ahead[np.lexsort(ahead.T[::-1])[0]] if len(ahead) > 1 else ahead[0]
             used[best] = True
-            for m in best:
-                step(of[m])
-            out += [(line[m], line[k]) for m in (k, *best)]
+            for m in best.tolist():
+                step(int(of[m]))
+            out += [(line[m], line[k]) for m in (k, *best.tolist())]
     return pd.DataFrame(out, columns=["line", "first"]).astype("int64")
 
 
@@ -193,8 +200,9 @@ def balanced_groups(lines: DataFrame, sizes: Sequence[int] = SIZES) -> DataFrame
             continue
         found = components(sets.select(F.col("cids")[0].alias("a"), F.explode(F.slice("cids", 2, size - 1)).alias("b")))
         chained = classes.join(found, classes["cid"] == found["node"]).select("kind", "leader", "amounts", "cid", "root")
-        own = free.join(chained, ["kind", "leader", "amounts"]).select(F.col("root").alias("a"), "line", "idx", "cid")
-        groups = sets.join(found, F.col("cids")[0] == F.col("node")).select(F.col("root").alias("b"), "cids")
+        lot = F.pmod(F.xxhash64("root"), F.lit(max(64, rows // LOT_LINES)))  # small chains come together
+        own = free.join(chained, ["kind", "leader", "amounts"]).select(lot.alias("a"), "line", "idx", "cid")
+        groups = sets.join(found, F.col("cids")[0] == F.col("node")).select(lot.alias("b"), "cids")
         taken.append(cut(own.groupBy("a").cogroup(groups.groupBy("b")).applyInPandas(take_in_order, "line long, first long"), rows))
         free = cut(free.join(taken[-1], "line", "left_anti"), rows)
     out = lines.sparkSession.createDataFrame([], "line long, first long")
