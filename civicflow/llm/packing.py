@@ -25,7 +25,7 @@ from . import words as W
 CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 16_384
-#: Rows that one packing task gets; with so many small pieces the bins left open at its end hardly count.
+#: Pieces that one packing task gets at most, about; with so many small pieces the bins left open at its end hardly count.
 ROWS_PER_TASK = 50_000
 #: Words whose ids a worker remembers; later ones are encoded each time. This bounds its memory and changes no result.
 REMEMBERED = 200_000
@@ -235,6 +235,9 @@ def pack_documents(df: DataFrame, tokenizer_path: str, text: str = "text", id_co
 
     Null and empty texts are their end id alone. Repeated rows are packed once each; null ids pack like others; only
     texts longer than a sequence are cut. An empty table gives no rows. Columns other than the two named are not read.
+
+    A text has at most as many tokens as bytes, so its bytes bound its pieces; tasks are as many as all pieces need.
     """
-    tasks = -(-df.count() // ROWS_PER_TASK)
+    most = F.ceil((F.coalesce(F.octet_length(F.col(f"`{text}`").cast("string")), F.lit(0)) + 1) / CAPACITY)
+    tasks = -(-(df.agg(F.sum(most)).first()[0] or 0) // ROWS_PER_TASK)
     return pack(pieces(df, tokenizer_path, text, id_col), id_col, tasks=tasks)

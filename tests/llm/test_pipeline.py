@@ -102,4 +102,4 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     assert set(QUERIES) <= set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q.startswith("op")}

@@ -164,3 +164,17 @@ def test_common_shingles_come_last():
     hashes, size = np.array([1, 5, 9, 2, 5, 7, 8, 9], np.uint64), np.array([3, 5])
     doc, first = simhash.leading(hashes, size, np.array([5, 9], np.uint64), np.array([2, 1]), 8)
     assert list(zip(doc.tolist(), first.tolist())) == [(0, 1), (1, 2), (1, 7)]
+
+
+def test_no_pair_of_small_sets_is_lost(spark):
+    """Pairs at a similarity of 0.8 exactly, or a little above: of 4 and 5 shingles, and of 8 to 60."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for k in range(6000):
+        size = 8 if k < 4000 else rng.randrange(12, 64)
+        first = [f"w{rng.randrange(10**9)}" for _ in range(size)]
+        more = max(1, (size - 4) // 4)  # that many shingles of its own has the longer one
+        second = first + [f"w{rng.randrange(10**9)}" for _ in range(more)]
+        rows += [(2 * k, " ".join(first)), (2 * k + 1, " ".join(second))]
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {2 * k for k in range(6000)}

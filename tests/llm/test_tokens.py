@@ -121,3 +121,10 @@ def test_best_fit_takes_the_tightest_and_closes_the_fullest():
 
 def test_pack_empty(spark):
     assert packing.pack_documents(empty(spark), PATH).count() == 0
+
+
+def test_pieces_of_few_long_texts_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_PER_TASK", 20)
+    rows = [(i, " ".join(f"x{k % 97} q{k % 31}" for k in range(90_000))) for i in range(2)]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    assert len(got) > 60 and len({r["sequence_id"] >> 36 for r in got}) > 2
