@@ -89,15 +89,20 @@ def test_long_runs_of_one_word():
 
 
 def test_checksums_that_lie_are_found_out(monkeypatch):
-    honest, calls = periodic.Equal.same, []
-
-    def same(self, a, period, size):
-        calls.append(1)
-        return np.ones(len(a), bool) if len(calls) < 3 else honest(self, a, period, size)
-
-    monkeypatch.setattr(periodic.Equal, "same", same)
-    codes = np.array([7, 1, 2, 1, 2, 1, 2, 1, 2, 1, 2, 8, 1, 2, 1, 2, 1, 2])
-    assert [x.tolist() for x in periodic.find_runs(codes, np.array([0, len(codes)]))[1:4]] == [[1], [10], [2]] or len(calls) >= 3
+    honest, attempts = periodic._segment_runs, []
+
+    def segment_runs(*args):
+        attempts.append(args[-1])
+        if args[-1] < 2:  # the first two sets of checksums call everything the same
+            with monkeypatch.context() as m:
+                m.setattr(periodic.Equal, "same", lambda self, a, period, size: np.ones(len(a), bool))
+                return honest(*args)
+        return honest(*args)
+
+    monkeypatch.setattr(periodic, "_segment_runs", segment_runs)
+    codes = np.array(2 * [5, 1, 2, 1, 2, 1, 2, 1, 2, 3, 4, 6])  # all of it is in repeated 5-grams
+    assert [x.tolist() for x in periodic.find_runs(codes, np.array([0, len(codes)]))[1:4]] == [[1, 13], [8, 8], [2, 2]]
+    assert attempts == [0, 1, 2]
 
 
 def test_awkward_rows(spark):
