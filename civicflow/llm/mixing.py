@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .storage import BROADCAST_ROWS
+from .storage import BROADCAST_ROWS, cut, hold, small_side
 
 BLOCK_ROWS = 16
 #: Blocks that the driver walks at most, some ten seconds a million; blocks of larger tables hold more rows instead.
@@ -27,6 +27,8 @@ PERIOD = 2_000
 #: Sources are few and named by the caller's targets; this bounds what the driver holds.
 MAX_SOURCES = 100_000
 BUCKET_ROWS = 5_000
+#: A bucket of so many times as many rows is hot.
+HOT_BUCKET = 3
 
 
 def walk(shares: Sequence[Fraction], blocks: Sequence[int], done: Sequence[int] | None = None, slot: int = 0) -> Iterator[tuple[int, int, int]]:
@@ -121,14 +123,34 @@ def mix(df: DataFrame, targets: Mapping[str, float] | None = None, source: str =
     slots = scheduled(spark, order, [shares[s] for s in order], blocks, max(period, 10 * len(order)))
     slots = F.broadcast(slots) if sum(blocks) <= BROADCAST_ROWS else slots
     dealt = keyed.join(F.broadcast(plan), "__s").withColumn("__b", F.pmod("__h", F.col("__nb")).cast("int"))
-    within = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", ident)) - 1
     lots = own.select(key.alias("__s"), F.xxhash64(ident).alias("__h")).join(F.broadcast(plan), "__s").groupBy("__s", F.pmod("__h", F.col("__nb")).cast("int").alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
-    before = lots.select("__s", "__b", (F.sum("__n").over(Window.partitionBy("__s").orderBy("__b")) - F.col("__n")).alias("__before"))
-    ranked = dealt.withColumn("__r", within).join(before, ["__s", "__b"]).withColumn("__r", F.col("__r") + F.col("__before"))
+    dealt, lots = without_hot_buckets(dealt, lots)
+    within = F.row_number().over(Window.partitionBy("__s", "__b", "__u").orderBy("__h", ident)) - 1
+    before = lots.select("__s", "__b", "__u", (F.sum("__n").over(Window.partitionBy("__s").orderBy("__b", "__u")) - F.col("__n")).alias("__before"))
+    ranked = dealt.withColumn("__r", within).join(before, ["__s", "__b", "__u"]).withColumn("__r", F.col("__r") + F.col("__before"))
     placed = ranked.withColumn("__j", F.floor(F.col("__r") / block_rows)).join(slots, ["__s", "__j"])
     return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("__t").alias("mix_slot"), (F.col("__r") % block_rows).cast("int").alias("mix_pos"))
 
 
+def without_hot_buckets(rows: DataFrame, lots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows and lots with __u: buckets that one id fills, or none at all, are cut into parts by their rows' places.
+
+    Ids that are all different fill buckets about evenly, so few or none are hot. What is counted of these are the same
+    held rows that are placed.
+    """
+    lots = cut(lots.withColumn("__u", F.lit(0).cast("long")))
+    hot = lots.where(F.col("__n") > HOT_BUCKET * BUCKET_ROWS)
+    rows = rows.withColumn("__u", F.lit(0).cast("long"))
+    if hot.isEmpty():
+        return rows, lots
+    marks = small_side(hot.select("__s", "__b", F.ceil(F.col("__n") / BUCKET_ROWS).alias("__k")))
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__k"))
+    split = hold(rows.join(marks, ["__s", "__b"]).withColumn("__u", place).drop("__k"))
+    counted = split.groupBy("__s", "__b", "__u").agg(F.count(F.lit(1)).alias("__n"))
+    rest = lots.join(marks.drop("__k"), ["__s", "__b"], "left_anti")
+    return rows.join(marks.drop("__k"), ["__s", "__b"], "left_anti").unionByName(split), rest.unionByName(counted)
+
+
 def scheduled(spark: SparkSession, names: list[str], shares: list[Fraction], blocks: list[int], size: int) -> DataFrame:
     """__s, __j, __t: the slot of each source's blocks, made in tasks of size blocks."""
     starts = spark.createDataFrame(list(ranges(shares, blocks, size)), "slot long, done array<long>")

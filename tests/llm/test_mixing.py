@@ -142,3 +142,19 @@ def test_rows_against_a_plain_mixture(spark):
 def test_targets_are_positive(spark, weight):
     with pytest.raises(ValueError, match="positive"):
         mixing.mix(frame(spark), {"s0": 1, "s1": weight})
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    """A third of all rows without an id: their bucket is cut, and every row keeps a place of its own."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rows = [(None if i % 3 == 0 else i, "ab"[i % 5 == 0]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(df, {"a": 3, "b": 1}, block_rows=8).collect()
+    assert sorted((str(r["doc_id"]), r["source"]) for r in got) == sorted((str(i), s) for i, s in rows)
+    assert len({(r["mix_slot"], r["mix_pos"]) for r in got}) == 3000
+    places = {}
+    for r in got:
+        places.setdefault(r["mix_slot"], []).append((r["mix_pos"], r["source"]))
+    assert all(len({s for _, s in own}) == 1 and sorted(p for p, _ in own) == list(range(len(own))) for own in places.values())
+    lots = mixing.without_hot_buckets(df.selectExpr("source as __s", "doc_id", "0 as __b"), df.groupBy("source").count().selectExpr("source as __s", "0 as __b", "count as __n"))[1].collect()
+    assert max(r["__n"] for r in lots) < 120 and sum(r["__n"] for r in lots) == 3000
