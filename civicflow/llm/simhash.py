@@ -488,19 +488,23 @@ def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
 
 
 def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: int = 8) -> DataFrame:
-    """key, group of each text that is in a group: key is xxhash64 of the text, group a key that stands for it.
+    """key, other, group of each text that is in a group: two hashes of the text, and a key that stands for the group.
 
     Texts of a group are chained by pairs whose n-word shingle sets have a Jaccard similarity of tenths / 10 or more.
     Only texts in chains of candidates are read again and compared. Null texts and those without words are in no group,
-    repeated rows and copies count once, an empty table gives no rows, other columns are not read.
+    repeated rows and copies count once, an empty table gives no rows, other columns are not read. Of two unlike texts
+    with one and the same key, of which ten thousand million texts have two or three, one is compared; the other hash
+    tells that the group is not the other's.
     """
     texts = df.select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(f"`{id_col}`").alias("row")).where(F.col("t").isNotNull()).withColumn("key", F.xxhash64("t"))
-    once = hold(texts.groupBy("key").agg(F.min("row").alias("row")))
+    least = F.min(F.struct("row", F.xxhash64(F.lit(1), "t").alias("other")))
+    once = hold(texts.groupBy("key").agg(least.alias("m")).select("key", "m.row", "m.other"))
     texts_n = once.count()
     chains = components(candidates(W.lean(texts), n, tenths), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
-    members = small_side(once.join(chains, once["key"] == chains["node"]).select("key", "row", F.col("root").alias("chain")), expected=texts_n)
-    return components(verified(texts.join(members, ["key", "row"]), n, tenths), texts_n).select(F.col("node").alias("key"), F.col("root").alias("group"))
+    members = small_side(once.join(chains, once["key"] == chains["node"]).select("key", "row", "other", F.col("root").alias("chain")), expected=texts_n)
+    found = components(verified(texts.join(members.drop("other"), ["key", "row"]), n, tenths), texts_n)
+    return found.select(F.col("node").alias("key"), F.col("root").alias("group")).join(members.select("key", "other"), "key")
 
 
 def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
@@ -572,7 +576,7 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_i
     # Counted by text, then by group: neither copies nor a large group gather in a join.
     by_text = keyed.groupBy("key", "other").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"))
     group = F.struct(F.coalesce("group", "key").alias("g"), F.when(F.col("group").isNull(), F.col("other")).alias("o"))
-    grouped = by_text.join(similar_groups(df, text, id_col), "key", "left").withColumn("group", group)
+    grouped = by_text.join(similar_groups(df, text, id_col), ["key", "other"], "left").withColumn("group", group)
     first = grouped.groupBy("group").agg(F.min(F.struct("least.none", "least.id", "key", "other")).alias("f")).select(F.col("f.key").alias("__k"), F.col("f.other").alias("__o"), F.col("f.id").alias("__i"))
     is_first = (F.col("key") == F.col("__k")) & (F.col("other") == F.col("__o")) & F.col("id").eqNullSafe(F.col("__i"))
     marks = [F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("other").alias("__o")]
