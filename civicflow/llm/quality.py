@@ -112,7 +112,7 @@ def metrics_udf():
             found = [pd.DataFrame(measure(b.column("t"))) for b in W.slices(iter([batch]), "t")]
             yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({m: np.zeros(0, np.int64) for m in METRICS})
 
-    return metrics
+    return metrics.asNondeterministic()  # else it is worked out twice, for a filter that is pushed down and for the rest
 
 
 def text_metrics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
