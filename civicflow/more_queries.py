@@ -15,8 +15,8 @@ from .operators.project import q
 from .package import Package, drain
 from .plans import activities, budget, changes, clusters, contracts, entities, facilities, indexer, lookups, spec
 from .queries import AS_OF, Tables, money, query
-from .sinks import writers
-from .sources import paged, portal, readers, sheets
+from .sinks import bulk, writers
+from .sources import archives, paged, portal, readers, sheets
 from .state.cache import ask
 from .state.lineage import cut, shared_dir
 from .state.revisions import changed_only, manage_revisions, resumable, revision_dates, set_revision
@@ -1067,3 +1067,68 @@ def q_index_pipelines(t: Tables) -> DataFrame:
     steps = indexer.pipelines(list(types.values()), "tables", {"region": "index_nation"})
     done = spec.run_all(steps, lambda name: Package({}), {"load": load, "index": index, "sitemap": sitemap, "dump_to_path": lambda package, path: package})
     return done["sitemaps"]["all"]
+
+
+@query("select 'orders-' || cast(o_custkey % 5 as varchar) || '.zip' as archive, 'o' || cast(o_orderkey as varchar) || '.txt' as name, o_orderstatus || ' ' || o_orderpriority as text from orders")
+def q_zip_members(t: Tables) -> DataFrame:
+    """Members of a few large archives, read by ranges in many tasks."""
+    path = folder(t)
+
+    def pack(pdf):
+        import io
+        import zipfile
+
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+            for r in pdf.itertuples():
+                z.writestr(f"o{r.o_orderkey}.txt", f"{r.o_orderstatus} {r.o_orderpriority}")
+        system, root = bulk.file_system(path)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/orders-{pdf['o_custkey'].iloc[0] % 5}.zip") as f:
+            f.write(raw.getvalue())
+        return pdf.head(1)[["o_custkey"]]
+
+    made = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    made.groupBy(q("o_custkey") % 5).applyInPandas(pack, made.select("o_custkey").schema).write.format("noop").mode("overwrite").save()
+    return archives.members(t._spark, path).select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "name", F.col("content").cast("string").alias("text"))
+
+
+@query("select c_custkey, c_name, c_mktsegment from customer where c_custkey % 3 <> 0")
+def q_bulk_documents(t: Tables) -> DataFrame:
+    """Documents written in bulk twice; those that the second time lacks are gone."""
+    path = folder(t)
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    bulk.write_documents(rows.withColumn("c_mktsegment", F.lit("old")), path, "c_custkey")
+    bulk.write_documents(rows.where("c_custkey % 3 <> 0"), path, "c_custkey")
+    return bulk.read_documents(t._spark, path, rows.schema)
+
+
+@query("""
+select 'chunks' as field, 'nested' as kind, cast(1536 as bigint) as dims union all select 'c_name', 'text', null union all select 'c_mktsegment', 'keyword', null
+union all select 'c_acctbal', 'double', null union all select 'n', 'long', count(*) from customer
+""")
+def q_search_mapping(t: Tables) -> DataFrame:
+    """The index mapping of customers with chunks; n's line carries how many rows there are."""
+    rows = t.customer.select("c_name", "c_mktsegment", "c_acctbal", F.lit(1).alias("n"), text.chunks(q("c_name")).alias("chunks"))
+    rows = rows.withMetadata("c_mktsegment", {"es:keyword": True}).withMetadata("c_name", {"es:hebrew": True})
+    found = writers.search_mapping(rows)["properties"]
+    lines = [(k, v["type"], v["properties"]["embeddings"]["dims"] if v["type"] == "nested" else rows.count() if k == "n" else None) for k, v in found.items()]
+    return t._spark.createDataFrame(lines, "field string, kind string, dims long")
+
+
+@query("""
+with recursive items as (select distinct year(o_orderdate) as year, '00' || lpad(cast(o_custkey % 40 as varchar), 2, '0') as code from orders where (o_custkey % 40 + year(o_orderdate)) % 5 <> 0),
+fixed as (select year, code, '00' || lpad(cast((cast(code as int) + 1) % 40 as varchar), 2, '0') as prev from items where cast(code as int) % 7 = 3 and year % 3 = 0),
+links as (select * from fixed union all select i.year, i.code, i.code from items i where not exists (select 1 from fixed f where f.year = i.year and f.code = i.code)),
+real as (select l.* from links l join items p on p.year = l.year - 1 and p.code = l.prev),
+walk(year, code, y, c) as (select year, code, year, code from items union all select w.year, w.code, w.y - 1, r.prev from walk w join real r on r.year = w.y and r.code = w.c)
+select cast(year as integer) as year, code, min(y || '/' || c) as chain_id from walk w where not exists (select 1 from real r where r.year = w.y and r.code = w.c) group by 1, 2
+""")
+def q_connected_years(t: Tables) -> DataFrame:
+    """Chains of items over years, some of which are missing, and some of which a curated mapping sends elsewhere."""
+    year, number = F.year("o_orderdate"), (q("o_custkey") % 40).cast("int")
+    name = lambda c: F.concat(F.lit("00"), F.lpad(c.cast("string"), 2, "0"))
+    rows = t.orders.where((number + year) % 5 != 0).select(year.alias("year"), number.alias("n")).distinct()
+    items = rows.select("year", name(F.col("n")).alias("code"), F.lit("a title").alias("title"), F.lit(None).cast("string").alias("parent"), F.lit(1).alias("net_allocated"))
+    curated = rows.where((F.col("n") % 7 == 3) & (F.col("year") % 3 == 0)).select("year", name(F.col("n")).alias("code"), name((F.col("n") + 1) % 40).alias("prev_code"))
+    return budget.connect_years(items, curated, ["net_allocated"])

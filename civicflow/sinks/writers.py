@@ -91,25 +91,36 @@ def search_documents(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+#: Fixed value: components of the vectors that documents' chunks have.
+VECTOR_SIZE = 1536
+
+
+def vector_field(size: int) -> dict:
+    return {"type": "dense_vector", "dims": size, "index": True, "similarity": "cosine"}
+
+
 def search_mapping(df: DataFrame) -> dict:
-    """Index mapping by types and es: hints in the columns' metadata."""
+    """Index mapping by types and es: hints in the columns' metadata. The column chunks is nested, each with its vector."""
     kinds = {"integer": "long", "number": "double", "boolean": "boolean", "date": "date", "datetime": "date", "object": "object"}
     properties = {}
     for f in df.schema.fields:
         hints, kind = {k[3:]: v for k, v in f.metadata.items() if k.startswith("es:")}, declared_type(f.dataType.simpleString())
         if hints.get("exclude"):
             continue
+        if f.name == "chunks":
+            properties[f.name] = {"type": "nested", "properties": {"embeddings": vector_field(hints.get("vector", VECTOR_SIZE))}}
+            continue
         if kind == "array":
             inner = f.dataType.elementType.simpleString()
             kind = hints.get("itemType", declared_type(inner))
         if hints.get("vector"):
-            properties[f.name] = {"type": "dense_vector", "dims": hints["vector"], "index": True, "similarity": "cosine"}
+            properties[f.name] = vector_field(hints["vector"])
         elif kind in kinds:
             properties[f.name] = {"type": kinds[kind]}
         elif hints.get("keyword"):
             properties[f.name] = {"type": "keyword"}
         else:
-            properties[f.name] = {"type": "text"} | ({"analyzer": "hebrew"} if hints.get("hebrew") else {}) | ({"boost": hints["boost"]} if "boost" in hints else {})
+            properties[f.name] = {"type": "text"} | ({"fields": {"hebrew": {"type": "text", "analyzer": "hebrew"}}} if hints.get("hebrew") or hints.get("title") else {}) | ({"boost": hints["boost"]} if "boost" in hints else {})
         if hints.get("index") is False:
             properties[f.name]["index"] = False
     return {"properties": properties}
@@ -166,3 +177,10 @@ def sitemap_index(pages: DataFrame, base: str) -> DataFrame:
 def for_each_row(df: DataFrame, send: Callable[[dict], None]) -> None:
     """Hand rows to a service, one after another in each partition. A row may be sent again if a task fails."""
     df.foreachPartition(lambda rows: [send(r.asDict(True)) for r in rows] and None)
+
+
+def for_each_batch(df: DataFrame, send: Callable[[list[dict]], None], most: int = 50) -> None:
+    """Hand rows to a service, some at once. A batch may be sent again if a task fails, so the service goes by ids."""
+    from itertools import batched
+
+    df.foreachPartition(lambda rows: [send([r.asDict(True) for r in some]) for some in batched(rows, most)] and None)

@@ -141,6 +141,14 @@ def test_documents_and_sitemap(spark):
     assert (kinds["n"]["type"], kinds["s"]["type"], kinds["a"]["type"]) == ("double", "text", "long")
 
 
+def test_mapping_of_chunks_and_hebrew_titles(spark):
+    df = spark.createDataFrame([], "doc_id string, title string, chunks array<struct<text:string,embeddings:array<float>>>")
+    df = df.withMetadata("doc_id", {"es:keyword": True}).withMetadata("title", {"es:title": True})
+    got = writers.search_mapping(df)["properties"]
+    assert got["doc_id"] == {"type": "keyword"} and got["title"] == {"type": "text", "fields": {"hebrew": {"type": "text", "analyzer": "hebrew"}}}
+    assert got["chunks"] == {"type": "nested", "properties": {"embeddings": {"type": "dense_vector", "dims": 1536, "index": True, "similarity": "cosine"}}}
+
+
 def test_indexer_two_runs(spark):
     doc = indexer.DocType("thing", ["k"], "Title {k}", dates={"mode": "year", "first": "y"}, history=[["v"]], chunk="text")
     df = spark.createDataFrame([("a", 1, 2020, "t" * 3000), ("b", 2, 2021, None)], "k string, v int, y int, text string")
@@ -298,3 +306,13 @@ def test_written_output_is_not_made_again(spark, tmp_path):
     (tmp_path / "data").mkdir()
     (tmp_path / "data" / "x.csv").write_bytes(b"a" * 200)
     assert readers.unless_written(df, str(tmp_path / "data"), 100).count() == 0 and readers.unless_written(df, str(tmp_path / "data"), 300).count() == 5
+
+
+def test_a_query_over_jdbc(spark):
+    """An embedded database of one JVM, as here, stands in for a server."""
+    url = "jdbc:derby:memory:civicflow;create=true"
+    spark.createDataFrame([(i, f"n{i}") for i in range(20)], "id int, name string").write.format("jdbc").option("url", url).option("dbtable", "things").mode("overwrite").save()
+    got = readers.jdbc(spark, url, 'select "id", "name" from things where "id" > 16')
+    assert sorted(map(tuple, got.collect())) == [(17, "n17"), (18, "n18"), (19, "n19")]
+    parts = readers.jdbc(spark, url, "things", partition={"column": '"id"', "lowerBound": 0, "upperBound": 20, "numPartitions": 4})
+    assert parts.count() == 20 and parts.rdd.getNumPartitions() == 4
