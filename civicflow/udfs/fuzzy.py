@@ -73,7 +73,13 @@ def similarity(kind: str = "partial"):
 
 
 #: Different texts and candidates of a block that meet in one group.
-LOT_TEXTS, LOT_OPTIONS = 2048, 8192
+LOT_TEXTS, LOT_OPTIONS = 512, 8192
+#: Pairs that are bounded at once, few enough for their arrays to be used again and again instead of coming new from the system.
+PAIRS = 8192
+#: Tasks in which groups meet, two for each of them and so many at most; their bytes do not tell how much work they are.
+MEETINGS = 4096
+#: Texts of up to so many characters, a bit of a word each, are aligned with options of up to so many.
+ALIGNED_TEXT, ALIGNED_OPTION = 64, 256
 #: Characters fall into so many buckets, each of which counts to LEVELS; bigrams fall into as many bits.
 BUCKETS, LEVELS = 64, 4
 
@@ -102,6 +108,34 @@ class Signatures:
             over.append(sum(max(0, n - LEVELS) for n in counts.values()))
             pairs.append([(ord(x) * 37 + ord(y)) % 256 for x, y in zip(t, t[1:])])
         self.chars, self.over, self.pairs = _bits(chars), np.array(over, np.int64), _bits(pairs)
+        self.texts, self._columns = texts, None
+
+    def columns(self) -> tuple[dict[str, int], np.ndarray]:
+        """A number for each character, and the numbers at each place of all texts, a row a place; no character is the last one."""
+        if self._columns is None:
+            known = {c: n for n, c in enumerate(sorted({c for t in self.texts if len(t) <= ALIGNED_OPTION for c in t}))}
+            out = np.full((min(int(self.length.max(initial=0)), ALIGNED_OPTION), len(self.texts)), len(known), np.int32)
+            for i, t in enumerate(self.texts):
+                if len(t) <= ALIGNED_OPTION:
+                    out[: len(t), i] = [known[c] for c in t]
+            self._columns = known, out
+        return self._columns
+
+    def in_order(self, i: int, j: np.ndarray, other: Signatures) -> np.ndarray:
+        """The longest common subsequences of text i and the others' j, whose characters matching blocks are part of.
+
+        Each column of all others is one step on words of 64 bits, of which zeros count what is common (Hyyro's recurrence).
+        """
+        known, columns = other.columns()
+        marks = np.zeros(len(known) + 1, np.uint64)
+        for at, c in enumerate(self.texts[i]):
+            if c in known:
+                marks[known[c]] |= np.uint64(1 << at)
+        v = np.full(len(j), ~np.uint64(0))
+        for row in columns:
+            u = v & marks[row[j]]
+            v = (v + u) | (v - u)
+        return np.bitwise_count(~v).astype(np.int64)
 
     def common(self, i: slice, other: Signatures) -> np.ndarray:
         """At least as many characters as texts i have in common with each of the others."""
@@ -167,6 +201,16 @@ class Bounds:
         a, b = self.plain if self.kind == "ratio" else self.sorted
         return self._share(2 * a.in_blocks(i, j, b), a.length[i] + b.length[j]) + 0.5
 
+    def aligned(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Of text i and options j, by what they have in common in one order; rounded as scores are."""
+        out = np.full(len(j), 101.0)
+        if self.kind in ("ratio", "token_sort"):
+            a, b = self.plain if self.kind == "ratio" else self.sorted
+            if a.length[i] <= ALIGNED_TEXT:
+                short = np.flatnonzero(b.length[j] <= ALIGNED_OPTION)
+                out[short] = np.rint(100 * (2.0 * a.in_order(i, j[short], b) / np.maximum(a.length[i] + b.length[j[short]], 1)))
+        return out
+
 
 def best_options(texts: Sequence[tuple], options: Sequence[tuple], k: int, threshold: float, kind: str) -> list[list[tuple[float, int]]]:
     """For each text the (score, option number) of its k best options of the threshold or more, of equal ones the later.
@@ -177,8 +221,9 @@ def best_options(texts: Sequence[tuple], options: Sequence[tuple], k: int, thres
     scorer, fields = SCORERS[kind], range(len(texts[0]))
     bounds = [Bounds([t[f] for t in texts], [o[f] for o in options], kind) for f in fields]
     out = []
-    for lo in range(0, len(texts), 64):
-        rough = [b.rough(slice(lo, lo + 64)) for b in bounds]
+    step = max(1, PAIRS // max(1, len(options)))
+    for lo in range(0, len(texts), step):
+        rough = [b.rough(slice(lo, lo + step)) for b in bounds]
         known = sum((r >= 0).astype(np.int64) for r in rough)
         mean = sum(np.maximum(r, 0) for r in rough) / np.maximum(known, 1)
         for i in range(len(mean)):
@@ -186,6 +231,9 @@ def best_options(texts: Sequence[tuple], options: Sequence[tuple], k: int, thres
             own = mean[i][some]
             if len(bounds) == 1 and len(some):
                 own = np.where(known[i][some] > 0, np.minimum(own, bounds[0].close(np.full(len(some), lo + i), some)), own)
+                left = own >= threshold
+                some, own = some[left], own[left]
+                own = np.where(known[i][some] > 0, np.minimum(own, bounds[0].aligned(lo + i, some)), own)
             best: list[tuple[float, int]] = []  # the worst first
             for n in np.argsort(-own, kind="stable"):
                 if own[n] < (best[0][0] if len(best) == k else threshold):
@@ -207,7 +255,8 @@ def top_matches(df: DataFrame, candidates: DataFrame, fields: Sequence[tuple[str
     a null in one matches nothing. Rows without any field have no matches.
 
     Different texts of a block meet its different candidates in groups of bounded size. There, counts of common
-    characters and bigrams bound scores, words of 64 bits at a time; few pairs are scored themselves.
+    characters and bigrams, then common subsequences, bound scores, words of 64 bits at a time; few pairs are scored
+    themselves.
     """
     block = F.to_json(F.struct(*map(q, blocks))) if blocks else F.lit("")
     known = F.lit(True)
@@ -222,7 +271,7 @@ def top_matches(df: DataFrame, candidates: DataFrame, fields: Sequence[tuple[str
     for rows, n, most in ((texts, "__nt", LOT_TEXTS), (options, "__no", LOT_OPTIONS)):
         sizes.append(rows.groupBy("__b").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(n), F.count(F.lit(1)).alias(f"{n}_rows")))
     plan = cut(sizes[0].join(sizes[1], "__b"))
-    totals = plan.agg(*[F.coalesce(F.sum(f"{n}_rows"), F.lit(0)) for n in ("__nt", "__no")]).first()
+    totals = plan.agg(*[F.coalesce(F.sum(f"{n}_rows"), F.lit(0)) for n in ("__nt", "__no")], F.coalesce(F.sum(q("__nt").cast("long") * q("__no")), F.lit(0))).first()
     lots = ["__b", "__nt", "__no"]
     mine = looked_up(texts, plan.select(*lots, "__nt_rows"), "__b", "__nt_rows", totals[0])
     dealt = mine.withColumn("__p", F.pmod(F.xxhash64("__t"), F.col("__nt")).cast("int")).withColumn("__r", F.explode(F.sequence(F.lit(0), F.col("__no") - 1))).select("__b", "__p", "__r", "__t")
@@ -238,7 +287,8 @@ def top_matches(df: DataFrame, candidates: DataFrame, fields: Sequence[tuple[str
 
     shape = T.StructType([*dealt.select("__b", "__t").schema.fields, T.StructField("score", T.DoubleType()), offered.schema["__o"]])
     keys = ["__b", "__p", "__r"]
-    scored = dealt.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(run, shape)
+    tasks = max(1, min(2 * totals[2], MEETINGS))
+    scored = dealt.repartition(tasks, *keys).groupBy(*keys).cogroup(offered.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(run, shape)
     named = F.struct(F.col("score"), *[F.col("__o")[f"f{i}"].alias(c) for i, c in enumerate(right)])
     best = scored.groupBy("__b", "__t").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", "__o", named.alias("m"))))), 1, k).alias("__m"))
     best = best.select(F.col("__b").alias("__block"), F.col("__t").alias("__text"), F.transform("__m", lambda x: x["m"]).alias("matches"))

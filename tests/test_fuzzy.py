@@ -58,6 +58,18 @@ def test_few_pairs_are_scored(monkeypatch):
     assert len(calls) < 0.01 * len(names) ** 2
 
 
+def test_reversed_texts_are_hardly_scored(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(60)]
+    names = sorted({" ".join(rng.choice(words) for _ in range(3)) for _ in range(400)} | {"e" * 300, "ab" * 40})
+    own = [(t[::-1],) for t in names] + [("x" * 70,), ("",)]
+    want = all_pairs(own, [(n,) for n in names], 3, 60, "ratio")
+    calls = []
+    monkeypatch.setitem(fuzzy.SCORERS, "ratio", lambda a, b, real=fuzzy.ratio: calls.append(1) or real(a, b))
+    assert fuzzy.best_options(own, [(n,) for n in names], 3, 60, "ratio") == want
+    assert len(calls) < 0.02 * len(names) ** 2
+
+
 def test_lots_of_a_block(spark, monkeypatch):
     monkeypatch.setattr(fuzzy, "LOT_TEXTS", 15)
     monkeypatch.setattr(fuzzy, "LOT_OPTIONS", 10)
@@ -97,3 +109,13 @@ def test_best_criteria(spark, sf_dir):
         for place, (score, j) in enumerate(all_pairs([own], options, 5, 0, "weighted")[0]):
             want.add((r["p_partkey"], place, *options[j], score))
     assert {tuple(r) for r in QUERIES["q_best_criteria"](spark, sf_dir).collect()} == want
+
+
+def test_groups_meet_in_tasks_of_their_own(spark):
+    rng = random.Random(4)
+    own = [(i % 12, t) for i, t in enumerate(texts(rng, 120))]
+    df = spark.createDataFrame([(str(b), t) for b, t in own], "b string, t string")
+    given = df.select("b", df["t"].alias("c"))
+    found = fuzzy.top_matches(df, given, [("t", "c")], 1, 0, "ratio", ["b"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2 and "hashpartitioning(__b#" in plan
