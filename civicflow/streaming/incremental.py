@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.project import q
@@ -66,6 +68,24 @@ def running_totals(stream: DataFrame, keys: Sequence[str], value: str, time: str
     return stream.withWatermark(time, late).groupBy(F.window(time, window).alias("window"), *map(q, keys)).agg(F.count(F.lit(1)).alias("n"), F.sum(q(value)).alias("total"))
 
 
+def whole_totals(totals: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All totals of what a stream has now, those of open windows too, however late their rows came.
+
+    The state keeps every window, as nothing is final. A batch writes all totals into a folder of its own below path, over
+    what a run before it left there; the last batch's are read.
+    """
+    totals.writeStream.outputMode("complete").foreachBatch(lambda df, epoch: df.write.mode("overwrite").parquet(f"{path}/batch={epoch}")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    spark = totals.sparkSession
+    try:
+        written = spark.read.schema(T.StructType([*totals.schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], totals.schema)  # there were no files
+    last = written.agg(F.max("batch")).first()[0]
+    return written.where(F.col("batch") == last).drop("batch") if last is not None else spark.createDataFrame([], totals.schema)
+
+
 def first_seen(stream: DataFrame, keys: Sequence[str], time: str, late: str = "1 day") -> DataFrame:
     """Rows whose key has not come before within the watermark."""
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
