@@ -11,7 +11,7 @@ import re
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
+from .storage import hold
 
 CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 16_384
 #: Pieces that one packing task gets at most, about; with so many small pieces the bins left open at its end hardly count.
 ROWS_PER_TASK = 50_000
+#: Pieces that lie next to each other in a given order and are placed longest first.
+WINDOW = 64
 #: Words whose ids a worker remembers; later ones are encoded each time. This bounds its memory and changes no result.
 REMEMBERED = 200_000
 #: Words that are encoded in one text.
@@ -185,10 +188,14 @@ class WordIds:
         return out, offsets
 
 
-def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """id_col, piece, start, length, ids_crc32 of each text's ids cut at capacity; null text is empty, so one end id."""
-    source = W.lean(df).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
-    schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *PIECE_FIELDS])
+def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY, order_by: Sequence[str] = ()) -> DataFrame:
+    """id_col, piece, start, length, ids_crc32 of each text's ids cut at capacity; null text is empty, so one end id.
+
+    With order_by, a text's values of those columns come along as __o0, __o1 and so on.
+    """
+    places = [f"__o{i}" for i in range(len(order_by))]
+    source = W.lean(df).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"), *[F.col(f"`{c}`").alias(p) for c, p in zip(order_by, places)])
+    schema = T.StructType([T.StructField(id_col, source.schema["__id"].dataType), *PIECE_FIELDS, *[T.StructField(p, source.schema[p].dataType) for p in places]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("word ids", tokenizer_path)
@@ -203,7 +210,7 @@ def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
             length = np.minimum(capacity, n[doc] - start)
             raw, at = memoryview(ids.astype("<u4").tobytes()), (offsets[doc] + start) * 4
             crc = [zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), length.tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("__id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=[id_col, "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([b.column("__id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *[b.column(p).take(pa.array(doc)) for p in places]], names=[id_col, "piece", "start", "length", "ids_crc32", *places])
 
     return source.mapInArrow(run, schema)
 
@@ -230,14 +237,53 @@ def pack(items: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, ope
     return dealt.mapInArrow(run, schema)
 
 
-def pack_documents(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def pack_in_order(items: DataFrame, order_by: Sequence[str], id_col: str = "doc_id", capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tasks: int | None = None, window: int = WINDOW) -> DataFrame:
+    """Pieces with sequence_id and offset, so that sequences by rising number begin in the order of the pieces.
+
+    A task has a range of the order. It places a window of neighbours at a time, longest first; later pieces also fill
+    gaps that earlier windows have left. The columns of order_by are dropped.
+    """
+    by = [*[F.col(f"`{c}`") for c in order_by], F.col(f"`{id_col}`"), F.col("ids_crc32"), F.col("piece")]
+    held = hold(items)  # it is sampled for the ranges before it is dealt
+    dealt = held.repartitionByRange(max(1, tasks or 1), *by).sortWithinPartitions(*by).drop(*order_by)
+    schema = T.StructType([*dealt.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        base, bins, rest = TaskContext.get().partitionId() << 36, BestFit(capacity, open_bins), None
+
+        def placed(t: pa.Table) -> pa.RecordBatch:
+            length = t.column("length").to_numpy()
+            order = np.lexsort((-length, np.arange(len(length)) // window))
+            at = np.array([bins.place(n) for n in length[order].tolist()], np.int64).reshape(-1, 2)
+            own = t.take(pa.array(order)).combine_chunks().to_batches()[0]
+            return pa.RecordBatch.from_arrays([*own.columns, pa.array(base + at[:, 0]), pa.array(at[:, 1])], names=[*own.schema.names, "sequence_id", "offset"])
+
+        for b in batches:
+            both = pa.Table.from_batches([b] if rest is None else [*rest.to_batches(), b])
+            whole = len(both) // window * window
+            rest = both.slice(whole)
+            if whole:
+                yield placed(both.slice(0, whole))
+        if rest is not None and len(rest):
+            yield placed(rest)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def pack_documents(df: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", order_by: Sequence[str] = ()) -> DataFrame:
     """All texts of df as pieces placed in sequences of CAPACITY tokens.
 
     Null and empty texts are their end id alone. Repeated rows are packed once each; null ids pack like others; only
     texts longer than a sequence are cut. An empty table gives no rows. Columns other than the two named are not read.
 
     A text has at most as many tokens as bytes, so its bytes bound its pieces; tasks are as many as all pieces need.
+
+    With order_by, sequences keep the order of the texts, as pack_in_order() says; without, there are the fewest.
     """
     most = F.ceil((F.coalesce(F.octet_length(F.col(f"`{text}`").cast("string")), F.lit(0)) + 1) / CAPACITY)
     tasks = -(-(df.agg(F.sum(most)).first()[0] or 0) // ROWS_PER_TASK)
+    if order_by:
+        return pack_in_order(pieces(df, tokenizer_path, text, id_col, order_by=order_by), [f"__o{i}" for i in range(len(order_by))], id_col, tasks=tasks)
     return pack(pieces(df, tokenizer_path, text, id_col), id_col, tasks=tasks)
