@@ -44,6 +44,9 @@ def fill_forward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
 
 #: Rows of a range that one task orders.
 RANGE_ROWS = 1_000_000
+#: Ranges at most, as the driver has a result of each task, a sample for each range and a row of each; those of larger tables
+#: have more rows instead.
+MAX_RANGES = 1_000
 
 
 #: A row's place in the input, by which rows with the same order values are ordered.
@@ -51,14 +54,15 @@ PLACE = "__place"
 
 
 def in_ranges(df: DataFrame, order_by: Sequence[str], rows: int = RANGE_ROWS) -> DataFrame:
-    """df with __part, the number of a range of order_by and place that a row is in: as many as its rows need.
+    """df with __part, the number of a range of order_by and place that a row is in: as many as its rows need, up to
+    MAX_RANGES.
 
     Rows with the same order values are split by their places, so that they do not gather in a range. The input's plan
     runs once: it is counted and sampled from where it was written, and the ranges are written as their numbers must
     hold for all uses.
     """
     held = cut(df.withColumn(PLACE, F.monotonically_increasing_id()))
-    n = max(1, -(-held.count() // rows))
+    n = max(1, min(-(-held.count() // rows), MAX_RANGES))
     return cut(held.repartitionByRange(n, *map(q, order_by), q(PLACE)).withColumn("__part", F.spark_partition_id()))
 
 
