@@ -25,6 +25,8 @@ from .upsert import upsert
 BUCKET = "__bucket"
 #: Rows that a bucket has in the mean before one of them is split.
 BUCKET_ROWS = 1_000_000
+#: Buckets at most, each of which is a folder, a file and a row of every manifest; those of larger tables have more rows instead.
+MAX_BUCKETS = 512
 MANIFEST = "version long, label string, columns string, buckets int, bucket int, folder string, rows long"
 
 
@@ -121,7 +123,7 @@ class VersionedTable:
             if known.get(f.name, f.dataType) != f.dataType:
                 raise ValueError(f"{f.name} is {known[f.name].simpleString()} in the table and {f.dataType.simpleString()} in the update")
         schema = T.StructType([*s.schema.fields, *[T.StructField(f.name, f.dataType) for f in new.schema.fields if f.name not in known]])
-        buckets = max(s.buckets, -(-(s.rows + new.count()) // self.bucket_rows))
+        buckets = max(s.buckets, min(-(-(s.rows + new.count()) // self.bucket_rows), MAX_BUCKETS))
         touched = self._touched(new, s.buckets) | split_from(s.buckets, buckets)
         old = self._rows(Snapshot(s.version, s.label, schema, s.buckets, s.where), touched) if s.version >= 0 else None
         out = upsert(old, new, self.keys, order_by).select(*[q(f.name) for f in schema.fields]).withColumn(BUCKET, bucket_of(self.keys, buckets))
