@@ -41,23 +41,31 @@ def known_groups(lines: DataFrame, known: DataFrame) -> DataFrame:
 
     Of groups that share a code the one with the least serial comes first. Groups that come first for all of their codes
     are taken together, those that share a code with them fall away, and so on until none is left.
+
+    Groups go by their numbers, so that no code carries the others of its group along.
     """
-    key = F.struct("serial", F.array_sort(F.array_distinct("trcodes")).alias("codes"))
-    items = known.select("date_kind", key.alias("key")).distinct().withColumn("trcode", F.explode("key.codes"))
+    codes = F.array_sort(F.array_distinct("trcodes"))
+    listed = known.select("date_kind", "serial", codes.alias("codes")).distinct()
+    first = F.row_number().over(Window.partitionBy("date_kind").orderBy("serial", "codes"))
+    numbered = listed.withColumn("key", first)  # before the codes come apart
+    items = numbered.select("date_kind", "key", F.size("codes").alias("n"), F.explode("codes").alias("trcode"))
     there = lines.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t")).distinct()
     same = F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t"))
-    each = ["date_kind", "key"]
-    whole = items.join(there, same, "left_semi").groupBy(*each).agg(F.collect_list("trcode").alias("codes")).where(F.size("codes") == F.size("key.codes"))
-    left = cut(whole.select(*each, F.explode("codes").alias("trcode")))
+    kind = Window.partitionBy("date_kind", "key")
+    found = items.join(there, same, "left_semi").withColumn("have", F.count(F.lit(1)).over(kind))
+    left = cut(found.where(F.col("have") == F.col("n")).select("date_kind", "key", "trcode"))
     out = left.limit(0)
     while not left.isEmpty():
-        first = Window.partitionBy("date_kind", "trcode").orderBy("key")
-        told = left.withColumn("ahead", F.dense_rank().over(first) > 1)
-        taken = cut(told.groupBy(*each).agg(F.max("ahead").alias("ahead"), F.collect_list("trcode").alias("codes")).where(~F.col("ahead")).select(*each, F.explode("codes").alias("trcode")))
+        ahead = F.min("key").over(Window.partitionBy("date_kind", "trcode")) < F.col("key")
+        told = cut(left.withColumn("ahead", ahead).withColumn("ahead", F.max("ahead").over(kind)))
+        taken = told.where(~F.col("ahead")).drop("ahead")
         out = out.unionByName(taken)
+        rest = told.where("ahead").drop("ahead")
+        if rest.isEmpty():
+            break
         gone = taken.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"))
-        hit = left.join(gone, same, "left_semi").select(F.col("date_kind").alias("__d"), F.col("key").alias("__k")).distinct()
-        left = cut(left.join(hit, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("key") == F.col("__k")), "left_anti"))
+        hit = rest.join(gone, same, "left_semi").select(F.col("date_kind").alias("__d"), F.col("key").alias("__k")).distinct()
+        left = cut(rest.join(hit, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("key") == F.col("__k")), "left_anti"))
     return out
 
 
@@ -79,7 +87,7 @@ def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES, known: Data
     sums = changes.where(~F.col("budget_code").startswith("0047")).groupBy("trcode").agg(F.sum(sum((F.coalesce(q(m).cast("double"), F.lit(0.0)) for m in measures), F.lit(0.0))).alias("total"))
     open_, found = lines, None
     if known is not None:
-        found = known_groups(lines, known).select("date_kind", "trcode", F.to_json("key").alias("group"))
+        found = known_groups(lines, known).select("date_kind", "trcode", F.concat(F.lit("k"), F.col("key").cast("string")).alias("group"))
         codes = found.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"))
         open_ = cut(lines.join(codes, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t")), "left_anti"))
     kind = F.coalesce(F.concat(F.lit("="), F.col("date_kind").cast("string")), F.lit(""))
