@@ -46,20 +46,27 @@ def repaired_text(text: Column, mark: str = "5") -> Column:
     return F.ltrim(F.translate(out, row + blank, "\n "), F.lit("\n "))
 
 
+#: Bits of a line's number in its split below that of its chunk; the lines of a chunk are counted by one task.
+CHUNK_BITS = 12
+
+
 def repaired_lines(spark: SparkSession, path: str, mark: str = "5", encoding: str = "windows-1255") -> DataFrame:
     """file, record, line of CSV files in need of repair; records count up in a file.
 
     The state of the repair between two lines is only whether a row begins, which the second line tells by itself. So
-    lines are read by many tasks, rows are counted by split, and only the lines of one row come together.
+    lines are read by many tasks, rows are counted by chunks of a split, and only the lines of one row come together.
+    No task needs the lines of a split at once.
     """
     encoding, fix = readable(encoding)
     raw = spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).schema("line string").csv(path)
     lines = raw.select(fix(q("line")).alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     lines = lines.withColumn("n", F.monotonically_increasing_id()).withColumn("begins", q("line").startswith(mark).cast("long"))
-    splits = lines.groupBy("file", "block").agg(F.sum("begins").alias("rows"))
-    before = F.sum("rows").over(Window.partitionBy("file").orderBy("block")) - F.col("rows")
-    own = F.sum("begins").over(Window.partitionBy("file", "block").orderBy("n"))
-    numbered = lines.withColumn("own", own).join(splits.select("file", "block", before.alias("before")), ["file", "block"])
+    lines = lines.withColumn("chunk", F.shiftright("n", CHUNK_BITS))
+    chunk = ["file", "block", "chunk"]
+    chunks = lines.groupBy(*chunk).agg(F.sum("begins").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("file").orderBy("block", "chunk")) - F.col("rows")
+    own = F.sum("begins").over(Window.partitionBy(*chunk).orderBy("n"))
+    numbered = lines.withColumn("own", own).join(chunks.select(*chunk, before.alias("before")), chunk)
     whole = numbered.groupBy("file", (F.col("before") + F.col("own")).alias("record")).agg(F.array_sort(F.collect_list(F.struct("block", "n", "line"))).alias("lines"))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
     return whole.select("file", "record", repaired_text(text, mark).alias("line")).where(F.col("line") != "")
