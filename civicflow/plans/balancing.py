@@ -5,15 +5,20 @@ next to be used. So what is searched are sets of classes, by meeting in the midd
 meet their negatives. Halves go to tasks by the residue of a linear checksum of their sums, so that a kind with many
 classes is many tasks, each with bounded tables. What was found is then taken in order of its lines, in each set of
 classes that found groups chain together.
+
+Kinds of few lines need none of this: they pass through their task in order, thousands at once, and are searched there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
+from math import factorial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +30,8 @@ SIZES = range(2, 7)
 TABLE, RESIDUES = 1 << 21, 8
 #: Lines of small chains that one task takes together, about.
 LOT_LINES = 20_000
+#: Lines that a task searches at once, about, where kinds have few.
+PASS_LINES = 1 << 16
 
 
 def _prime(least: int) -> int:
@@ -40,15 +47,41 @@ def _ranges(sizes: np.ndarray) -> np.ndarray:
     return np.arange(total[-1] if len(total) else 0) - np.repeat(total - sizes, sizes)
 
 
+def _checks(amounts: np.ndarray) -> np.ndarray:
+    """Linear checksums of the amounts. Modulo 2^64: sums wrap, and sets that balance come to zero."""
+    return (amounts * np.random.default_rng(7).integers(1 << 40, 1 << 62, amounts.shape[1])).sum(axis=1)
+
+
+def _meeting(sums: np.ndarray, want: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in sums and in want of the same number, some TABLE of them at once."""
+    order = np.argsort(sums)
+    sums = sums[order]
+    at = np.searchsorted(sums, want)
+    count = np.searchsorted(sums, want, side="right") - at
+    some = np.flatnonzero(count)
+    bounds = np.searchsorted(np.cumsum(count[some]), np.arange(0, count.sum() + TABLE, TABLE))
+    for a, b in zip(bounds, bounds[1:]):
+        h = some[a:b] if b < len(some) else some[a:]
+        yield order[np.repeat(at[h], count[h]) + _ranges(count[h])], np.repeat(h, count[h])
+
+
+def _whole(one: np.ndarray, two: np.ndarray, leader: np.ndarray, amounts: np.ndarray) -> np.ndarray:
+    """Sets of one and two together, where one comes first, all leaders differ and the amounts sum to zero."""
+    ok = one[:, -1] < two[:, 0]
+    for i in range(one.shape[1]):
+        for j in range(two.shape[1]):
+            ok &= leader[one[:, i]] != leader[two[:, j]]
+    both = np.column_stack([one[ok], two[ok]])
+    return both[~amounts[both].sum(axis=1).any(axis=1)]
+
+
 class _Classes:
     """Sets of a kind's classes with different leaders, by place, with linear checksums of their amounts."""
 
     def __init__(self, leader: np.ndarray, amounts: np.ndarray, modulus: int):
-        rng = np.random.default_rng(7)
         self.n, self.modulus, self.leader, self.amounts = len(leader), modulus, leader, amounts
-        # modulo 2^64: sums wrap, and sets that balance come to zero
-        self.check = (amounts * rng.integers(1 << 40, 1 << 62, amounts.shape[1])).sum(axis=1)
-        odd = rng.integers(1, max(modulus, 2), amounts.shape[1])
+        self.check = _checks(amounts)
+        odd = np.random.default_rng(8).integers(1, max(modulus, 2), amounts.shape[1])
         self.residue = ((amounts % modulus) * odd % modulus).sum(axis=1) % modulus
         self.by_residue = np.argsort(self.residue, kind="stable")
         self.starts = np.searchsorted(self.residue[self.by_residue], np.arange(modulus + 1))
@@ -86,23 +119,8 @@ class _Classes:
 
     def balanced(self, low: np.ndarray, high: np.ndarray) -> Iterator[np.ndarray]:
         """low and high together where they sum to zero, low's classes come first and all leaders differ."""
-        sums, want = self.check[low].sum(axis=1), -self.check[high].sum(axis=1)
-        order = np.argsort(sums)
-        sums = sums[order]
-        at = np.searchsorted(sums, want)
-        count = np.searchsorted(sums, want, side="right") - at
-        some = np.flatnonzero(count)
-        bounds = np.searchsorted(np.cumsum(count[some]), np.arange(0, count.sum() + TABLE, TABLE))
-        for a, b in zip(bounds, bounds[1:]):
-            h = some[a:b] if b < len(some) else some[a:]
-            one = low[order[np.repeat(at[h], count[h]) + _ranges(count[h])]]
-            two = np.repeat(high[h], count[h], axis=0)
-            ok = one[:, -1] < two[:, 0]
-            for i in range(one.shape[1]):
-                for j in range(two.shape[1]):
-                    ok &= self.leader[one[:, i]] != self.leader[two[:, j]]
-            both = np.column_stack([one[ok], two[ok]])
-            yield both[~self.amounts[both].sum(axis=1).any(axis=1)]
+        for one, two in _meeting(self.check[low].sum(axis=1), -self.check[high].sum(axis=1)):
+            yield _whole(low[one], high[two], self.leader, self.amounts)
 
 
 def balanced_sets(classes: DataFrame, size: int) -> DataFrame:
@@ -209,3 +227,105 @@ def balanced_groups(lines: DataFrame, sizes: Sequence[int] = SIZES) -> DataFrame
     for t in taken:
         out = out.unionByName(t)
     return out
+
+
+def few_lines() -> int:
+    """The most lines of a kind that is searched as it passes; pairs of their sets of three that meet are some TABLE."""
+    return int(TABLE**0.25)
+
+
+class _Kinds:
+    """Lines of many kinds of few, in order: kind (a number, rising), leader, amounts."""
+
+    def __init__(self, kind: np.ndarray, leader: np.ndarray, amounts: np.ndarray):
+        self.kind, self.leader, self.amounts, self.check = kind, leader, amounts, _checks(amounts)
+        new = np.flatnonzero(np.diff(kind, prepend=-1))
+        self.n = np.diff(new, append=len(kind))
+        self.start = np.repeat(new, self.n)
+        self.end = np.repeat(new + self.n, self.n)
+
+    def _sets(self, size: int, before: int, after: int) -> np.ndarray:
+        """Sets of so many of a kind's lines with different leaders, a row each, that leave lines before and after them."""
+        place = np.arange(len(self.kind))
+        sets = place[(place >= self.start + before) & (place < self.end - after - size + 1)][:, None]
+        for left in range(size - 2, -1, -1):
+            last = sets[:, -1]
+            later = np.maximum(self.end[last] - after - left - last - 1, 0)
+            own, one = np.repeat(sets, later, axis=0), np.repeat(last + 1, later) + _ranges(later)
+            ok = np.ones(len(one), bool)
+            for k in range(own.shape[1]):
+                ok &= self.leader[own[:, k]] != self.leader[one]
+            sets = np.column_stack([own[ok], one[ok]])
+        return sets
+
+    def groups(self, size: int) -> np.ndarray:
+        """The groups of so many lines, a row each: in each kind the first one in order, then the first of what it leaves."""
+        a, b = size // 2, size - size // 2
+        mark = self.kind * np.int64(0x5851F42D4C957F2D)  # wraps; halves of other kinds do not meet
+        low, high = self._sets(a, 0, b), self._sets(b, a, 0)
+        found = [np.zeros((0, size), np.int64)]
+        for one, two in _meeting(self.check[low].sum(axis=1) + mark[low[:, 0]], mark[high[:, 0]] - self.check[high].sum(axis=1)):
+            same = self.kind[low[one, 0]] == self.kind[high[two, 0]]
+            found.append(_whole(low[one[same]], high[two[same]], self.leader, self.amounts))
+        sets = np.concatenate(found)
+        sets, out = sets[np.lexsort(sets.T[::-1])], [np.zeros((0, size), np.int64)]
+        used = np.zeros(len(self.kind), bool)
+        while len(sets):
+            out.append(sets[np.diff(self.kind[sets[:, 0]], prepend=-1) != 0])
+            used[out[-1]] = True
+            sets = sets[~used[sets].any(axis=1)]
+        return np.concatenate(out)
+
+
+def first_lines(kind: np.ndarray, leader: np.ndarray, amounts: np.ndarray, sizes: Sequence[int] = SIZES) -> np.ndarray:
+    """For each line (kind: a number, rising; in order) the place of the first line of its group, or its own."""
+    first, free = np.arange(len(kind)), amounts.any(axis=1)
+    for size in sizes:
+        lines = np.flatnonzero(free)
+        n = np.diff(np.flatnonzero(np.diff(kind[lines], prepend=-1)), append=len(lines))
+        lines, n = lines[np.repeat(n >= size, n)], n[n >= size]
+        passes = np.cumsum(n.astype(float) ** size / factorial(size)) // TABLE  # kinds may balance in all ways
+        for own in np.split(lines, np.cumsum(n)[:-1][np.diff(passes) > 0]):
+            groups = own[_Kinds(kind[own], leader[own], amounts[own]).groups(size)]
+            first[groups] = groups[:, :1]
+            free[groups] = False
+    return first
+
+
+def groups_of_few(lines: DataFrame, order: Sequence[str], carried: Sequence[str], sizes: Sequence[int] = SIZES) -> DataFrame:
+    """group, an array of structs of carried, of each balanced group and of each line that is in none.
+
+    lines: kind (text), leader (a number), amounts (whole numbers, one for each measure), carried, and order, which gives
+    each line's place in its kind; at most few_lines() of a kind have amounts that are not all zero. Groups are those of
+    balanced_groups. A kind's lines come to one task one after the other, and some thousand kinds are searched at once.
+    """
+    names = ["kind", "leader", "amounts", *carried]
+    dealt = lines.withColumn("bucket", F.xxhash64("kind")).repartition("bucket")  # numbers sort faster than texts
+    rows = dealt.sortWithinPartitions("bucket", "kind", *order).select(*names)
+    fields = [f for f in rows.schema.fields if f.name in carried]
+    made = "group array<struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in fields) + ">>"
+
+    def search(t: pa.Table, kind: np.ndarray) -> pa.RecordBatch:
+        flat = t.column("amounts").combine_chunks().flatten().to_numpy()
+        first = first_lines(kind, t.column("leader").to_numpy(), flat.reshape(len(kind), -1), sizes)
+        by_group = np.argsort(first, kind="stable")
+        starts = np.flatnonzero(np.diff(first[by_group], prepend=-1, append=len(kind)))
+        items = t.select(carried).take(pa.array(by_group)).combine_chunks()
+        structs = pa.StructArray.from_arrays([items.column(c).combine_chunks() for c in carried], list(carried))
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(starts, pa.int32()), structs)], names=["group"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in chain(batches, [None]):
+            held += [b] if b is not None and b.num_rows else []
+            if not held or (b is not None and sum(x.num_rows for x in held) < PASS_LINES):
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            names = t.column("kind").combine_chunks()
+            kind = np.cumsum(np.append(False, pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)))
+            whole = t.num_rows if b is None else int(np.searchsorted(kind, kind[-1]))  # the last kind may go on
+            held = t.slice(whole).to_batches()
+            if whole:
+                yield search(t.slice(0, whole), kind[:whole])
+
+    return rows.mapInArrow(run, made)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup_or
 from ..operators.project import q
 from ..state.lineage import cut
-from .balancing import balanced_groups
+from .balancing import balanced_groups, few_lines, groups_of_few
 
 MEASURES = ["net_expense_diff", "gross_expense_diff", "allocated_income_diff", "commitment_limit_diff", "personnel_max_diff"]
 
@@ -80,27 +80,42 @@ def change_groups(df: DataFrame, measures: Sequence[str] = MEASURES, known: Data
     whose codes are still there are taken before any search, in the order of serial.
     """
     changes = df.where(F.col("leading_item") != 47)
-    reserve = changes.where(F.col("budget_code").startswith("0047") & _any_moved(measures))
-    amounts = [F.round(F.coalesce(q(m), F.lit(0)).cast("double") * 1000).cast("long") for m in measures]
-    lines = reserve.select("date_kind", "trcode", F.xxhash64("leading_item").alias("leader"), F.array(*amounts).alias("amounts"), F.monotonically_increasing_id().alias("line"))
-    lines = cut(lines)
-    sums = changes.where(~F.col("budget_code").startswith("0047")).groupBy("trcode").agg(F.sum(sum((F.coalesce(q(m).cast("double"), F.lit(0.0)) for m in measures), F.lit(0.0))).alias("total"))
-    open_, found = lines, None
+    reserve = F.coalesce(F.col("budget_code").startswith("0047") & _any_moved(measures), F.lit(False))
+    amounts = F.array(*[F.when(F.col("reserve"), F.round(F.coalesce(q(m), F.lit(0)).cast("double") * 1000).cast("long")).otherwise(0) for m in measures])
+    own = F.when(~F.col("budget_code").startswith("0047"), sum((F.coalesce(q(m).cast("double"), F.lit(0.0)) for m in measures), F.lit(0.0)))
+    leader = F.when(F.col("reserve"), F.xxhash64("leading_item")).otherwise(0)
+    lines = changes.withColumn("reserve", reserve).select("trcode", F.when(F.col("reserve"), F.col("date_kind")).alias("date_kind"), "reserve", leader.alias("leader"), amounts.alias("amounts"), own.alias("own"), F.monotonically_increasing_id().alias("line"))
+    lines = lines.withColumn("moved", F.exists("amounts", lambda x: x != 0))
+    # lines that move nothing have kinds of their own
+    kind = F.when(F.col("moved"), F.coalesce(F.concat(F.lit("="), F.col("date_kind").cast("string")), F.lit(""))).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("trcode").cast("string"), F.lit(""))))
+    lines = lines.withColumn("kind", kind)
+    # of a code without a line of the reserve, one row stands for it
+    code = Window.partitionBy("trcode").orderBy(F.desc("reserve"))
+    total = F.sum("own").over(code.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = lines.withColumn("total", total).withColumn("place", F.row_number().over(code)).where(F.col("reserve") | (F.col("place") == 1)).drop("own", "place")
+    one = F.struct("trcode", "total")
+    groups = None
     if known is not None:
-        found = known_groups(lines, known).select("date_kind", "trcode", F.concat(F.lit("k"), F.col("key").cast("string")).alias("group"))
-        codes = found.select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"))
-        open_ = cut(lines.join(codes, F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t")), "left_anti"))
-    kind = F.coalesce(F.concat(F.lit("="), F.col("date_kind").cast("string")), F.lit(""))
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("trcode", "amounts", "line"))
-    ordered = cut(open_.where(F.exists("amounts", lambda x: x != 0)).withColumn("kind", kind).withColumn("idx", place).select("line", "kind", "idx", "leader", "amounts"))
-    own = balanced_groups(ordered)
-    searched = open_.join(own, "line", "left").select("date_kind", "trcode", F.coalesce("first", "line").cast("string").alias("group"))
-    every = (searched if found is None else searched.unionByName(found)).distinct()
-    signed = every.join(sums, "trcode", "left")
-    named = signed.groupBy("date_kind", "group").agg(F.coalesce(F.min(F.when(F.col("total") > 0, F.col("trcode"))), F.min("trcode")).alias("group_id"), F.count(F.lit(1)).alias("size"), F.collect_list("trcode").alias("trcode"))
-    grouped = named.select(F.explode("trcode").alias("trcode"), "group_id", "size")
-    alone = changes.select("trcode").distinct().join(reserve.select("trcode"), "trcode", "left_anti").select("trcode", F.col("trcode").alias("group_id"), F.lit(1).cast("long").alias("size"))
-    return grouped.unionByName(alone)
+        rows = cut(rows)
+        mine = known_groups(rows.where("reserve"), known).select(F.col("date_kind").alias("__d"), F.col("trcode").alias("__t"), "key")
+        same = F.col("date_kind").eqNullSafe(F.col("__d")) & (F.col("trcode") == F.col("__t")) & F.col("reserve")
+        groups = rows.join(mine, same).groupBy("date_kind", "key").agg(F.collect_set(one).alias("group")).select("group")
+        lines = rows = cut(rows.join(mine, same, "left_anti"))
+    few = lines.where("moved").groupBy(F.xxhash64("kind").alias("bucket")).count().where(F.col("count") > few_lines())
+    many = cut(few.select("bucket"))
+    if not many.isEmpty():
+        large = F.xxhash64("kind") == F.col("bucket")
+        left = cut(rows.join(many, large & F.col("moved"), "left_semi"))
+        place = F.row_number().over(Window.partitionBy("kind").orderBy("trcode", "amounts", "line"))
+        found = balanced_groups(cut(left.withColumn("idx", place).select("line", "kind", "idx", "leader", "amounts")))
+        named = left.join(found, "line", "left").groupBy(F.coalesce("first", "line")).agg(F.collect_set(one).alias("group")).select("group")
+        groups = named if groups is None else groups.unionByName(named)
+        rows = rows.join(many, large & F.col("moved"), "left_anti")
+    searched = groups_of_few(rows, ["trcode", "amounts", "line"], ["trcode", "total"])
+    groups = searched if groups is None else groups.unionByName(searched)
+    codes = F.array_distinct(F.transform("group", lambda c: c["trcode"]))
+    positive = F.array_min(F.transform(F.filter("group", lambda c: c["total"] > 0), lambda c: c["trcode"]))
+    return groups.select(F.explode(codes).alias("trcode"), F.coalesce(positive, F.array_min(codes)).alias("group_id"), F.size(codes).cast("long").alias("size"))
 
 
 def group_cache(df: DataFrame, groups: DataFrame) -> DataFrame:

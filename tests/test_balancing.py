@@ -96,3 +96,63 @@ def test_known_groups_that_share_codes(spark):
 
 def test_no_lines(spark):
     assert balancing.balanced_groups(spark.createDataFrame([], LINES)).count() == 0
+
+
+def drawn(kinds, seed):
+    """Lines of kinds of one to fourteen, in order, and the groups that the plain search finds among them."""
+    rng, rows, want = random.Random(seed), [], set()
+    for kind in range(kinds):
+        top, measures = rng.choice([2, 5, 30]), rng.choice([1, 2])
+        own = [(rng.randrange(6), [rng.choice([-1, 1]) * rng.randrange(0, top) for _ in range(measures)] + [0] * (2 - measures)) for _ in range(rng.randrange(1, 15))]
+        moved = [k for k, x in enumerate(own) if any(x[1])]
+        want |= {frozenset(100 * kind + moved[k] for k in g) for g in first_groups([own[k] for k in moved])}
+        rows += [(100 * kind + k, str(kind), k, leader, amounts) for k, (leader, amounts) in enumerate(own)]
+    return rows, want
+
+
+def test_kinds_of_few_lines_are_searched_as_they_pass(spark, monkeypatch):
+    monkeypatch.setattr(balancing, "PASS_LINES", 20)  # tasks get it with their function
+    rows, want = drawn(60, 11)
+    random.Random(1).shuffle(rows)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")  # kinds come in several batches
+    try:
+        got = [[x["line"] for x in r["group"]] for r in balancing.groups_of_few(spark.createDataFrame(rows, LINES), ["idx"], ["line"]).collect()]
+    finally:
+        spark.conf.set(size, before)
+    assert sorted(x for g in got for x in g) == sorted(r[0] for r in rows)
+    assert {frozenset(g) for g in got if len(g) > 1} == want and all(g == sorted(g) for g in got)
+
+
+def changes_of(spark, rows):
+    """The changes that give rows as lines of the reserve; two codes have no such line."""
+    lines = [(f"{line:05d}", None if kind == "0" else kind, code, leader, *(sign * a / 1000 for a in amounts)) for line, kind, _, leader, amounts in rows for code, sign in (("0047", 1), ("0020", -1))]
+    lines += [("x", "1", "0020", 1, 5.0, 0.0), ("x", "2", "0030", 1, 5.0, 0.0), ("y", None, None, 1, 5.0, 0.0), ("z", "1", "0047", 47, 5.0, 0.0)]
+    return spark.createDataFrame(lines, "trcode string, date_kind string, budget_code string, leading_item int, m double, n double")
+
+
+def named(rows, groups):
+    """code, group's code and size as change_groups gives them."""
+    amounts = {f"{r[0]:05d}": -sum(r[4]) / 1000 for r in rows}
+    groups = [sorted(f"{line:05d}" for line in g) for g in groups]
+    alone = {(c, c, 1) for c in [*amounts, "x", "y"]} - {(c, c, 1) for g in groups for c in g}
+    return alone | {(c, next((x for x in g if amounts[x] > 0), g[0]), len(g)) for g in groups for c in g}
+
+
+def test_change_groups_of_few_lines_need_no_rounds(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("kinds of few lines came to the rounds of large ones")
+
+    monkeypatch.setattr(balancing, "balanced_sets", refuse)
+    rows, want = drawn(25, 12)
+    got = changes.change_groups(changes_of(spark, rows), ["m", "n"]).collect()
+    assert sorted(map(tuple, got)) == sorted(named(rows, want))
+
+
+def test_change_groups_of_small_and_large_kinds(spark, monkeypatch):
+    monkeypatch.setattr(balancing, "TABLE", 700)  # kinds of more than five lines are large
+    assert balancing.few_lines() == 5
+    rows, want = drawn(25, 13)
+    got = changes.change_groups(changes_of(spark, rows), ["m", "n"]).collect()
+    assert sorted(map(tuple, got)) == sorted(named(rows, want))
