@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.chains import components
 from . import words as W
-from .storage import hold, looked_up, small_side
+from .storage import cut, hold, looked_up, small_side
 
 SEED = 42
 #: Larger buckets are split into parts that meet pair by pair, each in a task of its own.
@@ -333,11 +333,14 @@ def links(prints: DataFrame, radius: int, masks: list[list[int]], width: int = 1
     keyed = prints.select("id", *words, F.explode(bucket_keys(masks, width)).alias("__k"))
     rows = in_parts(keyed, "__k", "id", PART).select("__g", "id", *words)
 
-    return compared(rows, radius, width)
+    return compared(rows, radius, width).distinct()
 
 
 def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
-    """Links a, b that chain the ids of rows (__g, id, f0, ...) as all pairs within the radius that share a __g do."""
+    """Links a, b that chain the ids of rows (__g, id, f0, ...) as all pairs within the radius that share a __g do.
+
+    Links of rows that share several __g come again.
+    """
     words = names_of(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +354,7 @@ def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
                 a, b = bucket_links(group_ends(keys[at]), fps, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at][a]), pa.array(ids[at][b])], names=["a", "b"])
 
-    return rows.repartition("__g").sortWithinPartitions("__g", "id").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("__g").sortWithinPartitions("__g", "id").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = 3, radius: int = 3) -> DataFrame:
@@ -503,16 +506,17 @@ def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: in
     chains = components(candidates(W.lean(texts), n, tenths), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
     members = small_side(once.join(chains, once["key"] == chains["node"]).select("key", "row", "other", F.col("root").alias("chain")), expected=texts_n)
-    found = components(verified(texts.join(members.drop("other"), ["key", "row"]), n, tenths), texts_n)
+    found = components(verified(texts.join(members.drop("other"), ["key", "row"]), n, tenths, texts_n), texts_n)
     return found.select(F.col("node").alias("key"), F.col("root").alias("group")).join(members.select("key", "other"), "key")
 
 
-def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
+def verified(rows: DataFrame, n: int, tenths: int, texts_n: int) -> DataFrame:
     """Links a, b that chain keys as all pairs of a chain with similar shingle sets do.
 
     All texts of a chain meet. In one of over VERIFY_PART, each is first compared with the text that names the chain:
     those similar to it hang together, so only the others meet all, in parts. Near copies of one text cost one
-    comparison each.
+    comparison each. Each narrow step is checkpointed: a plan that held tables are nested in repeats them at each use,
+    and the driver would plan and describe dozens of copies. texts_n, how many texts there are in all, sizes these.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,17 +544,17 @@ def verified(rows: DataFrame, n: int, tenths: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(key[a + i]), pa.array(key[a + j])], names=["a", "b"])
 
     small = hold(rows.select("key", "chain", "t").mapInArrow(sets, "key long, chain long, set binary").dropDuplicates(["key"]))
-    long_ = small_side(small.groupBy("chain").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > VERIFY_PART))
+    long_ = small_side(small.groupBy("chain").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > VERIFY_PART), expected=texts_n)
     short = small.join(long_, "chain", "left_anti").select("key", F.col("chain").alias("__g"))
     # The naming text goes to as many tasks as its chain fills, so that none gets a whole chain.
     lots = F.ceil(F.col("n") / VERIFY_PART).cast("int")
     rest = small.join(long_, "chain")
     pivots = rest.where(F.col("key") == F.col("chain")).select("chain", F.col("set").alias("pivot"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"))
     met = rest.withColumn("lot", F.pmod(F.xxhash64("key"), lots).cast("int")).join(pivots, ["chain", "lot"])
-    told = hold(met.select("key", "chain", "set", "pivot").mapInArrow(near, "key long, chain long, near boolean"))
+    told = cut(met.select("key", "chain", "set", "pivot").mapInArrow(near, "key long, chain long, near boolean"))
     hung = told.where(F.col("near") & (F.col("key") != F.col("chain"))).select(F.col("chain").alias("a"), F.col("key").alias("b"))
     halves = {x: F.ceil(F.count(F.when(c, 1)) / (VERIFY_PART // 2)).cast("int").alias(x) for x, c in (("far", ~F.col("near")), ("by", F.col("near")))}
-    open_ = small_side(told.groupBy("chain").agg(*halves.values()).where("far > 0"))
+    open_ = small_side(told.groupBy("chain").agg(*halves.values()).where("far > 0"), expected=texts_n)
     mine = lambda n: F.pmod(F.xxhash64("key", F.lit(3)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("o")
     told = told.join(open_, "chain")

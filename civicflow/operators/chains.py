@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..state.lineage import cut, files
@@ -40,35 +40,40 @@ def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
 
     edges has a and b of one type that can be ordered; nulls and loops are dropped, repeated edges count once. Isolated
     nodes do not appear. nodes, about how many there are in all, sizes the first checkpoint. Large and small stars
-    alternate until nothing changes.
+    alternate until there are only stars around their least nodes.
     """
     now = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), nodes)
-    state = _state(now)
+    rows, most, settled = _state(now)
     for _ in range(MAX_ROUNDS):
-        rows, most, _ = state
+        if settled:
+            break
         large = _large_star(now, rows, most)
         large = cut(large, rows) if is_heavy(most, 2 * rows) else large  # what a heavy node needs reads its input often
         now = cut(_small_star(large, rows, most), rows)
-        seen, state = state, _state(now)
-        if state == seen:
-            break
+        rows, most, settled = _state(now)
     else:
         raise RuntimeError("components did not settle")
     roots = now.groupBy("m").agg(F.count(F.lit(1)).alias("n")).select(F.col("m").alias("node"), F.col("m").alias("root"))
-    return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(roots.coalesce(files(state[0])))
+    return now.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(roots.coalesce(files(rows)))
 
 
-def _state(edges: DataFrame) -> tuple[int, int, int]:
-    """How many edges there are, the most of one node, and a sum that tells other edges from these."""
-    mark = F.xxhash64("v", "m").cast("decimal(38,0)")
-    ends = edges.select(F.explode(F.array("v", "m")).alias("u"), mark.alias("h")).groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
-    n, most, mark = ends.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("h"), F.lit(0))).first()
-    return max(1, n // 2), most, int(mark)
+def _state(edges: DataFrame) -> tuple[int, int, bool]:
+    """How many edges there are, the most of one node, and whether each greater end has no other edge: all are stars."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.lit(1).alias("up")), F.struct(F.col("m").alias("u"), F.lit(0).alias("up")))).alias("e"))
+    nodes = ends.groupBy("e.u").agg(F.count(F.lit(1)).alias("n"), F.sum("e.up").alias("up"))
+    n, most, loose = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.count(F.when((F.col("up") > 0) & (F.col("n") > 1), 1))).first()
+    return max(1, n // 2), most, loose == 0
 
 
 def _large_star(edges: DataFrame, rows: int, most: int) -> DataFrame:
-    """Each node's greater neighbours are tied to its least neighbour or itself. A star's centre may have most edges."""
+    """Each node's greater neighbours are tied to its least neighbour or itself. A star's centre may have most edges.
+
+    Without heavy nodes a node's edges meet once, and what is repeated stays for the small star.
+    """
     both = edges.select(F.col("v").alias("u"), F.col("m").alias("w")).unionByName(edges.select(F.col("m").alias("u"), F.col("v").alias("w")))
+    if not is_heavy(most, 2 * rows):
+        tied = both.withColumn("l", F.least("u", F.min("w").over(Window.partitionBy("u"))))
+        return tied.where(F.col("w") > F.col("u")).select(F.col("w").alias("v"), F.col("l").alias("m"))
     least = both.groupBy("u").agg(F.min("w").alias("l"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "l").alias("l"), "n")
     out = looked_up(both.where(F.col("w") > F.col("u")), least, "u", "n", 2 * rows, most=most).select(F.col("w").alias("v"), F.col("l").alias("m"))
     return out.where(F.col("v") != F.col("m")).distinct()
@@ -76,6 +81,10 @@ def _large_star(edges: DataFrame, rows: int, most: int) -> DataFrame:
 
 def _small_star(edges: DataFrame, rows: int, most: int) -> DataFrame:
     """Each node and its lesser neighbours are tied to the least of them. The large star gives no node more of these."""
+    if not is_heavy(most, 2 * rows):
+        tied = edges.withColumn("l", F.min("m").over(Window.partitionBy("v")))
+        ends = tied.select(F.explode(F.array("v", "m")).alias("v"), F.col("l").alias("m"))
+        return ends.where(F.col("v") != F.col("m")).distinct()
     least = edges.groupBy("v").agg(F.min("m").alias("l"), F.count(F.lit(1)).alias("n"))
     joined = looked_up(edges, least, "v", "n", 2 * rows, most=most)
     out = joined.select(F.col("m").alias("v"), F.col("l").alias("m")).unionByName(least.select("v", F.col("l").alias("m")))
