@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..operators.chains import components
 from . import words as W
-from .storage import cut, hold, looked_up, small_side
+from .storage import BROADCAST_ROWS, cut, hold, looked_up, small_side
+from .url_filter import BITS_PER_URL, MAX_BLOCKS, WORDS, bit, bloom_blocks, hashed
 
 SEED = 42
 #: Larger buckets are split into parts that meet pair by pair, each in a task of its own.
@@ -457,17 +458,43 @@ def leading(hashes: np.ndarray, size: np.ndarray, common: np.ndarray, rank: np.n
     return doc[used], hashes[order][used]
 
 
+def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows __k, id, sorted by both, of keys that two ids or more have, with a hash of a key's ids as __g.
+
+    Near copies share dozens of shingles, and of all the keys that the same ids have one is enough.
+    """
+    for t in by_group(batches, "__k", 1 << 16):
+        keys, ids = t.column("__k").to_numpy(), t.column("id").to_numpy()
+        at = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])))
+        keys, ids = keys[at], ids[at]
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        size = np.diff(np.append(start, len(keys)))
+        group = np.repeat(np.add.reduceat(mixed(ids.view(np.uint64), 3), start), size)
+        _, first = np.unique(group[start], return_index=True)
+        told = np.zeros(len(start), bool)
+        told[first] = True
+        used = np.repeat(told & (size > 1), size)
+        yield pa.RecordBatch.from_arrays([pa.array(group[used].view(np.int64)), pa.array(ids[used])], names=["__g", "id"])
+
+
 def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
     """Links a, b that chain the keys of texts (key, t): they share a leading shingle and have near fingerprints.
 
-    Any two sets of the similarity share one, so only the fingerprints' radius can miss a pair. The texts of a common
-    shingle are counted, and split into parts that meet pair by pair if they are many.
+    Any two sets of the similarity share one, so only the fingerprints' radius can miss a pair. Most shingles are in one
+    text only, so they meet by their hash and the text's key alone, and fingerprints join what has met. The texts of a
+    common shingle are counted, and split into parts that meet pair by pair if they are many.
     """
     found = common_shingles(texts, n)
     order = np.argsort(found)
     shared = texts.sparkSession.sparkContext.broadcast((found[order], order + 1))
     words = names_of(WIDTH)
-    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("__k", "id", *words)], T.StructField("often", T.BooleanType())])
+    kinds = ("rare", "often")
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("id", *words)], *[T.StructField(c, T.ArrayType(T.LongType())) for c in kinds]])
+
+    def lists(doc: np.ndarray, first: np.ndarray, texts: int) -> pa.Array:
+        ends = np.zeros(texts + 1, np.int32)
+        np.cumsum(np.bincount(doc, minlength=texts), out=ends[1:])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(first.view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, rank = shared.value
@@ -481,13 +508,50 @@ def candidates(texts: DataFrame, n: int, tenths: int) -> DataFrame:
             fp = fingerprints(hashes, size, WIDTH).view(np.int64)
             doc, first = leading(hashes, size, common, rank, tenths)
             often = common[np.minimum(np.searchsorted(common, first), len(common) - 1)] == first if len(common) else np.zeros(len(first), bool)
-            yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), own.column("key").take(pa.array(doc)), *[pa.array(np.ascontiguousarray(fp[doc, k])) for k in range(WIDTH)], pa.array(often)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([own.column("key"), *[pa.array(np.ascontiguousarray(fp[:, k])) for k in range(WIDTH)], *[lists(doc[o], first[o], own.num_rows) for o in (~often, often)]], names=schema.names)
+
+    # One row a text: its key and fingerprint would take more room than its shingles, were they with each.
+    known = hold(texts.select("key", "t").mapInArrow(run, schema))
+    rare, often = (known.select(F.explode(c).alias("__k"), "id") for c in kinds)
+    meeting = rare.repartition("__k").sortWithinPartitions("__k", "id").mapInArrow(met, "__g long, id long").distinct()
+    often = in_parts(hold(often.distinct()), "__k", "id", SET_PART).select("__g", "id")
+    prints = known.select("id", *words).dropDuplicates(["id"])
+    return compared(meeting.unionByName(often).join(prints, "id").select("__g", "id", *words), SET_RADIUS, WIDTH)
+
 
-    # Held in columns: an id and its fingerprint repeat over its rows.
-    keyed = hold(texts.select("key", "t").mapInArrow(run, schema))
-    rare = keyed.where(~F.col("often")).select(F.col("__k").alias("__g"), "id", *words)
-    often = in_parts(keyed.where("often").drop("often"), "__k", "id", SET_PART).select("__g", "id", *words)
-    return compared(rare.unionByName(often), SET_RADIUS, WIDTH)
+def might_be_in(rows: DataFrame, key: Column, keys: DataFrame, n: int) -> DataFrame:
+    """rows with __may: true where key, a long, is one of the n of keys (key), and rarely else. No row is shuffled.
+
+    The filter is bounded; of very many keys it only passes more.
+    """
+    blocks = min(MAX_BLOCKS, 1 << max(0, (n * BITS_PER_URL // (64 * WORDS)).bit_length()))
+    probed = hashed(rows.withColumn("__key", key), "__key", blocks).join(F.broadcast(bloom_blocks(keys, "key", blocks)), "__block", "left")
+    may = F.lit(True)
+    for j in range(WORDS):
+        may = may & (F.coalesce(F.col(f"w{j}"), F.lit(0)).bitwiseAND(bit(j)) != 0)
+    return probed.withColumn("__may", may).select(*[F.col(f"`{c}`") for c in rows.columns], "__may")
+
+
+def parted(rows: DataFrame, marks: list[Column], table: DataFrame, every: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows whose marks are in the held table (__i, __k, __o), and the others; every has the marks of all rows.
+
+    Wide rows stay where they are: over most marks are not broadcast but go into a filter, and which of every it takes
+    for the table's is worked out from the marks alone.
+    """
+    names = ["__i", "__k", "__o"]
+    same = F.lit(True)
+    for c, m in zip(names, marks):
+        same = same & m.eqNullSafe(F.col(c))
+    n = table.count()
+    if n <= (BROADCAST_ROWS if most is None else most):
+        few = F.broadcast(table)
+        return rows.join(few, same, "left_semi"), rows.join(few, same, "left_anti")
+    keys = table.select(F.xxhash64(*names).alias("key"))
+    taken = might_be_in(every.select(*names), F.xxhash64(*names), keys, n).where("__may").alias("e")
+    spared = small_side(taken.join(table.alias("t"), [F.col(f"e.{c}").eqNullSafe(F.col(f"t.{c}")) for c in names], "left_anti").select(*names))
+    marked = might_be_in(rows, F.xxhash64(*marks), keys, n)
+    possible = marked.where("__may").drop("__may")
+    return possible.join(spared, same, "left_anti"), marked.where(~F.col("__may")).drop("__may").unionByName(possible.join(spared, same, "left_semi"))
 
 
 def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: int = 8) -> DataFrame:
@@ -505,7 +569,12 @@ def similar_groups(df: DataFrame, text: str, id_col: str, n: int = 5, tenths: in
     texts_n = once.count()
     chains = components(candidates(W.lean(texts), n, tenths), texts_n)
     # One row stands for all copies of a text; with its number in the key, copies do not gather anywhere.
-    members = small_side(once.join(chains, once["key"] == chains["node"]).select("key", "row", "other", F.col("root").alias("chain")), expected=texts_n)
+    members = cut(once.join(chains, once["key"] == chains["node"]).select("key", "row", "other", F.col("root").alias("chain")), texts_n)
+    members_n = members.count()
+    if members_n <= BROADCAST_ROWS:
+        members = F.broadcast(members)
+    else:  # only texts in chains are shuffled
+        texts = might_be_in(texts, F.xxhash64("key", "row"), members.select(F.xxhash64("key", "row").alias("key")), members_n).where("__may").drop("__may")
     found = components(verified(texts.join(members.drop("other"), ["key", "row"]), n, tenths, texts_n), texts_n)
     return found.select(F.col("node").alias("key"), F.col("root").alias("group")).join(members.select("key", "other"), "key")
 
@@ -584,11 +653,11 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_i
     first = grouped.groupBy("group").agg(F.min(F.struct("least.none", "least.id", "key", "other")).alias("f")).select(F.col("f.key").alias("__k"), F.col("f.other").alias("__o"), F.col("f.id").alias("__i"))
     is_first = (F.col("key") == F.col("__k")) & (F.col("other") == F.col("__o")) & F.col("id").eqNullSafe(F.col("__i"))
     marks = [F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("other").alias("__o")]
-    lost = small_side(keyed.join(first, is_first, "left_anti").select(*marks))
-    same = F.col(i).eqNullSafe(F.col("__i")) & (key == F.col("__k")) & (other == F.col("__o"))
-    kept = own.join(lost, same, "left_anti")
+    every, own_marks = keyed.select(*marks), [F.col(i), key, other]
+    lost = hold(keyed.join(first, is_first, "left_anti").select(*marks))
+    _, kept = parted(own, own_marks, lost, every)
     repeated = hold(keyed.where("rows > 1").select(*marks))
     if not repeated.isEmpty():
-        again = small_side(repeated)
-        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([i, t]))
+        again, once = parted(kept, own_marks, repeated, every)
+        kept = once.unionByName(again.dropDuplicates([i, t]))
     return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -1,7 +1,10 @@
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from civicflow.llm import simhash
 
@@ -178,3 +181,48 @@ def test_no_pair_of_small_sets_is_lost(spark):
         rows += [(2 * k, " ".join(first)), (2 * k + 1, " ".join(second))]
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {2 * k for k in range(6000)}
+
+
+def exchanges(df):
+    """The columns of what a query's plan shuffles, without what is held or checkpointed."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [set(re.findall(r"(\w+)#\d+", m)) for m in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)]
+
+
+def test_shingles_meet_without_fingerprints(spark):
+    df = frame(spark, sf_rows(spark)).selectExpr("text as t", "xxhash64(text) as key").where("t is not null")
+    shuffled = exchanges(simhash.candidates(df, 5, 8))
+    assert {"__k", "id"} in shuffled and not any({"__k", "f0"} <= x for x in shuffled)
+
+
+def test_only_keys_of_two_texts_meet_and_same_texts_once():
+    rows = sorted([(1, 7), (2, 7), (2, 7), (2, 8), (3, 7), (3, 8), (4, 7), (4, 8), (4, 9), (5, 9), (5, 9)])
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["__k", "id"])
+    groups = {}
+    for b in simhash.met(iter([batch.slice(0, 4), batch.slice(4)])):
+        for r in b.to_pylist():
+            groups.setdefault(r["__g"], []).append(r["id"])
+    assert sorted(groups.values()) == [[7, 8], [7, 8, 9]]
+
+
+def test_rows_are_parted_without_shuffling_them(spark, monkeypatch):
+    rows = spark.createDataFrame([(None if i % 50 == 0 else i, i % 7, f"t{i}") for i in range(400)], "i int, k int, text string")
+    every = rows.selectExpr("i as __i", "k as __k", "k + 1 as __o").distinct()
+    table = every.where("coalesce(__i, 0) % 3 = 0 and __k < 5").persist()
+    marks = [F.col("i"), F.col("k"), F.col("k") + 1]
+    for blocks in (1 << 18, 1):  # with one block, the filter takes nearly all rows
+        monkeypatch.setattr(simhash, "MAX_BLOCKS", blocks)
+        for most in (None, 0):
+            inside, outside = simhash.parted(rows, marks, table, every, most)
+            assert inside.columns == outside.columns == rows.columns
+            assert sorted(map(str, inside.collect())) == sorted(map(str, rows.where("coalesce(i, 0) % 3 = 0 and k < 5").collect()))
+            assert inside.count() + outside.count() == 400
+            assert not any("text" in x for x in exchanges(inside.unionByName(outside)))
+
+
+def test_long_lists_of_texts_are_not_broadcast(spark, monkeypatch):
+    df = frame(spark, sf_rows(spark))
+    rows = df.unionByName(df.limit(40)).selectExpr("doc_id", "text")
+    want = sorted(map(str, simhash.drop_near_duplicates(rows).collect()))
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, simhash.drop_near_duplicates(rows).collect())) == want
